@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference is a batch ETL with no stream, watermark or state anywhere,
+so nothing is built here.  The star build in ``starbuild.plans.star`` is a
+set of lazy DataFrame transforms; if its staging input ever arrives as a
+stream, the same functions apply per micro-batch through
+``writeStream.foreachBatch``.
+"""
