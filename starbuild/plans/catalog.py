@@ -550,3 +550,79 @@ from customer""")
 def dictionary_codes(spark, sf):
     lines = dictionary.read_dictionary_lines(spark, fx.write_dictionary(spark, sf))
     return dictionary.dictionary_codes(lines)
+
+
+# --------------------------------------------------------------- end-to-end star
+
+def _star_inputs(spark, sf):
+    from starbuild.plans.star import StagingSpec, StarSpec, stage
+    staged = stage(fx.table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+        F.expr("nullif(o_orderpriority, '5-LOW')").alias("o_orderpriority")),
+        StagingSpec(timestamp_date_columns=["o_orderdate"], required=["o_orderkey"]))
+    entity = fx.table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("c_custkey"), "c_name", "c_mktsegment")
+    spec = StarSpec(
+        fact_name="order_facts", fact_key="o_orderkey", flags=FLAGS,
+        flag_dim_name="dim_status", flag_key="status_flag_id",
+        date_columns=["o_orderdate"], date_dim_name="dim_time", fact_layout=FACT_LAYOUT,
+        entity_name="dim_customer", entity_key="c_custkey",
+        entity_columns=["c_custkey", "c_name", "c_mktsegment"],
+        entity_split=("c_name", "#", ("name_prefix", "name_number")), entity_fk="customer_id",
+        rollup_name="dim_brand", rollup_key="p_brand", rollup_sums=["p_size"],
+        rollup_mean="p_retailprice", rollup_weight="p_size")
+    return staged, entity, fx.part_staged(spark, sf), spec
+
+
+@register("star_fact_written", ORACLE["fact_projection"])
+def star_fact_written(spark, sf):
+    from starbuild.plans.star import write_star
+    staged, entity, rollup, spec = _star_inputs(spark, sf)
+    paths = write_star(spark, staged, spec, scratch_path(spark, "star"), entity_src=entity,
+                       rollup_src=rollup, fact_partition_by=["priority"])
+    return spark.read.parquet(paths["order_facts"]).select(*[t for t, _, _ in FACT_LAYOUT])
+
+
+@register("star_checks", f"""
+with s as (select * from {_ORDERS_STAGED} x),
+     f as (select o_orderkey as order_id from s),
+     d as (select distinct o_orderdate as datestamp from s)
+select 'reconcile_order_facts' as check_name, (select count(*) from s) as stage_rows,
+       (select count(*) from f) as output_rows,
+       (select count(distinct o_orderkey) from s) as stage_unique,
+       (select count(distinct order_id) from f) as output_unique
+union all
+select 'reconcile_dim_time_o_orderdate', (select count(*) from s), (select count(*) from d),
+       (select count(distinct o_orderdate) from s), (select count(distinct datestamp) from d)
+union all
+select 'reconcile_dim_customer', (select count(*) from customer),
+       (select count(*) from customer), (select count(distinct c_custkey) from customer),
+       (select count(distinct c_custkey) from customer)""")
+def star_checks(spark, sf):
+    from starbuild.plans.star import build_star, run_checks
+    staged, entity, rollup, spec = _star_inputs(spark, sf)
+    tables = build_star(staged, spec, entity, rollup)
+    checks = run_checks(staged, tables, spec, entity)
+    frames = [df.select(F.lit(name).alias("check_name"), "stage_rows", "output_rows",
+                        "stage_unique", "output_unique")
+              for name, df in checks.items() if name.startswith("reconcile_")]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@register("star_coverage", """
+with p as (select distinct o_orderkey as id, trim(cast(o_custkey as varchar)) as fk from orders),
+     d as (select distinct cast(c_custkey as varchar) as k from customer),
+     t as (select p.fk, d.k from p left join d on p.fk = d.k)
+select cast(sum(case when k is not null then 1 else 0 end) as bigint) as matched,
+       cast(sum(case when k is null then 1 else 0 end) as bigint) as unmatched,
+       cast(count(*) as bigint) as total,
+       round_even(sum(case when k is not null then 1 else 0 end) / count(*) * 100, 1) as matched_pct
+from t""")
+def star_coverage(spark, sf):
+    from starbuild.plans.star import build_star, run_checks
+    staged, entity, rollup, spec = _star_inputs(spark, sf)
+    tables = build_star(staged, spec, entity, rollup)
+    return run_checks(staged, tables, spec, entity)["coverage_order_facts_dim_customer"]
