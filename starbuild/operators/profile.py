@@ -104,26 +104,34 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None,
                        .alias("missing_ratio"))
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str],
-                    probs: Sequence[float] = (0.25, 0.5, 0.75),
-                    num_partitions: int | None = None) -> DataFrame:
-    """Exact linearly interpolated quantiles (``quantile_cont``) of numeric
-    columns, without gathering a column into one task.
-
-    Values are reduced to ``(column, value, multiplicity)`` with a partial
-    aggregate, range-partitioned on ``(column, value)`` and ranked with a
-    running count per partition plus per-partition offsets (a table of
-    ``partitions x columns`` rows).  Only the rows holding the two ranks
-    around each requested quantile survive the final filter.
-    Returns ``(column, p, value)``.
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, value, m)``: every distinct non-null value of every listed
+    numeric column (as a double) with its multiplicity.
+
+    One scan and one partial/final aggregate for all columns; a value that
+    holds a third of all rows is combined inside each map task.  Values are
+    exact as doubles up to 2**53 in magnitude.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = list(columns)
     stacked = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), _c(c).cast("double").alias("value")) for c in cols])))
-    counts = (stacked.filter(F.col("value").isNotNull())
-              .groupBy("column", "value").agg(F.count(F.lit(1)).alias("m")))
+        F.struct(F.lit(c).alias("column"), _c(c).cast("double").alias("value"))
+        for c in columns])))
+    return (stacked.filter(F.col("value").isNotNull())
+            .groupBy("column", "value").agg(F.count(F.lit(1)).alias("m")))
+
+
+def quantiles_from_counts(counts: DataFrame, probs: Sequence[float] = (0.25, 0.5, 0.75),
+                          num_partitions: int | None = None) -> DataFrame:
+    """Exact linearly interpolated quantiles (``quantile_cont``) from a
+    ``value_counts`` table, without gathering a column into one task.
+
+    The counts are range-partitioned on ``(column, value)`` and ranked with
+    a running sum inside each partition plus per-partition offsets (a table
+    of at most ``partitions x columns`` rows, so broadcasting it is
+    bounded).  Only rows holding the ranks next to a requested quantile
+    survive the final filter.  Returns ``(column, p, value)``.
+    """
+    spark = counts.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (counts.repartitionByRange(n, "column", "value")
               .sortWithinPartitions("column", "value")
               .withColumn("_pid", F.spark_partition_id()))
@@ -141,17 +149,15 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str],
                       (F.col("_off") + F.col("_run") - F.col("m")).alias("_lo"),  # first rank, 0-based
                       (F.col("_off") + F.col("_run")).alias("_hi")))              # one past last rank
     ps = F.array(*[F.lit(float(p)) for p in probs])
-    # For each p: h = p * (N - 1); needed ranks floor(h) and ceil(h).
+    # For each p: h = p * (N - 1); the ranks needed are floor(h) and ceil(h).
     with_p = ranked.select("*", F.explode(ps).alias("p"))
     h = F.col("p") * (F.col("_total") - 1)
-    lo_rank, hi_rank = F.floor(h), F.ceil(h)
-    hit = with_p.filter(((lo_rank >= F.col("_lo")) & (lo_rank < F.col("_hi")))
-                        | ((hi_rank >= F.col("_lo")) & (hi_rank < F.col("_hi"))))
-    hit = hit.select("column", "p", "_total",
-                     F.when((lo_rank >= F.col("_lo")) & (lo_rank < F.col("_hi")),
-                            F.col("value")).alias("_vlo"),
-                     F.when((hi_rank >= F.col("_lo")) & (hi_rank < F.col("_hi")),
-                            F.col("value")).alias("_vhi"))
+    has_lo = (F.floor(h) >= F.col("_lo")) & (F.floor(h) < F.col("_hi"))
+    has_hi = (F.ceil(h) >= F.col("_lo")) & (F.ceil(h) < F.col("_hi"))
+    hit = with_p.filter(has_lo | has_hi).select(
+        "column", "p", "_total",
+        F.when(has_lo, F.col("value")).alias("_vlo"),
+        F.when(has_hi, F.col("value")).alias("_vhi"))
     g = hit.groupBy("column", "p").agg(F.max("_vlo").alias("_vlo"), F.max("_vhi").alias("_vhi"),
                                          F.first("_total").alias("_total"))
     frac = F.col("p") * (F.col("_total") - 1) - F.floor(F.col("p") * (F.col("_total") - 1))
@@ -159,6 +165,13 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str],
                     (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias("value"))
 
 
+def exact_quantiles(df: DataFrame, columns: Sequence[str],
+                    probs: Sequence[float] = (0.25, 0.5, 0.75),
+                    num_partitions: int | None = None) -> DataFrame:
+    """Exact interpolated quantiles of numeric columns: ``(column, p, value)``."""
+    return quantiles_from_counts(value_counts(df, list(columns)), probs, num_partitions)
+
+
 def _exact_input(dtype) -> bool:
     return isinstance(dtype, (IntegralType, DecimalType))
 
@@ -209,19 +222,23 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
             aggs += [F.count(col).alias(f"count__{i}"), m["mean"].alias(f"mean__{i}"),
                      m["std"].alias(f"std__{i}"), F.min(col).cast("double").alias(f"min__{i}"),
                      F.max(col).cast("double").alias(f"max__{i}"),
-                     F.count_distinct(col).alias(f"unique_values__{i}"),
                      (F.count(F.lit(1)) - F.count(col)).alias(f"missing__{i}")]
-        names = ["count", "mean", "std", "min", "max", "unique_values", "missing"]
+        names = ["count", "mean", "std", "min", "max", "missing"]
         row = df.agg(*aggs)
         frames.append(row.select(F.inline(F.array(*[
             F.struct(F.lit(c).alias("column"), *[F.col(f"{m}__{i}").alias(m) for m in names])
             for i, c in enumerate(chunk)]))))
     base = _union_all(frames)
-    q = (exact_quantiles(df, cols)
+    # Distinct values and quantiles share one (column, value, m) table
+    # instead of an Expand-based count_distinct per column.
+    counts = value_counts(df, cols)
+    uniq = counts.groupBy("column").agg(F.count(F.lit(1)).alias("unique_values"))
+    q = (quantiles_from_counts(counts)
          .groupBy("column")
          .agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n)
                 for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))]))
-    out = base.join(q, "column", "left")
+    out = (base.join(uniq, "column", "left").join(q, "column", "left")
+           .withColumn("unique_values", F.coalesce("unique_values", F.lit(0).cast("long"))))
 
     def r(c):
         return F.round(F.col(c), digits) if digits is not None else F.col(c)

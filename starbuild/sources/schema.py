@@ -20,12 +20,17 @@ def schema_from_json(text: str) -> StructType:
     return StructType.fromJson(json.loads(text))
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
+def conform(df: DataFrame, schema: StructType, allow_missing: bool = False) -> DataFrame:
     """Reorder, cast and check ``df`` against ``schema`` (``DataFrame.to``).
 
-    Missing columns, impossible casts and nullable data for a non-null field
-    raise at analysis time.  Columns the schema does not name are dropped.
+    A column the schema names but ``df`` lacks raises (``DataFrame.to``
+    alone would fill a nullable one with NULL) unless ``allow_missing``;
+    impossible casts and nullable data for a non-null field raise at
+    analysis time.  Columns the schema does not name are dropped.
     """
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing and not allow_missing:
+        raise ValueError(f"columns required by the schema are missing: {missing}")
     return df.to(schema)
 
 
