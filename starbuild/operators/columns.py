@@ -124,18 +124,27 @@ def project(df: DataFrame, layout: Sequence[tuple[str, str | Column, str | None]
     """Select, rename, cast and reorder in one projection.
 
     ``layout`` is a list of ``(target_name, source_column_or_expr, type)``;
-    ``type`` may be ``None`` to keep the source type.  Columns not listed
-    are dropped.
+    ``type`` may be ``None`` to keep the source type, and a cast to the type
+    a column already has is skipped.  Columns not listed are dropped.
     """
+    types = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for target, source, to in layout:
         c = F.col(f"`{source}`") if isinstance(source, str) else source
-        if to is not None:
-            c = safe_cast(c, to)
+        src_type = types.get(source) if isinstance(source, str) else None
+        if to is not None and not (src_type is not None
+                                   and src_type.simpleString() == _type_name(to)):
+            c = safe_cast(c, to, src_type)
         out.append(c.alias(target))
     return df.select(*out)
 
 
+def _type_name(to: str) -> str:
+    aliases = {"integer": "int", "long": "bigint", "short": "smallint", "byte": "tinyint",
+               "float": "float", "real": "float"}
+    return aliases.get(to.lower(), to.lower())
+
+
 def split_pair(df: DataFrame, column: str, sep: str, names: tuple[str, str],
                drop_source: bool = True) -> DataFrame:
     """Split ``column`` on ``sep`` into two trimmed string columns.

@@ -74,12 +74,8 @@ def group_rollup_dimension(df: DataFrame, key: str, sum_columns: Sequence[str],
     return src.filter(_c(key).isNotNull()).groupBy(_c(key).alias(key)).agg(*aggs)
 
 
-def date_values(df: DataFrame, columns: Sequence[str], name: str = "datestamp") -> DataFrame:
-    """Distinct dates found in any of ``columns`` (one scan for all of them).
-
-    Timestamps are cast to dates.  NULL is a value here; ``date_dimension``
-    decides whether to keep it.
-    """
+def _date_column(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    """All values of ``columns`` as one ``date`` column (one scan; NULLs kept)."""
     types = {f.name: f.dataType for f in df.schema.fields}
 
     def as_date(c):
@@ -88,7 +84,16 @@ def date_values(df: DataFrame, columns: Sequence[str], name: str = "datestamp")
             return col.cast("date")
         return col
 
-    return df.select(F.explode(F.array(*[as_date(c) for c in columns])).alias(name)).distinct()
+    return df.select(F.explode(F.array(*[as_date(c) for c in columns])).alias(name))
+
+
+def date_values(df: DataFrame, columns: Sequence[str], name: str = "datestamp") -> DataFrame:
+    """Distinct dates found in any of ``columns`` (one scan for all of them).
+
+    Timestamps are cast to dates.  NULL is a value here; ``date_dimension``
+    decides whether to keep it.
+    """
+    return _date_column(df, columns, name).distinct()
 
 
 def date_dimension(sources: DataFrame | Sequence[tuple[DataFrame, Sequence[str]]],
@@ -97,20 +102,20 @@ def date_dimension(sources: DataFrame | Sequence[tuple[DataFrame, Sequence[str]]
     """Calendar dimension over the distinct dates of several columns.
 
     ``sources`` is either one DataFrame (with ``columns``) or a list of
-    ``(DataFrame, columns)`` pairs.  Each source is reduced to its distinct
-    dates before the union, so only distinct values cross the shuffle.
+    ``(DataFrame, columns)`` pairs.  Each source is scanned once; the union
+    is de-duplicated by a single aggregate whose partial step runs in every
+    scan task, so only distinct dates per task cross the one shuffle.
     A NULL date stays a row (as in the original) unless ``keep_null=False``.
     """
     if isinstance(sources, DataFrame):
         sources = [(sources, columns)]
-    parts = [date_values(df, cols, name) for df, cols in sources]
+    parts = [_date_column(df, cols, name) for df, cols in sources]
     dates = parts[0]
     for p in parts[1:]:
         dates = dates.unionByName(p)
-    if len(parts) > 1:
-        dates = dates.distinct()
     if not keep_null:
         dates = dates.filter(_c(name).isNotNull())
+    dates = dates.distinct()
     return dates.select(_c(name), *[v.alias(k) for k, v in calendar_parts(_c(name)).items()])
 
 

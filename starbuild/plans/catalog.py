@@ -271,10 +271,10 @@ select o.o_orderkey, o.o_orderstatus, o.o_orderpriority, d.status_flag_id
 from {_ORDERS_STAGED} o left join {_STATUS_DIM} d
   on o.o_orderstatus = d.o_orderstatus and o.o_orderpriority = d.o_orderpriority""")
 def fact_with_combination_key(spark, sf):
-    staged = fx.orders_staged(spark, sf)
-    dim = dims.combination_dimension(staged, FLAGS, "status_flag_id")
-    return facts.attach_dimension_key(staged.select("o_orderkey", *FLAGS), dim, FLAGS,
-                                      "status_flag_id")
+    from starbuild.plans.star import fact_with_checked_dimension
+    staged = fx.orders_staged(spark, sf).select("o_orderkey", *FLAGS)
+    fact, _ = fact_with_checked_dimension(staged, FLAGS, "status_flag_id")
+    return fact
 
 
 @register("fact_projection", f"""
@@ -283,9 +283,10 @@ select o.o_orderkey as order_id, d.status_flag_id as status, o.o_custkey as cust
 from {_ORDERS_STAGED} o left join {_STATUS_DIM} d
   on o.o_orderstatus = d.o_orderstatus and o.o_orderpriority = d.o_orderpriority""")
 def fact_projection(spark, sf):
-    staged = fx.orders_staged(spark, sf)
-    dim = dims.combination_dimension(staged, FLAGS, "status_flag_id")
-    return facts.build_fact(staged, dim, FLAGS, "status_flag_id", FACT_LAYOUT)
+    from starbuild.plans.star import fact_with_checked_dimension
+    fact, _ = fact_with_checked_dimension(fx.orders_staged(spark, sf), FLAGS, "status_flag_id",
+                                          FACT_LAYOUT)
+    return fact
 
 
 # --------------------------------------------------------------- quality

@@ -107,6 +107,25 @@ def build_star(staged: DataFrame, spec: StarSpec, entity_src: DataFrame | None =
     return tables
 
 
+def fact_with_checked_dimension(staged: DataFrame, flags: Sequence[str], key: str,
+                                layout: Sequence[tuple[str, str, str | None]] | None = None,
+                                broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                                ) -> tuple[DataFrame, DataFrame]:
+    """Fact with its flag-combination key, for callers that do not write the
+    star: the dimension is checkpointed (reliably, to the shared
+    ``spark.checkpoint.dir``), which pins its keys and cuts its lineage,
+    and it is broadcast only if it has at most ``broadcast_rows`` rows.
+    Returns ``(fact, dimension)``.
+    """
+    dim = dims.combination_dimension(staged, flags, key).checkpoint(eager=True)
+    dim, small = facts.sized_for_broadcast(dim, broadcast_rows)
+    if layout is None:
+        fact = facts.attach_dimension_key(staged, dim, flags, key, broadcast=small)
+    else:
+        fact = facts.build_fact(staged, dim, flags, key, layout, broadcast=small)
+    return fact, dim
+
+
 def write_star(spark: SparkSession, staged: DataFrame, spec: StarSpec, root: str,
                entity_src: DataFrame | None = None, rollup_src: DataFrame | None = None,
                fact_partition_by: Sequence[str] | None = None,
