@@ -165,6 +165,13 @@ def quantiles_from_counts(counts: DataFrame, probs: Sequence[float] = (0.25, 0.5
                     (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias("value"))
 
 
+def columns_with_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Columns holding at least one NULL: ``(column, missing)`` (one pass)."""
+    cols = list(columns or df.columns)
+    return _long(df, cols, {"missing": lambda c: F.count(F.lit(1)) - F.count(c)},
+                 batch=max(len(cols), 1)).filter(F.col("missing") > 0)
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str],
                     probs: Sequence[float] = (0.25, 0.5, 0.75),
                     num_partitions: int | None = None) -> DataFrame:

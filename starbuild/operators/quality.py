@@ -96,8 +96,22 @@ def unmatched_keys(fact: DataFrame, fact_col: str, dim: DataFrame, dim_col: str,
 
 def hidden_duplicates(df: DataFrame, columns: Sequence[str], min_count: int = 2) -> DataFrame:
     """Groups of rows sharing the same values in ``columns``:
-    ``(*columns, copies)`` for groups of at least ``min_count`` rows."""
-    return (df.groupBy(*[_c(c) for c in columns]).agg(F.count(F.lit(1)).alias("copies"))
+    ``(*columns, copies)`` for groups of at least ``min_count`` rows.
+
+    Exact, in two steps so that wide values (long texts) only cross the
+    shuffle when they can be duplicates: rows are first counted by a 64-bit
+    and an independent 32-bit hash of the key columns (12 bytes per row
+    shuffled, partial/final aggregate); only rows whose hash pair occurs at
+    least ``min_count`` times are then grouped on the real values, which
+    removes any hash collision.  Equal values always share both hashes, so
+    no group is missed.
+    """
+    cols = [_c(c) for c in columns]
+    hashed = df.select(*cols, F.xxhash64(*cols).alias("_h1"), F.hash(*cols).alias("_h2"))
+    candidates = (hashed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
+                  .filter(F.col("_n") >= min_count).select("_h1", "_h2"))
+    suspects = hashed.join(candidates, ["_h1", "_h2"], "left_semi")
+    return (suspects.groupBy(*[_c(c) for c in columns]).agg(F.count(F.lit(1)).alias("copies"))
             .filter(F.col("copies") >= min_count))
 
 

@@ -398,6 +398,13 @@ def column_profile(spark, sf):
     return profile.column_profile(_customer_nulled(spark, sf))
 
 
+@register("columns_with_missing", "select * from (" + _per_column(_CUSTOMER_COLS, """
+select '{c}' as "column", count(*) - count({c}) as missing from """ + _CUSTOMER_NULLED + " t")
+          + ") p where missing > 0")
+def columns_with_missing(spark, sf):
+    return profile.columns_with_missing(_customer_nulled(spark, sf))
+
+
 _DOC_LABEL_COLS = ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]
 _DOC_LABEL = """(select d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic
    from documents d left join labels l on d.doc_id = l.doc_id)"""
