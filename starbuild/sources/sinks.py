@@ -17,24 +17,34 @@ def table_path(root: str, name: str) -> str:
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
                   compression: str = "gzip", mode: str = "overwrite",
-                  max_records_per_file: int | None = None) -> str:
+                  max_records_per_file: int | None = None, cluster: str = "none") -> str:
     """Write ``df`` as Parquet to ``path`` and return the path.
 
-    ``partition_by`` lays the table out by low-cardinality columns so later
-    reads prune folders.  When partitioning, rows are first range-clustered
-    on the partition columns plus a hash of the whole row: each task then
-    writes files for few partition values, and a value holding a third of
-    all rows is still spread over a third of the tasks (a plain
-    ``repartition(col)`` would send it to one task).  The hash keeps the
-    shuffle deterministic, so a retried task writes the same rows.
+    ``partition_by`` lays the table out by columns so later reads prune
+    folders.  ``cluster`` decides how rows reach the writers:
+
+    * ``"none"`` (default, for low-cardinality partition columns such as a
+      mode or a month): no shuffle — each task writes files for the values
+      it holds.  Task sizes follow the input splits, so a value holding a
+      third of all rows causes no skew, and no extra pass is needed;
+      there are at most tasks x values files (``max_records_per_file``
+      caps their size).
+    * ``"range"`` (for high-cardinality partition columns, where tasks x
+      values files would be too many): rows are range-clustered on the
+      partition columns plus an ``xxhash64`` of the row, so each task
+      writes few partition values while a hot value still spreads over many
+      tasks; the hash keeps the shuffle deterministic under task retries.
+      Range bounds cost one sampling pass over the input.
     """
     out = df
     writer_opts = {"compression": compression}
     if max_records_per_file:
         writer_opts["maxRecordsPerFile"] = str(max_records_per_file)
-    if partition_by:
+    if partition_by and cluster == "range":
         row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
         out = out.repartitionByRange(*[F.col(f"`{c}`") for c in partition_by], row_hash)
+    elif cluster not in ("none", "range"):
+        raise ValueError(f"unknown cluster mode: {cluster}")
     w = out.write.mode(mode).options(**writer_opts)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -86,6 +86,13 @@ def test_partitioned_parquet_roundtrip(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(p" in plan
 
 
+def test_partitioned_parquet_range_cluster(spark, tmp_path):
+    df = spark.createDataFrame([(i, "a" if i < 30 else "b") for i in range(40)], "k int, p string")
+    out = SK.write_parquet(df, str(tmp_path / "r"), partition_by=["p"], cluster="range")
+    back = spark.read.parquet(out)
+    assert sorted((r.k, r.p) for r in back.collect()) == sorted((r.k, r.p) for r in df.collect())
+
+
 def test_write_tables(spark, tmp_path):
     t = {"x": spark.range(3), "y": spark.range(2)}
     paths = SK.write_tables(t, str(tmp_path))
