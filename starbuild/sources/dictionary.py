@@ -11,13 +11,16 @@ lists::
        236 =  'AFGHANISTAN'
     <blank line closes the list>
 
-Meaning depends on earlier lines (which comment or list a line is in), so
-lines keep their position: each file is read whole, split into
-``(file, pos, line)`` rows, and the open comment / open list at every line
-is found with a forward-fill window ``partitionBy(file).orderBy(pos)``.
-One file is therefore one window partition — right for dictionaries, which
-are small files; a large dictionary should be written as several files
-(blocks never span files), which then parse in parallel.
+Meaning depends on earlier lines (which comment or list a line is in).
+Files are read line by line with Spark's splittable text source, so a
+large file is spread over many tasks.  A line's position is
+``(file, split, mid)``: the byte offset where its input split starts and a
+``monotonically_increasing_id`` taken right after the scan, which grows in
+file order inside a split.  The open comment / open list at every line is a
+forward fill: inside each split with a window ``partitionBy(file, split)``
+(bounded by the split size), across splits by carrying the last event of
+the previous splits from a table with one row per split.  No file is ever
+gathered into one task.
 
 Rules:
 
@@ -37,6 +40,8 @@ Rules:
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -46,48 +51,75 @@ def _strip_ws(c: Column) -> Column:
 
 
 def read_dictionary_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``(file, pos, line)`` for every line of every dictionary file."""
-    raw = spark.read.text(path, wholetext=True).select(
-        F.input_file_name().alias("file"), F.col("value"))
-    return raw.select("file", F.posexplode(F.split("value", r"\r?\n")).alias("pos", "raw")) \
-              .select("file", "pos", _strip_ws(F.col("raw")).alias("line"))
+    """``(file, split, mid, line)`` for every line of every dictionary file
+    (``line`` without surrounding spaces and tabs)."""
+    raw = spark.read.text(path)
+    return raw.select(F.input_file_name().alias("file"),
+                      F.input_file_block_start().alias("split"),
+                      F.monotonically_increasing_id().alias("mid"),
+                      _strip_ws(F.col("value")).alias("line"))
+
+
+def forward_fill(lines: DataFrame, events: Mapping[str, tuple[Column, bool]]) -> DataFrame:
+    """For each ``name -> (event, include_current)``, add column ``name``:
+    the last non-null ``event`` at (or strictly before, if
+    ``include_current`` is false) the line, in file order.
+
+    Work is split by input split; the carry between splits comes from one
+    row per split, so no task sees more than one split of lines.
+    """
+    tagged = lines.select("*", *[ev.alias(f"_ev_{n}") for n, (ev, _) in events.items()])
+    w = Window.partitionBy("file", "split").orderBy("mid")
+    local = tagged.select("*", *[
+        F.last(f"_ev_{n}", ignorenulls=True).over(
+            w.rowsBetween(Window.unboundedPreceding, Window.currentRow if inc else -1))
+        .alias(f"_loc_{n}")
+        for n, (_, inc) in events.items()])
+    per_split = tagged.groupBy("file", "split").agg(*[
+        F.max_by(f"_ev_{n}", F.when(F.col(f"_ev_{n}").isNotNull(), F.col("mid")))
+        .alias(f"_last_{n}") for n in events])
+    ws = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_split.select("file", "split", *[
+        F.last(f"_last_{n}", ignorenulls=True).over(ws).alias(f"_carry_{n}") for n in events])
+    joined = local.join(carry, ["file", "split"])
+    return joined.select(*lines.columns, *[
+        F.coalesce(F.col(f"_loc_{n}"), F.col(f"_carry_{n}")).alias(n) for n in events])
 
 
 def _classify(lines: DataFrame) -> DataFrame:
-    """Add comment-block and code-list state to each line."""
-    w = Window.partitionBy("file").orderBy("pos")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    """Add comment-block and code-list state to each line.
+
+    ``open_block``: position of the multi-line comment still open before
+    this line (a closing line or a one-line comment closes it; ``split`` =
+    -1 marks "closed").  ``open_list``: name of the code list open at this
+    line ('' when closed).
+    """
     line = F.col("line")
     is_open = line.startswith("/*")
     is_close = line.endswith("*/") & ~(is_open & (F.length(line) < 4))
-    # Comment state: last open (multi-line start) or close event before the line.
-    comment_ev = F.when(is_open & ~is_close, F.col("pos")).when(is_close, F.lit(-1))
+    pos = F.struct(F.col("split"), F.col("mid"))
+    closed = F.struct(F.lit(-1).cast("long").alias("split"), F.lit(-1).cast("long").alias("mid"))
+    comment_ev = F.when(is_open & ~is_close, pos).when(is_close, closed)
+    is_list_start = line.rlike(r"^value\s+\S")
     list_name = F.regexp_replace(F.regexp_extract(line, r"^value\s+(\S+)", 1), "l+$", "")
-    list_ev = (F.when(line.rlike(r"^value\s+\S"), list_name)
-               .when(line == "", F.lit("")))
-    return lines.select(
-        "*",
-        is_open.alias("is_open"),
-        is_close.alias("is_close"),
-        F.last(comment_ev, ignorenulls=True).over(before).alias("open_block"),
-        F.last(list_ev, ignorenulls=True).over(upto).alias("open_list"),
-        line.rlike(r"^value\s+\S").alias("is_list_start"),
-    )
+    list_ev = F.when(is_list_start, list_name).when(line == "", F.lit(""))
+    filled = forward_fill(lines, {"open_block": (comment_ev, False),
+                                  "open_list": (list_ev, True)})
+    return filled.select("*", is_open.alias("is_open"), is_list_start.alias("is_list_start"))
 
 
 def dictionary_fields(lines: DataFrame) -> DataFrame:
     """Field descriptions: ``(field, description)``."""
     c = _classify(lines)
-    in_block = ~F.col("is_open") & F.col("open_block").isNotNull() & (F.col("open_block") >= 0)
+    in_block = ~F.col("is_open") & F.col("open_block").isNotNull() & \
+        (F.col("open_block.split") >= 0)
     body = F.regexp_replace(F.regexp_replace(F.col("line"), r"^/\*[ \t]*", ""), r"[ \t]*\*/$", "")
-    starts = c.filter("is_open").select(
-        "file", F.col("pos").alias("block"), F.col("pos"), _strip_ws(body).alias("text"))
-    conts = c.filter(in_block).select(
-        "file", F.col("open_block").alias("block"), F.col("pos"), _strip_ws(body).alias("text"))
-    parts = starts.unionByName(conts)
+    block = F.when(F.col("is_open"), F.struct("split", "mid")).when(in_block, F.col("open_block"))
+    parts = c.select("file", block.alias("block"), "split", "mid",
+                     _strip_ws(body).alias("text")).filter(F.col("block").isNotNull())
+    # One group per comment block: a few lines, never a whole file.
     blocks = parts.groupBy("file", "block").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "text"))).alias("parts"))
+        F.sort_array(F.collect_list(F.struct("split", "mid", "text"))).alias("parts"))
     first = F.col("parts")[0]["text"]
     dash = F.instr(first, "-")
     space = F.instr(first, " ")
@@ -113,7 +145,8 @@ def dictionary_fields(lines: DataFrame) -> DataFrame:
 def dictionary_codes(lines: DataFrame) -> DataFrame:
     """Code lists: ``(list_name, code, label)``."""
     c = _classify(lines)
-    in_comment = F.col("is_open") | (F.col("open_block").isNotNull() & (F.col("open_block") >= 0))
+    in_comment = F.col("is_open") | (F.col("open_block").isNotNull()
+                                     & (F.col("open_block.split") >= 0))
     is_code = (~F.col("is_list_start") & ~in_comment & F.col("line").contains("=")
                & F.col("open_list").isNotNull() & (F.col("open_list") != ""))
     codes = c.filter(is_code).select(
@@ -121,6 +154,6 @@ def dictionary_codes(lines: DataFrame) -> DataFrame:
         F.regexp_replace(_strip_ws(F.substring_index("line", "=", 1)), r"^'+|'+$", "").alias("code"),
         F.regexp_replace(_strip_ws(F.expr("substr(line, instr(line, '=') + 1)")), r"^'+|'+$", "")
         .alias("label"),
-        "file", "pos")
+        "file", "split", "mid")
     return codes.groupBy("list_name", "code").agg(
-        F.max_by("label", F.struct("file", "pos")).alias("label"))
+        F.max_by("label", F.struct("file", "split", "mid")).alias("label"))

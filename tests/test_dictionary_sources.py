@@ -97,3 +97,24 @@ def test_write_tables(spark, tmp_path):
     t = {"x": spark.range(3), "y": spark.range(2)}
     paths = SK.write_tables(t, str(tmp_path))
     assert spark.read.parquet(paths["x"]).count() == 3
+
+
+def test_dictionary_same_result_across_many_splits(spark, tmp_path):
+    """Tiny input splits (a few lines each) must parse like whole files:
+    comment and list state is carried across split boundaries."""
+    path = _write(tmp_path)
+    whole_f = sorted(DI.dictionary_fields(DI.read_dictionary_lines(spark, path)).collect())
+    whole_c = sorted(DI.dictionary_codes(DI.read_dictionary_lines(spark, path)).collect())
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    old_open = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        lines = DI.read_dictionary_lines(spark, path)
+        assert lines.rdd.getNumPartitions() > 10
+        assert lines.select("file", "split").distinct().count() > 10
+        assert sorted(DI.dictionary_fields(lines).collect()) == whole_f
+        assert sorted(DI.dictionary_codes(DI.read_dictionary_lines(spark, path)).collect()) == whole_c
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.set("spark.sql.files.openCostInBytes", old_open)
