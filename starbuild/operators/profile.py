@@ -331,3 +331,19 @@ def period_overlap(a: DataFrame, a_col: str, b: DataFrame, b_col: str) -> DataFr
     end = F.least("a_end", "b_end")
     return row.select("*", start.alias("overlap_start"), end.alias("overlap_end"),
                       F.when(end >= start, F.datediff(end, start) + 1).alias("overlap_days"))
+
+
+def summarize(df: DataFrame, kinds: Sequence[str] = ("numbers", "object"),
+              examples: int = 10) -> dict[str, DataFrame]:
+    """The combined profile: numeric describe, non-numeric profile, columns
+    with missing values and the value lists of columns with at most
+    ``examples`` distinct values — as lazy frames keyed ``numeric``,
+    ``string``, ``missing`` and ``values``."""
+    out: dict[str, DataFrame] = {}
+    if "numbers" in kinds and numeric_columns(df):
+        out["numeric"] = profile_numeric(df)
+    if "object" in kinds and non_numeric_columns(df):
+        out["string"] = profile_string(df)
+    out["missing"] = columns_with_missing(df)
+    out["values"] = low_cardinality_values(df, max_values=examples)
+    return out

@@ -50,6 +50,15 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 
 
+def read_in_chunks(df: DataFrame, max_lines: int, steps: int) -> DataFrame:
+    """Bounded read that takes whole chunks of ``steps`` rows until at least
+    ``max_lines`` are in: ``ceil(max_lines / steps) * steps`` rows (fewer if
+    the source has fewer).  Lazy; Spark stops reading once the limit is met."""
+    if steps <= 0 or max_lines < 0:
+        raise ValueError("steps must be positive and max_lines non-negative")
+    return df.limit(-(-max_lines // steps) * steps)
+
+
 def sample_rows(df: DataFrame, fraction: float, seed: int) -> DataFrame:
     """Bernoulli sample of about ``fraction`` of the rows.  A seed is required
     so that two runs over the same input see the same rows."""
