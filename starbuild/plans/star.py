@@ -20,7 +20,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from starbuild.operators import columns as colops
 from starbuild.operators import dims, facts, quality
@@ -126,30 +127,54 @@ def fact_with_checked_dimension(staged: DataFrame, flags: Sequence[str], key: st
     return fact, dim
 
 
+def _observed(df: DataFrame, name: str, key: str | None,
+              observations: dict[str, Observation] | None) -> DataFrame:
+    """Attach row counts (and NULL keys) that Spark gathers while writing."""
+    if observations is None:
+        return df
+    obs = Observation(name)
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if key is not None:
+        metrics.append(F.count_if(F.col(f"`{key}`").isNull()).alias("null_keys"))
+    observations[name] = obs
+    return df.observe(obs, *metrics)
+
+
 def write_star(spark: SparkSession, staged: DataFrame, spec: StarSpec, root: str,
                entity_src: DataFrame | None = None, rollup_src: DataFrame | None = None,
                fact_partition_by: Sequence[str] | None = None,
                broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-               compression: str = "gzip") -> dict[str, str]:
+               compression: str = "gzip",
+               metrics: dict[str, dict] | None = None) -> dict[str, str]:
     """Write the star under ``root`` (a shared folder or object-store URI).
 
     Returns ``{name: path}``.  See the module docstring for the order.
+    If ``metrics`` is a dict, it receives ``{table: {"rows": n, ...}}``
+    gathered during the writes themselves (``DataFrame.observe``), so no
+    extra count job runs; for the fact, ``null_keys`` counts rows whose
+    flag-combination key is NULL.
     """
+    observations: dict[str, Observation] | None = {} if metrics is not None else None
     dims_lazy = build_dimensions(staged, spec, entity_src, rollup_src)
     paths = {}
     flag_path = sinks.table_path(root, spec.flag_dim_name)
-    sinks.write_parquet(dims_lazy.pop(spec.flag_dim_name), flag_path, compression=compression)
+    sinks.write_parquet(_observed(dims_lazy.pop(spec.flag_dim_name), spec.flag_dim_name, None,
+                                  observations), flag_path, compression=compression)
     paths[spec.flag_dim_name] = flag_path
     flag_dim = spark.read.parquet(flag_path)
     flag_dim, small = facts.sized_for_broadcast(flag_dim, broadcast_rows)
     fact = facts.build_fact(staged, flag_dim, spec.flags, spec.flag_key, spec.fact_layout,
                             broadcast=small)
+    key_out = next((t for t, src, _ in spec.fact_layout if src == spec.flag_key), None)
     fact_path = sinks.table_path(root, spec.fact_name)
-    sinks.write_parquet(fact, fact_path, partition_by=fact_partition_by, compression=compression)
+    sinks.write_parquet(_observed(fact, spec.fact_name, key_out, observations), fact_path,
+                        partition_by=fact_partition_by, compression=compression)
     paths[spec.fact_name] = fact_path
     for name, df in dims_lazy.items():
-        paths[name] = sinks.write_parquet(df, sinks.table_path(root, name),
-                                          compression=compression)
+        paths[name] = sinks.write_parquet(_observed(df, name, None, observations),
+                                          sinks.table_path(root, name), compression=compression)
+    if observations is not None:
+        metrics.update({name: dict(obs.get) for name, obs in observations.items()})
     return paths
 
 

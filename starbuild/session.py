@@ -54,17 +54,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     unset value is an error: a machine-local folder would not survive the
     loss of an executor.
     """
-    sc = spark.sparkContext
-    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a JVM context handle
+        sc = None
+    current = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if current:
-        if not sc.getCheckpointDir():
+        if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    if not _is_local(spark):
+    if sc is not None and not _is_local(spark):
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     path = tempfile.mkdtemp(prefix="starbuild-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
-    sc.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
     return path
 
 

@@ -155,3 +155,20 @@ def test_group_sums_keep_names(spark):
     df = spark.createDataFrame(DEMO, DEMO_S)
     out = A.group_sums(df, "state_code", ["total_population"])
     assert out.columns == ["state_code", "total_population"]
+
+
+def test_write_star_observes_counts(spark, tmp_path):
+    from starbuild.plans.star import StarSpec, write_star
+    s = staged(spark)
+    spec = StarSpec(fact_name="facts", fact_key="cicid", flags=FLAGS, flag_dim_name="dim_status",
+                    flag_key="status_flag_id", date_columns=["arrdate", "depdate"],
+                    date_dim_name="dim_time",
+                    fact_layout=[("cicid", "cicid", "int"), ("status", "status_flag_id", None),
+                                 ("arrival_dt", "arrdate", None)])
+    metrics = {}
+    paths = write_star(spark, s, spec, str(tmp_path / "star"), metrics=metrics)
+    assert metrics["facts"] == {"rows": 8, "null_keys": 5}
+    assert metrics["dim_status"]["rows"] == 2
+    assert metrics["dim_time"]["rows"] == spark.read.parquet(paths["dim_time"]).count()
+    fact = spark.read.parquet(paths["facts"])
+    assert fact.columns == ["cicid", "status", "arrival_dt"] and fact.count() == 8
