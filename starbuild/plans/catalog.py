@@ -634,3 +634,41 @@ def star_coverage(spark, sf):
     staged, entity, rollup, spec = _star_inputs(spark, sf)
     tables = build_star(staged, spec, entity, rollup)
     return run_checks(staged, tables, spec, entity)["coverage_order_facts_dim_customer"]
+
+
+LINE_FLAGS = ["l_returnflag", "l_linestatus"]
+LINE_LAYOUT = [
+    ("order_id", "l_orderkey", "bigint"),
+    ("line_no", "l_linenumber", "int"),
+    ("status", "line_status_id", None),
+    ("part_id", "l_partkey", "bigint"),
+    ("supplier_id", "l_suppkey", "bigint"),
+    ("ship_dt", "l_shipdate", "date"),
+    ("quantity", "l_quantity", "double"),
+    ("extended_price", "l_extendedprice", "double"),
+    ("discount", "l_discount", "double"),
+]
+
+
+@register("star_lineitem_written", """
+with d as (select l_returnflag, l_linestatus,
+                  row_number() over (order by l_returnflag, l_linestatus) - 1 as line_status_id
+             from (select distinct l_returnflag, l_linestatus from lineitem) c)
+select l.l_orderkey as order_id, l.l_linenumber as line_no, d.line_status_id as status,
+       l.l_partkey as part_id, l.l_suppkey as supplier_id, cast(l.l_shipdate as date) as ship_dt,
+       l.l_quantity as quantity, l.l_extendedprice as extended_price, l.l_discount as discount
+from lineitem l left join d on l.l_returnflag = d.l_returnflag and l.l_linestatus = d.l_linestatus""")
+def star_lineitem_written(spark, sf):
+    """The whole star build over the largest table: stage, flag and date
+    dimensions, fact with a checked broadcast join, Parquet writes."""
+    from starbuild.plans.star import StagingSpec, StarSpec, stage, write_star
+    staged = stage(fx.table(spark, sf, "lineitem"),
+                   StagingSpec(timestamp_date_columns=["l_shipdate"],
+                               required=["l_orderkey", "l_linenumber"]))
+    spec = StarSpec(fact_name="line_facts", fact_key="l_orderkey", flags=LINE_FLAGS,
+                    flag_dim_name="dim_line_status", flag_key="line_status_id",
+                    date_columns=["l_shipdate"], date_dim_name="dim_ship_date",
+                    fact_layout=LINE_LAYOUT)
+    paths = write_star(spark, staged, spec, scratch_path(spark, "line-star"),
+                       fact_partition_by=["status"])
+    return spark.read.parquet(paths["line_facts"]).select(*[t for t, _, _ in LINE_LAYOUT])
