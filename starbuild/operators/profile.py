@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType, NumericType
 
+from starbuild.operators.sequence import single_materialization
+
 DEFAULT_BATCH = 8
 
 
@@ -132,9 +134,9 @@ def quantiles_from_counts(counts: DataFrame, probs: Sequence[float] = (0.25, 0.5
     """
     spark = counts.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (counts.repartitionByRange(n, "column", "value")
-              .sortWithinPartitions("column", "value")
-              .withColumn("_pid", F.spark_partition_id()))
+    ranged = single_materialization(counts.repartitionByRange(n, "column", "value")
+                                    .sortWithinPartitions("column", "value")) \
+        .withColumn("_pid", F.spark_partition_id())
     running = ranged.withColumn(
         "_run", F.sum("m").over(Window.partitionBy("_pid", "column").orderBy("value")
                                 .rowsBetween(Window.unboundedPreceding, Window.currentRow)))

@@ -19,6 +19,21 @@ from pyspark.sql import functions as F
 _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | position
 
 
+def single_materialization(df: DataFrame) -> DataFrame:
+    """Make sure every consumer of ``df`` sees the same rows in the same
+    partitions.
+
+    A range exchange samples its bounds per execution; when two consumers
+    read it, Spark's exchange reuse (on by default) runs it once.  If a
+    session turns reuse off, ``df`` is checkpointed to the shared
+    ``spark.checkpoint.dir`` instead, so the bounds are fixed once.
+    """
+    reuse = df.sparkSession.conf.get("spark.sql.exchange.reuse", "true")
+    if str(reuse).lower() == "false":
+        return df.checkpoint(eager=True)
+    return df
+
+
 def with_sequence_id(df: DataFrame, order_by: Sequence[str | Column], name: str,
                      start: int = 0, num_partitions: int | None = None) -> DataFrame:
     """Append ``name`` = ``start`` + rank of the row in ``order_by`` order.
@@ -29,9 +44,8 @@ def with_sequence_id(df: DataFrame, order_by: Sequence[str | Column], name: str,
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(f"`{c}`") if isinstance(c, str) else c for c in order_by]
-    tagged = (df.repartitionByRange(n, *keys)
-              .sortWithinPartitions(*keys)
-              .withColumn("_mid", F.monotonically_increasing_id()))
+    ranged = single_materialization(df.repartitionByRange(n, *keys).sortWithinPartitions(*keys))
+    tagged = ranged.withColumn("_mid", F.monotonically_increasing_id())
     tagged = tagged.select(*[F.col(f"`{c}`") for c in df.columns],
                            F.shiftright("_mid", _POS_BITS).alias("_pid"),
                            F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_pos"))

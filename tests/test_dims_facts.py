@@ -172,3 +172,14 @@ def test_write_star_observes_counts(spark, tmp_path):
     assert metrics["dim_time"]["rows"] == spark.read.parquet(paths["dim_time"]).count()
     fact = spark.read.parquet(paths["facts"])
     assert fact.columns == ["cicid", "status", "arrival_dt"] and fact.count() == 8
+
+
+def test_sequence_ids_without_exchange_reuse(spark):
+    from pyspark.sql import functions as F2
+    df = spark.range(0, 3000).select((F2.col("id") * 7 % 3000).alias("k"))
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = {r.k: r.sid for r in with_sequence_id(df, ["k"], "sid", num_partitions=7).collect()}
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    assert got == {k: k for k in range(3000)}
