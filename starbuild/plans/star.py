@@ -8,8 +8,8 @@ materialises it in an order that suits a large cluster:
    pins its surrogate keys to one materialisation;
 2. its row count — read from that small written table — decides whether
    the fact join may broadcast it (a proven bound, not an estimate);
-3. the fact and the other dimensions are written, the fact optionally
-   partitioned by a low-cardinality column.
+3. the fact is written (optionally partitioned by a low-cardinality
+   column); the other dimensions are written concurrently with steps 1-3.
 
 Checks (``run_checks``) are lazy one-row frames; they can be written next
 to the tables or collected for a log.
@@ -18,6 +18,7 @@ to the tables or collected for a log.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -145,7 +146,8 @@ def write_star(spark: SparkSession, staged: DataFrame, spec: StarSpec, root: str
                fact_partition_by: Sequence[str] | None = None,
                broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                compression: str = "gzip",
-               metrics: dict[str, dict] | None = None) -> dict[str, str]:
+               metrics: dict[str, dict] | None = None,
+               max_parallel_writes: int = 4) -> dict[str, str]:
     """Write the star under ``root`` (a shared folder or object-store URI).
 
     Returns ``{name: path}``.  See the module docstring for the order.
@@ -156,23 +158,31 @@ def write_star(spark: SparkSession, staged: DataFrame, spec: StarSpec, root: str
     """
     observations: dict[str, Observation] | None = {} if metrics is not None else None
     dims_lazy = build_dimensions(staged, spec, entity_src, rollup_src)
-    paths = {}
+    flag_lazy = dims_lazy.pop(spec.flag_dim_name)
     flag_path = sinks.table_path(root, spec.flag_dim_name)
-    sinks.write_parquet(_observed(dims_lazy.pop(spec.flag_dim_name), spec.flag_dim_name, None,
-                                  observations), flag_path, compression=compression)
-    paths[spec.flag_dim_name] = flag_path
-    flag_dim = spark.read.parquet(flag_path)
-    flag_dim, small = facts.sized_for_broadcast(flag_dim, broadcast_rows)
-    fact = facts.build_fact(staged, flag_dim, spec.flags, spec.flag_key, spec.fact_layout,
-                            broadcast=small)
     key_out = next((t for t, src, _ in spec.fact_layout if src == spec.flag_key), None)
     fact_path = sinks.table_path(root, spec.fact_name)
-    sinks.write_parquet(_observed(fact, spec.fact_name, key_out, observations), fact_path,
-                        partition_by=fact_partition_by, compression=compression)
-    paths[spec.fact_name] = fact_path
-    for name, df in dims_lazy.items():
-        paths[name] = sinks.write_parquet(_observed(df, name, None, observations),
-                                          sinks.table_path(root, name), compression=compression)
+    # Independent writes run as concurrent jobs so their tasks share the
+    # cluster: the flag dimension and the other dimensions start together;
+    # the fact starts once the flag dimension is written and sized.  A
+    # failed write re-raises here.
+    with ThreadPoolExecutor(max_workers=max(1, min(len(dims_lazy) + 2,
+                                                   max_parallel_writes))) as pool:
+        futures = {spec.flag_dim_name: pool.submit(
+            sinks.write_parquet, _observed(flag_lazy, spec.flag_dim_name, None, observations),
+            flag_path, None, compression)}
+        for name, df in dims_lazy.items():
+            futures[name] = pool.submit(sinks.write_parquet,
+                                        _observed(df, name, None, observations),
+                                        sinks.table_path(root, name), None, compression)
+        futures[spec.flag_dim_name].result()
+        flag_dim, small = facts.sized_for_broadcast(spark.read.parquet(flag_path), broadcast_rows)
+        fact = facts.build_fact(staged, flag_dim, spec.flags, spec.flag_key, spec.fact_layout,
+                                broadcast=small)
+        futures[spec.fact_name] = pool.submit(
+            sinks.write_parquet, _observed(fact, spec.fact_name, key_out, observations),
+            fact_path, fact_partition_by, compression)
+        paths = {name: fut.result() for name, fut in futures.items()}
     if observations is not None:
         metrics.update({name: dict(obs.get) for name, obs in observations.items()})
     return paths
