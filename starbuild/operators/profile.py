@@ -110,15 +110,17 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, value, m)``: every distinct non-null value of every listed
     numeric column (as a double) with its multiplicity.
 
-    One scan and one partial/final aggregate for all columns; a value that
-    holds a third of all rows is combined inside each map task.  Values are
-    exact as doubles up to 2**53 in magnitude.
+    One partial/final aggregate per column, keyed by the value alone (a
+    narrower hash key than ``(column, value)`` over stacked rows, and with
+    a columnar source each reads only its column); a value that holds a
+    third of all rows is combined inside each map task.  Values are exact
+    as doubles up to 2**53 in magnitude.
     """
-    stacked = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), _c(c).cast("double").alias("value"))
-        for c in columns])))
-    return (stacked.filter(F.col("value").isNotNull())
-            .groupBy("column", "value").agg(F.count(F.lit(1)).alias("m")))
+    parts = [df.select(_c(c).cast("double").alias("value")).filter(F.col("value").isNotNull())
+             .groupBy("value").agg(F.count(F.lit(1)).alias("m"))
+             .select(F.lit(c).alias("column"), "value", "m")
+             for c in columns]
+    return _union_all(parts)
 
 
 def quantiles_from_counts(counts: DataFrame, probs: Sequence[float] = (0.25, 0.5, 0.75),
