@@ -105,9 +105,18 @@ def parquet_roundtrip(spark, sf):
 select o_orderpriority, o_orderdate, o_totalprice, o_orderstatus, o_custkey, o_orderkey
 from {_ORDERS_STAGED} s""")
 def schema_contract(spark, sf):
-    staged = fx.orders_staged(spark, sf)
-    contract = schema.schema_from_json(
-        schema.schema_to_json(staged.select(*reversed(staged.columns))))
+    path = f"{sf.rstrip('/')}/orders.parquet"
+    # Export the raw schema (column order reversed) to JSON, import it, and
+    # re-read the source typed by the imported schema.
+    raw_schema = readers.read_staging(spark, path).schema
+    imported = schema.schema_from_json(schema.schema_to_json(
+        type(raw_schema)(list(reversed(raw_schema.fields)))))
+    typed = readers.read_staging(spark, path, "parquet", schema=imported)
+    staged = typed.select(*[F.col(c) for c in typed.columns if c != "o_orderpriority"],
+                          F.expr("nullif(o_orderpriority, '5-LOW')").alias("o_orderpriority"))
+    staged = columns.timestamps_to_dates(staged, ["o_orderdate"])
+    contract = schema.schema_from_json(schema.schema_to_json(
+        fx.orders_staged(spark, sf).select(*reversed(fx.orders_staged(spark, sf).columns))))
     return schema.conform(staged, contract)
 
 
@@ -607,10 +616,10 @@ select 'reconcile_dim_customer', (select count(*) from customer),
        (select count(*) from customer), (select count(distinct c_custkey) from customer),
        (select count(distinct c_custkey) from customer)""")
 def star_checks(spark, sf):
-    from starbuild.plans.star import build_star, run_checks
+    from starbuild.plans.star import run_star
     staged, entity, rollup, spec = _star_inputs(spark, sf)
-    tables = build_star(staged, spec, entity, rollup)
-    checks = run_checks(staged, tables, spec, entity)
+    checks = run_star(spark, staged, spec, scratch_path(spark, "star-run"), entity_src=entity,
+                      rollup_src=rollup).checks
     frames = [df.select(F.lit(name).alias("check_name"), "stage_rows", "output_rows",
                         "stage_unique", "output_unique")
               for name, df in checks.items() if name.startswith("reconcile_")]

@@ -183,3 +183,18 @@ def test_sequence_ids_without_exchange_reuse(spark):
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
     assert got == {k: k for k in range(3000)}
+
+
+def test_run_star_with_checks_and_sample(spark, tmp_path):
+    from starbuild.plans.star import StarSpec, run_star
+    s = staged(spark)
+    spec = StarSpec(fact_name="facts", fact_key="cicid", flags=FLAGS, flag_dim_name="dim_status",
+                    flag_key="status_flag_id", date_columns=["arrdate"], date_dim_name="dim_time",
+                    fact_layout=[("cicid", "cicid", "int"), ("status", "status_flag_id", None)])
+    run = run_star(spark, s, spec, str(tmp_path / "full"))
+    r = run.checks["reconcile_facts"].collect()[0]
+    assert (r.stage_rows, r.output_rows, r.keys_equal, r.duplicates) == (8, 8, True, 0)
+    assert run.metrics["facts"]["rows"] == 8
+    part = run_star(spark, s, spec, str(tmp_path / "part"), sample_fraction=0.5, seed=3,
+                    checks=False)
+    assert part.checks == {} and part.metrics["facts"]["rows"] <= 8
