@@ -190,8 +190,10 @@ def _exact_input(dtype) -> bool:
 def _wide_decimal(c: Column, dtype) -> Column:
     """Integral and decimal values as a decimal wide enough for exact sums
     and squares (integers keep scale 0, decimals keep their scale)."""
-    scale = dtype.scale if isinstance(dtype, DecimalType) else 0
-    return c.cast(DecimalType(38 if scale == 0 else 20, scale))
+    if isinstance(dtype, DecimalType):
+        # Widen only: a narrowing cast could overflow.
+        return c.cast(DecimalType(min(38, max(dtype.precision, 20)), dtype.scale))
+    return c.cast(DecimalType(38, 0))
 
 
 def _moments(c: Column, dtype) -> dict[str, Column]:

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starbuild.operators import aggregates, columns, dims, facts, profile, quality
+from starbuild.operators import aggregates, columns, dims, profile, quality
 from starbuild.operators.joins import fill_from_lookup, prefix_key_join
 from starbuild.plans import fixtures as fx
 from starbuild.session import scratch_path

@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from starbuild.operators import columns as C
