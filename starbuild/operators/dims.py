@@ -57,16 +57,26 @@ def entity_dimension(df: DataFrame, key: str, columns: Sequence[str],
 def group_rollup_dimension(df: DataFrame, key: str, sum_columns: Sequence[str],
                            mean_column: str | None = None, weight_column: str | None = None,
                            mean_name: str | None = None, dedupe_rows: bool = True,
-                           ignore_weight_of_null: bool = False) -> DataFrame:
+                           ignore_weight_of_null: bool = False,
+                           dedupe_keys: Sequence[str] | None = None) -> DataFrame:
     """One row per non-null ``key``: sums of ``sum_columns`` (keeping their
     names) and, optionally, the weighted mean ``sum(m*w) / sum(w)`` of
     ``mean_column``.
 
-    Whole-row duplicates are dropped first (``dedupe_rows``).  Sums and the
+    Whole-row duplicates are dropped first (``dedupe_rows``).  With
+    ``dedupe_keys`` (e.g. ``["state_code", "city"]`` when each city repeats
+    once per race category) only one row per key combination is kept — the
+    smallest, so the choice is deterministic — before summing.  Sums and the
     weighted mean come from a single ``groupBy().agg()`` — one shuffle, not
     two aggregates and a join.
     """
     src = df.dropDuplicates() if dedupe_rows else df
+    if dedupe_keys:
+        others = [c for c in src.columns if c not in dedupe_keys]
+        src = (src.groupBy(*[_c(k) for k in dedupe_keys])
+               .agg(F.min(F.struct(*[_c(c) for c in others])).alias("_r"))
+               .select(*[_c(k) for k in dedupe_keys],
+                       *[F.col(f"_r.`{c}`").alias(c) for c in others]))
     aggs = [F.sum(_c(c)).alias(c) for c in sum_columns]
     if mean_column is not None:
         aggs.append(weighted_mean_expr(mean_column, weight_column, ignore_weight_of_null)

@@ -198,3 +198,11 @@ def test_run_star_with_checks_and_sample(spark, tmp_path):
     part = run_star(spark, s, spec, str(tmp_path / "part"), sample_fraction=0.5, seed=3,
                     checks=False)
     assert part.checks == {} and part.metrics["facts"]["rows"] <= 8
+
+
+def test_group_rollup_dedupe_keys(spark):
+    df = spark.createDataFrame(DEMO, DEMO_S)
+    dim = D.group_rollup_dimension(df, "state_code", ["total_population"],
+                                   dedupe_keys=["state_code", "city"])
+    got = {r.state_code: r.total_population for r in dim.collect()}
+    assert got == {"NY": 200, "ZZ": 0}          # New York once, Albany once
