@@ -3,12 +3,12 @@
 A dictionary file holds field descriptions in C-style comments and code
 lists::
 
-    /* I94YR - 4 digit year */
-    /* I94CIT & I94RES - This format shows all the valid and invalid codes
+    /* VISITYR - 4 digit year of the visit */
+    /* HOMECTRY & BIRTHCTRY - Country codes, valid and invalid ones,
        for processing */
-    value i94cntyl
-       582 =  'MEXICO Air Sea, and Not Reported (I-94, no land arrivals)'
-       236 =  'AFGHANISTAN'
+    value ctryl
+       101 =  'NORTHLAND (sea and air ports only)'
+       102 =  'SOUTHLAND'
     <blank line closes the list>
 
 Meaning depends on earlier lines (which comment or list a line is in).

@@ -6,29 +6,29 @@ from starbuild.sources import sinks as SK
 
 # two names, two-line text, text with a second dash, label with '=',
 # tab indentation, padded label.
-DICT_A = """/* I94YR - 4 digit year */
-/* I94CIT & I94RES - This format shows all the valid and invalid codes
-   for processing */
-/* DTADFILE - Character Date Field - Date added to I-94 Files */
-value i94cntyl
-\t582 =  'MEXICO Air Sea, and Not Reported (I-94, no land arrivals)'
-   236 =  'AFGHANISTAN'
-\t'ABC' = 'A = B'
+DICT_A = """/* VISITYR - 4 digit year */
+/* HOMECTRY & BIRTHCTRY - Country codes, valid and invalid ones,
+   kept for processing */
+/* FILEDT - Text date field - date the record was filed */
+value ctryl
+\t101 =  'NORTHLAND (sea and air ports only, no land crossings)'
+   102 =  'SOUTHLAND'
+\t'XYZ' = 'A = B'
    999 = '  PADDED  '
 
-/* I94MODE - Mode of transportation */
-value i94model
+/* TRAVELMODE - Mode of travel */
+value model
 \t1 = 'Air'
 \t2 = 'Sea'
 
 """
 
-DICT_B = """/* ENTDEPA - Arrival Flag
-   - admitted or paroled into the U.S.
+DICT_B = """/* INFLAG - Entry flag
+   - admitted or passed through
    second line */
-/* COUNT Used for summary statistics */
-value i94prtl
-   'ALC'\t=\t'ALCAN, AK             '
+/* TALLY Used for summary statistics */
+value portl
+   'NPT'\t=\t'NORTH PORT, NL        '
 """
 
 
@@ -43,24 +43,24 @@ def _write(tmp_path):
 def test_fields(spark, tmp_path):
     lines = DI.read_dictionary_lines(spark, _write(tmp_path))
     got = {r.field: r.description for r in DI.dictionary_fields(lines).collect()}
-    assert got["i94yr"] == "4 digit year"
-    assert got["i94cit"] == got["i94res"] == \
-        "This format shows all the valid and invalid codes for processing"
-    assert got["dtadfile"] == "Character Date Field - Date added to I-94 Files"
-    assert got["entdepa"] == "Arrival Flag - admitted or paroled into the U.S. second line"
-    assert got["count"] == "Used for summary statistics"
-    assert got["i94mode"] == "Mode of transportation"
+    assert got["visityr"] == "4 digit year"
+    assert got["homectry"] == got["birthctry"] == \
+        "Country codes, valid and invalid ones, kept for processing"
+    assert got["filedt"] == "Text date field - date the record was filed"
+    assert got["inflag"] == "Entry flag - admitted or passed through second line"
+    assert got["tally"] == "Used for summary statistics"
+    assert got["travelmode"] == "Mode of travel"
 
 
 def test_codes(spark, tmp_path):
     lines = DI.read_dictionary_lines(spark, _write(tmp_path))
     got = {(r.list_name, r.code): r.label for r in DI.dictionary_codes(lines).collect()}
-    assert got[("i94cnty", "582")] == "MEXICO Air Sea, and Not Reported (I-94, no land arrivals)"
-    assert got[("i94cnty", "236")] == "AFGHANISTAN"
-    assert got[("i94cnty", "ABC")] == "A = B"
-    assert got[("i94cnty", "999")] == "  PADDED  "
-    assert got[("i94mode", "1")] == "Air" and got[("i94mode", "2")] == "Sea"
-    assert got[("i94prt", "ALC")] == "ALCAN, AK             "
+    assert got[("ctry", "101")] == "NORTHLAND (sea and air ports only, no land crossings)"
+    assert got[("ctry", "102")] == "SOUTHLAND"
+    assert got[("ctry", "XYZ")] == "A = B"
+    assert got[("ctry", "999")] == "  PADDED  "
+    assert got[("mode", "1")] == "Air" and got[("mode", "2")] == "Sea"
+    assert got[("port", "NPT")] == "NORTH PORT, NL        "
     assert len(got) == 7
 
 
