@@ -2,10 +2,13 @@
 (one row per column), so the result has a fixed schema whatever the
 width of the profiled table.
 
-Exact distinct counts over many columns make Spark expand every row once
-per distinct column (``Expand``).  Columns are therefore profiled in
-batches (``batch`` columns per aggregate); with a columnar source each
-batch reads only its own columns, so batching costs no extra I/O.
+Exact distinct counts are computed per column — ``select(c).distinct()``
+for each column, tagged and counted in one final aggregate — rather than as
+many ``count(DISTINCT)`` in one aggregate, which makes Spark expand every
+row once per distinct column (``Expand``).  Each per-column distinct reads
+only its column from a columnar source, hashes a single key, and combines
+a hot value inside each map task.  The remaining (non-distinct) metrics
+are one aggregate per ``batch`` of columns.
 """
 
 from __future__ import annotations
@@ -18,7 +21,7 @@ from pyspark.sql.types import DecimalType, IntegralType, NumericType
 
 from starbuild.operators.sequence import single_materialization
 
-DEFAULT_BATCH = 8
+DEFAULT_BATCH = 64
 
 
 def _c(name: str) -> Column:
@@ -46,10 +49,32 @@ def non_numeric_columns(df: DataFrame) -> list[str]:
 
 def distinct_with_null(c: Column) -> Column:
     """Distinct values of ``c`` with NULL counted as one more value
-    (the meaning of ``select(c).distinct().count()``)."""
+    (the meaning of ``select(c).distinct().count()``), as one aggregate
+    expression."""
     return F.count_distinct(c) + F.max(F.when(c.isNull(), 1).otherwise(0))
 
 
+def distinct_per_column(df: DataFrame, columns: Sequence[str], count_null: bool = True,
+                        name: str = "distinct_values") -> DataFrame:
+    """``(column, <name>)``: distinct values of each column, NULL counted as
+    a value (``count_null``) or ignored.
+
+    One ``distinct`` per column (a partial/final aggregate on that column
+    alone), then one small aggregate counting the distinct rows per column.
+    """
+    parts = []
+    for c in columns:
+        v = df.select(_c(c).alias("_v"))
+        if not count_null:
+            v = v.filter(F.col("_v").isNotNull())
+        parts.append(v.distinct().select(F.lit(c).alias("column")))
+    counted = _union_all(parts).groupBy("column").agg(F.count(F.lit(1)).alias(name))
+    # A column with no (non-null) value has no row above: add it with 0.
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    return names.join(counted, "column", "left").select(
+        "column", F.coalesce(F.col(name), F.lit(0).cast("long")).alias(name))
+
+
 def _long(df: DataFrame, columns: Sequence[str], metrics: dict[str, callable],
           batch: int) -> DataFrame:
     """Evaluate ``metrics[name](column)`` for every column, one aggregate per
@@ -81,12 +106,10 @@ def column_fill_rates(df: DataFrame, columns: Sequence[str] | None = None,
                              * 100, scale).alias("fill_pct")))
 
 
-def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None,
-                    batch: int = DEFAULT_BATCH) -> DataFrame:
+def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Distinct values per column, NULL counted as a value:
     ``(column, distinct_values)``."""
-    return _long(df, list(columns or df.columns),
-                 {"distinct_values": distinct_with_null}, batch)
+    return distinct_per_column(df, list(columns or df.columns), count_null=True)
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None,
@@ -94,11 +117,12 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None,
     """Rows, unique values (NULL counted) and missing values per column,
     with their shares of the row count:
     ``(column, rows, unique_values, missing, unique_ratio, missing_ratio)``."""
-    prof = _long(df, list(columns or df.columns), {
+    cols = list(columns or df.columns)
+    base = _long(df, cols, {
         "rows": lambda c: F.count(F.lit(1)),
-        "unique_values": distinct_with_null,
         "missing": lambda c: F.count(F.lit(1)) - F.count(c),
     }, batch)
+    prof = base.join(distinct_per_column(df, cols, True, "unique_values"), "column")
     return prof.select("column", "rows", "unique_values", "missing",
                        F.try_divide(F.col("unique_values").cast("double"), F.col("rows"))
                        .alias("unique_ratio"),
@@ -270,8 +294,7 @@ def profile_string(df: DataFrame, columns: Sequence[str] | None = None,
     base = _long(df, cols, {
         "lines": lambda c: F.count(F.lit(1)),
         "non_null": F.count,
-        "unique_values": F.count_distinct,
-    }, batch)
+    }, batch).join(distinct_per_column(df, cols, False, "unique_values"), "column")
     dtype = F.element_at(F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(types[c]))]),
                          F.col("column"))
     return base.select(
