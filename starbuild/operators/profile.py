@@ -311,14 +311,16 @@ def low_cardinality_values(df: DataFrame, columns: Sequence[str] | None = None,
     """The distinct non-null values (as text) of every column that has at
     most ``max_values`` of them: ``(column, value)``.
 
-    Lazy and exact: distinct ``(column, value)`` pairs (partial aggregate
-    first), a per-column count, and a join back against the qualifying
-    columns (at most one row per profiled column, so broadcast is bounded).
+    Lazy and exact: the distinct non-null values of each column (one
+    single-key partial/final aggregate per column), a per-column count, and
+    a join back against the qualifying columns (at most one row per profiled
+    column, so broadcasting it is bounded).
     """
     cols = list(columns or df.columns)
-    pairs = (df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), _c(c).cast("string").alias("value")) for c in cols])))
-        .filter(F.col("value").isNotNull()).distinct())
+    pairs = _union_all([
+        df.select(_c(c).alias("_v")).filter(F.col("_v").isNotNull()).distinct()
+        .select(F.lit(c).alias("column"), F.col("_v").cast("string").alias("value"))
+        for c in cols])
     small = (pairs.groupBy("column").agg(F.count(F.lit(1)).alias("_k"))
              .filter(F.col("_k") <= max_values).select("column"))
     return pairs.join(F.broadcast(small), "column")
