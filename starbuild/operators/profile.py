@@ -33,6 +33,8 @@ def _batches(items: Sequence[str], size: int) -> list[list[str]]:
 
 
 def _union_all(frames: list[DataFrame]) -> DataFrame:
+    if not frames:
+        raise ValueError("no columns to profile")
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

@@ -50,10 +50,46 @@ def test_every_query_registered_with_entry():
 def test_plan_has_no_python_udf(spark, key):
     plan = catalog.QUERIES[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas",
-                 "FlatMapGroupsInPandas"):
+                 "FlatMapGroupsInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan
 
 
+def _plan(spark, key, sf=SF):
+    return catalog.QUERIES[key](spark, sf)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scans_read_only_needed_columns(spark):
+    plan = _plan(spark, "date_dimension")
+    assert "ReadSchema: struct<o_orderdate:timestamp_ntz>" in plan
+    assert "ReadSchema: struct<l_shipdate:timestamp_ntz>" in plan
+    plan = _plan(spark, "join_coverage")
+    assert "ReadSchema: struct<o_orderkey:bigint>" in plan
+    assert "ReadSchema: struct<l_orderkey:bigint>" in plan
+
+
+def test_aggregates_combine_before_shuffle(spark):
+    for key in ("group_rollup_dimension", "hidden_duplicates", "join_coverage", "date_dimension",
+                "code_list_validation", "group_size_balance"):
+        plan = _plan(spark, key)
+        # Every hash exchange is fed by a (partial) aggregate: rows are
+        # combined inside each map task before the shuffle.
+        lines = plan.splitlines()
+        exchanges = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning" in ln]
+        assert exchanges, key
+        for i in exchanges:
+            below = []
+            for ln in lines[i + 1:]:
+                if "Exchange" in ln or "FileScan" in ln or "Scan " in ln:
+                    break
+                below.append(ln)
+            assert any("HashAggregate" in ln for ln in below), (key, lines[i])
+
+
+def test_fact_join_broadcasts_checked_dimension(spark):
+    plan = _plan(spark, "fact_projection")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_entry_runs(spark):
     import __spark_entry__ as e
     df = e.entry(spark)
