@@ -11,7 +11,8 @@ from starbuild.operators.columns import project
 
 
 def attach_dimension_key(fact: DataFrame, dim: DataFrame, on: Sequence[str], key: str,
-                         as_name: str | None = None, broadcast: bool = False) -> DataFrame:
+                         as_name: str | None = None, broadcast: bool = False,
+                         null_salt_buckets: int | None = None) -> DataFrame:
     """Left-join ``dim[key]`` onto ``fact`` by the shared columns ``on``.
 
     Fact rows with a NULL in any join column keep a NULL key (NULL never
@@ -19,13 +20,27 @@ def attach_dimension_key(fact: DataFrame, dim: DataFrame, on: Sequence[str], key
     unique on ``on`` (true for ``combination_dimension``).
 
     ``broadcast=True`` adds a broadcast hint; only pass it for a dim whose
-    size was checked (``sized_for_broadcast``).  Otherwise AQE picks the
-    strategy from runtime sizes.
+    size was checked (``sized_for_broadcast``).  Otherwise the join is a
+    shuffle join (or AQE demotes it at runtime), and one more join key
+    protects it from NULL skew: all rows with a NULL flag would hash to one
+    partition, so they get a salt in ``1..null_salt_buckets`` (default: the
+    shuffle partition count) while every other row and the whole dimension
+    get 0 — NULL rows spread out and still match nothing.
     """
     d = dim.select(*[F.col(f"`{c}`") for c in on], F.col(f"`{key}`"))
     if broadcast:
-        d = F.broadcast(d)
-    out = fact.join(d, list(on), "left")
+        out = fact.join(F.broadcast(d), list(on), "left")
+    else:
+        buckets = null_salt_buckets or int(
+            fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        any_null = F.lit(False)
+        for c in on:
+            any_null = any_null | F.col(f"`{c}`").isNull()
+        row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
+        f = fact.withColumn("_salt", F.when(any_null, F.pmod(row_hash, F.lit(buckets)) + 1)
+                            .otherwise(F.lit(0).cast("long")))
+        d = d.withColumn("_salt", F.lit(0).cast("long"))
+        out = f.join(d, [*on, "_salt"], "left").drop("_salt")
     if as_name and as_name != key:
         out = out.withColumnRenamed(key, as_name)
     return out

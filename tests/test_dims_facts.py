@@ -206,3 +206,18 @@ def test_group_rollup_dedupe_keys(spark):
                                    dedupe_keys=["state_code", "city"])
     got = {r.state_code: r.total_population for r in dim.collect()}
     assert got == {"NY": 200, "ZZ": 0}          # New York once, Albany once
+
+
+def test_fact_join_same_result_broadcast_or_salted(spark):
+    s = staged(spark)
+    dim = D.combination_dimension(s, FLAGS)
+    a = FT.attach_dimension_key(s, dim, FLAGS, "status_flag_id", broadcast=True)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        b = FT.attach_dimension_key(s, dim, FLAGS, "status_flag_id", null_salt_buckets=4)
+        plan = b._jdf.queryExecution().executedPlan().toString()
+        rows_b = sorted(b.collect(), key=repr)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(a.collect(), key=repr) == rows_b and a.columns == b.columns
+    assert "_salt" in plan
