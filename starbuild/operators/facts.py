@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starbuild.operators.columns import project
+from starbuild.operators.joins import null_salted_left_join
 
 
 def attach_dimension_key(fact: DataFrame, dim: DataFrame, on: Sequence[str], key: str,
@@ -31,16 +32,10 @@ def attach_dimension_key(fact: DataFrame, dim: DataFrame, on: Sequence[str], key
     if broadcast:
         out = fact.join(F.broadcast(d), list(on), "left")
     else:
-        buckets = null_salt_buckets or int(
-            fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        any_null = F.lit(False)
-        for c in on:
-            any_null = any_null | F.col(f"`{c}`").isNull()
-        row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
-        f = fact.withColumn("_salt", F.when(any_null, F.pmod(row_hash, F.lit(buckets)) + 1)
-                            .otherwise(F.lit(0).cast("long")))
-        d = d.withColumn("_salt", F.lit(0).cast("long"))
-        out = f.join(d, [*on, "_salt"], "left").drop("_salt")
+        out = null_salted_left_join(
+            fact, d.select(*[F.col(f"`{c}`").alias(f"_d_{c}") for c in on], F.col(f"`{key}`")),
+            [(c, f"_d_{c}") for c in on], null_salt_buckets)
+        out = out.drop(*[f"_d_{c}" for c in on])
     if as_name and as_name != key:
         out = out.withColumnRenamed(key, as_name)
     return out

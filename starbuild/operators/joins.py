@@ -5,12 +5,37 @@ from __future__ import annotations
 
 import re
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starbuild.functions.casts import safe_cast
 
 
+def null_salted_left_join(left: DataFrame, right: DataFrame,
+                          keys: Sequence[tuple[str, str]],
+                          buckets: int | None = None) -> DataFrame:
+    """``left LEFT JOIN right ON left.a = right.b AND ...`` for a shuffle
+    join, without sending all left rows with a NULL key to one partition.
+
+    Such rows cannot match; they get a salt ``1..buckets`` from a row hash
+    as one more join key, while other left rows and every right row get 0.
+    ``right`` must not have columns named like ``left``'s.
+    """
+    buckets = buckets or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    any_null = F.lit(False)
+    for a, _ in keys:
+        any_null = any_null | F.col(f"`{a}`").isNull()
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    lf = left.withColumn("_lsalt", F.when(any_null, F.pmod(row_hash, F.lit(buckets)) + 1)
+                         .otherwise(F.lit(0).cast("long")))
+    rt = right.withColumn("_rsalt", F.lit(0).cast("long"))
+    cond = [F.col(f"`{a}`") == F.col(f"`{b}`") for a, b in keys]
+    cond.append(F.col("_lsalt") == F.col("_rsalt"))
+    return lf.join(rt, cond, "left").drop("_lsalt", "_rsalt")
+
+
 def prefix_key_join(left: DataFrame, left_col: str, right: DataFrame, right_col: str,
                     prefix: str, key_type: str | None = None, how: str = "inner") -> DataFrame:
     """Join ``left[left_col]`` to ``right[right_col]`` with ``prefix``
@@ -31,10 +56,11 @@ def fill_from_lookup(df: DataFrame, target: str, key: str, lookup: DataFrame,
 
     The lookup is reduced to one value per key first (the smallest, so the
     result is deterministic), which also guarantees the left join cannot
-    duplicate rows.
+    duplicate rows; rows with a NULL key are spread by a salt rather than
+    shuffled to one partition (``null_salted_left_join``).
     """
     lk = (lookup.groupBy(F.col(f"`{lookup_key}`").alias("_lk"))
           .agg(F.min(F.col(f"`{lookup_value}`")).alias("_lv")))
-    joined = df.join(lk, F.col(f"`{key}`") == F.col("_lk"), "left")
+    joined = null_salted_left_join(df, lk, [(key, "_lk")])
     return joined.select(*[F.coalesce(F.col(f"`{c}`"), F.col("_lv")).alias(c) if c == target
                            else F.col(f"`{c}`") for c in df.columns])

@@ -220,4 +220,14 @@ def test_fact_join_same_result_broadcast_or_salted(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sorted(a.collect(), key=repr) == rows_b and a.columns == b.columns
-    assert "_salt" in plan
+    assert "_lsalt" in plan
+
+
+def test_fill_from_lookup_null_keys(spark):
+    from starbuild.operators.joins import fill_from_lookup
+    df = spark.createDataFrame([(1, "US", None), (2, None, None), (3, "CA", "NA*"), (4, "XX", None)],
+                               "id int, country string, continent string")
+    lk = spark.createDataFrame([("US", "NA"), ("CA", "NA"), ("US", "ZZ")], "c string, cont string")
+    got = {r.id: r.continent for r in fill_from_lookup(df, "continent", "country", lk, "c", "cont")
+           .collect()}
+    assert got == {1: "NA", 2: None, 3: "NA*", 4: None}
