@@ -30,7 +30,8 @@ def attach_dimension_key(fact: DataFrame, dim: DataFrame, on: Sequence[str], key
     """
     d = dim.select(*[F.col(f"`{c}`") for c in on], F.col(f"`{key}`"))
     if broadcast:
-        out = fact.join(F.broadcast(d), list(on), "left")
+        out = (fact.join(F.broadcast(d), list(on), "left")
+               .select(*[F.col(f"`{c}`") for c in fact.columns], F.col(f"`{key}`")))
     else:
         out = null_salted_left_join(
             fact, d.select(*[F.col(f"`{c}`").alias(f"_d_{c}") for c in on], F.col(f"`{key}`")),
