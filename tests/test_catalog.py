@@ -96,3 +96,12 @@ def test_entry_runs(spark):
     assert df.count() > 0
     assert df.columns == ["order_id", "status", "customer_id", "order_dt", "total_price",
                           "priority"]
+
+
+def test_sequence_range_exchange_is_reused(spark):
+    """Dense ids need both consumers of the range exchange to read one
+    materialisation; the final adaptive plan must show the reuse."""
+    qe = catalog.QUERIES["combination_dimension"](spark, SF)._jdf.queryExecution()
+    qe.toRdd().count()
+    final = qe.executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final and "rangepartitioning" in final
