@@ -43,15 +43,22 @@ def reconcile_counts(stage: DataFrame, stage_key: str, output: DataFrame,
         (F.col("output_rows") - F.col("output_uniq")).alias("duplicates"))
 
 
-def _fk_pair_counts(fact: DataFrame, fact_col: str, id_col: str | None) -> DataFrame:
+def _fk_pair_counts(fact: DataFrame, fact_col: str, id_col: str | None,
+                    distinct_pairs: bool = True) -> DataFrame:
     """Distinct ``(id, trimmed fk)`` pairs of the fact, counted per fk.
 
     The de-duplication and the per-fk count are both partial/final
     aggregates, so a hot fk value is combined inside each map task; what
-    meets the dimension afterwards is one row per distinct fk.
+    meets the dimension afterwards is one row per distinct fk.  With
+    ``distinct_pairs=False`` (for an ``id`` known to be unique, e.g. after
+    ``reconcile_counts`` reported no duplicates) every row is one pair and
+    the pair shuffle is skipped: only per-fk partial counts cross it.
     """
+    fk = F.trim(_c(fact_col)).alias("fk")
+    if not distinct_pairs:
+        return fact.groupBy(fk).agg(F.count(F.lit(1)).alias("pairs"))
     id_col = id_col or fact.columns[0]
-    pairs = fact.select(_c(id_col).alias("_id"), F.trim(_c(fact_col)).alias("fk")).distinct()
+    pairs = fact.select(_c(id_col).alias("_id"), fk).distinct()
     return pairs.groupBy("fk").agg(F.count(F.lit(1)).alias("pairs"))
 
 
@@ -60,7 +67,8 @@ def _dim_keys(dim: DataFrame, dim_col: str) -> DataFrame:
 
 
 def join_coverage(fact: DataFrame, fact_col: str, dim: DataFrame, dim_col: str,
-                  id_col: str | None = None, scale: int = 1) -> DataFrame:
+                  id_col: str | None = None, scale: int = 1,
+                  distinct_pairs: bool = True) -> DataFrame:
     """How many distinct ``(id, fk)`` pairs of the fact find their key in
     the dimension: ``matched unmatched total matched_pct``.
 
@@ -69,7 +77,7 @@ def join_coverage(fact: DataFrame, fact_col: str, dim: DataFrame, dim_col: str,
     counts and a NULL fk counts as unmatched.  ``id`` defaults to the first
     fact column.
     """
-    per_fk = _fk_pair_counts(fact, fact_col, id_col)
+    per_fk = _fk_pair_counts(fact, fact_col, id_col, distinct_pairs)
     tagged = per_fk.join(_dim_keys(dim, dim_col), F.col("fk") == F.col("_dk"), "left")
     row = tagged.agg(
         F.coalesce(F.sum(F.when(F.col("_dk").isNotNull(), F.col("pairs"))), F.lit(0))
@@ -83,12 +91,13 @@ def join_coverage(fact: DataFrame, fact_col: str, dim: DataFrame, dim_col: str,
 
 
 def unmatched_keys(fact: DataFrame, fact_col: str, dim: DataFrame, dim_col: str,
-                   id_col: str | None = None, top: int | None = 20) -> DataFrame:
+                   id_col: str | None = None, top: int | None = 20,
+                   distinct_pairs: bool = True) -> DataFrame:
     """Fact keys with no dimension row, ranked by how many distinct
     ``(id, fk)`` pairs carry them: ``(fk, pairs)``, largest first, ties by
     key (NULL last).  ``top`` keeps the first rows of the ranking (the
     report's purpose); ``None`` returns all of them."""
-    per_fk = _fk_pair_counts(fact, fact_col, id_col)
+    per_fk = _fk_pair_counts(fact, fact_col, id_col, distinct_pairs)
     missing = per_fk.join(_dim_keys(dim, dim_col), F.col("fk") == F.col("_dk"), "left_anti")
     ranked = missing.orderBy(F.desc("pairs"), F.asc_nulls_last("fk"))
     return ranked.limit(top) if top is not None else ranked

@@ -92,3 +92,12 @@ def test_hidden_duplicates_and_code_list(spark):
     codes = spark.createDataFrame([("a",), ("b",)], "code string")
     assert [(r.value, r.rows) for r in Q.code_list_violations(df, "t", codes).collect()] == \
         [("c", 1)]
+
+
+def test_coverage_without_pair_distinct_for_unique_ids(spark):
+    fact = spark.createDataFrame([(1, "JFK"), (2, " JFK "), (3, "NYC"), (4, None)],
+                                 "id int, airport string")
+    dim = spark.createDataFrame([("JFK",), ("LAX",)], "iata_code string")
+    a = Q.join_coverage(fact, "airport", dim, "iata_code").collect()[0]
+    b = Q.join_coverage(fact, "airport", dim, "iata_code", distinct_pairs=False).collect()[0]
+    assert a == b and (b.matched, b.unmatched) == (2, 2)
