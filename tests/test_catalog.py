@@ -28,14 +28,22 @@ def duck():
     return con
 
 
+_DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+               "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 @pytest.mark.parametrize("key", sorted(catalog.ORACLE))
 def test_query_matches_oracle(spark, duck, key):
     df = catalog.QUERIES[key](spark, SF)
     s_rows = [tuple(r) for r in df.collect()]
-    cur = duck.execute(catalog.ORACLE[key])
-    d_cols = [d[0] for d in cur.description]
-    d_rows = cur.fetchall()
+    rel = duck.sql(catalog.ORACLE[key])
+    d_cols = rel.columns
+    d_types = dict(zip(d_cols, [str(t) for t in rel.types]))
+    d_rows = rel.fetchall()
     assert sorted(df.columns) == sorted(d_cols)
+    for f in df.schema.fields:
+        simple = f.dataType.simpleString()
+        assert _DUCK_TYPES.get(simple, simple) == d_types[f.name], (f.name, simple)
     assert _rows(df.columns, s_rows, True) == _rows(d_cols, d_rows, True)
 
 
