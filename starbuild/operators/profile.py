@@ -57,13 +57,26 @@ def distinct_with_null(c: Column) -> Column:
 
 
 def distinct_per_column(df: DataFrame, columns: Sequence[str], count_null: bool = True,
-                        name: str = "distinct_values") -> DataFrame:
+                        name: str = "distinct_values", approx: bool = False,
+                        rsd: float = 0.01) -> DataFrame:
     """``(column, <name>)``: distinct values of each column, NULL counted as
     a value (``count_null``) or ignored.
 
-    One ``distinct`` per column (a partial/final aggregate on that column
-    alone), then one small aggregate counting the distinct rows per column.
+    Exact (default): one ``distinct`` per column (a partial/final aggregate
+    on that column alone), then one small aggregate counting the distinct
+    rows per column.  ``approx=True``: HyperLogLog++ sketches
+    (``approx_count_distinct`` with relative error ``rsd``) for all columns
+    in one aggregate — no value crosses a shuffle, only fixed-size sketches.
     """
+    if approx:
+        cols = list(columns)
+        row = df.agg(*[(F.approx_count_distinct(_c(c), rsd)
+                        + (F.max(F.when(_c(c).isNull(), 1).otherwise(0)) if count_null
+                           else F.lit(0))).cast("long").alias(f"_a{i}")
+                       for i, c in enumerate(cols)])
+        return row.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(f"_a{i}").alias(name))
+            for i, c in enumerate(cols)])))
     parts = []
     for c in columns:
         v = df.select(_c(c).alias("_v"))
@@ -108,14 +121,15 @@ def column_fill_rates(df: DataFrame, columns: Sequence[str] | None = None,
                              * 100, scale).alias("fill_pct")))
 
 
-def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None,
+                    approx: bool = False) -> DataFrame:
     """Distinct values per column, NULL counted as a value:
-    ``(column, distinct_values)``."""
-    return distinct_per_column(df, list(columns or df.columns), count_null=True)
+    ``(column, distinct_values)``; ``approx`` uses HyperLogLog++ sketches."""
+    return distinct_per_column(df, list(columns or df.columns), count_null=True, approx=approx)
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None,
-                   batch: int = DEFAULT_BATCH) -> DataFrame:
+                   batch: int = DEFAULT_BATCH, approx: bool = False) -> DataFrame:
     """Rows, unique values (NULL counted) and missing values per column,
     with their shares of the row count:
     ``(column, rows, unique_values, missing, unique_ratio, missing_ratio)``."""
@@ -124,7 +138,7 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None,
         "rows": lambda c: F.count(F.lit(1)),
         "missing": lambda c: F.count(F.lit(1)) - F.count(c),
     }, batch)
-    prof = base.join(distinct_per_column(df, cols, True, "unique_values"), "column")
+    prof = base.join(distinct_per_column(df, cols, True, "unique_values", approx), "column")
     return prof.select("column", "rows", "unique_values", "missing",
                        F.try_divide(F.col("unique_values").cast("double"), F.col("rows"))
                        .alias("unique_ratio"),
@@ -242,13 +256,18 @@ def _moments(c: Column, dtype) -> dict[str, Column]:
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
-                    batch: int = DEFAULT_BATCH, digits: int | None = None) -> DataFrame:
+                    batch: int = DEFAULT_BATCH, digits: int | None = None,
+                    approx: bool = False, accuracy: int = 10000) -> DataFrame:
     """Numeric describe per column: ``count mean std min q25 q50 q75 max
     unique_values missing`` (``count`` is non-null; ``unique_values``
     ignores NULL; ``std`` is the sample deviation; quantiles are exact and
     linearly interpolated, as ``quantile_cont``).
 
-    ``digits`` rounds mean/std/quantiles for display.
+    ``digits`` rounds mean/std/quantiles for display.  ``approx=True``
+    takes distinct counts from HyperLogLog++ sketches and quartiles from
+    ``percentile_approx`` (``accuracy``), all in the single aggregate pass:
+    no shuffle of values, for very large tables where exact ranks are not
+    needed.
     """
     cols = list(columns or numeric_columns(df))
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -268,6 +287,17 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
             F.struct(F.lit(c).alias("column"), *[F.col(f"{m}__{i}").alias(m) for m in names])
             for i, c in enumerate(chunk)]))))
     base = _union_all(frames)
+    if approx:
+        quart = F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)])
+        qrow = df.agg(*[F.percentile_approx(_c(c).cast("double"), quart, accuracy).alias(f"_q{i}")
+                        for i, c in enumerate(cols)])
+        q = qrow.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(f"_q{i}")[0].alias("q25"),
+                     F.col(f"_q{i}")[1].alias("q50"), F.col(f"_q{i}")[2].alias("q75"))
+            for i, c in enumerate(cols)])))
+        uniq = distinct_per_column(df, cols, False, "unique_values", approx=True)
+        out = base.join(uniq, "column", "left").join(q, "column", "left")
+        return _numeric_out(out, digits)
     # Distinct values and quantiles share one (column, value, m) table
     # instead of an Expand-based count_distinct per column.
     counts = value_counts(df, cols)
@@ -278,7 +308,10 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
                 for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))]))
     out = (base.join(uniq, "column", "left").join(q, "column", "left")
            .withColumn("unique_values", F.coalesce("unique_values", F.lit(0).cast("long"))))
+    return _numeric_out(out, digits)
 
+
+def _numeric_out(out: DataFrame, digits: int | None) -> DataFrame:
     def r(c):
         return F.round(F.col(c), digits) if digits is not None else F.col(c)
 
@@ -288,7 +321,7 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
 
 
 def profile_string(df: DataFrame, columns: Sequence[str] | None = None,
-                   batch: int = DEFAULT_BATCH) -> DataFrame:
+                   batch: int = DEFAULT_BATCH, approx: bool = False) -> DataFrame:
     """Non-numeric profile per column: ``dtype lines non_null missing fill_pct
     unique_values uniq_pct`` (percentages unrounded, ``unique`` ignores NULL)."""
     cols = list(columns or non_numeric_columns(df))
@@ -296,7 +329,7 @@ def profile_string(df: DataFrame, columns: Sequence[str] | None = None,
     base = _long(df, cols, {
         "lines": lambda c: F.count(F.lit(1)),
         "non_null": F.count,
-    }, batch).join(distinct_per_column(df, cols, False, "unique_values"), "column")
+    }, batch).join(distinct_per_column(df, cols, False, "unique_values", approx), "column")
     dtype = F.element_at(F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(types[c]))]),
                          F.col("column"))
     return base.select(

@@ -101,3 +101,18 @@ def test_coverage_without_pair_distinct_for_unique_ids(spark):
     a = Q.join_coverage(fact, "airport", dim, "iata_code").collect()[0]
     b = Q.join_coverage(fact, "airport", dim, "iata_code", distinct_pairs=False).collect()[0]
     assert a == b and (b.matched, b.unmatched) == (2, 2)
+
+
+def test_approximate_profiles_close_to_exact(spark):
+    df = spark.range(0, 20000).select((F.col("id") % 997).alias("k"),
+                                      (F.col("id") % 13).cast("double").alias("x"))
+    exact = {r.column: r for r in P.profile_numeric(df).collect()}
+    approx = {r.column: r for r in P.profile_numeric(df, approx=True).collect()}
+    for c in ("k", "x"):
+        assert approx[c]["count"] == exact[c]["count"]
+        assert abs(approx[c].unique_values - exact[c].unique_values) <= 0.05 * exact[c].unique_values
+        assert abs(approx[c].q50 - exact[c].q50) <= 0.01 * (exact[c]["max"] - exact[c]["min"]) + 1
+    d = {r.column: r.distinct_values for r in P.distinct_counts(df, approx=True).collect()}
+    assert abs(d["k"] - 997) <= 50 and abs(d["x"] - 13) <= 1
+    plan = P.distinct_counts(df, approx=True)._jdf.queryExecution().executedPlan().toString()
+    assert "HyperLogLogPlusPlus" in plan or "approx_count_distinct" in plan
