@@ -130,7 +130,7 @@ def date_dimension(sources: DataFrame | Sequence[tuple[DataFrame, Sequence[str]]
 
 
 def combination_dimension(df: DataFrame, flags: Sequence[str], key: str = "status_flag_id",
-                          start: int = 0) -> DataFrame:
+                          start: int = 0, num_partitions: int | None = None) -> DataFrame:
     """Distinct complete combinations of ``flags`` with a surrogate key.
 
     Rows with a NULL flag are left out (so they never match in the fact
@@ -140,4 +140,10 @@ def combination_dimension(df: DataFrame, flags: Sequence[str], key: str = "statu
     window (see ``with_sequence_id``).
     """
     combos = df.select(*[_c(f) for f in flags]).dropna(how="any").distinct()
-    return with_sequence_id(combos, list(flags), key, start=start)
+    # Flag combinations are few; ranking them over thousands of range
+    # partitions (a cluster's shuffle partition count) would only schedule
+    # empty tasks.  The count is fixed, not left to AQE, because both
+    # consumers of the ranged data must see the same partition ids.
+    if num_partitions is None:
+        num_partitions = min(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return with_sequence_id(combos, list(flags), key, start=start, num_partitions=num_partitions)

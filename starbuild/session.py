@@ -76,3 +76,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def cluster_settings(input_bytes: int, total_cores: int,
+                     target_partition_bytes: int = 256 * 1024 ** 2,
+                     split_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+    """Starting values for a large cluster, from the input size and cores.
+
+    Shuffle partitions: enough that one holds about
+    ``target_partition_bytes`` of the input (an upper bound on shuffled
+    bytes, since every aggregate combines map-side), at least two waves of
+    the cores, rounded up to a multiple of the core count.  AQE then
+    coalesces small ones and splits skewed ones at runtime.
+    """
+    by_size = -(-input_bytes // target_partition_bytes)
+    parts = max(2 * total_cores, by_size)
+    parts = -(-parts // total_cores) * total_cores
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }

@@ -231,3 +231,11 @@ def test_fill_from_lookup_null_keys(spark):
     got = {r.id: r.continent for r in fill_from_lookup(df, "continent", "country", lk, "c", "cont")
            .collect()}
     assert got == {1: "NA", 2: None, 3: "NA*", 4: None}
+
+
+def test_cluster_settings():
+    from starbuild.session import cluster_settings
+    s = cluster_settings(100 * 1024 ** 4, 8000)          # 100 TB on 8000 cores
+    parts = int(s["spark.sql.shuffle.partitions"])
+    assert parts % 8000 == 0 and parts >= 100 * 1024 ** 4 // (256 * 1024 ** 2)
+    assert int(cluster_settings(10 * 1024 ** 2, 8)["spark.sql.shuffle.partitions"]) == 16
