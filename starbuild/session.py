@@ -79,24 +79,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cluster_settings(input_bytes: int, total_cores: int,
-                     target_partition_bytes: int = 256 * 1024 ** 2,
-                     split_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
+                     target_partition_bytes: int = 1024 ** 3,
+                     split_bytes: int = 512 * 1024 ** 2,
+                     max_partitions: int = 100_000) -> dict[str, str]:
     """Starting values for a large cluster, from the input size and cores.
 
-    Shuffle partitions: enough that one holds about
-    ``target_partition_bytes`` of the input (an upper bound on shuffled
-    bytes, since every aggregate combines map-side), at least two waves of
-    the cores, rounded up to a multiple of the core count.  AQE then
-    coalesces small ones and splits skewed ones at runtime.
+    Shuffle partitions: about one per ``target_partition_bytes`` of input
+    (an upper bound on shuffled bytes, since every aggregate combines
+    map-side), at least two waves of the cores, at most
+    ``max_partitions`` (map tasks x reduce partitions is the number of
+    shuffle blocks, which must stay manageable), rounded to whole waves.
+    AQE then coalesces small partitions toward the advisory size and splits
+    skewed ones at runtime.
     """
     by_size = -(-input_bytes // target_partition_bytes)
-    parts = max(2 * total_cores, by_size)
+    parts = min(max(2 * total_cores, by_size), max(max_partitions, 2 * total_cores))
     parts = -(-parts // total_cores) * total_cores
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 ** 2),
         "spark.sql.adaptive.skewJoin.enabled": "true",
     }
