@@ -103,3 +103,34 @@ def test_summarize_keys(spark):
     out = P.summarize(df)
     assert set(out) == {"numeric", "string", "missing", "values"}
     assert [r.column for r in out["missing"].collect()] == ["e"]
+
+
+def test_skewed_pipeline_smoke(spark):
+    """600k rows: a third on one hot flag combination, a third with a NULL
+    flag.  The shuffle (salted) fact join, coverage and roll-up must keep
+    every row exactly once."""
+    from pyspark.sql import functions as F
+
+    from starbuild.operators import facts as FT
+    n = 600_000
+    base = spark.range(0, n).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(
+            (F.col("id") % 50).cast("string")).alias("a"),
+        F.when(F.col("id") % 3 == 1, F.lit(None).cast("string")).otherwise(F.lit("x")).alias("b"),
+        (F.col("id") % 7).alias("w"))
+    dim = D.combination_dimension(base, ["a", "b"], "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = FT.attach_dimension_key(base, dim, ["a", "b"], "k")
+        got = fact.agg(F.count(F.lit(1)).alias("rows"), F.count("k").alias("keyed"),
+                       F.count_distinct("id").alias("ids")).collect()[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    null_b = n // 3 + (1 if n % 3 > 1 else 0)
+    assert (got.rows, got.ids, got.keyed) == (n, n, n - null_b)
+    cov = Q.join_coverage(base, "a", dim, "a", id_col="id").collect()[0]
+    assert cov.total == n and cov.matched == n        # every non-null 'a' is in the dim
+    roll = {r.a: r.w for r in D.group_rollup_dimension(base, "a", ["w"], dedupe_rows=False)
+            .collect()}
+    assert roll["HOT"] == sum(i % 7 for i in range(0, n, 3))
