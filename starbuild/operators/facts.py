@@ -23,15 +23,17 @@ def attach_dimension_key(fact: DataFrame, dim: DataFrame, on: Sequence[str], key
     ``broadcast=True`` adds a broadcast hint; only pass it for a dim whose
     size was checked (``sized_for_broadcast``).  Otherwise the join is a
     shuffle join (or AQE demotes it at runtime), and one more join key
-    protects it from NULL skew: all rows with a NULL flag would hash to one
-    partition, so they get a salt in ``1..null_salt_buckets`` (default: the
-    shuffle partition count) while every other row and the whole dimension
-    get 0 — NULL rows spread out and still match nothing.
+    protects it from NULL skew: rows with a NULL flag can only hash on
+    their remaining flags, which have few values, so they pile onto a few
+    partitions (onto one if every flag is NULL).  They get a salt in
+    ``1..null_salt_buckets`` (default: the shuffle partition count) while
+    every other row and the whole dimension get 0 — NULL rows spread out
+    and still match nothing.  ``0`` turns the salt off.
     """
     d = dim.select(*[F.col(f"`{c}`") for c in on], F.col(f"`{key}`"))
-    if broadcast:
-        out = (fact.join(F.broadcast(d), list(on), "left")
-               .select(*[F.col(f"`{c}`") for c in fact.columns], F.col(f"`{key}`")))
+    if broadcast or null_salt_buckets == 0:
+        j = fact.join(F.broadcast(d) if broadcast else d, list(on), "left")
+        out = j.select(*[F.col(f"`{c}`") for c in fact.columns], F.col(f"`{key}`"))
     else:
         out = null_salted_left_join(
             fact, d.select(*[F.col(f"`{c}`").alias(f"_d_{c}") for c in on], F.col(f"`{key}`")),

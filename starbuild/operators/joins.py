@@ -30,7 +30,12 @@ def null_salted_left_join(left: DataFrame, right: DataFrame,
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
     lf = left.withColumn("_lsalt", F.when(any_null, F.pmod(row_hash, F.lit(buckets)) + 1)
                          .otherwise(F.lit(0).cast("long")))
-    rt = right.withColumn("_rsalt", F.lit(0).cast("long"))
+    # A constant 0 (even ``hash * 0``, which the optimizer simplifies) would
+    # be folded into a non-equi join condition, leaving the salt out of the
+    # shuffle keys.  ``least(bit_count(hash), 0)`` is always 0 (a bit count
+    # is never negative) but opaque to the optimizer.
+    h = F.xxhash64(*[F.col(f"`{b}`") for _, b in keys])
+    rt = right.withColumn("_rsalt", F.least(F.bit_count(h), F.lit(0)).cast("long"))
     cond = [F.col(f"`{a}`") == F.col(f"`{b}`") for a, b in keys]
     cond.append(F.col("_lsalt") == F.col("_rsalt"))
     return lf.join(rt, cond, "left").drop("_lsalt", "_rsalt")
