@@ -227,14 +227,15 @@ def run_star(spark: SparkSession, staged: DataFrame, spec: StarSpec, root: str,
              entity_src: DataFrame | None = None, rollup_src: DataFrame | None = None,
              sample_fraction: float | None = None, seed: int = 42, checks: bool = True,
              fact_partition_by: Sequence[str] | None = None,
-             compression: str = "gzip") -> StarRun:
+             compression: str = "gzip", write_checks: bool = False) -> StarRun:
     """The whole job: optional seeded sample of the staged source, star
     write, and (if ``checks``) the run-time checks.
 
     The sample is taken on the staged plan before anything is computed, so
     a 1 % run reads 1 % of the rows downstream of the scan.  The checks are
     built on the written tables, not on the lazy fact, so they never
-    recompute the join.
+    recompute the join; ``write_checks`` stores their one-row results
+    under ``root/_checks/<name>``.
     """
     if sample_fraction is not None:
         staged = staged.sample(withReplacement=False, fraction=sample_fraction, seed=seed)
@@ -251,4 +252,10 @@ def run_star(spark: SparkSession, staged: DataFrame, spec: StarSpec, root: str,
         rec = found[f"reconcile_{spec.fact_name}"].collect()[0]
         if rec["duplicates"] == 0 and rec["output_unique"] == rec["output_rows"]:
             found = run_checks(staged, written, spec, entity_src, fact_id_unique=True)
+        if write_checks:
+            # One-row results: kept next to the tables as an audit record.
+            for name, df in found.items():
+                paths[f"_checks/{name}"] = sinks.write_parquet(
+                    df.coalesce(1), sinks.table_path(sinks.table_path(root, "_checks"), name),
+                    compression=compression)
     return StarRun(paths, metrics, found)

@@ -192,8 +192,10 @@ def test_run_star_with_checks_and_sample(spark, tmp_path):
     spec = StarSpec(fact_name="facts", fact_key="cicid", flags=FLAGS, flag_dim_name="dim_status",
                     flag_key="status_flag_id", date_columns=["arrdate"], date_dim_name="dim_time",
                     fact_layout=[("cicid", "cicid", "int"), ("status", "status_flag_id", None)])
-    run = run_star(spark, s, spec, str(tmp_path / "full"))
+    run = run_star(spark, s, spec, str(tmp_path / "full"), write_checks=True)
     r = run.checks["reconcile_facts"].collect()[0]
+    stored = spark.read.parquet(run.paths["_checks/reconcile_facts"]).collect()[0]
+    assert stored.asDict() == r.asDict()
     assert (r.stage_rows, r.output_rows, r.keys_equal, r.duplicates) == (8, 8, True, 0)
     assert run.metrics["facts"]["rows"] == 8
     part = run_star(spark, s, spec, str(tmp_path / "part"), sample_fraction=0.5, seed=3,
