@@ -107,18 +107,17 @@ def _long(df: DataFrame, columns: Sequence[str], metrics: dict[str, callable],
 
 
 def column_fill_rates(df: DataFrame, columns: Sequence[str] | None = None,
-                      scale: int = 1) -> DataFrame:
+                      scale: int = 1, batch: int = DEFAULT_BATCH) -> DataFrame:
     """Non-null share of every column in percent, banker's-rounded to
-    ``scale`` places: ``(column, non_null, rows, fill_pct)``.  One pass."""
-    columns = list(columns or df.columns)
-    row = df.agg(F.count(F.lit(1)).alias("_rows"),
-                 *[F.count(_c(c)).alias(f"_nn{i}") for i, c in enumerate(columns)])
-    structs = [F.struct(F.lit(c).alias("column"), F.col(f"_nn{i}").alias("non_null"))
-               for i, c in enumerate(columns)]
-    return (row.select("_rows", F.inline(F.array(*structs)))
-            .select("column", "non_null", F.col("_rows").alias("rows"),
-                    F.bround(F.try_divide(F.col("non_null").cast("double"), F.col("_rows"))
-                             * 100, scale).alias("fill_pct")))
+    ``scale`` places: ``(column, non_null, rows, fill_pct)``.  One
+    aggregate per ``batch`` of columns (one pass for most tables)."""
+    prof = _long(df, list(columns or df.columns), {
+        "non_null": F.count,
+        "rows": lambda c: F.count(F.lit(1)),
+    }, batch)
+    return prof.select("column", "non_null", "rows",
+                       F.bround(F.try_divide(F.col("non_null").cast("double"), F.col("rows"))
+                                * 100, scale).alias("fill_pct"))
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None,
