@@ -208,9 +208,12 @@ def run_checks(staged: DataFrame, tables: Mapping[str, DataFrame], spec: StarSpe
         checks[f"reconcile_{spec.entity_name}"] = quality.reconcile_counts(
             entity_src, spec.entity_key, tables[spec.entity_name], spec.entity_key)
         if spec.entity_fk:
+            # The id is named: a Parquet read-back moves partition columns
+            # last, so "first column" would not be stable.
             checks[f"coverage_{spec.fact_name}_{spec.entity_name}"] = quality.join_coverage(
                 tables[spec.fact_name], spec.entity_fk, tables[spec.entity_name],
-                spec.entity_key, distinct_pairs=not fact_id_unique)
+                spec.entity_key, id_col=spec.fact_layout[0][0],
+                distinct_pairs=not fact_id_unique)
     return checks
 
 
