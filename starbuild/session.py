@@ -66,9 +66,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc is not None and not _is_local(spark):
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     path = tempfile.mkdtemp(prefix="starbuild-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None:
-        sc.setCheckpointDir(path)
+        sc.setCheckpointDir(path)      # what DataFrame.checkpoint uses
+    try:
+        spark.conf.set("spark.checkpoint.dir", path)
+    except Exception:  # noqa: BLE001 - some sessions reject core settings at runtime
+        if sc is None:
+            raise
     return path
 
 
