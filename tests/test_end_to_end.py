@@ -1,0 +1,93 @@
+"""The whole job on hand-made staging inputs shaped like the original's:
+an arrivals table, a comma CSV of ports, a ';' CSV of city demographics."""
+
+import datetime as dt
+
+from starbuild.operators import columns as C
+from starbuild.plans.star import StagingSpec, StarSpec, run_star, stage
+from starbuild.sources import readers as R
+
+ARRIVALS = [
+    # id, adm, port, mode, arr_day, dep_day, valid_until, filed_on, flags a b c d
+    (1.0, 11.0, "AAA", 1.0, 20573.0, 20580.0, "05012016", "20160429", "G", "O", None, "M"),
+    (2.0, 12.0, " BBB", 1.0, 20573.0, 20585.0, "05012016", "20160429", "G", "O", "U", "M"),
+    (3.0, 13.0, "ZZZ", 2.0, 20574.0, None, "D/S", "20160430", "T", "R", "U", "M"),
+    (4.0, 14.0, "AAA", 1.0, 20574.0, 20581.0, "05022016", "20160430", "G", "O", "U", "M"),
+    (None, 15.0, "AAA", 1.0, 20575.0, 20581.0, "05022016", "20160501", "G", "O", "U", "M"),
+    (6.0, None, "BBB", 3.0, 20575.0, 20590.0, "05032016", "20160501", "G", "O", "U", "M"),
+]
+ARR_SCHEMA = ("id double, adm double, port string, mode double, arr_day double, "
+              "dep_day double, valid_until string, filed_on string, "
+              "fa string, fb string, fc string, fd string")
+
+PORTS_CSV = """code,name,region,coordinates
+AAA,Alpha Field,R-1,"-70.1, 40.2"
+ BBB ,Beta Port,R-2,"-80.5, 30.1"
+,No Code,R-3,"1.0, 2.0"
+CCC,One Part,R-4,5.5
+"""
+
+DEMO_CSV = """City;State Code;Race;Average Household Size;Total Population;Male Population
+Alpha;R-1;One;2.5;100;50
+Alpha;R-1;One;2.5;100;50
+Alpha;R-1;Two;2.5;100;50
+Gamma;R-1;One;;100;40
+Delta;R-2;One;3.0;0;0
+Nowhere;;One;9.0;10;5
+"""
+
+
+def test_star_from_staging_files(spark, tmp_path):
+    (tmp_path / "ports.csv").write_text(PORTS_CSV)
+    (tmp_path / "demo.csv").write_text(DEMO_CSV)
+    arrivals = spark.createDataFrame(ARRIVALS, ARR_SCHEMA)
+    staged = stage(arrivals, StagingSpec(
+        int_columns=["id", "mode"], bigint_columns=["adm"],
+        epoch_day_columns=["arr_day", "dep_day"],
+        pattern_dates={"valid_until": "MMddyyyy", "filed_on": "yyyyMMdd"},
+        required=["id", "adm"]))
+    ports = R.read_delimited(spark, str(tmp_path / "ports.csv"))
+    demo = C.normalize_headers(R.read_delimited(spark, str(tmp_path / "demo.csv"), sep=";"))
+    demo = C.cast_columns(demo, ["average_household_size"], "double")
+    demo = C.cast_columns(demo, ["total_population", "male_population"], "int")
+    spec = StarSpec(
+        fact_name="visit_facts", fact_key="id", flags=["fa", "fb", "fc", "fd"],
+        flag_dim_name="dim_status", flag_key="status_flag_id",
+        date_columns=["arr_day", "dep_day", "valid_until", "filed_on"], date_dim_name="dim_time",
+        fact_layout=[("id", "id", "int"), ("status", "status_flag_id", None),
+                     ("adm_number", "adm", "bigint"), ("port", "port", None),
+                     ("transport_mode", "mode", "int"), ("arrival_dt", "arr_day", None),
+                     ("departure_dt", "dep_day", None)],
+        entity_name="dim_ports", entity_key="code",
+        entity_columns=["code", "name", "region", "coordinates"],
+        entity_split=("coordinates", ",", ("latitude", "longitude")), entity_fk="port",
+        rollup_name="dim_demographics", rollup_key="state_code",
+        rollup_sums=["male_population", "total_population"],
+        rollup_mean="average_household_size", rollup_weight="total_population")
+    run = run_star(spark, staged, spec, str(tmp_path / "star"), entity_src=ports,
+                   rollup_src=demo, fact_partition_by=["transport_mode"])
+
+    t = {n: spark.read.parquet(p) for n, p in run.paths.items()}
+    assert set(t) == {"visit_facts", "dim_status", "dim_time", "dim_ports", "dim_demographics"}
+    fact = {r.id: r for r in t["visit_facts"].collect()}
+    assert sorted(fact) == [1, 2, 3, 4]                      # rows 5, 6 miss a required id
+    assert fact[1].status is None and fact[2].status == fact[4].status
+    assert fact[3].departure_dt is None
+    assert fact[1].arrival_dt == dt.date(1960, 1, 1) + dt.timedelta(days=20573)
+    assert run.metrics["visit_facts"] == {"rows": 4, "null_keys": 1}
+    assert [(r.fa, r.fb, r.fc, r.fd, r.status_flag_id)
+            for r in t["dim_status"].orderBy("status_flag_id").collect()] == \
+        [("G", "O", "U", "M", 0), ("T", "R", "U", "M", 1)]
+    dates = [r.datestamp for r in t["dim_time"].collect()]
+    assert None in dates and dt.date(2016, 5, 1) in dates and len(dates) == len(set(dates))
+    ports_dim = {r.code: r for r in t["dim_ports"].collect()}
+    assert set(ports_dim) == {"AAA", "BBB", "CCC"} and ports_dim["CCC"].longitude is None
+    demo_dim = {r.state_code: r for r in t["dim_demographics"].collect()}
+    assert set(demo_dim) == {"R-1", "R-2"}
+    assert demo_dim["R-1"].total_population == 300 and demo_dim["R-2"].average_household_size is None
+    assert abs(demo_dim["R-1"].average_household_size - 500 / 300) < 1e-12
+
+    rec = run.checks["reconcile_visit_facts"].collect()[0]
+    assert (rec.stage_rows, rec.output_rows, rec.keys_equal, rec.duplicates) == (4, 4, True, 0)
+    cov = run.checks["coverage_visit_facts_dim_ports"].collect()[0]
+    assert (cov.matched, cov.unmatched, cov.total) == (3, 1, 4)         # ZZZ has no port
