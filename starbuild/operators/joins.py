@@ -4,7 +4,6 @@ fill missing attributes."""
 from __future__ import annotations
 
 import re
-
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
