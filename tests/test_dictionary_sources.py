@@ -118,3 +118,14 @@ def test_dictionary_same_result_across_many_splits(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
         spark.conf.set("spark.sql.files.openCostInBytes", old_open)
+
+
+def test_range_cluster_spreads_hot_partition_value(spark, tmp_path):
+    from pyspark.sql import functions as F
+    df = spark.range(0, 30000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, F.lit("hot"))
+        .otherwise((F.col("id") % 50).cast("string")).alias("p"))
+    out = SK.write_parquet(df, str(tmp_path / "w"), partition_by=["p"], cluster="range")
+    hot_files = [f for f in os.listdir(os.path.join(out, "p=hot")) if f.endswith(".parquet")]
+    assert len(hot_files) > 1                         # written by several tasks
+    assert spark.read.parquet(out).filter("p = 'hot'").count() == 10000
