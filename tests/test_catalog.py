@@ -113,3 +113,16 @@ def test_sequence_range_exchange_is_reused(spark):
     qe.toRdd().count()
     final = qe.executedPlan().toString().split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final and "rangepartitioning" in final
+
+
+@pytest.mark.parametrize("table", ["events", "embeddings", "documents", "lineitem"])
+def test_profiles_run_on_any_table(spark, table):
+    """Profiles accept every column type the driver tables hold (arrays,
+    timestamps, JSON text, long documents)."""
+    from starbuild.operators import profile as P
+    from starbuild.plans.fixtures import table as load
+    df = load(spark, SF, table)
+    out = P.summarize(df)
+    assert out["values"].count() >= 0 and out["missing"].count() == 0
+    assert P.column_fill_rates(df).count() == len(df.columns)
+    assert P.column_profile(df).count() == len(df.columns)
