@@ -195,8 +195,9 @@ def run_checks(staged: DataFrame, tables: Mapping[str, DataFrame], spec: StarSpe
     key reconciliation for the fact, the date dimension (per source date
     column) and the entity, and fact-to-entity join coverage.
 
-    ``fact_id_unique`` (the fact's first column is known to be unique) lets
-    the coverage check skip its ``(id, fk)`` de-duplication shuffle."""
+    ``fact_id_unique`` (the fact's id, its first layout column, is known
+    to be unique) lets the coverage check skip its ``(id, fk)``
+    de-duplication shuffle."""
     checks = {
         f"reconcile_{spec.fact_name}": quality.reconcile_counts(
             staged, spec.fact_key, tables[spec.fact_name], spec.fact_layout[0][0]),
