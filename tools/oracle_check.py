@@ -22,6 +22,10 @@ from starbuild.plans.fixtures import TABLES  # noqa: E402
 from starbuild.session import local_session  # noqa: E402
 
 
+_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 def _norm(v, exact):
     if isinstance(v, float):
         if math.isnan(v):
@@ -66,20 +70,29 @@ def main(argv):
             print(f"{k:28s} rows={len(s_rows):7d} (no oracle) {dt:.2f}s")
             continue
         try:
-            cur = con.execute(sql)
-            d_cols = [d[0] for d in cur.description]
-            d_rows = cur.fetchall()
+            rel = con.sql(sql)
+            d_cols = rel.columns
+            d_types = dict(zip(d_cols, [str(t) for t in rel.types]))
+            d_rows = rel.fetchall()
         except Exception as e:  # noqa: BLE001
             print(f"{k:28s} DUCKDB ERROR {type(e).__name__}: {str(e)[:300]}")
             bad += 1
             continue
         same_cols = sorted(s_cols) == sorted(d_cols)
+        type_diff = [(f.name, f.dataType.simpleString(), d_types.get(f.name))
+                     for f in df.schema.fields
+                     if _DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                     != d_types.get(f.name)]
         exact = same_cols and _rows(s_cols, s_rows, True) == _rows(d_cols, d_rows, True)
         approx = same_cols and _rows(s_cols, s_rows, False) == _rows(d_cols, d_rows, False)
         status = "OK" if exact else ("APPROX" if approx else "MISMATCH")
-        if not exact:
+        if exact and type_diff:
+            status = "TYPES"
+        if not exact or type_diff:
             bad += 1
         print(f"{k:28s} {status:8s} rows={len(s_rows):7d}/{len(d_rows):7d} {dt:.2f}s")
+        if type_diff:
+            print("   types (spark, duckdb):", type_diff)
         if not same_cols:
             print("   spark cols:", s_cols, "\n   duck cols: ", d_cols)
         elif not exact:
