@@ -20,17 +20,30 @@ def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def _uniq(c: Column, approx: bool, rsd: float) -> Column:
+    if not approx:
+        return distinct_with_null(c)
+    return (F.approx_count_distinct(c, rsd)
+            + F.max(F.when(c.isNull(), 1).otherwise(0))).cast("long")
+
+
 def reconcile_counts(stage: DataFrame, stage_key: str, output: DataFrame,
-                     output_key: str) -> DataFrame:
+                     output_key: str, approx: bool = False, rsd: float = 0.01) -> DataFrame:
     """Row counts and key uniqueness of a staging table and its output.
 
     One row: ``stage_rows output_rows row_diff stage_unique output_unique
     keys_equal duplicates`` where ``*_unique`` counts distinct keys with
     NULL as a value, ``keys_equal`` compares the two, and ``duplicates`` is
     ``output_rows - output_unique`` (kept separate from ``keys_equal``).
+
+    Exact by default (a shuffle of the distinct keys).  ``approx=True``
+    estimates the distinct keys with HyperLogLog++ (relative error
+    ``rsd``): one pass, no key shuffle; the verdicts are then estimates.
     """
-    s = stage.agg(F.count(F.lit(1)).alias("rows"), distinct_with_null(_c(stage_key)).alias("uniq"))
-    o = output.agg(F.count(F.lit(1)).alias("rows"), distinct_with_null(_c(output_key)).alias("uniq"))
+    s = stage.agg(F.count(F.lit(1)).alias("rows"),
+                  _uniq(_c(stage_key), approx, rsd).alias("uniq"))
+    o = output.agg(F.count(F.lit(1)).alias("rows"),
+                   _uniq(_c(output_key), approx, rsd).alias("uniq"))
     both = (s.select(F.lit("s").alias("side"), "rows", "uniq")
             .unionByName(o.select(F.lit("o").alias("side"), "rows", "uniq")))
     row = both.agg(*[F.max(F.when(F.col("side") == side, F.col(m))).alias(f"{name}_{m}")

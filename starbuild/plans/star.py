@@ -190,24 +190,27 @@ def write_star(spark: SparkSession, staged: DataFrame, spec: StarSpec, root: str
 
 def run_checks(staged: DataFrame, tables: Mapping[str, DataFrame], spec: StarSpec,
                entity_src: DataFrame | None = None,
-               fact_id_unique: bool = False) -> dict[str, DataFrame]:
+               fact_id_unique: bool = False, approx: bool = False) -> dict[str, DataFrame]:
     """The two run-time checks of the original, as lazy one-row frames:
     key reconciliation for the fact, the date dimension (per source date
     column) and the entity, and fact-to-entity join coverage.
 
     ``fact_id_unique`` (the fact's id, its first layout column, is known
     to be unique) lets the coverage check skip its ``(id, fk)``
-    de-duplication shuffle."""
+    de-duplication shuffle.  ``approx`` estimates distinct keys in the
+    reconciliations with HyperLogLog++ (no key shuffle)."""
     checks = {
         f"reconcile_{spec.fact_name}": quality.reconcile_counts(
-            staged, spec.fact_key, tables[spec.fact_name], spec.fact_layout[0][0]),
+            staged, spec.fact_key, tables[spec.fact_name], spec.fact_layout[0][0],
+            approx=approx),
     }
     for c in spec.date_columns:
         checks[f"reconcile_{spec.date_dim_name}_{c}"] = quality.reconcile_counts(
-            staged, c, tables[spec.date_dim_name], "datestamp")
+            staged, c, tables[spec.date_dim_name], "datestamp", approx=approx)
     if spec.entity_name and spec.entity_name in tables and entity_src is not None:
         checks[f"reconcile_{spec.entity_name}"] = quality.reconcile_counts(
-            entity_src, spec.entity_key, tables[spec.entity_name], spec.entity_key)
+            entity_src, spec.entity_key, tables[spec.entity_name], spec.entity_key,
+            approx=approx)
         if spec.entity_fk:
             # The id is named: a Parquet read-back moves partition columns
             # last, so "first column" would not be stable.
@@ -231,7 +234,8 @@ def run_star(spark: SparkSession, staged: DataFrame, spec: StarSpec, root: str,
              entity_src: DataFrame | None = None, rollup_src: DataFrame | None = None,
              sample_fraction: float | None = None, seed: int = 42, checks: bool = True,
              fact_partition_by: Sequence[str] | None = None,
-             compression: str = "gzip", write_checks: bool = False) -> StarRun:
+             compression: str = "gzip", write_checks: bool = False,
+             approx_checks: bool = False) -> StarRun:
     """The whole job: optional seeded sample of the staged source, star
     write, and (if ``checks``) the run-time checks.
 
@@ -250,11 +254,13 @@ def run_star(spark: SparkSession, staged: DataFrame, spec: StarSpec, root: str,
     found = {}
     if checks:
         written = {name: spark.read.parquet(path) for name, path in paths.items()}
-        found = run_checks(staged, written, spec, entity_src)
+        found = run_checks(staged, written, spec, entity_src, approx=approx_checks)
         # The fact reconciliation (one row) says whether the fact key is
         # unique; if so the coverage check needs no pair de-duplication.
+        # An estimate cannot prove uniqueness, so only exact checks do this.
         rec = found[f"reconcile_{spec.fact_name}"].collect()[0]
-        if rec["duplicates"] == 0 and rec["output_unique"] == rec["output_rows"]:
+        if (not approx_checks and rec["duplicates"] == 0
+                and rec["output_unique"] == rec["output_rows"]):
             found = run_checks(staged, written, spec, entity_src, fact_id_unique=True)
         if write_checks:
             # One-row results: kept next to the tables as an audit record.

@@ -116,3 +116,12 @@ def test_approximate_profiles_close_to_exact(spark):
     assert abs(d["k"] - 997) <= 50 and abs(d["x"] - 13) <= 1
     plan = P.distinct_counts(df, approx=True)._jdf.queryExecution().executedPlan().toString()
     assert "HyperLogLogPlusPlus" in plan or "approx_count_distinct" in plan
+
+
+def test_reconcile_counts_approx(spark):
+    stage = spark.range(0, 5000).select((F.col("id") % 2000).alias("k"))
+    out = spark.range(0, 2000).select(F.col("id").alias("k"))
+    exact = Q.reconcile_counts(stage, "k", out, "k").collect()[0]
+    est = Q.reconcile_counts(stage, "k", out, "k", approx=True).collect()[0]
+    assert (est.stage_rows, est.output_rows) == (exact.stage_rows, exact.output_rows)
+    assert abs(est.stage_unique - 2000) <= 100 and abs(est.output_unique - 2000) <= 100
