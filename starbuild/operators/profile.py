@@ -168,10 +168,13 @@ def quantiles_from_counts(counts: DataFrame, probs: Sequence[float] = (0.25, 0.5
     ``value_counts`` table, without gathering a column into one task.
 
     The counts are range-partitioned on ``(column, value)`` and ranked with
-    a running sum inside each partition plus per-partition offsets (a table
-    of at most ``partitions x columns`` rows, so broadcasting it is
-    bounded).  Only rows holding the ranks next to a requested quantile
-    survive the final filter.  Returns ``(column, p, value)``.
+    a running sum inside each partition plus per-partition offsets.  Each
+    range partition covers a contiguous stretch of ``(column, value)``, so
+    there are at most ``partitions + columns - 1`` (partition, column)
+    segments: the offsets table is bounded by configuration and schema,
+    never by the data, and broadcasting it is safe.  Only rows holding the
+    ranks next to a requested quantile survive the final filter.  Returns
+    ``(column, p, value)``.
     """
     spark = counts.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
