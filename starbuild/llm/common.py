@@ -83,3 +83,30 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
+
+
+def heavy_keys(counts: DataFrame, key: str, n_col: str, total: int, least: int = 100_000) -> list:
+    """Keys of ``counts`` that hold more than a thousandth of ``total`` rows
+    (and more than ``least``): fewer than 1,000 values by construction."""
+    bound = max(least, total // 1000)
+    return [r[0] for r in counts.where(F.col(n_col) > bound).select(key).collect()]
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, heavy: list, how: str = "left",
+                spread: int = 64) -> DataFrame:
+    """Join ``left`` with ``right`` (at most one row per key) on ``key``.
+
+    Rows of ``left`` whose key is in ``heavy`` are spread over ``spread``
+    partitions by a hash of the whole row's other columns, and the few rows of
+    ``right`` with these keys are repeated for each; so a key that holds a
+    third of all rows is not one task's work.  Without heavy keys it is a
+    plain join."""
+    if not heavy:
+        return left.join(right, key, how)
+    salt = fresh_name(left, "salt")
+    others = [c for c in left.columns if c != key] or [key]
+    is_heavy = F.col(key).isin(heavy)
+    salted = left.withColumn(salt, F.when(is_heavy, F.pmod(F.xxhash64(*others), F.lit(spread)).cast("int"))
+                             .otherwise(F.lit(0)))
+    copies = F.when(is_heavy, F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
+    return salted.join(right.withColumn(salt, F.explode(copies)), [key, salt], how).drop(salt)

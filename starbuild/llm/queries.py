@@ -10,12 +10,27 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starbuild.llm import bpe, quality, token_count, toxicity
+from starbuild.llm import bpe, embeddings, mixing, quality, rules, simhash, token_count, toxicity, url_rules
 from starbuild.llm.common import fold, table
 
+#: The contract's host rules (longest wins, tier 1), and the general block
+#: patterns that judge what no host rule fits.
+URL_RULES = [url_rules.Rule("||net/", "block", 1), url_rules.Rule("||example.net/en/", "allow", 1),
+             url_rules.Rule("||example.com/de/", "block", 1), url_rules.Rule("||org/fr/", "allow", 1),
+             url_rules.Rule("||spam-farm.", "block"), url_rules.Rule("||casino.", "block"),
+             url_rules.Rule("/wp-login.php", "block"), url_rules.Rule("/ads/*.html^", "block")]
+
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_quality_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and risk-controlled cutoffs per language for every document."""
+    found = rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("lang"),
+                         risk=0.02, delta=0.05)
+    return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                        "n_repeat_words", "base_failed", "kept")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Heap-and-linked-list byte-pair token counts of every document."""
     return token_count.token_counts(table(spark, sf_dir, "documents"), VOCABULARY)
@@ -26,6 +41,13 @@ def op4_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op5_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash groups of all documents: 3-word shingles, at most 3 bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=3, reach=3)
+    return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                        "component_id")
+
+
 def op6_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attention-pooled quality score of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -35,6 +57,25 @@ def op6_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.3).cast("int")))
 
 
+def op7_embedding_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of vectors of one label with a cosine of 0.98 or more."""
+    found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host rules and block patterns for every page's URL."""
+    found = url_rules.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    host_rule = F.when(F.col("tier") == 1, F.expr("substring(pattern, 3)"))
+    return found.select("page_id", "host", "path", host_rule.alias("rule"), "verdict")
+
+
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that a mix by source weights 1, 2, 3, ... takes."""
+    found = mixing.mix(table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3)
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op10_toxicity_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Character n-gram toxicity score of every document."""
     docs = table(spark, sf_dir, "documents")
@@ -45,11 +86,40 @@ def op10_toxicity_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_thresholds": op1_quality_thresholds,
     "op3_token_counts": op3_token_counts,
     "op4_bpe_automaton": op4_bpe_automaton,
+    "op5_simhash_vptree": op5_simhash_vptree,
     "op6_quality_mil": op6_quality_mil,
+    "op7_embedding_cells": op7_embedding_cells,
+    "op8_url_rules": op8_url_rules,
+    "op9_source_mix": op9_source_mix,
     "op10_toxicity_nb": op10_toxicity_nb,
 }
 
-#: Operators 3, 4, 6 and 10 (merging, automata, learned models) have no SQL.
-ORACLE: dict[str, str] = {}
+#: Learned scores, merges, automata, fingerprints, sphere and cell searches
+#: and random draws have no SQL; their tests compare with brute force.
+ORACLE: dict[str, str] = {
+    "op8_url_rules": r"""
+with parts as (
+    select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest
+    from pages),
+forms as (
+    select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                              'abcdefghijklmnopqrstuvwxyz') as host,
+           regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) as path
+    from parts),
+rules(h, p, name, action) as (values ('net', '/', 'net/', 'block'), ('example.net', '/en/', 'example.net/en/', 'allow'),
+    ('example.com', '/de/', 'example.com/de/', 'block'), ('org', '/fr/', 'org/fr/', 'allow')),
+hits as (
+    select f.page_id, f.host, f.path, max_by(r.name, length(r.name)) as rule, max_by(r.action, length(r.name)) as action
+    from forms f left join rules r on (f.host = r.h or ends_with(f.host, '.' || r.h)) and starts_with(f.path, r.p)
+    group by all)
+select h.page_id, h.host, h.path, h.rule,
+       coalesce(h.action, case when regexp_matches(h.host || h.path, '^([^/]*\.)?(spam-farm|casino)\.')
+                                or contains(h.host || h.path, '/wp-login.php')
+                                or regexp_matches(h.host || h.path, '/ads/.*\.html([^0-9A-Za-z]|$)')
+                               then 'block' else 'allow' end) as verdict
+from pages g join hits h using (page_id)
+""",
+}

@@ -1,0 +1,165 @@
+"""Threshold selection, URL rules and embedding groups against brute force."""
+import math
+import re
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from starbuild.llm import embeddings, rules, url_rules
+from starbuild.llm.queries import QUERIES
+
+
+# ---- rules ---------------------------------------------------------------
+
+def slow_measures(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    runs = Counter(tuple(words[i:i + 5]) for i in range(len(words) - 4))
+    covered = {j for i in range(len(words) - 4) if runs[tuple(words[i:i + 5])] > 1 for j in range(i, i + 5)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    dup = sum(x in lines[:i] for i, x in enumerate(lines))
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(covered))
+
+
+def test_measures_of_whole_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    got = {r.doc_id: r for r in QUERIES["op1_quality_thresholds"](spark, sf_dir).collect()}
+    assert len(got) == len(docs)
+    for d in docs:
+        w = slow_measures(d.text)
+        r = got[d.doc_id]
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == w, d.doc_id
+        assert r.base_failed == (w[0] < 10 or 100 * w[4] > 20 * w[0])
+        assert not (r.base_failed and r.kept)
+
+
+def test_tail_is_the_exact_binomial():
+    for n, p in ((10, 0.1), (200, 0.03), (37, 0.5)):
+        total = 0.0
+        for k in range(n + 1):
+            total += math.comb(n, k) * p ** k * (1 - p) ** (n - k)
+            assert rules.tail(k, n, p) == pytest.approx(total, rel=1e-9)
+    assert rules.tail(0, 10**9, 0.005) == 0.0
+
+
+def test_cutoffs_keep_the_promised_risk(spark, make_docs):
+    """Good documents with 0..9 symbols a hundred words, junk with many: the
+    cutoff may reject few good ones, and a stratum with few labels has none."""
+    rng = np.random.default_rng(0)
+    docs, labels = [], []
+    for i in range(3000):
+        good = i % 3 > 0
+        n = int(rng.integers(0, 3)) if good else int(rng.integers(30, 90))
+        words = [f"w{i}x{j}" for j in range(100 - n)] + [f"&{i}y{j}" for j in range(n)]
+        docs.append((i, " ".join(words), "big"))
+        labels.append((i, int(good)))
+    docs += [(10_000 + i, " ".join(f"&{i}z{j}" for j in range(50)), "small") for i in range(20)]
+    labels += [(10_000 + i, 1) for i in range(20)]
+    got = rules.judged(make_docs(docs), spark.createDataFrame(labels, "doc_id long, quality int"), F.col("source")).collect()
+    kept = {r.id: r.kept for r in got}
+    wrong = sum(not kept[i] for i, good in labels if good and i < 10_000)
+    assert wrong <= 0.02 * 2000
+    assert sum(kept[i] for i, good in labels if not good) == 0
+    assert all(kept[10_000 + i] for i in range(20))
+    above = [50, 10, 0]
+    assert rules.certified(above, 1000, 0.005, 0.01) == 2
+    assert rules.certified(above, 100, 0.005, 0.01) is None
+
+
+def test_rules_trouble(spark, trouble, clashing, make_docs):
+    none = spark.createDataFrame([(1, None), (None, 1), (5, 0), (5, 1)], "doc_id long, quality int")
+    for docs in (trouble, clashing):
+        got = rules.judged(docs, none, F.col("lang")).collect()
+        assert len(got) == 10 and sum(r.base_failed for r in got) == 10
+    assert rules.judged(make_docs([]), none, F.col("lang")).collect() == []
+
+
+# ---- URLs ----------------------------------------------------------------
+
+def test_urls_of_whole_table(spark, sf_dir):
+    from starbuild.llm.queries import ORACLE
+    con = duckdb.connect()
+    con.sql(f"create view pages as from '{sf_dir}/pages.parquet'")
+    key = lambda r: (r[0], str(r))
+    got = QUERIES["op8_url_rules"](spark, sf_dir)
+    want = con.sql(ORACLE["op8_url_rules"])
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want.fetchall(), key=key)
+
+
+def test_url_forms_and_rules(spark):
+    r = url_rules.Rule
+    table = [r("||net/", "block", 1), r("||example.net/en/", "allow", 1), r("||spam-farm.", "block"),
+             r("/ads/*/banner^", "block"), r("track", "block")]
+    cases = {"http://a.net/x": "block", "http://example.net/en/1": "allow", "http://EXAMPLE.net/en/1": "allow",
+             "http://example.net/EN/1": "block", "http://x.spam-farm.org": "block", "http://notspam-farm.org/": "allow",
+             "http://b.org/ads/1/banner": "block", "http://b.org/ads/1/banners": "allow", "http://b.org/xtracky": "block",
+             "http://net": "allow", "http://net?q=/": "allow", "net/": "allow", "://net/": "block", "": "allow", None: "allow"}
+    pages = spark.createDataFrame([(i, u, "x", "y") for i, u in enumerate(cases)], "page_id long, url string, host string, tier string")
+    got = {x.page_id: x for x in url_rules.judge(pages, table).collect()}
+    for i, (u, verdict) in enumerate(cases.items()):
+        assert got[i].verdict == verdict, u
+    assert got[0].host == "a.net" and got[0].path == "/x" and got[13].host == ""
+    assert url_rules.judge(pages.where("false"), table).collect() == []
+    assert {x.verdict for x in url_rules.judge(pages, []).collect()} == {"allow"}
+
+
+def test_index_fetches_by_rarest_token():
+    a, b = url_rules.Rule("||common.rare/", "block"), url_rules.Rule("||common.", "block")
+    index = url_rules.RuleIndex([a, b], {"common": 100, "rare": 2})
+    assert index.by_token == {"rare": [0], "common": [1]} and index.always == []
+    assert url_rules.Rule("foo*bar", "block").tokens() == []
+
+
+# ---- embeddings ----------------------------------------------------------
+
+def slow_links(rows, cosine=0.98):
+    """rows: (id, vector or None, label) -> {position: (n_links, component)}"""
+    def usable(v, lab):
+        return lab is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)
+    units = [None if not usable(v, lab) else np.array(v, np.float64) / np.linalg.norm(v) for _, v, lab in rows]
+    n = len(rows)
+    near = [[j for j in range(n) if j != i and units[i] is not None and units[j] is not None
+             and rows[i][2] == rows[j][2] and len(units[i]) == len(units[j])
+             and units[i] @ units[j] >= cosine] for i in range(n)]
+    low = [r[0] for r in rows]
+    while True:
+        new = [min([low[i], *(low[j] for j in near[i])]) for i in range(n)]
+        if new == low:
+            return {i: (len(near[i]), low[i]) for i in range(n)}
+        low = new
+
+
+@pytest.mark.parametrize("cell_points,block", [(2000, 4096), (25, 16)])
+def test_embeddings_of_whole_table(spark, sf_dir, monkeypatch, cell_points, block):
+    monkeypatch.setattr(embeddings, "CELL_POINTS", cell_points)
+    monkeypatch.setattr(embeddings, "BLOCK", block)
+    rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
+    want = {rows[i][0]: v for i, v in slow_links(rows).items()}
+    got = QUERIES["op7_embedding_cells"](spark, sf_dir).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got)
+
+
+def test_embeddings_trouble(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "CELL_POINTS", 20)
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(120):                               # dense groups across cell borders, copies, chains
+        v = rng.normal(size=6)
+        for j in range(3):
+            rows.append((len(rows), [float(x) for x in v + rng.normal(size=6) * 0.12 * j], i % 2))
+        rows.append((len(rows), [2 * x for x in rows[-3][1]], i % 2))
+    inf, nan = float("inf"), float("nan")
+    at = len(rows)
+    rows += [(at + i, v, lab) for i, (v, lab) in enumerate([
+        (None, 1), ([], 1), ([0.0, -0.0], 1), ([1.0, None], 1), ([1.0, nan], 1), ([inf, 1.0], 1), ([1.0, 2.0], None),
+        ([1.0, 2.0], 1), ([2.0, 4.0], 1), ([2.0, 4.0], 0), ([1e200, 1e200], 0), ([-0.0, 1.0], 0), ([0.0, 1.0], 0)])]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, label int, rid string")
+    got = {r.id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(df).collect()}
+    assert got == {rows[i][0]: v for i, v in slow_links([(a, v if v is None else [x if x is None or x != 1e200 else 1.0 for x in v], c)
+                                                        for a, v, c in rows]).items()}
+    assert embeddings.near_duplicates(df.where("false")).collect() == []
