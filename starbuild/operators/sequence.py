@@ -20,18 +20,13 @@ _POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | position
 
 
 def single_materialization(df: DataFrame) -> DataFrame:
-    """Make sure every consumer of ``df`` sees the same rows in the same
-    partitions.
+    """Fix the rows and partitions of ``df`` for all its consumers.
 
-    A range exchange samples its bounds per execution; when two consumers
-    read it, Spark's exchange reuse (on by default) runs it once.  If a
-    session turns reuse off, ``df`` is checkpointed to the shared
-    ``spark.checkpoint.dir`` instead, so the bounds are fixed once.
+    A range exchange samples its bounds per execution, and two consumers that
+    read different columns do not share it.  A reliable checkpoint in the
+    shared ``spark.checkpoint.dir`` fixes the partitions once.
     """
-    reuse = df.sparkSession.conf.get("spark.sql.exchange.reuse", "true")
-    if str(reuse).lower() == "false":
-        return df.checkpoint(eager=True)
-    return df
+    return df.checkpoint(eager=True)
 
 
 def with_sequence_id(df: DataFrame, order_by: Sequence[str | Column], name: str,
