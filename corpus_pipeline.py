@@ -7,14 +7,23 @@ reads it back as the next stage's input.
 
 1. ``quality``: documents that the quality classifier rejects go.
 2. ``toxicity``: documents that the toxicity classifier flags go.
+3. ``simhash``: of each group of near-duplicates the document with the
+   smallest id stays.
+4. ``mix``: sources are mixed to their target weights; a document stays as
+   many times as the mix takes it, none to three times.
+5. ``bpe``: token ids of every document of the mix, digested.
+
+Edge cases of all stages: null texts count as empty, texts of any length are
+read whole, extra columns are dropped, an empty table stays empty.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from starbuild.llm import bpe, quality, toxicity
-from starbuild.llm.common import fresh_name, table, written
+from starbuild.llm import bpe, mixing, quality, simhash, toxicity
+from starbuild.llm.common import fresh_name, table, text_or_empty, written
 from starbuild.llm.queries import VOCABULARY
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -36,15 +45,45 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return docs.withColumn(score, toxicity.score_column(docs, model)).where(f"{score} < 0.7").select(*COLUMNS)
 
 
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group stays: the one with the smallest id.
+
+    Rows with the same id count as one document (the first by text hash
+    stays); rows without an id cannot stand for a group and all stay."""
+    docs = docs.select(*COLUMNS)
+    found = simhash.near_duplicates(docs, words_per_shingle=3, reach=3)
+    first = found.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
+    number = fresh_name(docs, "row")
+    same_id = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text", "lang", "source")
+    named = (docs.where("doc_id is not null").join(first, "doc_id", "left_semi")
+             .withColumn(number, F.row_number().over(same_id)).where(f"{number} = 1").select(*COLUMNS))
+    return named.unionByName(docs.where("doc_id is null"))
+
+
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it: its taken words by its
+    size, rounded up or down by a hash of the document (0 to 3 times)."""
+    docs = docs.select(*COLUMNS)
+    found = mixing.mix(docs)
+    times = mixing.copies(F.col("taken"), F.col("size"), F.col("id"), F.col("text_hash"))
+    # equal rows (same id and text) share their copies evenly
+    found = (found.groupBy("id", "text_hash").agg(F.round(F.avg(times)).cast("int").alias("times"))
+             .where("times > 0"))
+    joined = docs.join(found, docs["doc_id"].eqNullSafe(found["id"])
+                       & (F.xxhash64(text_or_empty(docs["text"])) == found["text_hash"]))
+    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS)
+
+
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that the mix holds, digested; a document
-    taken several times is a row for each time."""
+    """Token ids of every document of the mix, digested; a document taken
+    several times is a row for each time."""
     return bpe.encode_digests(docs, VOCABULARY)
 
 
-STAGES = [("quality", quality_stage), ("toxicity", toxicity_stage), ("bpe", encode_stage)]
+STAGES = [("quality", quality_stage), ("toxicity", toxicity_stage), ("simhash", simhash_stage),
+          ("mix", mix_stage), ("bpe", encode_stage)]
 
-#: SQL cannot express learned scores or merges; see tests/llm/test_pipeline.py.
+#: SQL cannot express learned scores, fingerprints, draws or merges; see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
 

@@ -1,18 +1,86 @@
 """Language-model scores: stupid backoff, computed relationally.
 
 1. Every text is cut into words; its n-grams of orders 1 to ``order`` are
-   counted per document.
-2. The count tables hold each n-gram's 64-bit hash and its number of
-   occurrences in the whole corpus; they are made by partial sums before the
-   shuffle and partitioned by the hash.  Of orders above 1 only n-grams seen
-   at least ``min_count`` times are in the model.
-3. The n-grams of the documents are joined with the tables.  The score of a
-   word is count(n-gram) / count(history) for the longest n-gram in the
-   model, times ``discount`` for every order given up; of order 1 it is the
-   word's share of all words.
+   hashed to 64 bits (``xxhash64`` of the words' hashes).
+2. The count tables hold every n-gram's number of occurrences in the whole
+   corpus, made by partial sums before the shuffle and partitioned by the
+   hash.  Of orders above 1 only n-grams seen ``min_count`` times or more are
+   in the model.  An n-gram's value is count(n-gram) / count(history), for
+   order 1 its share of all words.
+3. The n-grams of the documents are joined with the tables, the longest order
+   first; those that are not in the model go on
+   to the next order with a factor ``discount``.  Order 1 has every word.
+   N-grams with more than a thousandth of all rows are spread over many tasks.
 4. The logarithms (base 10) are summed per document.
 
-Edge cases: a null text counts as empty; a text without words has 0 words and
-log score 0 (null mean); repeated rows count in the corpus each and are scored
-each; an empty table gives an empty result; extra columns are ignored.
+Edge cases: a null text counts as empty; a text without words has 0 words, log
+score 0 and a null mean; repeated rows count in the corpus each and are scored
+each; an empty table gives an empty result; extra columns are ignored.  Two
+n-grams of the same 64-bit hash would share their counts.
 """
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from starbuild.llm.common import WORD_PATTERN, heavy_keys, spread_join, text_or_empty, union_all, written
+
+
+def _gram(hashes: Column, at: Column, length: int) -> Column:
+    """Hash of the ``length`` words that end at position ``at`` (1-based)."""
+    if length == 1:
+        return F.element_at(hashes, at)
+    return F.xxhash64(*[F.element_at(hashes, at - back) for back in range(length - 1, -1, -1)])
+
+
+def _ends(documents: DataFrame, order: int, id_col: str, text_col: str) -> DataFrame:
+    """A row per word: ``doc`` (hash of id and text), the hashes ``g1..gN`` of
+    the n-grams that end there and ``h2..hN`` of their histories (null where
+    the text begins)."""
+    text = text_or_empty(text_col)
+    hashes = F.transform(F.regexp_extract_all(text, F.lit(f"({WORD_PATTERN})"), F.lit(1)), lambda w: F.xxhash64(w))
+    ends = (documents.select(F.xxhash64(F.col(id_col), text).alias("doc"), hashes.alias("hs"))
+            .where(F.size("hs") > 0)
+            .select("doc", "hs", F.explode(F.sequence(F.lit(1), F.size("hs"))).alias("at")))
+    cols = []
+    for k in range(1, order + 1):
+        cols.append(F.when(F.col("at") >= k, _gram(F.col("hs"), F.col("at"), k)).alias(f"g{k}"))
+        if k > 1:
+            cols.append(F.when(F.col("at") >= k, _gram(F.col("hs"), F.col("at") - 1, k - 1)).alias(f"h{k}"))
+    return ends.select("doc", *cols)
+
+
+def count_table(ends: DataFrame, k: int, min_count: int) -> DataFrame:
+    """``(g, c)``: n-grams of order k in the model, and how often they occur."""
+    counts = ends.where(F.col(f"g{k}").isNotNull()).groupBy(F.col(f"g{k}").alias("g")).agg(F.count("*").alias("c"))
+    return written(counts.where(F.col("c") >= (min_count if k > 1 else 1)), f"grams{k}")
+
+
+def scores(documents: DataFrame, order: int = 3, discount: float = 0.4, min_count: int = 2,
+           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(id, n_words, log_score)`` of every row; the corpus is all rows."""
+    rest = _ends(documents, order, id_col, text_col)
+    tables = [count_table(rest, k, min_count) for k in range(1, order + 1)]
+    sizes = [t.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0] for t in tables]
+    heavy = [heavy_keys(t, "g", "c", n) for t, n in zip(tables, sizes)]
+    parts = []
+    for k in range(order, 0, -1):
+        hit = spread_join(rest, tables[k - 1].withColumnRenamed("g", f"g{k}"), f"g{k}", heavy[k - 1])
+        value = F.col("c") / F.lit(float(sizes[0] or 1))
+        if k > 1:
+            met = written(hit, f"order{k}")
+            rest = met.where("c is null").select("doc", *[f"g{j}" for j in range(1, k)], *[f"h{j}" for j in range(2, k)])
+            past = tables[k - 2].select(F.col("g").alias(f"h{k}"), F.col("c").alias("past"))
+            hit = spread_join(met.where("c is not null").select("doc", "c", f"h{k}"), past, f"h{k}", heavy[k - 2], "inner")
+            value = F.col("c") / F.col("past")
+        log = F.log10(value) + (order - k) * F.log10(F.lit(discount))
+        parts.append(hit.groupBy("doc").agg(F.sum(log).alias("part"), F.count("*").alias("ends")))
+    total = union_all(parts).groupBy("doc").agg(F.sum("part").alias("log_score"), F.sum("ends").alias("ends"))
+    text = text_or_empty(text_col)
+    rows = documents.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("doc"),
+                            F.regexp_count(text, F.lit(WORD_PATTERN)).cast("long").alias("n_words"))
+    # rows equal in id and text share a key: their common sum is split evenly
+    return rows.join(total, "doc", "left").select(
+        "id", "n_words", F.when(F.col("n_words") > 0, F.col("log_score") * F.col("n_words") / F.col("ends"))
+        .otherwise(F.lit(0.0)).alias("log_score"))

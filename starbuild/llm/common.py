@@ -96,17 +96,21 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, heavy: list, how: s
                 spread: int = 64) -> DataFrame:
     """Join ``left`` with ``right`` (at most one row per key) on ``key``.
 
-    Rows of ``left`` whose key is in ``heavy`` are spread over ``spread``
-    partitions by a hash of the whole row's other columns, and the few rows of
-    ``right`` with these keys are repeated for each; so a key that holds a
-    third of all rows is not one task's work.  Without heavy keys it is a
-    plain join."""
-    if not heavy:
+    Rows of ``left`` whose key is in ``heavy``, or null in a left join, are
+    spread over ``spread`` partitions by a hash of the row's other columns, and
+    the few rows of ``right`` with heavy keys are repeated for each; so a key
+    that holds a third of all rows is not one task's work."""
+    if not heavy and how == "inner":
         return left.join(right, key, how)
     salt = fresh_name(left, "salt")
     others = [c for c in left.columns if c != key] or [key]
-    is_heavy = F.col(key).isin(heavy)
-    salted = left.withColumn(salt, F.when(is_heavy, F.pmod(F.xxhash64(*others), F.lit(spread)).cast("int"))
-                             .otherwise(F.lit(0)))
-    copies = F.when(is_heavy, F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
-    return salted.join(right.withColumn(salt, F.explode(copies)), [key, salt], how).drop(salt)
+    is_heavy = F.coalesce(F.col(key).isin(heavy), F.lit(False)) if heavy else F.lit(False)
+    salted = left.withColumn(salt, F.when(is_heavy | F.col(key).isNull(),
+                                          F.pmod(F.xxhash64(*others), F.lit(spread)).cast("int")).otherwise(F.lit(0)))
+    # neither form is a constant: the optimizer would take a constant out of the shuffle keys
+    if heavy:
+        right = right.withColumn(salt, F.explode(F.when(is_heavy, F.sequence(F.lit(0), F.lit(spread - 1)))
+                                                 .otherwise(F.array(F.lit(0)))))
+    else:
+        right = right.withColumn(salt, F.when(F.col(key).isNull(), F.lit(1)).otherwise(F.lit(0)))
+    return salted.join(right, [key, salt], how).drop(salt)

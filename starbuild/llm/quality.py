@@ -84,7 +84,8 @@ def passage_inputs(words: list[bytes]) -> np.ndarray:
     b = a.astype(np.uint32)
     if len(b) > 2:
         h = ((b[:-2] << np.uint32(16)) | (b[1:-1] << np.uint32(8)) | b[2:]) * np.uint32(0x9E3779B1)
-        grams = np.bincount(own[:-2] * BUCKETS + (h >> np.uint32(24)), minlength=n * BUCKETS)
+        slot = own[:-2] * BUCKETS + (h >> np.uint32(24))
+        grams = np.bincount(slot[own[:-2] == own[2:]], minlength=n * BUCKETS)   # inside one passage
         grams = np.sqrt(grams.reshape(n, BUCKETS).astype(np.float32))
         x[:, :BUCKETS] = grams / np.maximum(np.linalg.norm(grams, axis=1, keepdims=True), 1e-6)
     size = np.maximum(np.bincount(own, minlength=n), 1)

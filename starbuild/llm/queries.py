@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starbuild.llm import bpe, embeddings, mixing, quality, rules, simhash, token_count, toxicity, url_rules
+from starbuild.llm import backoff, bpe, embeddings, mixing, quality, rules, simhash, token_count, toxicity, url_rules
 from starbuild.llm.common import fold, table
 
 #: The contract's host rules (longest wins, tier 1), and the general block
@@ -31,6 +31,14 @@ def op1_quality_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "n_repeat_words", "base_failed", "kept")
 
 
+def op2_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trigram stupid-backoff score of every document under the whole corpus."""
+    found = backoff.scores(table(spark, sf_dir, "documents"), order=3, discount=0.4, min_count=2)
+    mean = F.when(F.col("n_words") > 0, F.round(F.col("log_score") / F.col("n_words"), 4))
+    return found.select(F.col("id").alias("doc_id"), "n_words", F.round("log_score", 3).alias("log_score"),
+                        mean.alias("mean_log_score"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Heap-and-linked-list byte-pair token counts of every document."""
     return token_count.token_counts(table(spark, sf_dir, "documents"), VOCABULARY)
@@ -87,6 +95,7 @@ def op10_toxicity_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_thresholds": op1_quality_thresholds,
+    "op2_backoff_scores": op2_backoff_scores,
     "op3_token_counts": op3_token_counts,
     "op4_bpe_automaton": op4_bpe_automaton,
     "op5_simhash_vptree": op5_simhash_vptree,
@@ -100,6 +109,30 @@ QUERIES = {
 #: Learned scores, merges, automata, fingerprints, sphere and cell searches
 #: and random draws have no SQL; their tests compare with brute force.
 ORACLE: dict[str, str] = {
+    "op2_backoff_scores": r"""
+with texts as (
+    select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws
+    from documents),
+spots as (select doc_id, ws, unnest(range(1, len(ws) + 1)) as i from texts),
+grams as (
+    select doc_id, ws[i] as w, case when i > 1 then ws[i - 1] end as v, case when i > 2 then ws[i - 2] end as u
+    from spots),
+c1 as (select w, count(*) as c from grams group by all),
+c2 as (select v, w, count(*) as c from grams where v is not null group by all),
+c3 as (select u, v, w, count(*) as c from grams where u is not null group by all),
+sums as (
+    select g.doc_id, sum(log10(case when c3.c >= 2 then c3.c / past2.c when c2.c >= 2 then 0.4 * c2.c / past1.c
+                                    else 0.4 * 0.4 * c1.c / (select sum(c) from c1) end)) as s
+    from grams g join c1 on c1.w = g.w
+    left join c2 on c2.v = g.v and c2.w = g.w
+    left join c3 on c3.u = g.u and c3.v = g.v and c3.w = g.w
+    left join c2 past2 on past2.v = g.u and past2.w = g.v
+    left join c1 past1 on past1.w = g.v
+    group by all)
+select t.doc_id, len(t.ws) as n_words, round(coalesce(s.s, 0), 3) as log_score,
+       case when len(t.ws) > 0 then round(s.s / len(t.ws), 4) end as mean_log_score
+from texts t left join sums s on s.doc_id = t.doc_id
+""",
     "op8_url_rules": r"""
 with parts as (
     select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest

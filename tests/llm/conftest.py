@@ -1,8 +1,11 @@
 import os
+import sys
 
 import pytest
 from pyspark.sql import types as T
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 SF = "/root/testdata/sf0.001"
 
 DOC = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),

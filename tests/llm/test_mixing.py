@@ -3,26 +3,11 @@ import re
 from collections import defaultdict
 
 from starbuild.llm import mixing
+from tests_llm_helpers import slow_targets
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def slow_targets(size, most=3):
-    """Excess over `most` times the size goes to the others by weight."""
-    names = sorted((s for s in size if s is not None), key=lambda s: s.encode()) + [None] * (None in size)
-    weight = {s: 1 + i % 3 for i, s in enumerate(names)}
-    total, target, free = sum(size.values()), {}, set(names)
-    while free:
-        rest = total - sum(target.values())
-        level = rest / sum(weight[s] for s in free)
-        over = {s for s in free if weight[s] * level >= most * size[s]}
-        if not over:
-            return target | {s: weight[s] * level for s in free}
-        target |= {s: float(most * size[s]) for s in over}
-        free -= over
-    return target
-
-
 def check(rows, docs, tolerance):
     size, taken = defaultdict(int), defaultdict(int)
     for _, text, source in docs:

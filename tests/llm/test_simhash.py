@@ -1,29 +1,10 @@
 """SimHash groups against brute force over all pairs."""
 import numpy as np
 import pytest
-import xxhash
 
 from starbuild.llm import simhash
 from starbuild.llm.components import components
-
-
-def slow_fingerprint(text):
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    grams = [b" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))]
-    h = [xxhash.xxh64_intdigest(g, 42) for g in grams]
-    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
-
-
-def slow_groups(prints, reach):
-    """prints: list of (id, unsigned fingerprint); smallest id reachable."""
-    low = [i for i, _ in prints]
-    while True:
-        new = [min([low[j] for j, (_, g) in enumerate(prints) if (f ^ g).bit_count() <= reach]) for _, f in prints]
-        if new == low:
-            return low
-        low = new
+from tests_llm_helpers import slow_fingerprint, slow_groups
 
 
 def test_whole_table(spark, sf_dir):
