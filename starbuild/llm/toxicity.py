@@ -89,15 +89,15 @@ def fit_arrays(rows: list[np.ndarray], y: np.ndarray, bits: int, steps: int = 60
     bias = float(np.log(share / (1 - share)))
     if n == 0 or y.min() == y.max():
         return ToxicityModel(np.zeros(size), np.zeros(size), bias, bits)
-    idx, own = np.concatenate(rows), np.repeat(np.arange(n), [len(r) for r in rows])
-    hot = y[own] == 1
-    extra = np.array([share, 1 - share]) * SMOOTHING
-    p = np.bincount(idx[hot], minlength=size) + extra[0]
-    q = np.bincount(idx[~hot], minlength=size) + extra[1]
-    ratio = np.log(p / (y.sum() + extra[0])) - np.log(q / ((1 - y).sum() + extra[1]))
+    counts = np.zeros((2, size))
+    for r, label in zip(rows, y):                      # a row has each bucket once
+        counts[int(label), r] += 1
+    extra = np.array([1 - share, share]) * SMOOTHING
+    q, p = counts + extra[:, None]
+    ratio = np.log(p / (y.sum() + extra[1])) - np.log(q / ((1 - y).sum() + extra[0]))
     ratio[np.abs(ratio) < NOISE * np.sqrt(1 / np.maximum(p, 0.5) + 1 / np.maximum(q, 0.5))] = 0.0
-    told = ratio[idx] != 0
-    idx, own = idx[told], own[told]
+    told = [r[ratio[r] != 0] for r in rows]            # few buckets say anything
+    idx, own = np.concatenate(told), np.repeat(np.arange(n), [len(r) for r in told])
     v = ratio[idx]
     v = v / (np.sqrt(np.bincount(own, weights=v * v, minlength=n)) + 1e-9)[own]
     w, m, s = np.zeros(size), np.zeros(size + 1), np.zeros(size + 1)
