@@ -39,7 +39,7 @@ from starbuild.llm.common import WORD_PATTERN, checkpointed, heavy_keys, spread_
 from starbuild.operators.sequence import with_sequence_id
 
 #: Rounds of the permutation, documents per packing bucket, slots made by one row.
-ROUNDS, BUCKET_DOCS, CHUNK = 24, 20_000, 1024
+ROUNDS, BUCKET_DOCS, CHUNK = 24, 2000, 1024
 
 
 def word_count(text: Column) -> Column:
@@ -89,12 +89,13 @@ def mix(documents: DataFrame, weights: Sequence[int] = (1, 2, 3), most: int = 3,
                                 F.coalesce(F.sum("docs"), F.lit(0))).first()
     sources = _targets(sources, total, most)
 
-    buckets = -(-n_docs // BUCKET_DOCS) or 1
-    rows = spread_join(sizes, sources.select("key", "s", "source_size", "target"), "key",
+    # a source has as many buckets as its documents need, so all are about equal
+    buckets = F.greatest(F.ceil(F.col("docs") / BUCKET_DOCS), F.lit(1)).cast("long").alias("buckets")
+    rows = spread_join(sizes, sources.select("key", "s", "source_size", "target", buckets), "key",
                        heavy_keys(sources, "key", "docs", n_docs), "inner").drop("key")
     stream = Window.partitionBy("s", "bucket").orderBy("text_hash", "id", "size")
     packed = (rows.where("size > 0")
-              .withColumn("bucket", F.pmod(F.xxhash64("id", "text_hash", F.lit(seed)), F.lit(buckets)).cast("int"))
+              .withColumn("bucket", F.pmod(F.xxhash64("id", "text_hash", F.lit(seed)), F.col("buckets")).cast("int")).drop("buckets")
               .withColumn("end", F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, 0))))
     packed = written(packed, "mix-packed")
     made = packed.groupBy("s", "bucket").agg(F.sum("size").alias("words"))
@@ -157,7 +158,9 @@ def _drawn_blocks(sources: DataFrame, most: int, shard_blocks: int, seed: int) -
     counts = counts.unionByName(drawn).groupBy("s", "shard").agg(F.sum("c").alias("c"))
     numbered = counts.withColumn("j", F.sum("c").over(
         Window.partitionBy("s").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)) - F.col("c"))
-    # chunks of slots are spread over the cluster before they are written out
+    # chunks of slots are spread over the cluster before they are written out; a
+    # stated number of partitions is not merged again for the rows being few
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     numbered = (numbered.where("c > 0")
                 .withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("c") - 1, F.lit(CHUNK).cast("long"))))
                 .select("s", (F.col("j") + F.col("at")).alias("j"),
@@ -165,7 +168,7 @@ def _drawn_blocks(sources: DataFrame, most: int, shard_blocks: int, seed: int) -
                 .join(sources.select("s", "blocks"), "s")
                 .withColumn("keys", F.transform(F.sequence(F.lit(1), F.lit(ROUNDS)), lambda r: F.pmod(
                     F.xxhash64(F.col("s"), r, F.lit(seed)), F.col("blocks"))))
-                .repartition("s", "j"))
+                .repartition(parts, "s", "j"))
     slot = (numbered.withColumn("slot", F.explode(F.sequence(F.col("j"), F.col("j") + F.col("c") - 1)))
             .where(F.col("slot") < F.col("blocks") * most)
             .withColumn("start", F.pmod(F.col("slot") + F.pmod(F.xxhash64(
