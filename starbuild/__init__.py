@@ -13,7 +13,6 @@ Sub-packages:
 * ``sources``   — readers, Parquet sinks, schema contracts and the
   label-dictionary text job.
 * ``plans``     — the end-to-end star build and the query catalog.
-* ``streaming`` — intentionally empty (the reference has no streams).
 """
 
 __version__ = "0.1.0"

@@ -67,7 +67,7 @@ def decode_epoch_days(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 
 def parse_pattern_dates(df: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
     """Replace text columns by dates parsed with a per-column pattern,
-    e.g. ``{"dtaddto": "MMddyyyy", "dtadfile": "yyyyMMdd"}``."""
+    e.g. ``{"valid_until": "MMddyyyy", "filed_on": "yyyyMMdd"}``."""
     return _replace(df, {c: pattern_to_date(F.col(f"`{c}`"), p) for c, p in patterns.items()})
 
 

@@ -129,21 +129,25 @@ def date_dimension(sources: DataFrame | Sequence[tuple[DataFrame, Sequence[str]]
     return dates.select(_c(name), *[v.alias(k) for k, v in calendar_parts(_c(name)).items()])
 
 
+def flag_combinations(df: DataFrame, flags: Sequence[str], rows: str = "rows") -> DataFrame:
+    """Distinct complete combinations of ``flags`` with the number of rows of
+    each (partial sums before the shuffle).  Rows with a NULL flag are left
+    out (so they never match in the fact join)."""
+    return (df.select(*[_c(f) for f in flags]).dropna(how="any")
+            .groupBy(*[_c(f) for f in flags]).agg(F.count(F.lit(1)).alias(rows)))
+
+
+def rank_combinations(combos: DataFrame, flags: Sequence[str], key: str, start: int = 0,
+                      num_partitions: int | None = None) -> DataFrame:
+    """Surrogate ``key`` = ``start`` + rank in flag order — deterministic across
+    runs and partitionings, unlike ``monotonically_increasing_id`` — computed
+    without a single-partition window (see ``with_sequence_id``;
+    ``num_partitions`` defaults to the shuffle partition count)."""
+    return with_sequence_id(combos.select(*[_c(f) for f in flags]), list(flags), key, start=start,
+                            num_partitions=num_partitions)
+
+
 def combination_dimension(df: DataFrame, flags: Sequence[str], key: str = "status_flag_id",
                           start: int = 0, num_partitions: int | None = None) -> DataFrame:
-    """Distinct complete combinations of ``flags`` with a surrogate key.
-
-    Rows with a NULL flag are left out (so they never match in the fact
-    join).  The key is the rank of the combination in flag order —
-    deterministic across runs and partitionings, unlike
-    ``monotonically_increasing_id`` — computed without a single-partition
-    window (see ``with_sequence_id``).
-    """
-    combos = df.select(*[_c(f) for f in flags]).dropna(how="any").distinct()
-    # Flag combinations are few; ranking them over thousands of range
-    # partitions (a cluster's shuffle partition count) would only schedule
-    # empty tasks.  The count is fixed, not left to AQE, because both
-    # consumers of the ranged data must see the same partition ids.
-    if num_partitions is None:
-        num_partitions = min(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return with_sequence_id(combos, list(flags), key, start=start, num_partitions=num_partitions)
+    """Distinct complete combinations of ``flags`` with a surrogate key."""
+    return rank_combinations(flag_combinations(df, flags), flags, key, start, num_partitions)

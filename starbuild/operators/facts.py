@@ -8,56 +8,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starbuild.operators.columns import project
-from starbuild.operators.joins import null_salted_left_join
+from starbuild.operators.joins import hashable_columns, salted_left_join
 
 
 def attach_dimension_key(fact: DataFrame, dim: DataFrame, on: Sequence[str], key: str,
-                         as_name: str | None = None, broadcast: bool = False,
-                         null_salt_buckets: int | None = None) -> DataFrame:
+                         as_name: str | None = None, salt_by: Sequence[str] | None = None,
+                         hot: Sequence[int] = (), salt_buckets: int | None = None) -> DataFrame:
     """Left-join ``dim[key]`` onto ``fact`` by the shared columns ``on``.
 
     Fact rows with a NULL in any join column keep a NULL key (NULL never
     equals NULL).  Every fact row is kept exactly once provided the dim is
     unique on ``on`` (true for ``combination_dimension``).
 
-    ``broadcast=True`` adds a broadcast hint; only pass it for a dim whose
-    size was checked (``sized_for_broadcast``).  Otherwise the join is a
-    shuffle join (or AQE demotes it at runtime), and one more join key
-    protects it from NULL skew: rows with a NULL flag can only hash on
-    their remaining flags, which have few values, so they pile onto a few
-    partitions (onto one if every flag is NULL).  They get a salt in
-    ``1..null_salt_buckets`` (default: the shuffle partition count) while
-    every other row and the whole dimension get 0 — NULL rows spread out
-    and still match nothing.  ``0`` turns the salt off.
+    There is one join for every size of ``dim``; Spark broadcasts it or not
+    from its bytes.  In case it does not, ``salt_by`` (the fact key's columns)
+    spreads fact rows that would pile onto few partitions: rows with a NULL
+    flag, which can only hash on their remaining flags, and rows of the ``hot``
+    combinations (see ``salted_left_join``).  Without ``salt_by`` every
+    column that can be hashed is used; columns of other types (maps) only
+    travel along.
     """
-    d = dim.select(*[F.col(f"`{c}`") for c in on], F.col(f"`{key}`"))
-    if broadcast or null_salt_buckets == 0:
-        j = fact.join(F.broadcast(d) if broadcast else d, list(on), "left")
-        out = j.select(*[F.col(f"`{c}`") for c in fact.columns], F.col(f"`{key}`"))
-    else:
-        out = null_salted_left_join(
-            fact, d.select(*[F.col(f"`{c}`").alias(f"_d_{c}") for c in on], F.col(f"`{key}`")),
-            [(c, f"_d_{c}") for c in on], null_salt_buckets)
-        out = out.drop(*[f"_d_{c}" for c in on])
+    d = dim.select(*[F.col(f"`{c}`").alias(f"_d_{c}") for c in on], F.col(f"`{key}`"))
+    out = salted_left_join(fact, d, [(c, f"_d_{c}") for c in on], salt_by or hashable_columns(fact),
+                           hot, salt_buckets)
+    out = out.drop(*[f"_d_{c}" for c in on])
     if as_name and as_name != key:
         out = out.withColumnRenamed(key, as_name)
     return out
 
 
-def sized_for_broadcast(dim: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Check that ``dim`` has at most ``max_rows`` rows (an action that reads
-    at most ``max_rows + 1`` rows) and say whether it may be broadcast.
-
-    Call it on a materialised dimension (written table or checkpoint) so
-    the check does not recompute the dimension from the fact source.
-    """
-    n = dim.limit(max_rows + 1).count()
-    return dim, n <= max_rows
-
-
 def build_fact(fact: DataFrame, dim: DataFrame, on: Sequence[str], key: str,
                layout: Sequence[tuple[str, str, str | None]],
-               broadcast: bool = False) -> DataFrame:
+               salt_by: Sequence[str] | None = None, hot: Sequence[int] = ()) -> DataFrame:
     """Join the combination key, then select/rename/cast/reorder to ``layout``
     (``(target, source, type)`` triples; ``source`` may be the dim key)."""
-    return project(attach_dimension_key(fact, dim, on, key, broadcast=broadcast), layout)
+    return project(attach_dimension_key(fact, dim, on, key, salt_by=salt_by, hot=hot), layout)

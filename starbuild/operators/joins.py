@@ -6,65 +6,118 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starbuild.functions.casts import safe_cast
 
 
-def null_salted_left_join(left: DataFrame, right: DataFrame,
-                          keys: Sequence[tuple[str, str]],
-                          buckets: int | None = None) -> DataFrame:
-    """``left LEFT JOIN right ON left.a = right.b AND ...`` for a shuffle
-    join, without sending all left rows with a NULL key to one partition.
+def hashable_columns(df: DataFrame) -> list[str]:
+    """Columns whose types Spark can hash (a map, at any depth, it cannot)."""
+    return [f.name for f in df.schema.fields if not re.search(r"\b(map|variant)\b", f.dataType.simpleString())]
 
-    Such rows cannot match; they get a salt ``1..buckets`` from a row hash
-    as one more join key, while other left rows and every right row get 0.
-    ``right`` must not have columns named like ``left``'s.
+
+def key_hash(columns: Sequence[str]) -> Column:
+    """64-bit hash of a join key, the same on both sides of a join."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+
+
+def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]],
+                     salt_by: Sequence[str], hot: Sequence[int] = (),
+                     buckets: int | None = None, how: str = "left") -> DataFrame:
+    """``left JOIN right ON left.a = right.b AND ...`` without sending all left
+    rows of a hot or NULL key to one partition.
+
+    Left rows with a NULL key cannot match; left rows whose key hash is in
+    ``hot`` (at most a few thousand values of ``key_hash``) are too many for one
+    task.  Both get a salt ``1..buckets`` (default: the shuffle partition count)
+    from a hash of ``salt_by``, the right rows of hot keys are repeated for
+    every salt, and all other rows have salt 0.  The salt only decides where
+    rows meet: the result and the accepted inputs are those of a plain join,
+    whichever join Spark picks from the sides' bytes.  ``right`` must not have
+    columns named like ``left``'s; two keys of one hash are both salted.
     """
     buckets = buckets or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     any_null = F.lit(False)
     for a, _ in keys:
         any_null = any_null | F.col(f"`{a}`").isNull()
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-    lf = left.withColumn("_lsalt", F.when(any_null, F.pmod(row_hash, F.lit(buckets)) + 1)
-                         .otherwise(F.lit(0).cast("long")))
+    spread = any_null
+    if hot:
+        spread = spread | key_hash([a for a, _ in keys]).isin(list(hot))
+    salt = F.pmod(key_hash(list(salt_by)), F.lit(buckets)) + 1
+    lf = left.withColumn("_lsalt", F.when(spread, salt).otherwise(F.lit(0).cast("long")))
     # A constant 0 (even ``hash * 0``, which the optimizer simplifies) would
     # be folded into a non-equi join condition, leaving the salt out of the
     # shuffle keys.  ``least(bit_count(hash), 0)`` is always 0 (a bit count
     # is never negative) but opaque to the optimizer.
-    h = F.xxhash64(*[F.col(f"`{b}`") for _, b in keys])
-    rt = right.withColumn("_rsalt", F.least(F.bit_count(h), F.lit(0)).cast("long"))
+    h = key_hash([b for _, b in keys])
+    zero = F.least(F.bit_count(h), F.lit(0)).cast("long")
+    if hot:
+        many = F.sequence(F.lit(1).cast("long"), F.lit(buckets).cast("long"))
+        zero = F.explode(F.when(h.isin(list(hot)), many).otherwise(F.array(zero)))
+    rt = right.withColumn("_rsalt", zero)
     cond = [F.col(f"`{a}`") == F.col(f"`{b}`") for a, b in keys]
     cond.append(F.col("_lsalt") == F.col("_rsalt"))
-    return lf.join(rt, cond, "left").drop("_lsalt", "_rsalt")
+    return lf.join(rt, cond, how).drop("_lsalt", "_rsalt")
+
+
+def hot_keys(df: DataFrame, columns: Sequence[str], share: float = 0.001, least: int = 100_000) -> list[int]:
+    """Hashes of the keys that hold more than ``share`` of all rows (and more
+    than ``least``): at most ``1 / share`` values, whatever the data."""
+    counts = df.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.count(F.lit(1)).alias("_n"))
+    return hot_of_counts(counts, columns, "_n", share, least)
+
+
+def hot_of_counts(counts: DataFrame, columns: Sequence[str], n: str, share: float = 0.001,
+                  least: int = 100_000) -> list[int]:
+    """``hot_keys`` from a table that already counts the rows of every key.
+    Counts of at most ``least`` rows never need spreading, so the total is
+    asked for only if one is larger."""
+    large = [(r[0], r[1]) for r in counts.where(F.col(n) > least)
+             .select(key_hash(list(columns)), n).orderBy(F.col(n).desc()).limit(int(1 / share)).collect()]
+    if not large:
+        return []
+    total = counts.agg(F.sum(n)).first()[0]
+    return [h for h, m in large if m > share * total]
 
 
 def prefix_key_join(left: DataFrame, left_col: str, right: DataFrame, right_col: str,
-                    prefix: str, key_type: str | None = None, how: str = "inner") -> DataFrame:
+                    prefix: str, key_type: str | None = None, how: str = "inner",
+                    hot: Sequence[int] = ()) -> DataFrame:
     """Join ``left[left_col]`` to ``right[right_col]`` with ``prefix``
     removed from the start of the right-hand value (e.g. ``US-CA`` -> ``CA``),
-    optionally cast to ``key_type``.  Right rows whose key does not parse
-    get a NULL key and match nothing."""
+    optionally cast to ``key_type``.
+
+    Right rows whose key does not parse get a NULL key and match nothing.  Two
+    right values may have the same key without the prefix (``US-CA`` and
+    ``CA``): the row with the smallest ``right_col`` stands for the key, so a
+    left row never appears twice.  Left rows of NULL keys and of the ``hot``
+    keys (see ``hot_keys``) are spread over many tasks."""
     key = F.regexp_replace(F.col(f"`{right_col}`"), "^" + re.escape(prefix), "")
     if key_type is not None:
         key = safe_cast(key, key_type)
-    r = right.withColumn("_rk", key)
-    return left.join(r, F.col(f"`{left_col}`") == F.col("_rk"), how).drop("_rk")
+    row = F.struct(*[F.col(f"`{c}`") for c in right.columns])
+    r = (right.select(key.alias("_rk"), F.col(f"`{right_col}`").alias("_order"), row.alias("_row"))
+         .where(F.col("_rk").isNotNull()).groupBy("_rk").agg(F.min_by("_row", "_order").alias("_row"))
+         .select("_rk", "_row.*"))
+    salt_by = hashable_columns(left)
+    return salted_left_join(left, r, [(left_col, "_rk")], salt_by, hot, how=how).drop("_rk")
 
 
 def fill_from_lookup(df: DataFrame, target: str, key: str, lookup: DataFrame,
-                     lookup_key: str, lookup_value: str) -> DataFrame:
+                     lookup_key: str, lookup_value: str, salt_by: Sequence[str] | None = None,
+                     hot: Sequence[int] = ()) -> DataFrame:
     """Fill NULLs of ``target`` with ``lookup_value`` of the lookup row whose
     ``lookup_key`` equals ``df[key]``; present values are kept.
 
     The lookup is reduced to one value per key first (the smallest, so the
     result is deterministic), which also guarantees the left join cannot
-    duplicate rows; rows with a NULL key are spread by a salt rather than
-    shuffled to one partition (``null_salted_left_join``).
+    duplicate rows; rows with a NULL key, or one of the ``hot`` keys, are
+    spread by a salt from ``salt_by`` (default: every column that can be
+    hashed) rather than shuffled to one partition (``salted_left_join``).
     """
     lk = (lookup.groupBy(F.col(f"`{lookup_key}`").alias("_lk"))
           .agg(F.min(F.col(f"`{lookup_value}`")).alias("_lv")))
-    joined = null_salted_left_join(df, lk, [(key, "_lk")])
+    joined = salted_left_join(df, lk, [(key, "_lk")], salt_by or hashable_columns(df), hot)
     return joined.select(*[F.coalesce(F.col(f"`{c}`"), F.col("_lv")).alias(c) if c == target
                            else F.col(f"`{c}`") for c in df.columns])

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, IntegralType, NumericType
+from pyspark.sql.types import DecimalType, FractionalType, IntegralType, NumericType
 
 from starbuild.operators.sequence import single_materialization
 
@@ -133,6 +133,7 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None,
     with their shares of the row count:
     ``(column, rows, unique_values, missing, unique_ratio, missing_ratio)``."""
     cols = list(columns or df.columns)
+    df = df.select(*[_value(df, c).alias(c) for c in cols])       # NaN is missing, too
     base = _long(df, cols, {
         "rows": lambda c: F.count(F.lit(1)),
         "missing": lambda c: F.count(F.lit(1)) - F.count(c),
@@ -145,75 +146,97 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None,
                        .alias("missing_ratio"))
 
 
-def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(column, value, m)``: every distinct non-null value of every listed
-    numeric column (as a double) with its multiplicity.
+def _value(df: DataFrame, c: str) -> Column:
+    """A column with NaN as NULL: both mean a missing value."""
+    if isinstance(df.schema[c].dataType, FractionalType) and not isinstance(df.schema[c].dataType, DecimalType):
+        return F.when(~F.isnan(_c(c)), _c(c))
+    return _c(c)
+
+
+def _kinds(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
+    """Columns by the type that holds all their values exactly: ``bigint``,
+    a decimal with the largest scale, or ``double``."""
+    out: dict[str, list[str]] = {}
+    types = {c: df.schema[c].dataType for c in columns}
+    scale = max((t.scale for t in types.values() if isinstance(t, DecimalType)), default=0)
+    for c, t in types.items():
+        kind = ("bigint" if isinstance(t, IntegralType)
+                else f"decimal(38,{scale})" if isinstance(t, DecimalType) else "double")
+        out.setdefault(kind, []).append(c)
+    return out
+
+
+def value_counts(df: DataFrame, columns: Sequence[str], kind: str = "double") -> DataFrame:
+    """``(column, value, m)``: every distinct value of every listed numeric
+    column, as ``kind``, with its multiplicity; NULL and NaN are left out.
 
     One partial/final aggregate per column, keyed by the value alone (a
     narrower hash key than ``(column, value)`` over stacked rows, and with
     a columnar source each reads only its column); a value that holds a
-    third of all rows is combined inside each map task.  Values are exact
-    as doubles up to 2**53 in magnitude.
+    third of all rows is combined inside each map task.
     """
-    parts = [df.select(_c(c).cast("double").alias("value")).filter(F.col("value").isNotNull())
+    parts = [df.select(_value(df, c).cast(kind).alias("value")).filter(F.col("value").isNotNull())
              .groupBy("value").agg(F.count(F.lit(1)).alias("m"))
              .select(F.lit(c).alias("column"), "value", "m")
              for c in columns]
     return _union_all(parts)
 
 
-def quantiles_from_counts(counts: DataFrame, probs: Sequence[float] = (0.25, 0.5, 0.75),
-                          num_partitions: int | None = None) -> DataFrame:
-    """Exact linearly interpolated quantiles (``quantile_cont``) from a
-    ``value_counts`` table, without gathering a column into one task.
-
-    The counts are range-partitioned on ``(column, value)`` and ranked with
-    a running sum inside each partition plus per-partition offsets.  Each
-    range partition covers a contiguous stretch of ``(column, value)``, so
-    there are at most ``partitions + columns - 1`` (partition, column)
-    segments: the offsets table is bounded by configuration and schema,
-    never by the data, and broadcasting it is safe.  Only rows holding the
-    ranks next to a requested quantile survive the final filter.  Returns
-    ``(column, p, value)``.
+def ranked_profile(counts: DataFrame, probs: Sequence[float] = (0.25, 0.5, 0.75),
+                   num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(column, p, value)`` and ``(column, unique_values)`` from a
+    ``value_counts`` table: exact linearly interpolated quantiles
+    (``quantile_cont``) without gathering a column into one task.
+
+    The counts are range-partitioned on ``(column, value)`` once.  A range
+    partition covers a contiguous stretch, so there are at most ``partitions +
+    columns - 1`` (partition, column) segments, a table bounded by
+    configuration and schema; its sums say how many distinct values a column
+    has and which segments hold the ranks next to a quantile.  Only those
+    segments (at most two per quantile) are ranked.
     """
     spark = counts.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = single_materialization(counts.repartitionByRange(n, "column", "value")
-                                    .sortWithinPartitions("column", "value")) \
-        .withColumn("_pid", F.spark_partition_id())
-    running = ranged.withColumn(
-        "_run", F.sum("m").over(Window.partitionBy("_pid", "column").orderBy("value")
-                                .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    seg = ranged.groupBy("_pid", "column").agg(F.sum("m").alias("_seg"))
-    offsets = seg.select(
-        "_pid", "column",
-        (F.sum("_seg").over(Window.partitionBy("column").orderBy("_pid")) - F.col("_seg"))
-        .alias("_off"),
-        F.sum("_seg").over(Window.partitionBy("column")).alias("_total"))
-    ranked = (running.join(F.broadcast(offsets), ["_pid", "column"])
-              .select("column", "value", "_total",
-                      (F.col("_off") + F.col("_run") - F.col("m")).alias("_lo"),  # first rank, 0-based
-                      (F.col("_off") + F.col("_run")).alias("_hi")))              # one past last rank
-    ps = F.array(*[F.lit(float(p)) for p in probs])
-    # For each p: h = p * (N - 1); the ranks needed are floor(h) and ceil(h).
-    with_p = ranked.select("*", F.explode(ps).alias("p"))
+                                    .withColumn("_pid", F.spark_partition_id()))
+    by_column = Window.partitionBy("column")
+    segments = (ranged.groupBy("_pid", "column").agg(F.sum("m").alias("_m"), F.count(F.lit(1)).alias("_k"))
+                .withColumn("_end", F.sum("_m").over(by_column.orderBy("_pid")))
+                .withColumn("_total", F.sum("_m").over(by_column)))
+    unique = segments.groupBy("column").agg(F.sum("_k").alias("unique_values"))
+    # for each p the ranks floor(h) and ceil(h), h = p * (N - 1), found in the small table
     h = F.col("p") * (F.col("_total") - 1)
-    has_lo = (F.floor(h) >= F.col("_lo")) & (F.floor(h) < F.col("_hi"))
-    has_hi = (F.ceil(h) >= F.col("_lo")) & (F.ceil(h) < F.col("_hi"))
-    hit = with_p.filter(has_lo | has_hi).select(
-        "column", "p", "_total",
-        F.when(has_lo, F.col("value")).alias("_vlo"),
-        F.when(has_hi, F.col("value")).alias("_vhi"))
-    g = hit.groupBy("column", "p").agg(F.max("_vlo").alias("_vlo"), F.max("_vhi").alias("_vhi"),
-                                         F.first("_total").alias("_total"))
-    frac = F.col("p") * (F.col("_total") - 1) - F.floor(F.col("p") * (F.col("_total") - 1))
-    return g.select("column", "p",
-                    (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias("value"))
+    wanted = (segments.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+              .withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor(h), F.ceil(h)))))
+              .where((F.col("_rank") >= F.col("_end") - F.col("_m")) & (F.col("_rank") < F.col("_end")))
+              .select("_pid", "column", "p", "_rank", "_total", (F.col("_end") - F.col("_m")).alias("_off")))
+    held = wanted.groupBy("_pid", "column", "_off").agg(
+        F.collect_set(F.struct("p", "_rank", "_total")).alias("_wanted"))       # at most 2 * len(probs)
+    stretch = Window.partitionBy("_pid", "column").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (ranged.join(F.broadcast(held), ["_pid", "column"])
+              .withColumn("_hi", F.col("_off") + F.sum("m").over(stretch)))
+    low = F.col("_hi") - F.col("m")
+    hit = (ranked.withColumn("_got", F.filter("_wanted", lambda w: (w["_rank"] >= low) & (w["_rank"] < F.col("_hi"))))
+           .where(F.size("_got") > 0).select("column", "value", F.explode("_got").alias("g")))
+    hit = hit.select("column", F.col("value").cast("double").alias("value"), "g.p", "g._rank", "g._total")
+    pos = F.col("p") * (F.col("_total") - 1)
+    ends = hit.groupBy("column", "p").agg(
+        F.max(F.when(F.col("_rank") == F.floor(pos), F.col("value"))).alias("lo"),
+        F.max(F.when(F.col("_rank") == F.ceil(pos), F.col("value"))).alias("hi"),
+        F.first(pos - F.floor(pos)).alias("part"))
+    return ends.select("column", "p", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias("value")), unique
+
+
+def quantiles_from_counts(counts: DataFrame, probs: Sequence[float] = (0.25, 0.5, 0.75),
+                          num_partitions: int | None = None) -> DataFrame:
+    """``(column, p, value)``: the quantiles of ``ranked_profile``."""
+    return ranked_profile(counts, probs, num_partitions)[0]
 
 
 def columns_with_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Columns holding at least one NULL: ``(column, missing)`` (one pass)."""
+    """Columns holding at least one NULL or NaN: ``(column, missing)`` (one pass)."""
     cols = list(columns or df.columns)
+    df = df.select(*[_value(df, c).alias(c) for c in cols])
     return _long(df, cols, {"missing": lambda c: F.count(F.lit(1)) - F.count(c)},
                  batch=max(len(cols), 1)).filter(F.col("missing") > 0)
 
@@ -222,48 +245,52 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str],
                     probs: Sequence[float] = (0.25, 0.5, 0.75),
                     num_partitions: int | None = None) -> DataFrame:
     """Exact interpolated quantiles of numeric columns: ``(column, p, value)``."""
-    return quantiles_from_counts(value_counts(df, list(columns)), probs, num_partitions)
-
+    return _union_all([quantiles_from_counts(value_counts(df, cols, kind), probs, num_partitions)
+                       for kind, cols in _kinds(df, columns).items()])
 
-def _exact_input(dtype) -> bool:
-    return isinstance(dtype, (IntegralType, DecimalType))
 
+def _pivots(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """A value near each integral or decimal column's values (from its first
+    rows; any value will do)."""
+    exact = [c for c in columns if isinstance(df.schema[c].dataType, (IntegralType, DecimalType))]
+    if not exact:
+        return {}
+    row = df.select(*[_c(c) for c in exact]).limit(100).agg(*[F.min(_c(c)).alias(f"p{i}") for i, c in enumerate(exact)]).first()
+    return {c: row[i] for i, c in enumerate(exact) if row[i] is not None}
 
-def _wide_decimal(c: Column, dtype) -> Column:
-    """Integral and decimal values as a decimal wide enough for exact sums
-    and squares (integers keep scale 0, decimals keep their scale)."""
-    if isinstance(dtype, DecimalType):
-        # Widen only: a narrowing cast could overflow.
-        return c.cast(DecimalType(min(38, max(dtype.precision, 20)), dtype.scale))
-    return c.cast(DecimalType(38, 0))
 
-
-def _moments(c: Column, dtype) -> dict[str, Column]:
+def _moments(c: Column, dtype, pivot) -> dict[str, Column]:
     """Mean and sample standard deviation.
 
-    Integral and decimal columns use exact decimal sums (``try_sum``:
-    NULL on overflow instead of an error), so the result does not depend on
-    how rows are split into partitions; the final arithmetic is a fixed
-    sequence of double operations.  Double columns use Spark's streaming
-    ``avg`` / ``stddev_samp``.
+    Deviations of integral and decimal columns are taken from ``pivot``, an
+    ordinary value of the column, exactly (as decimals) before they become
+    doubles, so values that are large against their spread (epoch
+    milliseconds, 64-bit ids) lose nothing; Spark's ``stddev_samp`` then sums
+    squares of deviations from the running mean.  The mean comes from an exact
+    decimal sum; if that overflows, from the doubles.
     """
-    if not _exact_input(dtype):
-        return {"mean": F.avg(c.cast("double")), "std": F.stddev_samp(c.cast("double"))}
-    x = _wide_decimal(c, dtype)
-    n = F.count(c).cast("double")
-    s1 = F.try_sum(x).cast("double")
-    s2 = F.try_sum(x * x).cast("double")
-    var = F.try_divide(s2 - s1 * s1 / n, n - F.lit(1.0))
-    return {"mean": F.try_divide(s1, n), "std": F.sqrt(F.greatest(var, F.lit(0.0)))}
+    if pivot is None:
+        x = c.cast("double")
+        return {"mean": F.avg(x), "std": F.stddev_samp(x)}
+    wide = c.cast(DecimalType(38, dtype.scale if isinstance(dtype, DecimalType) else 0))
+    apart = (wide - F.lit(pivot).cast(wide_type(dtype))).cast("double")
+    mean = F.try_divide(F.try_sum(wide).cast("double"), F.count(c).cast("double"))
+    return {"mean": F.coalesce(mean, F.avg(c.cast("double"))), "std": F.stddev_samp(apart)}
+
+
+def wide_type(dtype) -> DecimalType:
+    return DecimalType(38, dtype.scale if isinstance(dtype, DecimalType) else 0)
 
 
 def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
                     batch: int = DEFAULT_BATCH, digits: int | None = None,
                     approx: bool = False, accuracy: int = 10000) -> DataFrame:
     """Numeric describe per column: ``count mean std min q25 q50 q75 max
-    unique_values missing`` (``count`` is non-null; ``unique_values``
-    ignores NULL; ``std`` is the sample deviation; quantiles are exact and
-    linearly interpolated, as ``quantile_cont``).
+    unique_values missing`` (NULL and NaN are missing values and enter nothing
+    else; ``std`` is the sample deviation; quantiles are exact and linearly
+    interpolated, as ``quantile_cont``).  Values are counted and ranked in
+    their own type; only the results are doubles.  One scan for the moments and
+    one of each column for its values.
 
     ``digits`` rounds mean/std/quantiles for display.  ``approx=True``
     takes distinct counts from HyperLogLog++ sketches and quartiles from
@@ -273,12 +300,13 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
     """
     cols = list(columns or numeric_columns(df))
     types = {f.name: f.dataType for f in df.schema.fields}
+    pivots = _pivots(df, cols)
     frames = []
     for chunk in _batches(cols, batch):
         aggs = []
         for i, c in enumerate(chunk):
-            col = _c(c)
-            m = _moments(col, types[c])
+            col = _value(df, c)
+            m = _moments(col, types[c], pivots.get(c))
             aggs += [F.count(col).alias(f"count__{i}"), m["mean"].alias(f"mean__{i}"),
                      m["std"].alias(f"std__{i}"), F.min(col).cast("double").alias(f"min__{i}"),
                      F.max(col).cast("double").alias(f"max__{i}"),
@@ -291,21 +319,20 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
     base = _union_all(frames)
     if approx:
         quart = F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)])
-        qrow = df.agg(*[F.percentile_approx(_c(c).cast("double"), quart, accuracy).alias(f"_q{i}")
+        qrow = df.agg(*[F.percentile_approx(_value(df, c).cast("double"), quart, accuracy).alias(f"_q{i}")
                         for i, c in enumerate(cols)])
         q = qrow.select(F.inline(F.array(*[
             F.struct(F.lit(c).alias("column"), F.col(f"_q{i}")[0].alias("q25"),
                      F.col(f"_q{i}")[1].alias("q50"), F.col(f"_q{i}")[2].alias("q75"))
             for i, c in enumerate(cols)])))
-        uniq = distinct_per_column(df, cols, False, "unique_values", approx=True)
+        uniq = distinct_per_column(df.select(*[_value(df, c).alias(c) for c in cols]), cols, False,
+                                   "unique_values", approx=True)
         out = base.join(uniq, "column", "left").join(q, "column", "left")
         return _numeric_out(out, digits)
-    # Distinct values and quantiles share one (column, value, m) table
-    # instead of an Expand-based count_distinct per column.
-    counts = value_counts(df, cols)
-    uniq = counts.groupBy("column").agg(F.count(F.lit(1)).alias("unique_values"))
-    q = (quantiles_from_counts(counts)
-         .groupBy("column")
+    # one table of counted values per type gives distinct counts and quantiles
+    found = [ranked_profile(value_counts(df, names, kind)) for kind, names in _kinds(df, cols).items()]
+    uniq = _union_all([u for _, u in found])
+    q = (_union_all([x for x, _ in found]).groupBy("column")
          .agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n)
                 for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))]))
     out = (base.join(uniq, "column", "left").join(q, "column", "left")
@@ -348,19 +375,26 @@ def low_cardinality_values(df: DataFrame, columns: Sequence[str] | None = None,
     """The distinct non-null values (as text) of every column that has at
     most ``max_values`` of them: ``(column, value)``.
 
-    Lazy and exact: the distinct non-null values of each column (one
-    single-key partial/final aggregate per column), a per-column count, and
-    a join back against the qualifying columns (at most one row per profiled
-    column, so broadcasting it is bounded).
+    Exact: columns are first ruled out by the number of their distinct 8-byte
+    hashes (equal values share a hash, so this can only under-count and never
+    drops a column that qualifies); only the survivors' values, few by then,
+    are gathered and counted.  The names of the survivors are collected.
     """
-    cols = list(columns or df.columns)
+    asked = list(columns or df.columns)
+    hashes = _union_all([df.select(F.xxhash64(_c(c)).alias("_h")).filter(_c(c).isNotNull()).distinct()
+                         .select(F.lit(c).alias("column")) for c in asked])
+    many = {r["column"] for r in hashes.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > max_values).select("column").collect()}
+    cols = [c for c in asked if c not in many]
+    if not cols:
+        return df.sparkSession.createDataFrame([], "column string, value string")
     pairs = _union_all([
         df.select(_c(c).alias("_v")).filter(F.col("_v").isNotNull()).distinct()
         .select(F.lit(c).alias("column"), F.col("_v").cast("string").alias("value"))
         for c in cols])
-    small = (pairs.groupBy("column").agg(F.count(F.lit(1)).alias("_k"))
-             .filter(F.col("_k") <= max_values).select("column"))
-    return pairs.join(F.broadcast(small), "column")
+    # a list has about max_values entries: its column has that few distinct hashes
+    lists = pairs.groupBy("column").agg(F.collect_list("value").alias("_v"))
+    return lists.where(F.size("_v") <= max_values).select("column", F.explode("_v").alias("value"))
 
 
 def group_size_balance(df: DataFrame, key: str) -> DataFrame:

@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 from starbuild.operators.profile import distinct_with_null
 
 
+#: Slots of the map-side filter of ``hidden_duplicates``: a broadcast of at
+#: most this many 8-byte numbers.
+HASH_SLOTS = 1 << 20
+
+
 def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
@@ -27,8 +32,31 @@ def _uniq(c: Column, approx: bool, rsd: float) -> Column:
             + F.max(F.when(c.isNull(), 1).otherwise(0))).cast("long")
 
 
+def key_counts(df: DataFrame, columns: Sequence[str], approx: bool = False, rsd: float = 0.01) -> DataFrame:
+    """``(column, rows, uniq)``: row count and distinct values (NULL counted as
+    one) of several key columns in one scan of ``df``.
+
+    Exact: every row gives one small ``(column, value as text)`` pair per
+    column, combined inside the map tasks, so columns with few values (dates)
+    cost next to nothing beside the one key that is shuffled anyway.
+    ``approx`` estimates with HyperLogLog++ (relative error ``rsd``) and
+    shuffles no keys."""
+    if approx:
+        row = df.agg(F.count(F.lit(1)).alias("n"), *[_uniq(_c(c), True, rsd).alias(f"u{i}") for i, c in enumerate(columns)])
+        return row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col("n").alias("rows"),
+                                                      F.col(f"u{i}").alias("uniq")) for i, c in enumerate(columns)])))
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _c(c).cast("string").alias("value"))
+                                          for c in columns])).alias("p")).select("p.*")
+    found = (pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+             .groupBy("column").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("uniq")))
+    # a table without rows has counts of zero
+    none = df.sparkSession.createDataFrame([(c, 0, 0) for c in columns], "column string, rows long, uniq long")
+    return found.unionByName(none).groupBy("column").agg(F.sum("rows").alias("rows"), F.sum("uniq").alias("uniq"))
+
+
 def reconcile_counts(stage: DataFrame, stage_key: str, output: DataFrame,
-                     output_key: str, approx: bool = False, rsd: float = 0.01) -> DataFrame:
+                     output_key: str, approx: bool = False, rsd: float = 0.01,
+                     stage_counts: DataFrame | None = None) -> DataFrame:
     """Row counts and key uniqueness of a staging table and its output.
 
     One row: ``stage_rows output_rows row_diff stage_unique output_unique
@@ -39,11 +67,12 @@ def reconcile_counts(stage: DataFrame, stage_key: str, output: DataFrame,
     Exact by default (a shuffle of the distinct keys).  ``approx=True``
     estimates the distinct keys with HyperLogLog++ (relative error
     ``rsd``): one pass, no key shuffle; the verdicts are then estimates.
+    ``stage_counts`` (from ``key_counts``) saves the scan of ``stage``.
     """
-    s = stage.agg(F.count(F.lit(1)).alias("rows"),
-                  _uniq(_c(stage_key), approx, rsd).alias("uniq"))
-    o = output.agg(F.count(F.lit(1)).alias("rows"),
-                   _uniq(_c(output_key), approx, rsd).alias("uniq"))
+    if stage_counts is None:
+        stage_counts = key_counts(stage, [stage_key], approx, rsd)
+    s = stage_counts.where(F.col("column") == stage_key)
+    o = key_counts(output, [output_key], approx, rsd)
     both = (s.select(F.lit("s").alias("side"), "rows", "uniq")
             .unionByName(o.select(F.lit("o").alias("side"), "rows", "uniq")))
     row = both.agg(*[F.max(F.when(F.col("side") == side, F.col(m))).alias(f"{name}_{m}")
@@ -120,19 +149,24 @@ def hidden_duplicates(df: DataFrame, columns: Sequence[str], min_count: int = 2)
     """Groups of rows sharing the same values in ``columns``:
     ``(*columns, copies)`` for groups of at least ``min_count`` rows.
 
-    Exact, in two steps so that wide values (long texts) only cross the
-    shuffle when they can be duplicates: rows are first counted by a 64-bit
-    and an independent 32-bit hash of the key columns (12 bytes per row
-    shuffled, partial/final aggregate); only rows whose hash pair occurs at
-    least ``min_count`` times are then grouped on the real values, which
-    removes any hash collision.  Equal values always share both hashes, so
-    no group is missed.
+    Exact, and wide values (long texts) of rows without a copy hardly ever
+    cross a shuffle: rows are first counted by a 64-bit and an independent
+    32-bit hash of the key columns (12 bytes per row shuffled, partial/final
+    aggregate).  Rows whose hash slot holds no hash pair with ``min_count``
+    rows go inside the map tasks (a broadcast of at most ``HASH_SLOTS`` slot
+    numbers, whatever the data); the rest is matched with the hash pairs
+    themselves and then grouped on the real values, which removes any
+    collision.  Equal values always share both hashes, so no group is missed.
+    With many more candidates than slots the first filter lets most rows pass.
     """
     cols = [_c(c) for c in columns]
     hashed = df.select(*cols, F.xxhash64(*cols).alias("_h1"), F.hash(*cols).alias("_h2"))
     candidates = (hashed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
                   .filter(F.col("_n") >= min_count).select("_h1", "_h2"))
-    suspects = hashed.join(candidates, ["_h1", "_h2"], "left_semi")
+    slot = F.pmod("_h1", F.lit(HASH_SLOTS)).alias("_slot")
+    likely = (hashed.withColumn("_slot", slot)
+              .join(F.broadcast(candidates.select(slot).distinct()), "_slot", "left_semi"))
+    suspects = likely.join(candidates, ["_h1", "_h2"], "left_semi")
     return (suspects.groupBy(*[_c(c) for c in columns]).agg(F.count(F.lit(1)).alias("copies"))
             .filter(F.col("copies") >= min_count))
 
@@ -140,8 +174,28 @@ def hidden_duplicates(df: DataFrame, columns: Sequence[str], min_count: int = 2)
 def code_list_violations(df: DataFrame, column: str, codes: DataFrame,
                          code_col: str = "code") -> DataFrame:
     """Values of ``column`` that are not in the code list, with their row
-    counts: ``(value, rows)``.  The count is pre-aggregated per value before
-    it meets the code list (an anti join against distinct codes)."""
-    per_value = df.groupBy(_c(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
+    counts: ``(value, rows)``.
+
+    A NULL value is no code and no violation: it is left out (missing values
+    are counted by the fill rates).  NULL codes are ignored.  The count is
+    pre-aggregated per value before it meets the code list."""
+    per_value = (df.where(_c(column).isNotNull()).groupBy(_c(column).alias("value"))
+                 .agg(F.count(F.lit(1)).alias("rows")))
     known = codes.select(_c(code_col).alias("_code")).distinct()
     return per_value.join(known, F.col("value") == F.col("_code"), "left_anti")
+
+
+def code_lists_violations(df: DataFrame, lists: dict[str, str], codes: DataFrame,
+                          list_col: str = "list_name", code_col: str = "code") -> DataFrame:
+    """Several columns against parsed code lists in one scan: ``lists`` maps a
+    column to its list name, ``codes`` holds ``(list_name, code)`` rows as the
+    dictionary parser returns them.  Returns ``(column, list_name, value,
+    rows)``; NULL values are left out as in ``code_list_violations``; a column
+    whose list is missing has all its values returned."""
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(name).alias("list_name"),
+                                                   _c(c).cast("string").alias("value"))
+                                          for c, name in lists.items()])).alias("p")).select("p.*")
+    counted = (pairs.where(F.col("value").isNotNull()).groupBy("column", "list_name", "value")
+               .agg(F.count(F.lit(1)).alias("rows")))
+    known = codes.select(_c(list_col).alias("list_name"), _c(code_col).cast("string").alias("value")).distinct()
+    return counted.join(known, ["list_name", "value"], "left_anti").select("column", "list_name", "value", "rows")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starbuild.operators import aggregates, columns, dims, profile, quality
-from starbuild.operators.joins import fill_from_lookup, prefix_key_join
+from starbuild.operators.joins import fill_from_lookup, hot_keys, prefix_key_join
 from starbuild.plans import fixtures as fx
 from starbuild.session import scratch_path
 from starbuild.sources import dictionary, readers, schema, sinks
@@ -82,14 +82,23 @@ def csv_scan(spark, sf):
     return columns.cast_columns(clean, ["c_acctbal"], "double")
 
 
-@register("limit_rows")
+@register("limit_rows", """
+select 'preview' as read, 100 as rows, 100 as rows_in_source
+union all select 'chunks', 1050, 1050
+union all select 'all', (select count(*) from region), (select count(*) from region)""")
 def limit_rows(spark, sf):
-    return readers.preview(fx.table(spark, sf, "orders"), 100)
+    """Bounded reads return the asked number of rows, all of them the source's."""
+    o, r = fx.table(spark, sf, "orders"), fx.table(spark, sf, "region")
+    return (readers.checked_rows(readers.preview(o, 100), o, "preview")
+            .unionByName(readers.checked_rows(readers.read_in_chunks(o, 1001, 350), o, "chunks"))
+            .unionByName(readers.checked_rows(readers.read_in_chunks(r, 1000, 10), r, "all")))
 
 
-@register("sample_fraction")
+@register("sample_fraction", """
+select * from orders
+where ('0x' || substr(md5('42:' || o_orderkey), 1, 13))::bigint < 450359962737049""")
 def sample_fraction(spark, sf):
-    return readers.sample_rows(fx.table(spark, sf, "orders"), 0.1, seed=42)
+    return readers.sample_rows(fx.table(spark, sf, "orders"), 0.1, seed=42, key=["o_orderkey"])
 
 
 @register("parquet_roundtrip", f"select * from {_ORDERS_STAGED} s")
@@ -97,8 +106,7 @@ def parquet_roundtrip(spark, sf):
     path = scratch_path(spark, "orders-parquet")
     staged = fx.orders_staged(spark, sf)
     sinks.write_parquet(staged, path, partition_by=["o_orderstatus"], compression="gzip")
-    back = spark.read.parquet(path)
-    return back.select(*staged.columns)
+    return sinks.read_parquet(spark, path, staged.schema)
 
 
 @register("schema_contract", f"""
@@ -106,11 +114,12 @@ select o_orderpriority, o_orderdate, o_totalprice, o_orderstatus, o_custkey, o_o
 from {_ORDERS_STAGED} s""")
 def schema_contract(spark, sf):
     path = f"{sf.rstrip('/')}/orders.parquet"
-    # Export the raw schema (column order reversed) to JSON, import it, and
-    # re-read the source typed by the imported schema.
+    # Export the raw schema (column order reversed) to a JSON file, import it,
+    # and re-read the source typed by the imported schema.
     raw_schema = readers.read_staging(spark, path).schema
-    imported = schema.schema_from_json(schema.schema_to_json(
-        type(raw_schema)(list(reversed(raw_schema.fields)))))
+    stored = schema.write_schema(type(raw_schema)(list(reversed(raw_schema.fields))),
+                                 scratch_path(spark, "schema"), spark)
+    imported = schema.read_schema(spark, stored)
     typed = readers.read_staging(spark, path, "parquet", schema=imported)
     staged = typed.select(*[F.col(c) for c in typed.columns if c != "o_orderpriority"],
                           F.expr("nullif(o_orderpriority, '5-LOW')").alias("o_orderpriority"))
@@ -154,16 +163,16 @@ def epoch_day_decode(spark, sf):
 
 @register("pattern_date_parse", """
 select o_orderkey,
-       case when o_orderpriority = '1-URGENT' then null else cast(o_orderdate as date) end as dtaddto,
-       cast(o_orderdate as date) as dtadfile
+       case when o_orderpriority = '1-URGENT' then null else cast(o_orderdate as date) end as valid_until,
+       cast(o_orderdate as date) as filed_on
 from orders""")
 def pattern_date_parse(spark, sf):
     o = fx.table(spark, sf, "orders").select(
         "o_orderkey",
         F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("D/S"))
-         .otherwise(F.date_format("o_orderdate", "MMddyyyy")).alias("dtaddto"),
-        F.date_format("o_orderdate", "yyyyMMdd").alias("dtadfile"))
-    return columns.parse_pattern_dates(o, {"dtaddto": "MMddyyyy", "dtadfile": "yyyyMMdd"})
+         .otherwise(F.date_format("o_orderdate", "MMddyyyy")).alias("valid_until"),
+        F.date_format("o_orderdate", "yyyyMMdd").alias("filed_on"))
+    return columns.parse_pattern_dates(o, {"valid_until": "MMddyyyy", "filed_on": "yyyyMMdd"})
 
 
 @register("drop_missing_required", f"""
@@ -273,6 +282,21 @@ def weighted_average(spark, sf):
                                        "p_brand")
 
 
+@register("group_aggregates_double", """
+select l_returnflag, round(sum(l_extendedprice), 2) as total, round(sum(l_tax), 4) as tax,
+       round(sum(l_discount * l_quantity) / sum(l_quantity), 8) as mean_discount
+from lineitem group by l_returnflag""")
+def group_aggregates_double(spark, sf):
+    """Sums and weighted means of plain doubles, rounded (the order of
+    additions differs between engines)."""
+    li = fx.table(spark, sf, "lineitem")
+    sums = aggregates.group_sums(li, "l_returnflag", ["l_extendedprice", "l_tax"])
+    means = aggregates.weighted_average(li, "l_discount", "l_quantity", "l_returnflag")
+    return sums.join(means, "l_returnflag").select(
+        "l_returnflag", F.round("l_extendedprice", 2).alias("total"), F.round("l_tax", 4).alias("tax"),
+        F.round("weighted_avg", 8).alias("mean_discount"))
+
+
 # --------------------------------------------------------------- facts
 
 @register("fact_with_combination_key", f"""
@@ -282,7 +306,7 @@ from {_ORDERS_STAGED} o left join {_STATUS_DIM} d
 def fact_with_combination_key(spark, sf):
     from starbuild.plans.star import fact_with_checked_dimension
     staged = fx.orders_staged(spark, sf).select("o_orderkey", *FLAGS)
-    fact, _ = fact_with_checked_dimension(staged, FLAGS, "status_flag_id")
+    fact, _ = fact_with_checked_dimension(staged, FLAGS, "status_flag_id", salt_by=["o_orderkey"])
     return fact
 
 
@@ -362,12 +386,27 @@ def hidden_duplicates(spark, sf):
 
 
 @register("code_list_validation", """
-select l_returnflag as value, count(*) as rows from lineitem
-where l_returnflag not in (select o_orderstatus from orders)
-group by l_returnflag""")
+select f as value, count(*) as rows from (select nullif(l_returnflag, 'A') as f from lineitem) t
+where f is not null and f not in (select o_orderstatus from orders)
+group by f""")
 def code_list_validation(spark, sf):
     codes = fx.table(spark, sf, "orders").select(F.col("o_orderstatus").alias("code"))
-    return quality.code_list_violations(fx.table(spark, sf, "lineitem"), "l_returnflag", codes)
+    li = fx.table(spark, sf, "lineitem").select(F.expr("nullif(l_returnflag, 'A')").alias("f"))
+    return quality.code_list_violations(li, "f", codes)
+
+
+@register("code_lists_from_dictionary", """
+select 'o_custkey' as "column", 'n1_city' as list_name, cast(o_custkey as varchar) as value, count(*) as rows
+from orders where o_custkey not in (select c_custkey from customer where c_nationkey = 1) group by o_custkey
+union all
+select 'low', 'n2_city', cast(nullif(o_custkey, 7) as varchar), count(*) from orders
+where nullif(o_custkey, 7) not in (select c_custkey from customer where c_nationkey = 2) group by o_custkey""")
+def code_lists_from_dictionary(spark, sf):
+    """Two columns (one with NULLs) against the code lists that the dictionary
+    parser finds."""
+    codes = dictionary.dictionary_codes(dictionary.read_dictionary_lines(spark, fx.write_dictionary(spark, sf)))
+    o = fx.table(spark, sf, "orders").select("o_custkey", F.expr("nullif(o_custkey, 7)").alias("low"))
+    return quality.code_lists_violations(o, {"o_custkey": "n1_city", "low": "n2_city"}, codes)
 
 
 # --------------------------------------------------------------- profile
@@ -434,30 +473,48 @@ _LINEITEM_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 _LINEITEM_MONEY = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-def _numeric_profile_sql(c: str, exact: str) -> str:
-    x = f"cast({c} as {exact})"
-    n = f"cast(count({c}) as double)"
-    s1 = f"cast(sum({x}) as double)"
-    s2 = f"cast(sum({x} * {x}) as double)"
+def _numeric_profile_sql(c: str, source: str, shift: str, scale: str = "1") -> str:
+    """The oracle's own way: ``stddev_samp`` of exact deviations (``shift`` is
+    subtracted in the column's type), ``quantile_cont``, ``count(distinct)``."""
+    def r(x):
+        return f"round({x} / {scale}, 4)"
+
     return f"""
-select '{c}' as "column", count({c}) as count, {s1} / {n} as mean,
-       sqrt(greatest(({s2} - {s1} * {s1} / {n}) / ({n} - 1.0), 0.0)) as std,
+select '{c}' as "column", count({c}) as count,
+       {r(f"cast(sum({c}) as double) / count({c})")} as mean, {r(f"stddev_samp(cast({c} - {shift} as double))")} as std,
        min({c})::double as min,
-       quantile_cont({c}::double, 0.25) as q25, quantile_cont({c}::double, 0.5) as q50,
-       quantile_cont({c}::double, 0.75) as q75, max({c})::double as max,
+       {r(f"quantile_cont({c}::double, 0.25)")} as q25, {r(f"quantile_cont({c}::double, 0.5)")} as q50,
+       {r(f"quantile_cont({c}::double, 0.75)")} as q75, max({c})::double as max,
        count(distinct {c}) as unique_values, count(*) - count({c}) as missing
-from (select {', '.join(_LINEITEM_KEYS)},
-             {', '.join(f'cast({m} as decimal(15,2)) as {m}' for m in _LINEITEM_MONEY)}
-        from lineitem) t"""
+from {source} t"""
 
 
 @register("profile_numeric", "\nunion all\n".join(
-    [_numeric_profile_sql(c, "hugeint") for c in _LINEITEM_KEYS]
-    + [_numeric_profile_sql(c, "decimal(20,2)") for c in _LINEITEM_MONEY]))
+    _numeric_profile_sql(c, "lineitem", "0") for c in _LINEITEM_KEYS + _LINEITEM_MONEY))
 def profile_numeric(spark, sf):
-    li = fx.table(spark, sf, "lineitem").select(
-        *_LINEITEM_KEYS, *[F.col(m).cast("decimal(15,2)").alias(m) for m in _LINEITEM_MONEY])
-    return profile.profile_numeric(li)
+    li = fx.table(spark, sf, "lineitem").select(*_LINEITEM_KEYS, *_LINEITEM_MONEY)
+    return profile.profile_numeric(li, digits=4)
+
+
+_WIDE = """(select o_orderkey * 2 + 9007199254740993 as big_id,
+        epoch_ms(o_orderdate::timestamp) as ms,
+        case when o_custkey % 5 = 0 or o_custkey % 7 = 0 then null else o_totalprice end as price from orders)"""
+
+
+@register("profile_numeric_wide", "\nunion all\n".join(
+    _numeric_profile_sql(c, _WIDE, shift, "1e6") for c, shift in
+    (("big_id", "9007199254740993"), ("ms", "700000000000"), ("price", "0"))))
+def profile_numeric_wide(spark, sf):
+    """Ids above 2**53 (neighbours share a double), epoch milliseconds, and
+    doubles with NaN and NULL."""
+    nan = F.lit(float("nan"))
+    o = fx.table(spark, sf, "orders").select(
+        (F.col("o_orderkey") * 2 + F.lit(9007199254740993)).alias("big_id"),
+        F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias("ms"),
+        F.when(F.col("o_custkey") % 5 == 0, nan).when(F.col("o_custkey") % 7 != 0, F.col("o_totalprice")).alias("price"))
+    out = profile.profile_numeric(o)
+    return out.select("column", "count", *[F.round(F.col(c) / 1e6, 4).alias(c) if c in ("mean", "std", "q25", "q50", "q75")
+                                           else F.col(c) for c in out.columns[2:]])
 
 
 _ORDER_STR = {"o_orderstatus": "string", "o_orderdate": "timestamp_ntz",
@@ -493,6 +550,23 @@ def low_cardinality_values(spark, sf):
     return profile.low_cardinality_values(fx.table(spark, sf, "orders"), max_values=10)
 
 
+@register("summarize", "\nunion all\n".join(
+    [f"""select 'numeric' as part, '{c}' as "column", cast(count(distinct {c}) as varchar) as found from customer"""
+     for c in ("c_custkey", "c_nationkey", "c_acctbal")]
+    + [f"select 'string', '{c}', cast(count(distinct {c}) as varchar) from {_CUSTOMER_NULLED} t"
+       for c in ("c_name", "c_mktsegment")]
+    + [f"select 'missing', 'c_mktsegment', cast(count(*) - count(c_mktsegment) as varchar) from {_CUSTOMER_NULLED} t",
+       f"select distinct 'values', 'c_mktsegment', c_mktsegment from {_CUSTOMER_NULLED} t where c_mktsegment is not null"]))
+def summarize(spark, sf):
+    """The combined profile: unique values, missing values, value lists."""
+    s = profile.summarize(_customer_nulled(spark, sf))
+    out = None
+    for part, found in (("numeric", "unique_values"), ("string", "unique_values"), ("missing", "missing"), ("values", "value")):
+        f = s[part].select(F.lit(part).alias("part"), "column", F.col(found).cast("string").alias("found"))
+        out = f if out is None else out.unionByName(f)
+    return out
+
+
 @register("group_size_balance", """
 with s as (select event_type as k, count(*) as n from events group by event_type)
 select cast(count(*) as bigint) as groups, cast(sum(n) as bigint) as rows, avg(n) as mean_rows,
@@ -526,38 +600,60 @@ def period_overlap(spark, sf):
 # --------------------------------------------------------------- joins
 
 @register("prefix_key_join", """
-select o.o_orderkey, c.c_mktsegment
-from orders o join customer c
-  on o.o_custkey = try_cast(regexp_replace(c.c_name, '^Customer#', '') as bigint)""")
+with c as (select try_cast(regexp_replace(name, '^Customer#', '') as bigint) as k, name, c_mktsegment
+           from (select c_name as name, c_mktsegment from customer
+                 union all select cast(c_custkey as varchar), 'UNPREFIXED' from customer where c_custkey % 3 = 0)),
+     one as (select k, min_by(c_mktsegment, name) as c_mktsegment from c where k is not null group by k)
+select o.o_orderkey, one.c_mktsegment
+from (select o_orderkey, case when o_custkey % 7 = 0 then null else o_custkey end as o_custkey from orders) o
+left join one on o.o_custkey = one.k""")
 def prefix_key_join_q(spark, sf):
-    o = fx.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    c = fx.table(spark, sf, "customer").select("c_name", "c_mktsegment")
-    j = prefix_key_join(o, "o_custkey", c, "c_name", "Customer#", key_type="bigint")
+    """Some keys come with and without the prefix, some left keys are NULL."""
+    o = fx.table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey")).alias("o_custkey"))
+    c = fx.table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    c = c.select("c_name", "c_mktsegment").unionByName(c.where("c_custkey % 3 = 0").select(
+        F.col("c_custkey").cast("string").alias("c_name"), F.lit("UNPREFIXED").alias("c_mktsegment")))
+    j = prefix_key_join(o, "o_custkey", c, "c_name", "Customer#", key_type="bigint", how="left",
+                        hot=hot_keys(o, ["o_custkey"]))
     return j.select("o_orderkey", "c_mktsegment")
 
 
 @register("fill_from_lookup", """
-select c.c_custkey, c.c_nationkey, n.n_regionkey as c_regionkey
-from customer c left join nation n on c.c_nationkey = n.n_nationkey""")
+select c.c_custkey, c.c_nationkey,
+       coalesce(case when c.c_custkey % 4 = 0 then 99 end, n.n_regionkey) as c_regionkey
+from (select c_custkey, nullif(c_nationkey, 3) as c_nationkey from customer) c
+left join nation n on c.c_nationkey = n.n_nationkey""")
 def fill_from_lookup_q(spark, sf):
+    """Present values (99) stay, NULL keys find nothing."""
     c = fx.table(spark, sf, "customer").select(
-        "c_custkey", "c_nationkey", F.lit(None).cast("int").alias("c_regionkey"))
+        "c_custkey", F.expr("nullif(c_nationkey, 3)").alias("c_nationkey"),
+        F.when(F.col("c_custkey") % 4 == 0, F.lit(99)).cast("int").alias("c_regionkey"))
     n = fx.table(spark, sf, "nation")
-    return fill_from_lookup(c, "c_regionkey", "c_nationkey", n, "n_nationkey", "n_regionkey")
+    return fill_from_lookup(c, "c_regionkey", "c_nationkey", n, "n_nationkey", "n_regionkey", salt_by=["c_custkey"])
 
 
 # --------------------------------------------------------------- dictionary
 
 @register("dictionary_fields", """
 select lower(n) as field,
-       case when p_size > 25 then p_name || ' ' || p_type
+       case when p_size > 45 then p_name || ' value fakel A = ''1'' ' || p_type
+            when p_size > 25 then p_name || ' ' || p_type
             else p_name || ' - ' || p_type end as description
-from part, unnest(['P' || p_partkey, 'Q' || p_partkey]) as t(n)""")
+from part, unnest(['P' || p_partkey, 'Q' || p_partkey]) as t(n)
+union all select 'note', 'x value innerl'""")
 def dictionary_fields(spark, sf):
     lines = dictionary.read_dictionary_lines(spark, fx.write_dictionary(spark, sf))
     return dictionary.dictionary_fields(lines)
 
 
+@register("dictionary_unclosed", """
+select '/* lost - never closed' as line union all select 'value ' || r_name from region""")
+def dictionary_unclosed(spark, sf):
+    lines = dictionary.read_dictionary_lines(spark, fx.write_dictionary(spark, sf))
+    return dictionary.unclosed_comment_lines(lines).select("line")
+
+
 @register("dictionary_codes", """
 select 'n' || c_nationkey || '_city' as list_name, cast(c_custkey as varchar) as code,
        case when c_acctbal < 0 then c_name || ' = ' || c_mktsegment
@@ -595,38 +691,42 @@ def _star_inputs(spark, sf):
 def star_fact_written(spark, sf):
     from starbuild.plans.star import write_star
     staged, entity, rollup, spec = _star_inputs(spark, sf)
-    paths = write_star(spark, staged, spec, scratch_path(spark, "star"), entity_src=entity,
-                       rollup_src=rollup, fact_partition_by=["priority"])
-    return spark.read.parquet(paths["order_facts"]).select(*[t for t, _, _ in FACT_LAYOUT])
+    star = write_star(spark, staged, spec, scratch_path(spark, "star"), entity_src=entity,
+                      rollup_src=rollup, fact_partition_by=["priority"])
+    return star.read(spark, "order_facts")
 
 
 @register("star_checks", f"""
 with s as (select * from {_ORDERS_STAGED} x),
-     f as (select o_orderkey as order_id from s),
-     d as (select distinct o_orderdate as datestamp from s)
-select 'reconcile_order_facts' as check_name, (select count(*) from s) as stage_rows,
-       (select count(*) from f) as output_rows,
-       (select count(distinct o_orderkey) from s) as stage_unique,
-       (select count(distinct order_id) from f) as output_unique
+     d as (select distinct o_orderdate as datestamp from s),
+     r as (
+        select 'reconcile_order_facts' as check_name, (select count(*) from s) as a, (select count(*) from s) as b,
+               (select count(distinct o_orderkey) from s) as c, (select count(distinct o_orderkey) from s) as d
+        union all
+        select 'reconcile_dim_time_o_orderdate', (select count(*) from s), (select count(*) from d),
+               (select count(distinct o_orderdate) from s), (select count(distinct datestamp) from d)
+        union all
+        select 'reconcile_dim_customer', count(*), count(*), count(distinct c_custkey), count(distinct c_custkey)
+        from customer),
+     v as (select count(*) as total, count(c.c_custkey) as matched
+           from s left join customer c on c.c_custkey = s.o_custkey)
+select check_name, a as stage_rows, b as output_rows, a - b as row_diff, c as stage_unique, d as output_unique,
+       c = d as keys_equal, b - d as duplicates, null::bigint as matched, null::bigint as unmatched,
+       null::double as matched_pct from r
 union all
-select 'reconcile_dim_time_o_orderdate', (select count(*) from s), (select count(*) from d),
-       (select count(distinct o_orderdate) from s), (select count(distinct datestamp) from d)
-union all
-select 'reconcile_dim_customer', (select count(*) from customer),
-       (select count(*) from customer), (select count(distinct c_custkey) from customer),
-       (select count(distinct c_custkey) from customer)""")
+select 'coverage_order_facts_dim_customer', null, null, null, null, null, null, null, matched, total - matched,
+       round_even(matched / total * 100, 1) from v""")
 def star_checks(spark, sf):
     from starbuild.plans.star import run_star
     staged, entity, rollup, spec = _star_inputs(spark, sf)
     checks = run_star(spark, staged, spec, scratch_path(spark, "star-run"), entity_src=entity,
                       rollup_src=rollup).checks
-    frames = [df.select(F.lit(name).alias("check_name"), "stage_rows", "output_rows",
-                        "stage_unique", "output_unique")
-              for name, df in checks.items() if name.startswith("reconcile_")]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+    out = None
+    for name, df in checks.items():
+        f = df.drop("total").withColumn("check_name", F.lit(name))
+        out = f if out is None else out.unionByName(f, allowMissingColumns=True)
+    return out.select("check_name", "stage_rows", "output_rows", "row_diff", "stage_unique", "output_unique",
+                      "keys_equal", "duplicates", "matched", "unmatched", "matched_pct")
 
 
 @register("star_coverage", """
@@ -678,9 +778,36 @@ def star_lineitem_written(spark, sf):
                     flag_dim_name="dim_line_status", flag_key="line_status_id",
                     date_columns=["l_shipdate"], date_dim_name="dim_ship_date",
                     fact_layout=LINE_LAYOUT)
-    paths = write_star(spark, staged, spec, scratch_path(spark, "line-star"),
-                       fact_partition_by=["status"])
-    back = spark.read.parquet(paths["line_facts"])
-    # A partition column comes back with an inferred type: restore bigint.
-    return back.select(*[F.col(t).cast("bigint").alias(t) if t == "status" else F.col(t)
-                         for t, _, _ in LINE_LAYOUT])
+    star = write_star(spark, staged, spec, scratch_path(spark, "line-star"),
+                      fact_partition_by=["status"])
+    return star.read(spark, "line_facts")
+
+
+@register("star_text_partition", """
+with f as (select o_orderkey as order_id, lpad(cast(o_custkey % 25 as varchar), 2, '0') as port from orders)
+select 'coverage' as name, count(*) as matched, 0::bigint as unmatched, 'string' as port_type from f""")
+def star_text_partition(spark, sf):
+    """A fact partitioned by a zero-padded text code keeps the code's type and
+    finds every code in the dimension again; files are range-clustered."""
+    from starbuild.plans.star import StarSpec, run_star
+    port = F.lpad((F.col("o_custkey") % 25).cast("string"), 2, "0")
+    staged = fx.orders_staged(spark, sf).withColumn("port", port)
+    entity = staged.select("port").distinct()
+    spec = StarSpec(fact_name="port_facts", fact_key="o_orderkey", flags=FLAGS,
+                    flag_dim_name="dim_status", flag_key="status_flag_id", date_columns=["o_orderdate"],
+                    date_dim_name="dim_time", entity_name="dim_ports", entity_key="port",
+                    entity_columns=["port"], entity_fk="port",
+                    fact_layout=[("order_id", "o_orderkey", "bigint"), ("status", "status_flag_id", None),
+                                 ("port", "port", None)])
+    run = run_star(spark, staged, spec, scratch_path(spark, "port-star"), entity_src=entity,
+                   fact_partition_by=["port"], cluster="range", max_records_per_file=100_000)
+    kind = dict(run.star.read(spark, "port_facts").dtypes)["port"]
+    return run.checks["coverage_port_facts_dim_ports"].select(
+        F.lit("coverage").alias("name"), "matched", "unmatched", F.lit(kind).alias("port_type"))
+
+
+@register("sequence_id_payload", """
+select c.*, row_number() over (order by c_name) - 1 as name_rank from customer c""")
+def sequence_id_payload(spark, sf):
+    from starbuild.operators.sequence import with_sequence_id
+    return with_sequence_id(fx.table(spark, sf, "customer"), ["c_name"], "name_rank")

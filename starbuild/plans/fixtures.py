@@ -64,7 +64,9 @@ def write_dictionary(spark: SparkSession, sf_dir: str, chunk: int = 500) -> str:
 
     Every block (a comment, or a code list chunk of at most ``chunk``
     codes with its own ``value`` header and closing blank line) lands
-    whole in one file, lines in order, so files parse independently.
+    whole in one file, lines in order, so files parse independently.  Some
+    comments hold empty lines and lines that look like lists, some lists hold
+    comments, and one comment (made from ``region``) never closes.
     """
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey").cast("string")
@@ -72,8 +74,12 @@ def write_dictionary(spark: SparkSession, sf_dir: str, chunk: int = 500) -> str:
                       F.lit(" - "), F.col("p_type"), F.lit(" */"))
     double = F.concat(F.lit("/* P"), k, F.lit(" & Q"), k, F.lit(" - "), F.col("p_name"),
                       F.lit("\n\t"), F.col("p_type"), F.lit(" */"))
+    # a comment whose lines look like an empty line, a list start and a code
+    trap = F.concat(F.lit("/* P"), k, F.lit(" & Q"), k, F.lit(" - "), F.col("p_name"),
+                    F.lit("\n\n\tvalue fakel\n\tA = '1'\n\t"), F.col("p_type"), F.lit(" */"))
     fields = p.select(F.concat(F.lit("f"), k).alias("block"), F.lit(0).alias("ord"),
-                      F.when(F.col("p_size") > 25, double).otherwise(single).alias("line"))
+                      F.when(F.col("p_size") > 45, trap).when(F.col("p_size") > 25, double)
+                      .otherwise(single).alias("line"))
 
     c = table(spark, sf_dir, "customer")
     blk = F.concat(F.lit("c"), F.col("c_nationkey").cast("string"), F.lit("_"),
@@ -84,7 +90,9 @@ def write_dictionary(spark: SparkSession, sf_dir: str, chunk: int = 500) -> str:
                     F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")))
               .otherwise(F.col("c_name")))
     codes = c.select(blk.alias("block"), (F.col("c_custkey") + 1).alias("ord"),
-                     F.concat(F.lit("\t"), F.col("c_custkey").cast("string"), F.lit(" =  '"),
+                     F.concat(F.when(F.col("c_custkey") % 10 == 0, F.lit("/* note - x\n\nvalue innerl\n*/\n"))
+                              .otherwise(F.lit("")),
+                              F.lit("\t"), F.col("c_custkey").cast("string"), F.lit(" =  '"),
                               label, F.lit("'")).alias("line"))
     heads = c.select(blk.alias("block"), F.col("c_nationkey")).distinct().select(
         "block", F.lit(0).alias("ord"),
@@ -95,6 +103,13 @@ def write_dictionary(spark: SparkSession, sf_dir: str, chunk: int = 500) -> str:
             .unionByName(codes.select("block", F.col("ord").cast("long"), "line"))
             .unionByName(heads.select("block", F.col("ord").cast("long"), "line"))
             .unionByName(tails))
+    # a comment that never closes, the last block of its file ("~" sorts last)
+    r = table(spark, sf_dir, "region").select(
+        F.lit("~unclosed").alias("block"), (F.col("r_regionkey") + 1).cast("long").alias("ord"),
+        F.concat(F.lit("value "), F.col("r_name")).alias("line"))
+    first = r.groupBy("block").agg(F.lit(0).cast("long").alias("ord"),
+                                   F.lit("/* lost - never closed").alias("line"))
+    rows = rows.unionByName(r).unionByName(first)
     path = scratch_path(spark, "dictionary")
     (rows.repartition("block").sortWithinPartitions("block", "ord")
          .select("line").write.text(path))

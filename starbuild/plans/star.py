@@ -6,8 +6,9 @@ materialises it in an order that suits a large cluster:
 1. the combination dimension is written first and read back, which cuts
    lineage (an executor lost later never recomputes it from staging) and
    pins its surrogate keys to one materialisation;
-2. its row count — read from that small written table — decides whether
-   the fact join may broadcast it (a proven bound, not an estimate);
+2. the fact is joined with that written table; Spark broadcasts it or not
+   from its bytes, and combinations that hold a large share of the rows
+   (known from the counts gathered with the combinations) are spread;
 3. the fact is written (optionally partitioned by a low-cardinality
    column); the other dimensions are written concurrently with steps 1-3.
 
@@ -23,13 +24,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starbuild.operators import columns as colops
-from starbuild.operators import dims, facts, quality
-from starbuild.sources import sinks
-
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
+from starbuild.operators import dims, facts, joins, quality
+from starbuild.sources import readers, sinks
 
 @dataclass
 class StagingSpec:
@@ -64,6 +63,7 @@ class StarSpec:
     rollup_mean: str | None = None
     rollup_weight: str | None = None
     keep_null_date: bool = True
+    rank_partitions: int | None = None    # tasks that rank the combinations (default: shuffle partitions)
 
 
 def stage(df: DataFrame, spec: StagingSpec) -> DataFrame:
@@ -84,10 +84,10 @@ def stage(df: DataFrame, spec: StagingSpec) -> DataFrame:
     return out
 
 
-def build_dimensions(staged: DataFrame, spec: StarSpec, entity_src: DataFrame | None = None,
-                     rollup_src: DataFrame | None = None) -> dict[str, DataFrame]:
+def build_other_dimensions(staged: DataFrame, spec: StarSpec, entity_src: DataFrame | None = None,
+                           rollup_src: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All dimensions but the flag combinations, as lazy frames."""
     tables = {
-        spec.flag_dim_name: dims.combination_dimension(staged, spec.flags, spec.flag_key),
         spec.date_dim_name: dims.date_dimension(staged, spec.date_columns,
                                                 keep_null=spec.keep_null_date),
     }
@@ -102,29 +102,38 @@ def build_dimensions(staged: DataFrame, spec: StarSpec, entity_src: DataFrame |
 
 def build_star(staged: DataFrame, spec: StarSpec, entity_src: DataFrame | None = None,
                rollup_src: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All star tables as lazy frames (fact joined to the lazy flag dim)."""
-    tables = build_dimensions(staged, spec, entity_src, rollup_src)
-    tables[spec.fact_name] = facts.build_fact(staged, tables[spec.flag_dim_name], spec.flags,
-                                              spec.flag_key, spec.fact_layout)
+    """All star tables as frames (the flag combinations are counted and ranked
+    at once, the rest is lazy)."""
+    combos, hot = counted_combinations(staged, spec.flags)
+    flag_dim = dims.rank_combinations(combos, spec.flags, spec.flag_key, num_partitions=spec.rank_partitions)
+    tables = {spec.flag_dim_name: flag_dim} | build_other_dimensions(staged, spec, entity_src, rollup_src)
+    tables[spec.fact_name] = facts.build_fact(staged, flag_dim, spec.flags, spec.flag_key,
+                                              spec.fact_layout, [spec.fact_key], hot)
     return tables
 
 
+def counted_combinations(staged: DataFrame, flags: Sequence[str]) -> tuple[DataFrame, list[int]]:
+    """Flag combinations with their row counts (reliable checkpoint, one scan)
+    and the hashes of those that hold a large share of the rows."""
+    combos = dims.flag_combinations(staged, flags).checkpoint(eager=True)
+    return combos, joins.hot_of_counts(combos, flags, "rows")
+
+
 def fact_with_checked_dimension(staged: DataFrame, flags: Sequence[str], key: str,
                                 layout: Sequence[tuple[str, str, str | None]] | None = None,
-                                broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                                salt_by: Sequence[str] | None = None,
                                 ) -> tuple[DataFrame, DataFrame]:
     """Fact with its flag-combination key, for callers that do not write the
     star: the dimension is checkpointed (reliably, to the shared
-    ``spark.checkpoint.dir``), which pins its keys and cuts its lineage,
-    and it is broadcast only if it has at most ``broadcast_rows`` rows.
-    Returns ``(fact, dimension)``.
+    ``spark.checkpoint.dir``), which pins its keys and cuts its lineage.
+    ``salt_by`` names the fact key.  Returns ``(fact, dimension)``.
     """
-    dim = dims.combination_dimension(staged, flags, key).checkpoint(eager=True)
-    dim, small = facts.sized_for_broadcast(dim, broadcast_rows)
+    combos, hot = counted_combinations(staged, flags)
+    dim = dims.rank_combinations(combos, flags, key).checkpoint(eager=True)
     if layout is None:
-        fact = facts.attach_dimension_key(staged, dim, flags, key, broadcast=small)
+        fact = facts.attach_dimension_key(staged, dim, flags, key, salt_by=salt_by, hot=hot)
     else:
-        fact = facts.build_fact(staged, dim, flags, key, layout, broadcast=small)
+        fact = facts.build_fact(staged, dim, flags, key, layout, salt_by, hot)
     return fact, dim
 
 
@@ -141,72 +150,92 @@ def _observed(df: DataFrame, name: str, key: str | None,
     return df.observe(obs, *metrics)
 
 
+@dataclass
+class WrittenStar:
+    """Paths and schemas of written tables; ``read`` gives a table back with
+    the types it was written with."""
+    paths: dict[str, str] = field(default_factory=dict)
+    schemas: dict[str, StructType] = field(default_factory=dict)
+
+    def read(self, spark: SparkSession, name: str) -> DataFrame:
+        return sinks.read_parquet(spark, self.paths[name], self.schemas[name])
+
+
 def write_star(spark: SparkSession, staged: DataFrame, spec: StarSpec, root: str,
                entity_src: DataFrame | None = None, rollup_src: DataFrame | None = None,
                fact_partition_by: Sequence[str] | None = None,
-               broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                compression: str = "gzip",
                metrics: dict[str, dict] | None = None,
-               max_parallel_writes: int = 4) -> dict[str, str]:
+               max_parallel_writes: int = 4, cluster: str = "none",
+               max_records_per_file: int | None = None) -> WrittenStar:
     """Write the star under ``root`` (a shared folder or object-store URI).
 
-    Returns ``{name: path}``.  See the module docstring for the order.
+    See the module docstring for the order, and ``sinks.write_parquet`` for
+    ``cluster`` and ``max_records_per_file`` (both lay out the fact).
     If ``metrics`` is a dict, it receives ``{table: {"rows": n, ...}}``
     gathered during the writes themselves (``DataFrame.observe``), so no
     extra count job runs; for the fact, ``null_keys`` counts rows whose
     flag-combination key is NULL.
     """
     observations: dict[str, Observation] | None = {} if metrics is not None else None
-    dims_lazy = build_dimensions(staged, spec, entity_src, rollup_src)
-    flag_lazy = dims_lazy.pop(spec.flag_dim_name)
-    flag_path = sinks.table_path(root, spec.flag_dim_name)
+    others = build_other_dimensions(staged, spec, entity_src, rollup_src)
     key_out = next((t for t, src, _ in spec.fact_layout if src == spec.flag_key), None)
-    fact_path = sinks.table_path(root, spec.fact_name)
+    star = WrittenStar()
+
+    def write(name: str, df: DataFrame, key: str | None = None, **layout) -> None:
+        path = sinks.table_path(root, name)
+        sinks.write_parquet(_observed(df, name, key, observations), path, compression=compression, **layout)
+        star.paths[name], star.schemas[name] = path, df.schema
+
+    def write_flags_and_fact() -> None:
+        combos, hot = counted_combinations(staged, spec.flags)
+        write(spec.flag_dim_name, dims.rank_combinations(combos, spec.flags, spec.flag_key,
+                                                         num_partitions=spec.rank_partitions))
+        fact = facts.build_fact(staged, star.read(spark, spec.flag_dim_name), spec.flags, spec.flag_key,
+                                spec.fact_layout, [spec.fact_key], hot)
+        write(spec.fact_name, fact, key_out, partition_by=fact_partition_by, cluster=cluster,
+              max_records_per_file=max_records_per_file)
+
     # Independent writes run as concurrent jobs so their tasks share the
-    # cluster: the flag dimension and the other dimensions start together;
-    # the fact starts once the flag dimension is written and sized.  A
-    # failed write re-raises here.
-    with ThreadPoolExecutor(max_workers=max(1, min(len(dims_lazy) + 2,
-                                                   max_parallel_writes))) as pool:
-        futures = {spec.flag_dim_name: pool.submit(
-            sinks.write_parquet, _observed(flag_lazy, spec.flag_dim_name, None, observations),
-            flag_path, None, compression)}
-        for name, df in dims_lazy.items():
-            futures[name] = pool.submit(sinks.write_parquet,
-                                        _observed(df, name, None, observations),
-                                        sinks.table_path(root, name), None, compression)
-        futures[spec.flag_dim_name].result()
-        flag_dim, small = facts.sized_for_broadcast(spark.read.parquet(flag_path), broadcast_rows)
-        fact = facts.build_fact(staged, flag_dim, spec.flags, spec.flag_key, spec.fact_layout,
-                                broadcast=small)
-        futures[spec.fact_name] = pool.submit(
-            sinks.write_parquet, _observed(fact, spec.fact_name, key_out, observations),
-            fact_path, fact_partition_by, compression)
-        paths = {name: fut.result() for name, fut in futures.items()}
+    # cluster; the fact follows the flag dimension.  A failed write re-raises.
+    with ThreadPoolExecutor(max_workers=max(1, min(len(others) + 1, max_parallel_writes))) as pool:
+        futures = [pool.submit(write_flags_and_fact), *(pool.submit(write, n, df) for n, df in others.items())]
+        for f in futures:
+            f.result()
     if observations is not None:
         metrics.update({name: dict(obs.get) for name, obs in observations.items()})
-    return paths
+    return star
 
 
 def run_checks(staged: DataFrame, tables: Mapping[str, DataFrame], spec: StarSpec,
                entity_src: DataFrame | None = None,
-               fact_id_unique: bool = False, approx: bool = False) -> dict[str, DataFrame]:
-    """The two run-time checks of the original, as lazy one-row frames:
-    key reconciliation for the fact, the date dimension (per source date
-    column) and the entity, and fact-to-entity join coverage.
-
-    ``fact_id_unique`` (the fact's id, its first layout column, is known
-    to be unique) lets the coverage check skip its ``(id, fk)``
-    de-duplication shuffle.  ``approx`` estimates distinct keys in the
-    reconciliations with HyperLogLog++ (no key shuffle)."""
-    checks = {
-        f"reconcile_{spec.fact_name}": quality.reconcile_counts(
-            staged, spec.fact_key, tables[spec.fact_name], spec.fact_layout[0][0],
-            approx=approx),
-    }
+               fact_id_unique: bool | None = False, approx: bool = False) -> dict[str, DataFrame]:
+    """The two run-time checks of the original, as one-row frames: key
+    reconciliation for the fact, the date dimension (per source date column)
+    and the entity, and fact-to-entity join coverage.
+
+    All keys of the staging source are counted in one scan of it (eagerly:
+    a few rows, kept by a reliable checkpoint); the frames themselves are lazy
+    and read the output tables only.  ``fact_id_unique`` (the fact's id, its
+    first layout column, is known to be unique) lets the coverage check skip
+    its ``(id, fk)`` de-duplication shuffle; None finds it out from the fact's
+    reconciliation (one collected row, which is not computed again).
+    ``approx`` estimates distinct keys in the reconciliations with
+    HyperLogLog++ (no key shuffle); an estimate proves no uniqueness."""
+    keys = [spec.fact_key, *(c for c in spec.date_columns if c != spec.fact_key)]
+    counts = quality.key_counts(staged, keys, approx).checkpoint(eager=True)
+    fact_check = quality.reconcile_counts(staged, spec.fact_key, tables[spec.fact_name],
+                                          spec.fact_layout[0][0], approx, stage_counts=counts)
+    if fact_id_unique is None:
+        fact_id_unique = False
+        if not approx:
+            row = fact_check.first()
+            fact_check = fact_check.sparkSession.createDataFrame([row], fact_check.schema)
+            fact_id_unique = row["duplicates"] == 0 and row["output_unique"] == row["output_rows"]
+    checks = {f"reconcile_{spec.fact_name}": fact_check}
     for c in spec.date_columns:
         checks[f"reconcile_{spec.date_dim_name}_{c}"] = quality.reconcile_counts(
-            staged, c, tables[spec.date_dim_name], "datestamp", approx=approx)
+            staged, c, tables[spec.date_dim_name], "datestamp", approx, stage_counts=counts)
     if spec.entity_name and spec.entity_name in tables and entity_src is not None:
         checks[f"reconcile_{spec.entity_name}"] = quality.reconcile_counts(
             entity_src, spec.entity_key, tables[spec.entity_name], spec.entity_key,
@@ -228,6 +257,7 @@ class StarRun:
     paths: dict[str, str]
     metrics: dict[str, dict]
     checks: dict[str, DataFrame]
+    star: WrittenStar
 
 
 def run_star(spark: SparkSession, staged: DataFrame, spec: StarSpec, root: str,
@@ -235,37 +265,33 @@ def run_star(spark: SparkSession, staged: DataFrame, spec: StarSpec, root: str,
              sample_fraction: float | None = None, seed: int = 42, checks: bool = True,
              fact_partition_by: Sequence[str] | None = None,
              compression: str = "gzip", write_checks: bool = False,
-             approx_checks: bool = False) -> StarRun:
+             approx_checks: bool = False, cluster: str = "none",
+             max_records_per_file: int | None = None) -> StarRun:
     """The whole job: optional seeded sample of the staged source, star
     write, and (if ``checks``) the run-time checks.
 
-    The sample is taken on the staged plan before anything is computed, so
-    a 1 % run reads 1 % of the rows downstream of the scan.  The checks are
-    built on the written tables, not on the lazy fact, so they never
-    recompute the join; ``write_checks`` stores their one-row results
-    under ``root/_checks/<name>``.
+    The sample is taken on the staged plan before anything is computed, by a
+    hash of the fact key, so a 1 % run is the same however the source is
+    split.  The checks are built on the written tables, not on the lazy fact,
+    so they never recompute the join; ``write_checks`` stores their one-row
+    results under ``root/_checks/<name>``.  The staging source is scanned for
+    the flag combinations, the dates, the fact and the checks: four times,
+    whatever the number of date columns.
     """
     if sample_fraction is not None:
-        staged = staged.sample(withReplacement=False, fraction=sample_fraction, seed=seed)
+        staged = readers.sample_rows(staged, sample_fraction, seed, [spec.fact_key])
     metrics: dict[str, dict] = {}
-    paths = write_star(spark, staged, spec, root, entity_src=entity_src, rollup_src=rollup_src,
-                       fact_partition_by=fact_partition_by, compression=compression,
-                       metrics=metrics)
-    found = {}
+    star = write_star(spark, staged, spec, root, entity_src=entity_src, rollup_src=rollup_src,
+                      fact_partition_by=fact_partition_by, compression=compression,
+                      metrics=metrics, cluster=cluster, max_records_per_file=max_records_per_file)
+    paths, found = dict(star.paths), {}
     if checks:
-        written = {name: spark.read.parquet(path) for name, path in paths.items()}
-        found = run_checks(staged, written, spec, entity_src, approx=approx_checks)
-        # The fact reconciliation (one row) says whether the fact key is
-        # unique; if so the coverage check needs no pair de-duplication.
-        # An estimate cannot prove uniqueness, so only exact checks do this.
-        rec = found[f"reconcile_{spec.fact_name}"].collect()[0]
-        if (not approx_checks and rec["duplicates"] == 0
-                and rec["output_unique"] == rec["output_rows"]):
-            found = run_checks(staged, written, spec, entity_src, fact_id_unique=True)
+        tables = {name: star.read(spark, name) for name in star.paths}
+        found = run_checks(staged, tables, spec, entity_src, fact_id_unique=None, approx=approx_checks)
         if write_checks:
             # One-row results: kept next to the tables as an audit record.
             for name, df in found.items():
                 paths[f"_checks/{name}"] = sinks.write_parquet(
                     df.coalesce(1), sinks.table_path(sinks.table_path(root, "_checks"), name),
                     compression=compression)
-    return StarRun(paths, metrics, found)
+    return StarRun(paths, metrics, found, star)

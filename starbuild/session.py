@@ -50,9 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     If the setting is unset and the session is local (tests), a fresh
-    folder under the system temp dir is created and set.  On a cluster an
-    unset value is an error: a machine-local folder would not survive the
-    loss of an executor.
+    folder under the system temp dir is created and set.  Elsewhere (on a
+    cluster, or in a session without a JVM context, whose cluster we cannot
+    see) an unset value is an error: a machine-local folder would not survive
+    the loss of an executor.
     """
     try:
         sc = spark.sparkContext
@@ -63,16 +64,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    if sc is not None and not _is_local(spark):
+    if sc is None or not _is_local(spark):
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     path = tempfile.mkdtemp(prefix="starbuild-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(path)      # what DataFrame.checkpoint uses
+    sc.setCheckpointDir(path)          # what DataFrame.checkpoint uses
     try:
         spark.conf.set("spark.checkpoint.dir", path)
-    except Exception:  # noqa: BLE001 - some sessions reject core settings at runtime
-        if sc is None:
-            raise
+    except Exception:  # noqa: BLE001, S110 - some sessions reject core settings at runtime
+        pass
     return path
 
 

@@ -34,6 +34,12 @@ Rules:
   removed); ``key = label`` lines follow, split on the first ``=`` (so a
   label may contain ``=``), quotes stripped, padding inside the quotes
   kept; an empty line closes the list.
+* Inside a comment nothing else has a meaning: a ``value`` line there opens no
+  list, and an empty line there closes none.
+* A block is closed if the next comment mark after its opening line is a
+  closing line.  Lines of a block that is never closed (the file ends, or
+  another comment begins first) describe nothing; they are returned one by
+  one by ``unclosed_comment_lines`` and never gathered, however many they are.
 * Leading/trailing spaces and tabs are ignored.  A name described twice
   keeps its last description; a code listed twice keeps its last label.
 """
@@ -60,25 +66,31 @@ def read_dictionary_lines(spark: SparkSession, path: str | list[str]) -> DataFra
                       _strip_ws(F.col("value")).alias("line"))
 
 
-def forward_fill(lines: DataFrame, events: Mapping[str, tuple[Column, bool]]) -> DataFrame:
+def forward_fill(lines: DataFrame, events: Mapping[str, tuple[Column, bool]],
+                 backward: bool = False) -> DataFrame:
     """For each ``name -> (event, include_current)``, add column ``name``:
     the last non-null ``event`` at (or strictly before, if
-    ``include_current`` is false) the line, in file order.
+    ``include_current`` is false) the line, in file order; with ``backward``
+    the next one at or after it.
 
     Work is split by input split; the carry between splits comes from one
     row per split, so no task sees more than one split of lines.
     """
+    def ordered(name: str) -> Column:
+        return F.col(name).desc() if backward else F.col(name).asc()
+
+    nearest = F.min_by if backward else F.max_by
     tagged = lines.select("*", *[ev.alias(f"_ev_{n}") for n, (ev, _) in events.items()])
-    w = Window.partitionBy("file", "split").orderBy("mid")
+    w = Window.partitionBy("file", "split").orderBy(ordered("mid"))
     local = tagged.select("*", *[
         F.last(f"_ev_{n}", ignorenulls=True).over(
             w.rowsBetween(Window.unboundedPreceding, Window.currentRow if inc else -1))
         .alias(f"_loc_{n}")
         for n, (_, inc) in events.items()])
     per_split = tagged.groupBy("file", "split").agg(*[
-        F.max_by(f"_ev_{n}", F.when(F.col(f"_ev_{n}").isNotNull(), F.col("mid")))
+        nearest(f"_ev_{n}", F.when(F.col(f"_ev_{n}").isNotNull(), F.col("mid")))
         .alias(f"_last_{n}") for n in events])
-    ws = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    ws = Window.partitionBy("file").orderBy(ordered("split")).rowsBetween(Window.unboundedPreceding, -1)
     carry = per_split.select("file", "split", *[
         F.last(f"_last_{n}", ignorenulls=True).over(ws).alias(f"_carry_{n}") for n in events])
     joined = local.join(carry, ["file", "split"])
@@ -86,38 +98,39 @@ def forward_fill(lines: DataFrame, events: Mapping[str, tuple[Column, bool]]) ->
         F.coalesce(F.col(f"_loc_{n}"), F.col(f"_carry_{n}")).alias(n) for n in events])
 
 
-def _classify(lines: DataFrame) -> DataFrame:
-    """Add comment-block and code-list state to each line.
-
-    ``open_block``: position of the multi-line comment still open before
-    this line (a closing line or a one-line comment closes it; ``split`` =
-    -1 marks "closed").  ``open_list``: name of the code list open at this
-    line ('' when closed).
-    """
+def _comments(lines: DataFrame) -> DataFrame:
+    """Add comment state to each line: ``is_open`` (it begins with ``/*``),
+    ``block`` (position of the opening line of the comment that the line is
+    part of, null outside comments) and ``closed`` (whether that comment is
+    ever closed)."""
     line = F.col("line")
     is_open = line.startswith("/*")
     is_close = line.endswith("*/") & ~(is_open & (F.length(line) < 4))
     pos = F.struct(F.col("split"), F.col("mid"))
-    closed = F.struct(F.lit(-1).cast("long").alias("split"), F.lit(-1).cast("long").alias("mid"))
-    comment_ev = F.when(is_open & ~is_close, pos).when(is_close, closed)
-    is_list_start = line.rlike(r"^value\s+\S")
-    list_name = F.regexp_replace(F.regexp_extract(line, r"^value\s+(\S+)", 1), "l+$", "")
-    list_ev = F.when(is_list_start, list_name).when(line == "", F.lit(""))
-    filled = forward_fill(lines, {"open_block": (comment_ev, False),
-                                  "open_list": (list_ev, True)})
-    return filled.select("*", is_open.alias("is_open"), is_list_start.alias("is_list_start"))
+    none = F.struct(F.lit(-1).cast("long").alias("split"), F.lit(-1).cast("long").alias("mid"))
+    mark = F.when(is_open & ~is_close, pos).when(is_close, none)
+    kind = F.when(is_open, F.lit(False)).when(is_close, F.lit(True))
+    filled = forward_fill(lines, {"open_block": (mark, False)})
+    filled = forward_fill(filled, {"next_closes": (kind, False)}, backward=True)
+    inside = F.col("open_block").isNotNull() & (F.col("open_block.split") >= 0)
+    return filled.select(
+        *lines.columns, is_open.alias("is_open"),
+        F.when(is_open, pos).when(inside, F.col("open_block")).alias("block"),
+        (is_close | F.coalesce("next_closes", F.lit(False))).alias("closed"))
+
+
+def unclosed_comment_lines(lines: DataFrame) -> DataFrame:
+    """``(file, split, mid, line)`` of every line of a comment that is never
+    closed, the opening line included."""
+    return _comments(lines).where(F.col("block").isNotNull() & ~F.col("closed")).select(*lines.columns)
 
 
 def dictionary_fields(lines: DataFrame) -> DataFrame:
     """Field descriptions: ``(field, description)``."""
-    c = _classify(lines)
-    in_block = ~F.col("is_open") & F.col("open_block").isNotNull() & \
-        (F.col("open_block.split") >= 0)
+    c = _comments(lines).where(F.col("block").isNotNull() & F.col("closed"))
     body = F.regexp_replace(F.regexp_replace(F.col("line"), r"^/\*[ \t]*", ""), r"[ \t]*\*/$", "")
-    block = F.when(F.col("is_open"), F.struct("split", "mid")).when(in_block, F.col("open_block"))
-    parts = c.select("file", block.alias("block"), "split", "mid",
-                     _strip_ws(body).alias("text")).filter(F.col("block").isNotNull())
-    # One group per comment block: a few lines, never a whole file.
+    parts = c.select("file", "block", "split", "mid", _strip_ws(body).alias("text"))
+    # One group per closed comment block: the lines between its two marks.
     blocks = parts.groupBy("file", "block").agg(
         F.sort_array(F.collect_list(F.struct("split", "mid", "text"))).alias("parts"))
     first = F.col("parts")[0]["text"]
@@ -144,10 +157,14 @@ def dictionary_fields(lines: DataFrame) -> DataFrame:
 
 def dictionary_codes(lines: DataFrame) -> DataFrame:
     """Code lists: ``(list_name, code, label)``."""
-    c = _classify(lines)
-    in_comment = F.col("is_open") | (F.col("open_block").isNotNull()
-                                     & (F.col("open_block.split") >= 0))
-    is_code = (~F.col("is_list_start") & ~in_comment & F.col("line").contains("=")
+    line = F.col("line")
+    is_start = line.rlike(r"^value\s+\S")
+    list_name = F.regexp_replace(F.regexp_extract(line, r"^value\s+(\S+)", 1), "l+$", "")
+    outside = F.col("block").isNull()
+    # a list opens or closes outside comments only ('' marks "closed")
+    event = F.when(outside & is_start, list_name).when(outside & (line == ""), F.lit(""))
+    c = forward_fill(_comments(lines), {"open_list": (event, True)})
+    is_code = (outside & ~is_start & line.contains("=")
                & F.col("open_list").isNotNull() & (F.col("open_list") != ""))
     codes = c.filter(is_code).select(
         F.col("open_list").alias("list_name"),

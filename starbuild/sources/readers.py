@@ -8,9 +8,10 @@ the data and guesses differently per file.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
@@ -59,7 +60,25 @@ def read_in_chunks(df: DataFrame, max_lines: int, steps: int) -> DataFrame:
     return df.limit(-(-max_lines // steps) * steps)
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """Bernoulli sample of about ``fraction`` of the rows.  A seed is required
-    so that two runs over the same input see the same rows."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def sample_rows(df: DataFrame, fraction: float, seed: int, key: Sequence[str]) -> DataFrame:
+    """About ``fraction`` of the rows, chosen by a hash of the row key and the
+    seed: the same rows in every run, whatever the file splits, and all rows
+    of one key or none.  The first 52 bits of ``md5(seed:key)`` are compared
+    with the fraction (a NULL key part counts as empty text)."""
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in key])
+    number = F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("long")
+    return df.where(number < F.lit(int(fraction * (1 << 52))))
+
+
+def checked_rows(part: DataFrame, source: DataFrame, name: str) -> DataFrame:
+    """A bounded read as one checked row: ``(read, rows, rows_in_source)``, the
+    number of rows returned and how many of them the source holds (duplicates
+    counted as often as the source has them)."""
+    cols = source.columns
+    mine = part.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias("_m"))
+    have = source.groupBy(*[F.col(f"`{c}`").alias(f"_s{i}") for i, c in enumerate(cols)]).agg(F.count(F.lit(1)).alias("_n"))
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(cols)]
+    met = mine.join(have, same, "left")
+    zero = F.lit(0).cast("long")
+    return met.agg(F.lit(name).alias("read"), F.coalesce(F.sum("_m"), zero).alias("rows"),
+                   F.coalesce(F.sum(F.least("_m", F.coalesce("_n", zero))), zero).alias("rows_in_source"))

@@ -1,10 +1,10 @@
-"""Schema contracts: export a schema to JSON, import it, enforce it."""
+"""Schema contracts: export a schema to JSON (text or file), import it, enforce it."""
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -20,6 +20,20 @@ def schema_from_json(text: str) -> StructType:
     return StructType.fromJson(json.loads(text))
 
 
+def write_schema(schema: DataFrame | StructType, path: str, spark: SparkSession | None = None) -> str:
+    """Write a schema as JSON text to ``path`` (any folder Spark can write, a
+    shared one on a cluster) and return the path."""
+    spark = spark or schema.sparkSession
+    (spark.createDataFrame([(schema_to_json(schema),)], "value string").coalesce(1)
+     .write.mode("overwrite").text(path))
+    return path
+
+
+def read_schema(spark: SparkSession, path: str) -> StructType:
+    """Inverse of ``write_schema`` (one line of text)."""
+    return schema_from_json(spark.read.text(path).where("value <> ''").first()["value"])
+
+
 def conform(df: DataFrame, schema: StructType, allow_missing: bool = False) -> DataFrame:
     """Reorder, cast and check ``df`` against ``schema`` (``DataFrame.to``).
 

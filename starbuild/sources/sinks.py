@@ -6,8 +6,9 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 
 def table_path(root: str, name: str) -> str:
@@ -52,6 +53,16 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None =
     return path
 
 
+def read_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A written table with the types and column order it was written with.
+
+    Partition columns live in folder names; a read without a schema guesses
+    their types anew (text ``'01'`` would come back as the number 1)."""
+    fields = [StructField(f.name, f.dataType, True) for f in schema.fields]
+    back = spark.read.schema(StructType(fields)).parquet(path)
+    return back.select(*[F.col(f"`{f.name}`") for f in fields])
+
+
 def write_tables(tables: Mapping[str, DataFrame], root: str,
                  partition_by: Mapping[str, Sequence[str]] | None = None,
                  compression: str = "gzip") -> dict[str, str]:

@@ -69,9 +69,10 @@ def test_project_layout(spark):
     assert out.columns == ["b2", "a2"] and out.collect()[0].a2 == 1
 
 
-def test_schema_roundtrip_and_conform(spark):
+def test_schema_roundtrip_and_conform(spark, tmp_path):
     df = spark.createDataFrame([(1, "a")], "k bigint, v string")
     sch = S.schema_from_json(S.schema_to_json(df.select("v", "k")))
+    assert S.read_schema(spark, S.write_schema(df.select("v", "k"), str(tmp_path / "schema"))) == sch
     assert isinstance(sch, StructType)
     assert S.conform(df, sch).columns == ["v", "k"]
     with pytest.raises(ValueError):

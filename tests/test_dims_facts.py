@@ -1,4 +1,6 @@
 import re
+
+import pytest
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -6,6 +8,7 @@ from pyspark.sql import functions as F
 from starbuild.operators import aggregates as A
 from starbuild.operators import dims as D
 from starbuild.operators import facts as FT
+from starbuild.operators.joins import hot_of_counts
 from starbuild.operators.sequence import with_sequence_id
 
 FLAGS = ["entdepa", "entdepd", "entdepu", "matflag"]
@@ -57,14 +60,41 @@ def test_fact_join_null_flags_get_null_key(spark):
     assert fact.count() == s.count() == 8
 
 
-def test_fact_broadcast_only_when_sized(spark):
+def test_fact_join_is_broadcast_by_bytes(spark):
     s = staged(spark)
     dim = D.combination_dimension(s, FLAGS).checkpoint(eager=True)
-    _, ok = FT.sized_for_broadcast(dim, 10)
-    _, too_big = FT.sized_for_broadcast(dim, 1)
-    assert ok and not too_big
-    fact = FT.attach_dimension_key(s, dim, FLAGS, "status_flag_id", broadcast=ok)
-    assert "BroadcastHashJoin" in fact._jdf.queryExecution().executedPlan().toString()
+    fact = FT.attach_dimension_key(s, dim, FLAGS, "status_flag_id", salt_by=["cicid"])
+    qe = fact._jdf.queryExecution()
+    qe.toRdd().count()
+    final = qe.executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in final and "SortMergeJoin" not in final
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_fact_join_one_contract_for_every_size(spark, hot):
+    """A map column, NULL flags and a combination with a third of the rows:
+    equal rows with and without broadcast, hot keys spread or not."""
+    n = 3000
+    base = spark.range(n).select(
+        "id", F.create_map(F.lit("k"), F.col("id")).alias("m"),
+        F.when(F.col("id") % 3 == 0, "HOT").when(F.col("id") % 3 == 1, (F.col("id") % 40).cast("string")).alias("a"),
+        F.when(F.col("id") % 5 == 0, F.lit(None).cast("string")).otherwise("x").alias("b"))
+    combos = D.flag_combinations(base, ["a", "b"]).checkpoint()
+    dim = D.rank_combinations(combos, ["a", "b"], "k").checkpoint()
+    keys = hot_of_counts(combos, ["a", "b"], "rows", least=100) if hot else []
+    assert len(keys) == (1 if hot else 0)
+    rows = []
+    for limit in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            fact = FT.attach_dimension_key(base, dim, ["a", "b"], "k", salt_by=["id"], hot=keys, salt_buckets=8)
+            assert fact.columns == ["id", "m", "a", "b", "k"]
+            plain = base.join(dim, ["a", "b"], "left").select(*fact.columns)
+            rows.append(sorted(map(str, fact.collect())))
+            rows.append(sorted(map(str, plain.collect())))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert all(r == rows[0] for r in rows) and len(rows[0]) == n
 
 
 def test_date_dimension_keeps_null_and_dedups(spark):
@@ -167,23 +197,27 @@ def test_write_star_observes_counts(spark, tmp_path):
                     fact_layout=[("cicid", "cicid", "int"), ("status", "status_flag_id", None),
                                  ("arrival_dt", "arrdate", None)])
     metrics = {}
-    paths = write_star(spark, s, spec, str(tmp_path / "star"), metrics=metrics)
+    star = write_star(spark, s, spec, str(tmp_path / "star"), metrics=metrics)
     assert metrics["facts"] == {"rows": 8, "null_keys": 5}
     assert metrics["dim_status"]["rows"] == 2
-    assert metrics["dim_time"]["rows"] == spark.read.parquet(paths["dim_time"]).count()
-    fact = spark.read.parquet(paths["facts"])
+    assert metrics["dim_time"]["rows"] == star.read(spark, "dim_time").count()
+    fact = star.read(spark, "facts")
     assert fact.columns == ["cicid", "status", "arrival_dt"] and fact.count() == 8
 
 
-def test_sequence_ids_without_exchange_reuse(spark):
-    from pyspark.sql import functions as F2
-    df = spark.range(0, 3000).select((F2.col("id") * 7 % 3000).alias("k"))
-    spark.conf.set("spark.sql.exchange.reuse", "false")
+@pytest.mark.parametrize("parts,reuse,aqe", [(3, True, True), (16, True, False), (16, False, True), (7, False, False)])
+def test_sequence_ids_with_payload_columns(spark, parts, reuse, aqe):
+    df = spark.range(0, 20000, 1, 9).select((F.col("id") * 7 % 20000).alias("k"),
+                                            F.concat(F.lit("text"), F.col("id").cast("string")).alias("payload"))
+    spark.conf.set("spark.sql.exchange.reuse", str(reuse).lower())
+    spark.conf.set("spark.sql.adaptive.enabled", str(aqe).lower())
     try:
-        got = {r.k: r.sid for r in with_sequence_id(df, ["k"], "sid", num_partitions=7).collect()}
+        got = with_sequence_id(df, ["k"], "sid", num_partitions=parts)
+        assert got.where("k != sid").count() == 0 and got.select("sid").distinct().count() == 20000
+        assert got.columns == ["k", "payload", "sid"]
     finally:
-        spark.conf.set("spark.sql.exchange.reuse", "true")
-    assert got == {k: k for k in range(3000)}
+        spark.conf.unset("spark.sql.exchange.reuse")
+        spark.conf.unset("spark.sql.adaptive.enabled")
 
 
 def test_run_star_with_checks_and_sample(spark, tmp_path):
@@ -214,19 +248,73 @@ def test_group_rollup_dedupe_keys(spark):
 def test_fact_join_same_result_broadcast_or_salted(spark):
     s = staged(spark)
     dim = D.combination_dimension(s, FLAGS)
-    a = FT.attach_dimension_key(s, dim, FLAGS, "status_flag_id", broadcast=True)
+    a = FT.attach_dimension_key(s, dim, FLAGS, "status_flag_id")
+    rows_a = sorted(a.collect(), key=repr)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        b = FT.attach_dimension_key(s, dim, FLAGS, "status_flag_id", null_salt_buckets=4)
+        b = FT.attach_dimension_key(s, dim, FLAGS, "status_flag_id", salt_by=["cicid"], salt_buckets=4)
         plan = b._jdf.queryExecution().executedPlan().toString()
         rows_b = sorted(b.collect(), key=repr)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert sorted(a.collect(), key=repr) == rows_b and a.columns == b.columns
+    assert rows_a == rows_b and a.columns == b.columns
     # The salt must be a shuffle key, not a residual join condition.
     assert re.search(r"SortMergeJoin \[[^\]]*_lsalt", plan), plan
 
 
+def test_partitioned_fact_keeps_text_codes(spark, tmp_path):
+    """Codes '01', '1', '1.0' are different texts, in folder names too."""
+    from starbuild.plans.star import StarSpec, run_star
+    s = spark.createDataFrame([(i, p, "x", dt.date(2020, 1, 1)) for i, p in enumerate(["01", "1", "1.0", "10", None])],
+                              "id int, port string, f string, d date")
+    ports = s.select("port").distinct()
+    spec = StarSpec(fact_name="facts", fact_key="id", flags=["f"], flag_dim_name="dim_f", flag_key="f_id",
+                    date_columns=["d"], date_dim_name="dim_d", entity_name="dim_ports", entity_key="port",
+                    entity_columns=["port"], entity_fk="port",
+                    fact_layout=[("id", "id", "int"), ("port", "port", None), ("f_id", "f_id", None)])
+    rows = []
+    for i, kw in enumerate([{}, {"fact_partition_by": ["port"]},
+                            {"fact_partition_by": ["port"], "cluster": "range", "max_records_per_file": 1}]):
+        run = run_star(spark, s, spec, str(tmp_path / str(i)), entity_src=ports, **kw)
+        fact = run.star.read(spark, "facts")
+        assert fact.columns == ["id", "port", "f_id"] and dict(fact.dtypes)["port"] == "string"
+        rows.append((sorted(map(str, fact.collect())), run.checks["coverage_facts_dim_ports"].first()))
+    assert rows[0] == rows[1] == rows[2] and rows[0][1].matched == 4
+
+
+def test_checks_scan_the_staging_source_once(spark, tmp_path):
+    """However many date columns there are."""
+    from starbuild.operators.quality import key_counts, reconcile_counts
+    s = spark.createDataFrame([(i, dt.date(2020, 1, 1 + i % 3), None if i % 2 else dt.date(2021, 1, 1)) for i in range(10)],
+                              "id int, a date, b date")
+    counts = key_counts(s, ["id", "a", "b"])
+    assert counts._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 2
+    assert {(r["column"], r["rows"], r["uniq"]) for r in counts.collect()} == {("id", 10, 10), ("a", 10, 3), ("b", 10, 2)}
+    one = reconcile_counts(s, "a", s.select("a").distinct(), "a", stage_counts=counts.checkpoint()).first()
+    assert one == reconcile_counts(s, "a", s.select("a").distinct(), "a").first()
+    assert {r["column"]: r["uniq"] for r in key_counts(s, ["id", "b"], approx=True).collect()} == {"id": 10, "b": 2}
+    assert {r["column"]: r["rows"] for r in key_counts(s.where("false"), ["id"]).collect()} == {"id": 0}
+
+
+def test_prefix_key_join_one_row_per_key(spark):
+    from starbuild.operators.joins import hot_keys, prefix_key_join
+    left = spark.createDataFrame([(1, "CA"), (2, None), (3, "NY"), (4, "CA")], "id int, st string")
+    right = spark.createDataFrame([("US-CA", 1), ("CA", 2), ("US-TX", 3), (None, 4)], "code string, v int")
+    for hot in ([], hot_keys(left, ["st"], least=1)):
+        got = {r.id: r.v for r in prefix_key_join(left, "st", right, "code", "US-", how="left", hot=hot).collect()}
+        assert got == {1: 2, 2: None, 3: None, 4: 2}
+        assert prefix_key_join(left, "st", right, "code", "US-", hot=hot).count() == 2
+
+
+def test_code_lists_and_nulls(spark):
+    from starbuild.operators.quality import code_list_violations, code_lists_violations
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 9), ("b", 9)], "x string, y int")
+    codes = spark.createDataFrame([("lx", "a"), ("ly", "1"), ("ly", None)], "list_name string, code string")
+    got = {tuple(r) for r in code_lists_violations(df, {"x": "lx", "y": "ly"}, codes).collect()}
+    assert got == {("x", "lx", "b", 2), ("y", "ly", "2", 1), ("y", "ly", "9", 2)}
+    assert [tuple(r) for r in code_list_violations(df, "x", codes.where("list_name = 'lx'")).collect()] == [("b", 2)]
+
+
 def test_fill_from_lookup_null_keys(spark):
     from starbuild.operators.joins import fill_from_lookup
     df = spark.createDataFrame([(1, "US", None), (2, None, None), (3, "CA", "NA*"), (4, "XX", None)],

@@ -67,7 +67,7 @@ def test_star_from_staging_files(spark, tmp_path):
     run = run_star(spark, staged, spec, str(tmp_path / "star"), entity_src=ports,
                    rollup_src=demo, fact_partition_by=["transport_mode"])
 
-    t = {n: spark.read.parquet(p) for n, p in run.paths.items()}
+    t = {n: run.star.read(spark, n) for n in run.paths}
     assert set(t) == {"visit_facts", "dim_status", "dim_time", "dim_ports", "dim_demographics"}
     fact = {r.id: r for r in t["visit_facts"].collect()}
     assert sorted(fact) == [1, 2, 3, 4]                      # rows 5, 6 miss a required id

@@ -125,3 +125,46 @@ def test_reconcile_counts_approx(spark):
     est = Q.reconcile_counts(stage, "k", out, "k", approx=True).collect()[0]
     assert (est.stage_rows, est.output_rows) == (exact.stage_rows, exact.output_rows)
     assert abs(est.stage_unique - 2000) <= 100 and abs(est.output_unique - 2000) <= 100
+
+
+def test_numeric_profile_of_large_and_missing_values(spark):
+    """Ids above 2**53, epoch milliseconds, NaN and NULL."""
+    import math
+    n = 1000
+    rows = [(2**53 + 2 * i + 1, 1_500_000_000_000 + i, math.nan if i % 4 == 0 else None if i % 4 == 1 else float(i))
+            for i in range(n)] + [(9 * 10**18, None, None)]
+    df = spark.createDataFrame(rows, "big long, ms long, x double")
+    got = {r["column"]: r for r in P.profile_numeric(df).collect()}
+    assert got["big"].unique_values == n + 1 and got["big"].std > 0
+    assert abs(got["ms"].std - np.std(np.arange(n), ddof=1)) < 1e-6
+    x = np.array([float(i) for i in range(n) if i % 4 > 1])
+    assert got["x"]["count"] == len(x) and got["x"].missing == n + 1 - len(x)
+    assert abs(got["x"].mean - x.mean()) < 1e-9 and got["x"].max == x.max() and abs(got["x"].std - x.std(ddof=1)) < 1e-9
+    assert abs(got["x"].q50 - np.quantile(x, 0.5)) < 1e-9
+    small = spark.createDataFrame([(10**9 + i,) for i in range(3)], "a long")
+    assert P.profile_numeric(small).first().std == 1.0
+    assert {r["column"]: r.missing for r in P.columns_with_missing(df).collect()} == {"ms": 1, "x": n + 1 - len(x)}
+
+
+def test_sample_does_not_depend_on_splits(spark):
+    from starbuild.sources.readers import sample_rows
+    df = spark.range(5000).select("id", (F.col("id") * 2).alias("v"))
+    a = {r.id for r in sample_rows(df, 0.2, 7, ["id"]).collect()}
+    b = {r.id for r in sample_rows(df.repartition(13), 0.2, 7, ["id"]).collect()}
+    assert a == b and 850 < len(a) < 1150
+    assert a != {r.id for r in sample_rows(df, 0.2, 8, ["id"]).collect()}
+
+
+def test_hidden_duplicates_filters_wide_rows_before_the_shuffle(spark):
+    rows = [(f"text {i} " * 20,) for i in range(300)] + [("twice " * 20,)] * 2 + [(None,)] * 2
+    df = spark.createDataFrame(rows, "text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = Q.hidden_duplicates(df, ["text"])
+        assert {(r.text, r.copies) for r in out.collect()} == {("twice " * 20, 2), (None, 2)}
+        lines = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+        depth = [i for i, x in enumerate(lines) if "BroadcastHashJoin" in x and "LeftSemi" in x]
+        merge = [i for i, x in enumerate(lines) if "SortMergeJoin" in x or "ShuffledHashJoin" in x]
+        assert depth and merge and merge[0] < depth[0]      # the slot filter stands below the shuffled join
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

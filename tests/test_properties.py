@@ -122,7 +122,7 @@ def test_skewed_pipeline_smoke(spark):
     dim = D.combination_dimension(base, ["a", "b"], "k")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        fact = FT.attach_dimension_key(base, dim, ["a", "b"], "k")
+        fact = FT.attach_dimension_key(base, dim, ["a", "b"], "k", salt_by=["id"])
         got = fact.agg(F.count(F.lit(1)).alias("rows"), F.count("k").alias("keyed"),
                        F.count_distinct("id").alias("ids")).collect()[0]
     finally:

@@ -100,9 +100,9 @@ def main(rows: int, hot: bool) -> None:
             F.when(nulls, F.lit(None).cast("string")).otherwise(F.lit("x")).alias("b"))
         dim = D.combination_dimension(base, ["a", "b"], "k").checkpoint(eager=True)
         labels = ("plain", "salted")
-        for label, buckets in zip(labels, (0, None)):
+        for label, buckets in zip(labels, (1, None)):
             spark.sparkContext.setJobGroup(label, label)
-            FT.attach_dimension_key(base, dim, ["a", "b"], "k", null_salt_buckets=buckets) \
+            FT.attach_dimension_key(base, dim, ["a", "b"], "k", salt_by=["id"], salt_buckets=buckets) \
                 .write.format("noop").mode("overwrite").save()
         spark.stop()
         _report(log_dir, labels)
@@ -119,7 +119,7 @@ def main(rows: int, hot: bool) -> None:
             .alias("a"), F.lit("x").alias("b"))
         dim = D.combination_dimension(base, ["a", "b"], "k").checkpoint(eager=True)
         spark.sparkContext.setJobGroup(label, label)
-        FT.attach_dimension_key(base, dim, ["a", "b"], "k") \
+        FT.attach_dimension_key(base, dim, ["a", "b"], "k", salt_by=["id"]) \
             .write.format("noop").mode("overwrite").save()
         spark.stop()
         _report(log_dir, (label,))
