@@ -1,86 +1,164 @@
-"""Language-model scores: stupid backoff, computed relationally.
-
-1. Every text is cut into words; its n-grams of orders 1 to ``order`` are
-   hashed to 64 bits (``xxhash64`` of the words' hashes).
-2. The count tables hold every n-gram's number of occurrences in the whole
-   corpus, made by partial sums before the shuffle and partitioned by the
-   hash.  Of orders above 1 only n-grams seen ``min_count`` times or more are
-   in the model.  An n-gram's value is count(n-gram) / count(history), for
-   order 1 its share of all words.
-3. The n-grams of the documents are joined with the tables, the longest order
-   first; those that are not in the model go on
-   to the next order with a factor ``discount``.  Order 1 has every word.
-   N-grams with more than a thousandth of all rows are spread over many tasks.
-4. The logarithms (base 10) are summed per document.
-
-Edge cases: a null text counts as empty; a text without words has 0 words, log
-score 0 and a null mean; repeated rows count in the corpus each and are scored
-each; an empty table gives an empty result; extra columns are ignored.  Two
-n-grams of the same 64-bit hash would share their counts.
+"""Language-model scores: stupid backoff with count tables partitioned by hash.
+
+1. Documents are dealt into batches by a hash (about ``BATCH_BYTES`` of text
+   each).  A batch hashes the n-grams of orders 1 to ``order`` that end at each
+   of its words to 64 bits and counts them once per batch.
+2. The batches' counts are partitioned by order and the first bits of the hash
+   (a partition holds about ``BUCKET_GRAMS`` n-grams) and added up: the count
+   tables of the whole corpus.  Of orders above 1 only n-grams seen
+   ``min_count`` times or more are in the model.
+3. The tables are joined to the documents' n-grams: every batch gets back, for
+   the n-grams that it sent and in the same order, which are in the model and
+   their counts.
+4. A word's score is count(n-gram) / count(history) for the longest n-gram in
+   the model that ends there, times ``discount`` for every order given up; of
+   order 1 it is the word's share of all words.  The logarithms (base 10) are
+   summed per document.
+
+Only distinct n-grams of a batch are shuffled, as sorted columns of bytes (the
+leading bytes compress well), so a frequent n-gram is one entry per batch and
+no task ever holds all its occurrences.  The texts are shuffled once, by batch.
+
+Edge cases: a null text counts as empty; a text without words has 0 words and
+log score 0; repeated rows count in the corpus each and are scored each; null
+ids are allowed; an empty table gives an empty result; extra columns are
+ignored.  Two n-grams of the same 64-bit hash would share their counts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+import numpy as np
+import pandas as pd
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starbuild.llm.common import WORD_PATTERN, heavy_keys, spread_join, text_or_empty, union_all, written
+from starbuild.llm.common import WORD_PATTERN, text_or_empty
 
+BATCH_BYTES = 12 << 20
+BUCKET_GRAMS = 2_000_000
 
-def _gram(hashes: Column, at: Column, length: int) -> Column:
-    """Hash of the ``length`` words that end at position ``at`` (1-based)."""
-    if length == 1:
-        return F.element_at(hashes, at)
-    return F.xxhash64(*[F.element_at(hashes, at - back) for back in range(length - 1, -1, -1)])
 
+class _WordHashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = h = xxhash.xxh64_intdigest(word)
+        return h
 
-def _ends(documents: DataFrame, order: int, id_col: str, text_col: str) -> DataFrame:
-    """A row per word: ``doc`` (hash of id and text), the hashes ``g1..gN`` of
-    the n-grams that end there and ``h2..hN`` of their histories (null where
-    the text begins)."""
-    text = text_or_empty(text_col)
-    hashes = F.transform(F.regexp_extract_all(text, F.lit(f"({WORD_PATTERN})"), F.lit(1)), lambda w: F.xxhash64(w))
-    ends = (documents.select(F.xxhash64(F.col(id_col), text).alias("doc"), hashes.alias("hs"))
-            .where(F.size("hs") > 0)
-            .select("doc", "hs", F.explode(F.sequence(F.lit(1), F.size("hs"))).alias("at")))
-    cols = []
-    for k in range(1, order + 1):
-        cols.append(F.when(F.col("at") >= k, _gram(F.col("hs"), F.col("at"), k)).alias(f"g{k}"))
-        if k > 1:
-            cols.append(F.when(F.col("at") >= k, _gram(F.col("hs"), F.col("at") - 1, k - 1)).alias(f"h{k}"))
-    return ends.select("doc", *cols)
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """Bijective scrambling of 64-bit numbers."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _grams(texts: pd.Series, order: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Words per text, and for each order k the hashes of the n-grams that end
+    at the words of all texts (in a row; 0 for the first k - 1 of a text)."""
+    known, parts, sizes = _WordHashes(), [], []
+    for text in texts:
+        words = text.encode("utf-8", "replace").split()          # bytes: ASCII white space only
+        sizes.append(len(words))
+        parts.append(np.array(list(map(known.__getitem__, words)), np.uint64))
+    sizes = np.array(sizes, np.int64)
+    word = _mix(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+    word[word == 0] = 1
+    at = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)     # place in the text
+    out = [word]
+    for k in range(2, order + 1):
+        longer = np.zeros_like(word)
+        longer[1:] = _mix(out[-1][:-1] * np.uint64(0x9E3779B97F4A7C15) + word[1:] + np.uint64(k))
+        longer[longer == 0] = 1
+        longer[at < k - 1] = 0
+        out.append(longer)
+    return sizes, out
 
 
-def count_table(ends: DataFrame, k: int, min_count: int) -> DataFrame:
-    """``(g, c)``: n-grams of order k in the model, and how often they occur."""
-    counts = ends.where(F.col(f"g{k}").isNotNull()).groupBy(F.col(f"g{k}").alias("g")).agg(F.count("*").alias("c"))
-    return written(counts.where(F.col("c") >= (min_count if k > 1 else 1)), f"grams{k}")
+def _pack(numbers: np.ndarray, planes: int) -> bytes:
+    """The last ``planes`` bytes of 64-bit numbers, first bytes together first."""
+    return numbers.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - planes:].T.tobytes()
+
+
+def _unpack(data: bytes, planes: int) -> np.ndarray:
+    columns = np.frombuffer(data, np.uint8).reshape(planes, -1)
+    out = np.zeros((columns.shape[1], 8), np.uint8)
+    out[:, 8 - planes:] = columns.T
+    return out.view(">u8").ravel().astype(np.uint64)
+
+
+def _cuts(sorted_hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets (first ``bits`` bits) that occur, and where each begins and ends."""
+    bucket = (sorted_hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(sorted_hashes), np.int64)
+    found, begin = np.unique(bucket, return_index=True)
+    return found, np.append(begin, len(sorted_hashes))
 
 
 def scores(documents: DataFrame, order: int = 3, discount: float = 0.4, min_count: int = 2,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_words, log_score)`` of every row; the corpus is all rows."""
-    rest = _ends(documents, order, id_col, text_col)
-    tables = [count_table(rest, k, min_count) for k in range(1, order + 1)]
-    sizes = [t.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0] for t in tables]
-    heavy = [heavy_keys(t, "g", "c", n) for t, n in zip(tables, sizes)]
-    parts = []
-    for k in range(order, 0, -1):
-        hit = spread_join(rest, tables[k - 1].withColumnRenamed("g", f"g{k}"), f"g{k}", heavy[k - 1])
-        value = F.col("c") / F.lit(float(sizes[0] or 1))
-        if k > 1:
-            met = written(hit, f"order{k}")
-            rest = met.where("c is null").select("doc", *[f"g{j}" for j in range(1, k)], *[f"h{j}" for j in range(2, k)])
-            past = tables[k - 2].select(F.col("g").alias(f"h{k}"), F.col("c").alias("past"))
-            hit = spread_join(met.where("c is not null").select("doc", "c", f"h{k}"), past, f"h{k}", heavy[k - 2], "inner")
-            value = F.col("c") / F.col("past")
-        log = F.log10(value) + (order - k) * F.log10(F.lit(discount))
-        parts.append(hit.groupBy("doc").agg(F.sum(log).alias("part"), F.count("*").alias("ends")))
-    total = union_all(parts).groupBy("doc").agg(F.sum("part").alias("log_score"), F.sum("ends").alias("ends"))
     text = text_or_empty(text_col)
-    rows = documents.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("doc"),
-                            F.regexp_count(text, F.lit(WORD_PATTERN)).cast("long").alias("n_words"))
-    # rows equal in id and text share a key: their common sum is split evenly
-    return rows.join(total, "doc", "left").select(
-        "id", "n_words", F.when(F.col("n_words") > 0, F.col("log_score") * F.col("n_words") / F.col("ends"))
-        .otherwise(F.lit(0.0)).alias("log_score"))
+    rows = documents.select(F.col(id_col).cast("string").alias("id"), text.alias("text"))
+    size, words = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)),
+                           F.coalesce(F.sum(F.regexp_count("text", F.lit(WORD_PATTERN)).cast("long")), F.lit(0))).first()
+    batches = max(1, -(-size // BATCH_BYTES))
+    bits = max(0, math.ceil(math.log2(max(1, order * words / BUCKET_GRAMS))))
+    planes = 8 - bits // 8                             # whole bytes that the bucket does not tell
+    rows = rows.withColumn("batch", F.pmod(F.xxhash64("id", "text"), F.lit(batches)).cast("int"))
+
+    def count(docs: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        batch = docs["batch"].iloc[0]
+        for k, grams in enumerate(_grams(docs["text"], order)[1], 1):
+            u, n = np.unique(grams[grams != 0], return_counts=True)
+            found, cut = _cuts(u, bits)
+            for b, i, j in zip(found, cut, cut[1:]):
+                out.append((k, b, batch, _pack(u[i:j], planes), _pack(n[i:j], 8)))
+        return pd.DataFrame(out, columns=["k", "bucket", "batch", "grams", "counts"])
+
+    def add_up(parts: pd.DataFrame) -> pd.DataFrame:
+        k = int(parts["k"].iloc[0])
+        grams = [_unpack(g, planes) for g in parts["grams"]]
+        cut = np.cumsum([0, *map(len, grams)])
+        found, at = np.unique(np.concatenate(grams), return_inverse=True)
+        total = np.zeros(len(found), np.int64)
+        np.add.at(total, at, np.concatenate([_unpack(c, 8) for c in parts["counts"]]).astype(np.int64))
+        total = total[at]
+        known = total >= (min_count if k > 1 else 1)
+        back = [(np.packbits(known[i:j]).tobytes(), _pack(total[i:j][known[i:j]], 8)) for i, j in zip(cut, cut[1:])]
+        out = parts[["batch", "k", "bucket"]].copy()
+        out["known"], out["counts"] = [b for b, _ in back], [c for _, c in back]
+        return out
+
+    def score(docs: pd.DataFrame, tables: pd.DataFrame) -> pd.DataFrame:
+        sizes, grams = _grams(docs["text"], order)
+        held = tables.sort_values(["k", "bucket"]).groupby("k")
+        counts = []
+        for k, g in enumerate(grams, 1):
+            here = g != 0
+            u, at = np.unique(g[here], return_inverse=True)
+            c = np.zeros(len(g), np.int64)
+            if len(u):
+                rows_k, (_, cut) = held.get_group(k), _cuts(u, bits)
+                told = np.zeros(len(u), np.int64)
+                for i, j, known, n in zip(cut, cut[1:], rows_k["known"], rows_k["counts"]):
+                    mask = np.unpackbits(np.frombuffer(known, np.uint8), count=j - i).astype(bool)
+                    told[i:j][mask] = _unpack(n, 8).astype(np.int64)
+                c[here] = told[at]
+            counts.append(c)
+        log, open_ = np.zeros(len(grams[0])), np.ones(len(grams[0]), bool)
+        for k in range(order, 0, -1):
+            hit = open_ & (counts[k - 1] > 0)
+            at = np.flatnonzero(hit)
+            past = counts[k - 2][at - 1] if k > 1 else float(words)
+            log[at] = np.log10(counts[k - 1][at] / past) + (order - k) * math.log10(discount)
+            open_ &= ~hit
+        total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=log, minlength=len(sizes))
+        return pd.DataFrame({"id": docs["id"], "n_words": sizes, "log_score": total})
+
+    by_batch = rows.groupBy("batch")
+    sent = by_batch.applyInPandas(count, "k int, bucket long, batch int, grams binary, counts binary")
+    back = sent.groupBy("k", "bucket").applyInPandas(add_up, "batch int, k int, bucket long, known binary, counts binary")
+    scored = by_batch.cogroup(back.groupBy("batch")).applyInPandas(score, "id string, n_words long, log_score double")
+    return scored.withColumn("id", F.col("id").cast(documents.schema[id_col].dataType))

@@ -42,6 +42,15 @@ def test_small_and_trouble(spark, make_docs, trouble, clashing):
     assert backoff.scores(make_docs([])).collect() == []
 
 
+def test_many_batches_and_buckets(spark, make_docs, monkeypatch):
+    """Every document in a batch of its own, tables in many buckets."""
+    rows = [(i, " ".join("abcd"[(i * j * j + j) % 4] for j in range(5 + i % 9))) for i in range(60)]
+    monkeypatch.setattr(backoff, "BATCH_BYTES", 20)
+    monkeypatch.setattr(backoff, "BUCKET_GRAMS", 0.02)
+    got = sorted((r.id, r.n_words, round(r.log_score, 6)) for r in backoff.scores(make_docs(rows)).collect())
+    assert got == sorted((i, n, round(s, 6)) for i, n, s in slow_scores(rows))
+
+
 def test_query_equals_sql(spark, sf_dir):
     con = duckdb.connect()
     con.sql(f"create view documents as from '{sf_dir}/documents.parquet'")
