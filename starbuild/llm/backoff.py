@@ -15,9 +15,10 @@
    order 1 it is the word's share of all words.  The logarithms (base 10) are
    summed per document.
 
-Only distinct n-grams of a batch are shuffled, as sorted columns of bytes (the
-leading bytes compress well), so a frequent n-gram is one entry per batch and
-no task ever holds all its occurrences.  The texts are shuffled once, by batch.
+Only distinct n-grams of a batch are shuffled, as compressed differences of
+sorted hashes, so a frequent n-gram is one entry per batch and no task ever
+holds all its occurrences.  The texts are shuffled once, by batch, those of one
+task and batch compressed together.
 
 Edge cases: a null text counts as empty; a text without words has 0 words and
 log score 0; repeated rows count in the corpus each and are scored each; null
@@ -28,9 +29,11 @@ ignored.  Two n-grams of the same 64-bit hash would share their counts.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -76,18 +79,34 @@ def _grams(texts: pd.Series, order: int) -> tuple[np.ndarray, list[np.ndarray]]:
     return sizes, out
 
 
-def _pack(numbers: np.ndarray, planes: int) -> bytes:
-    """The last ``planes`` bytes of 64-bit numbers, first bytes together first."""
-    return numbers.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - planes:].T.tobytes()
+def _pack(numbers: np.ndarray) -> bytes:
+    """64-bit numbers, compressed by columns of bytes (as many as the largest
+    number has; how many is the first byte)."""
+    size = max(1, -(-int(numbers.max()).bit_length() // 8)) if len(numbers) else 1
+    columns = numbers.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - size:].T.tobytes()
+    return bytes([size]) + pa.compress(columns, codec="zstd", asbytes=True)
 
 
-def _unpack(data: bytes, planes: int) -> np.ndarray:
-    columns = np.frombuffer(data, np.uint8).reshape(planes, -1)
-    out = np.zeros((columns.shape[1], 8), np.uint8)
-    out[:, 8 - planes:] = columns.T
+def _unpack(data: bytes, n: int) -> np.ndarray:
+    size = data[0]
+    columns = pa.decompress(data[1:], decompressed_size=n * size, codec="zstd", asbytes=True)
+    out = np.zeros((n, 8), np.uint8)
+    out[:, 8 - size:] = np.frombuffer(columns, np.uint8).reshape(size, n).T
     return out.view(">u8").ravel().astype(np.uint64)
 
 
+def _pack_texts(ids: pd.Series, texts: pd.Series) -> bytes:
+    table = pa.table({"id": pa.array(ids, pa.string()), "text": pa.array(texts, pa.string())})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack_texts(packs: pd.Series) -> pd.DataFrame:
+    return pa.concat_tables([pa.ipc.open_stream(p).read_all() for p in packs]).to_pandas()
+
+
 def _cuts(sorted_hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Buckets (first ``bits`` bits) that occur, and where each begins and ends."""
     bucket = (sorted_hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(sorted_hashes), np.int64)
@@ -102,36 +121,44 @@ def scores(documents: DataFrame, order: int = 3, discount: float = 0.4, min_coun
     rows = documents.select(F.col(id_col).cast("string").alias("id"), text.alias("text"))
     size, words = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)),
                            F.coalesce(F.sum(F.regexp_count("text", F.lit(WORD_PATTERN)).cast("long")), F.lit(0))).first()
-    batches = max(1, -(-size // BATCH_BYTES))
+    # small inputs are dealt finer, so that all cores have work
+    finer = min(2 * documents.sparkSession.sparkContext.defaultParallelism, -(-size // (1 << 20)))
+    batches = max(1, -(-size // BATCH_BYTES), finer)
     bits = max(0, math.ceil(math.log2(max(1, order * words / BUCKET_GRAMS))))
-    planes = 8 - bits // 8                             # whole bytes that the bucket does not tell
     rows = rows.withColumn("batch", F.pmod(F.xxhash64("id", "text"), F.lit(batches)).cast("int"))
 
+    def deal(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            packs = [(batch, _pack_texts(g["id"], g["text"])) for batch, g in part.groupby("batch")]
+            yield pd.DataFrame(packs, columns=["batch", "pack"])
+
     def count(docs: pd.DataFrame) -> pd.DataFrame:
         out = []
         batch = docs["batch"].iloc[0]
-        for k, grams in enumerate(_grams(docs["text"], order)[1], 1):
+        for k, grams in enumerate(_grams(_unpack_texts(docs["pack"])["text"], order)[1], 1):
             u, n = np.unique(grams[grams != 0], return_counts=True)
             found, cut = _cuts(u, bits)
             for b, i, j in zip(found, cut, cut[1:]):
-                out.append((k, b, batch, _pack(u[i:j], planes), _pack(n[i:j], 8)))
-        return pd.DataFrame(out, columns=["k", "bucket", "batch", "grams", "counts"])
+                steps = np.diff(u[i:j], prepend=np.uint64(int(b) << 64 - bits if bits else 0))
+                out.append((k, b, batch, j - i, _pack(steps), _pack(n[i:j])))
+        return pd.DataFrame(out, columns=["k", "bucket", "batch", "n", "steps", "counts"])
 
     def add_up(parts: pd.DataFrame) -> pd.DataFrame:
         k = int(parts["k"].iloc[0])
-        grams = [_unpack(g, planes) for g in parts["grams"]]
-        cut = np.cumsum([0, *map(len, grams)])
+        grams = [np.cumsum(_unpack(g, n), dtype=np.uint64) for g, n in zip(parts["steps"], parts["n"])]
+        cut = np.cumsum([0, *parts["n"]])
         found, at = np.unique(np.concatenate(grams), return_inverse=True)
         total = np.zeros(len(found), np.int64)
-        np.add.at(total, at, np.concatenate([_unpack(c, 8) for c in parts["counts"]]).astype(np.int64))
+        np.add.at(total, at, np.concatenate([_unpack(c, n) for c, n in zip(parts["counts"], parts["n"])]).astype(np.int64))
         total = total[at]
         known = total >= (min_count if k > 1 else 1)
-        back = [(np.packbits(known[i:j]).tobytes(), _pack(total[i:j][known[i:j]], 8)) for i, j in zip(cut, cut[1:])]
+        back = [(np.packbits(known[i:j]).tobytes(), _pack(total[i:j][known[i:j]])) for i, j in zip(cut, cut[1:])]
         out = parts[["batch", "k", "bucket"]].copy()
         out["known"], out["counts"] = [b for b, _ in back], [c for _, c in back]
         return out
 
     def score(docs: pd.DataFrame, tables: pd.DataFrame) -> pd.DataFrame:
+        docs = _unpack_texts(docs["pack"])
         sizes, grams = _grams(docs["text"], order)
         held = tables.sort_values(["k", "bucket"]).groupby("k")
         counts = []
@@ -144,7 +171,7 @@ def scores(documents: DataFrame, order: int = 3, discount: float = 0.4, min_coun
                 told = np.zeros(len(u), np.int64)
                 for i, j, known, n in zip(cut, cut[1:], rows_k["known"], rows_k["counts"]):
                     mask = np.unpackbits(np.frombuffer(known, np.uint8), count=j - i).astype(bool)
-                    told[i:j][mask] = _unpack(n, 8).astype(np.int64)
+                    told[i:j][mask] = _unpack(n, int(mask.sum())).astype(np.int64)
                 c[here] = told[at]
             counts.append(c)
         log, open_ = np.zeros(len(grams[0])), np.ones(len(grams[0]), bool)
@@ -157,8 +184,8 @@ def scores(documents: DataFrame, order: int = 3, discount: float = 0.4, min_coun
         total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=log, minlength=len(sizes))
         return pd.DataFrame({"id": docs["id"], "n_words": sizes, "log_score": total})
 
-    by_batch = rows.groupBy("batch")
-    sent = by_batch.applyInPandas(count, "k int, bucket long, batch int, grams binary, counts binary")
+    by_batch = rows.mapInPandas(deal, "batch int, pack binary").groupBy("batch")
+    sent = by_batch.applyInPandas(count, "k int, bucket long, batch int, n long, steps binary, counts binary")
     back = sent.groupBy("k", "bucket").applyInPandas(add_up, "batch int, k int, bucket long, known binary, counts binary")
     scored = by_batch.cogroup(back.groupBy("batch")).applyInPandas(score, "id string, n_words long, log_score double")
     return scored.withColumn("id", F.col("id").cast(documents.schema[id_col].dataType))
