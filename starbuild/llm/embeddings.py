@@ -34,7 +34,7 @@ from starbuild.llm.common import checkpointed, heavy_keys, spread_join, written
 from starbuild.llm.components import components
 from starbuild.llm.simhash import _Groups
 
-#: Points that a cell should hold, sample points per cell, and the sample's bound.
+#: Points of one label that a cell should hold, sample points per cell, and the sample's bound.
 CELL_POINTS, CELL_SAMPLE, MAX_SAMPLE = 2000, 24, 1 << 16
 BLOCK, TILE = 4096, 1024
 
@@ -133,9 +133,12 @@ def near_duplicates(embeddings: DataFrame, cosine: float = 0.98, id_col: str = "
     points = (valid.groupBy("h", "label", "e").agg(F.min("id").alias("first"), F.count("*").alias("n"))
               .withColumn("rid", F.monotonically_increasing_id()))
     points = written(points, "vectors")                # fixes rid
-    count, total = points.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    labels = points.groupBy("label").agg(F.count("*").alias("points"), F.sum("n").alias("n"))
+    count, total, largest = labels.agg(F.coalesce(F.sum("points"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0)),
+                                       F.coalesce(F.max("points"), F.lit(0))).first()
 
-    k = max(1, min(-(-count // CELL_POINTS), MAX_SAMPLE // CELL_SAMPLE))
+    # only points of one label meet: as many cells as the largest label needs
+    k = max(1, min(-(-largest // CELL_POINTS), MAX_SAMPLE // CELL_SAMPLE))
     share = min(1.0, max(CELL_SAMPLE * k, 1000) / max(1, count))
     rows_in = points.where(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30)) + 1).select("h", "e")
     sample = sorted((tuple(r.e) for r in rows_in.toLocalIterator()), key=lambda e: (len(e), e))
