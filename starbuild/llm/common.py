@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,14 +75,6 @@ def label_sample(labels: DataFrame, label: str, folds: int, held: int, max_rows:
     return rows.orderBy(F.xxhash64("id", F.lit(11)), "id").limit(max_rows)
 
 
-def union_all(frames: Iterable[DataFrame]) -> DataFrame:
-    frames = list(frames)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
-
-
 def heavy_keys(counts: DataFrame, key: str, n_col: str, total: int, least: int = 100_000) -> list:
     """Keys of ``counts`` that hold more than a thousandth of ``total`` rows
     (and more than ``least``): fewer than 1,000 values by construction."""

@@ -106,9 +106,75 @@ QUERIES = {
     "op10_toxicity_nb": op10_toxicity_nb,
 }
 
-#: Learned scores, merges, automata, fingerprints, sphere and cell searches
-#: and random draws have no SQL; their tests compare with brute force.
+#: Learned scores, merges, automata, XXH64 fingerprints and hashed draws
+#: (operators 3, 4, 5, 6, 9, 10) have no SQL; their tests compare with brute force.
 ORACLE: dict[str, str] = {
+    "op1_quality_thresholds": r"""
+with texts as (select doc_id, coalesce('s' || lang, 'n') as stratum, coalesce(text, '') as t from documents),
+words as (select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as ws from texts),
+lines as (
+    select doc_id, count(*) as n_lines, count(distinct line) as kinds
+    from (select doc_id, unnest(string_split(t, chr(10))) as line from texts) x
+    where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id),
+runs as (
+    select doc_id, i, count(*) over (partition by doc_id, run) as n
+    from (select doc_id, i, ws[i:i + 4] as run
+          from (select doc_id, ws, unnest(range(1, len(ws) - 3)) as i from words) y) z),
+repeats as (
+    select doc_id, count(distinct spot) as n_repeat_words
+    from (select doc_id, unnest(range(i, i + 5)) as spot from runs where n > 1) x group by doc_id),
+base as (
+    select w.doc_id, w.stratum, len(w.ws) as n_words,
+           length(regexp_replace(w.t, '[\x20\x09-\x0D]', '', 'g')) as word_chars,
+           length(w.t) - length(regexp_replace(w.t, '[#*$%&|<>]', '', 'g')) as n_symbols,
+           coalesce(l.n_lines - l.kinds, 0) as n_dup_lines, coalesce(r.n_repeat_words, 0) as n_repeat_words,
+           coalesce(l.n_lines, 0) as n_lines, length(w.t) - length(regexp_replace(w.t, '[A-Z]', '', 'g')) as n_capitals
+    from words w left join lines l on l.doc_id = w.doc_id left join repeats r on r.doc_id = w.doc_id),
+judged as (
+    select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+           [case when n_words > 0 then n_symbols * 1000 // n_words else 0 end,
+            case when word_chars > 0 then n_capitals * 1000 // word_chars else 0 end,
+            case when n_lines > 0 then n_dup_lines * 1000 // n_lines else 0 end,
+            case when n_words > 0 then n_repeat_words * 1000 // n_words else 0 end] as measure
+    from base),
+good as (
+    select j.* from judged j join labels l on l.doc_id = j.doc_id where l.quality = 1 and not j.base_failed),
+tries as (
+    select stratum, rule, cutoff, count(*) as n, count(*) filter (where measure[rule] > cutoff) as k
+    from good, unnest(range(1, 5)) r(rule),
+         unnest([5, 10, 20, 30, 50, 75, 100, 150, 200, 250, 300, 400, 500, 600, 700, 800, 900, 1000]) c(cutoff)
+    group by all),
+tails as (
+    select stratum, rule, cutoff, sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+                                          + i * ln(0.005) + (n - i) * ln(0.995))) as p
+    from (select *, unnest(range(0, k + 1)) as i from tries) x group by all),
+passed as (
+    select *, bool_and(p <= 0.05 / ((select count(distinct stratum) from texts) * 4))
+                over (partition by stratum, rule order by cutoff desc) as certified
+    from tails),
+cuts as (select stratum, rule, min(cutoff) as cutoff from passed where certified group by all)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and not exists (select 1 from cuts c where c.stratum = j.stratum and j.measure[c.rule] > c.cutoff)
+         as kept
+from judged j
+""",
+    "op7_embedding_cells": r"""
+with recursive vectors as (
+    select vec_id, label, embedding::double[] as e from embeddings
+    where label is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (
+    select a.vec_id as x, b.vec_id as y from vectors a join vectors b
+      on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id
+     and list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(x, y) as (
+    select vec_id, vec_id from embeddings
+    union select r.x, l.y from reach r join links l on l.x = r.y),
+least as (select x, min(y) as component_id from reach group by x),
+degree as (select x, count(*) as n_links from links group by x)
+select e.vec_id, coalesce(d.n_links, 0) as n_links, t.component_id, e.vec_id = t.component_id as kept
+from embeddings e join least t on t.x = e.vec_id left join degree d on d.x = e.vec_id
+""",
     "op2_backoff_scores": r"""
 with texts as (
     select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws
