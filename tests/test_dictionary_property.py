@@ -21,7 +21,7 @@ def model(text):
     fields, codes, lost = {}, {}, []
     block = None          # (names, parts) of an open multi-line comment
     open_list = ""
-    for raw in text.split("\n"):
+    for raw in text.removesuffix("\n").split("\n"):      # the last line break begins no line
         line = _strip(raw)
         is_open = line.startswith("/*")
         is_close = line.endswith("*/") and not (is_open and len(line) < 4)
