@@ -5,7 +5,8 @@ A rule is a pattern over a URL's normal form (host and path joined):
 * ``||`` at the start: the pattern begins at the host or one of its parent
   domains (``||example.net/en/`` fits ``a.example.net/en/1``);
 * ``*``: any characters; ``^``: one character that is neither a letter nor a
-  digit, or the end; everything else stands for itself.
+  digit, or the end; everything else stands for itself;
+* a rule with ``host_only`` sees the host alone, never the path.
 
 A literal token is a run of ASCII letters and digits of the pattern that must
 be a whole token of every URL that it fits (both neighbours are fixed and
@@ -44,6 +45,7 @@ class Rule:
     pattern: str
     action: str          # "allow" or "block"
     tier: int = 0
+    host_only: bool = False
 
     def regex(self) -> str:
         body, out = self.pattern.removeprefix("||"), []
@@ -64,6 +66,27 @@ class Rule:
         return out
 
 
+#: Words of junk hosts, each a whole name or a part between separators of it
+#: (dots, hyphens).  Words that ordinary hosts have as well (pharmacy, track,
+#: spam, slots, sex) stand only with the neighbour that makes them junk.
+JUNK_WORDS = {
+    "gambling": ("casino", "casinos", "poker", "roulette", "blackjack", "baccarat", "jackpot", "jackpots",
+                 "gambling", "online-slots", "free-slots", "slot-machine", "slot-machines"),
+    "betting": ("bets", "betting", "sportsbook", "sportsbooks", "bookmaker", "bookmakers", "wagering"),
+    "pharmacy": ("pills", "viagra", "cialis", "levitra", "tramadol", "xanax", "cheap-meds", "cheap-pharmacy",
+                 "online-pharmacy", "no-prescription"),
+    "adult": ("porn", "porno", "xxx", "hentai", "milf", "camgirls", "escorts", "nudes", "sex-cams", "sex-chat",
+              "adult-dating"),
+    "ad tracking": ("ads", "adserver", "adservers", "adclick", "adtrack", "adtracker", "adtracking", "ad-track",
+                    "ad-tracker", "ad-tracking", "ad-server", "click-track", "clicktracker", "popads", "popunder"),
+    "spam": ("spam-farm", "spamfarm", "link-farm", "linkfarm", "content-farm", "buy-backlinks", "seo-links",
+             "payday-loan", "payday-loans", "replica-watches"),
+}
+#: Two rules a word: at the start of a host name, and after a hyphen in it.
+JUNK_RULES = [Rule(start + word + "^", "block", host_only=True)
+              for words in JUNK_WORDS.values() for word in words for start in ("||", "-")]
+
+
 def normal_form(url: str | None) -> tuple[str, str]:
     """(host in lower case, path); both empty without ``://``."""
     at = -1 if url is None else url.find("://")
@@ -96,7 +119,7 @@ class RuleIndex:
         for i in near:
             if i not in self._compiled:
                 self._compiled[i] = re.compile(self.rules[i].regex(), re.DOTALL)
-            if self._compiled[i].search(form):
+            if self._compiled[i].search(host if self.rules[i].host_only else form):
                 rank = self.rules[i].tier, len(self.rules[i].pattern), -i
                 if found is None or rank > found:
                     found = rank

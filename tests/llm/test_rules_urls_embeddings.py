@@ -114,6 +114,40 @@ def test_index_fetches_by_rarest_token():
     assert url_rules.Rule("foo*bar", "block").tokens() == []
 
 
+#: Planted URLs with verdicts written by hand.
+JUNK_URLS = ["http://casino-win.example.com/en/1", "https://m.casino-win.example.org/", "http://BEST-CASINO.example.org",
+             "http://free-bets.example.com/en/2.html", "https://www.cheap-pills.example.org/de/3?x=1",
+             "http://ads-track.example.com/fr/4", "http://m.ads-track.example.org", "https://spam-farm.example.org/en/5",
+             "http://blog.spam-farm.example.com/", "http://live-poker.org/", "http://online-pharmacy.example.org/a",
+             "http://free-porn.example.com/", "http://xxx.example.org/", "http://ad-track.example.com/p",
+             "http://my-payday-loans.example.org/", "http://roulette/"]
+CLEAN_URLS = ["http://www.example.org/en/1", "https://blog.example.com/en/casino-history.html",
+              "http://example.org/cheap-pills", "http://pharmacy.example.org/", "http://casinova.example.org/",
+              "http://track-and-field.example.org/", "http://alphabets.example.com/en/2", "http://spam-filter.example.org/",
+              "http://time-slots.example.org/", "http://uploads.example.org/ads/", "http://essex.example.org/",
+              "http://sex-education.example.org/", "http://farm.example.com/", "http://heads.example.com/",
+              "no scheme casino.example.org", "", None]
+
+
+def test_junk_rules_on_planted_urls(spark):
+    urls = JUNK_URLS + CLEAN_URLS
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_rules.judge(pages, url_rules.JUNK_RULES).collect()}
+    assert [u for i, u in enumerate(urls) if (got[i] == "block") != (i < len(JUNK_URLS))] == []
+    index = url_rules.RuleIndex(url_rules.JUNK_RULES, {})
+    assert index.always == [] and len(index.by_token) > 50
+
+
+def test_junk_rules_on_hosts_of_the_table():
+    """The five junk host names of the pages, against a plain host test."""
+    pages = duckdb.sql("select url from '/root/testdata/sf0.01/pages.parquet'").fetchall()
+    index = url_rules.RuleIndex(url_rules.JUNK_RULES, {})
+    names = {"casino-win", "ads-track", "free-bets", "cheap-pills", "spam-farm"}
+    hosts = [url_rules.normal_form(u) for u, in pages]
+    want = [any(part in names for part in h.split(".")) for h, _ in hosts]
+    assert [index.best(h, p) is not None for h, p in hosts] == want and 0 < sum(want) < len(want)
+
+
 # ---- embeddings ----------------------------------------------------------
 
 def slow_links(rows, cosine=0.98):
