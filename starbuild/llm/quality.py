@@ -8,10 +8,12 @@ document labels alone, weighs the passages of a document (softmax of
 ``w . (tanh(V e) * sigmoid(U e))``); the weighted passage representation is
 scored by a logistic output.
 
-The fit uses at most ``max_fit_docs`` labelled documents (default 4,000) and,
-in the fit only, at most ``max_fit_passages`` evenly spaced passages of each;
-scoring encodes every passage of every whole text, piece by piece with a
-running softmax, so a text of any length needs bounded memory.  For a third of
+The fit uses at most ``max_fit_docs`` labelled documents (default 4,000), each
+with all its passages: the driver keeps them in a temporary file and adds up
+the gradients of runs of at most ``FIT_PASSAGES`` passages, a longer document
+in several runs.  Scoring encodes every passage of every whole text, piece by
+piece with a running softmax.  So both need bounded memory for any length of
+text.  For a third of
 the good documents the fit also takes a run of 1 to 15 of their words as a
 document of its own (part of a good text is good, and few labelled texts are
 that short).
@@ -24,7 +26,9 @@ for every row; extra columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import re
+import tempfile
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -40,6 +44,8 @@ from starbuild.llm.common import label_sample, text_or_empty
 PASSAGE_WORDS = 64
 #: Words encoded at a time (a whole number of passages).
 PIECE_WORDS = PASSAGE_WORDS * 256
+#: Passages whose gradients are computed at a time in the fit.
+FIT_PASSAGES = 8192
 #: A longer run without white space is cut into words of this many bytes.
 WORD_BYTES = 4096
 BUCKETS = 256
@@ -157,28 +163,72 @@ def fit_bags(bags: list[np.ndarray], y: np.ndarray, hidden: int = 32, gate: int
 
 
 def _gradients(p: list[np.ndarray], bags: list[np.ndarray], y: np.ndarray) -> list[np.ndarray]:
-    enc, enc_b, v, u, w, out, out_b = p
-    x = np.concatenate(bags)
+    """Gradients of the mean loss of these bags, summed over runs of passages."""
+    sums = [np.zeros_like(a) for a in p]
+    sums[0] += 1e-5 * p[0]
+    sizes, at = [len(b) for b in bags], 0
+    while at < len(bags):
+        end, n = at + 1, sizes[at]
+        while end < len(bags) and n + sizes[end] <= FIT_PASSAGES:
+            n, end = n + sizes[end], end + 1
+        part = _run_gradients if n <= FIT_PASSAGES else _long_gradients
+        for total, g in zip(sums, part(p, bags[at:end], y[at:end], len(bags)), strict=True):
+            total += g
+        at = end
+    return sums
+
+
+def _attention(p: list[np.ndarray], x: np.ndarray):
+    e = np.tanh(x @ p[0] + p[1])
+    tv, su = np.tanh(e @ p[2]), _sigmoid(e @ p[3])
+    return e, tv, su, (tv * su) @ p[4]
+
+
+def _run_gradients(p: list[np.ndarray], bags: list[np.ndarray], y: np.ndarray, n: int) -> list[np.ndarray]:
+    """Share of whole bags in the gradients of a batch of ``n``."""
+    x = np.concatenate(bags).astype(np.float32)
     lens = np.array([len(b) for b in bags])
     start, own = np.cumsum(lens) - lens, np.repeat(np.arange(len(bags)), lens)
-    e = np.tanh(x @ enc + enc_b)
-    tv, su = np.tanh(e @ v), _sigmoid(e @ u)
-    a = (tv * su) @ w
+    e, tv, su, a = _attention(p, x)
     a = np.exp(a - np.maximum.reduceat(a, start)[own])
     a /= np.add.reduceat(a, start)[own]
     z = np.add.reduceat(a[:, None] * e, start)
-    err = (_sigmoid(z @ out + out_b) - y) / len(bags)
-    dz = (err[:, None] * out)[own]
-    da = (e * dz).sum(1)
-    da = a * (da - np.add.reduceat(a * da, start)[own])
-    dt = da[:, None] * w * su * (1 - tv * tv)
-    ds = da[:, None] * w * tv * su * (1 - su)
-    de = (a[:, None] * dz + dt @ v.T + ds @ u.T) * (1 - e * e)
-    return [x.T @ de + 1e-5 * enc, de.sum(0), e.T @ dt, e.T @ ds, (tv * su).T @ da, z.T @ err, np.array(err.sum())]
+    err = (_sigmoid(z @ p[5] + p[6]) - y) / n
+    return [*_passage_gradients(p, x, e, tv, su, a, z[own], (err[:, None] * p[5])[own]), z.T @ err, err.sum()]
+
+
+def _long_gradients(p: list[np.ndarray], bags: list[np.ndarray], y: np.ndarray, n: int) -> list[np.ndarray]:
+    """The same for one bag of any length: once through its passages for the
+    pooled representation, once for the gradients."""
+    (bag,), (label,) = bags, y
+    model = QualityModel(*p)
+    runs = range(0, len(bag), FIT_PASSAGES)
+    top, total, sums = -np.inf, 0.0, np.zeros(len(p[5]))
+    for at in runs:
+        top, total, sums = _pool(model, bag[at:at + FIT_PASSAGES].astype(np.float32), top, total, sums)
+    z = sums / total
+    err = (_sigmoid(z @ p[5] + p[6]) - label) / n
+    out = [np.zeros_like(a) for a in p[:5]]
+    for at in runs:
+        x = bag[at:at + FIT_PASSAGES].astype(np.float32)
+        e, tv, su, a = _attention(p, x)
+        for into, g in zip(out, _passage_gradients(p, x, e, tv, su, np.exp(a - top) / total, z, err * p[5]), strict=True):
+            into += g
+    return [*out, z * err, err]
+
+
+def _passage_gradients(p: list[np.ndarray], x, e, tv, su, a, z, dz) -> list[np.ndarray]:
+    """Back from the pooled representation ``z`` (gradient ``dz``) to encoder
+    and attention, for passages ``x`` with attention weights ``a``."""
+    da = a * ((e - z) * dz).sum(1)
+    dt = da[:, None] * p[4] * su * (1 - tv * tv)
+    ds = da[:, None] * p[4] * tv * su * (1 - su)
+    de = (a[:, None] * dz + dt @ p[2].T + ds @ p[3].T) * (1 - e * e)
+    return [x.T @ de, de.sum(0), e.T @ dt, e.T @ ds, (tv * su).T @ da]
 
 
 def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5,
-        held: int = 0, max_fit_docs: int = 4000, max_fit_passages: int = 24,
+        held: int = 0, max_fit_docs: int = 4000,
         id_col: str = "doc_id", text_col: str = "text") -> QualityModel:
     """Learn from at most ``max_fit_docs`` labelled texts outside fold ``held``."""
     chosen = label_sample(labels, label, folds, held, max_fit_docs, id_col)
@@ -194,8 +244,6 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", folds:
                     at = int(rng.integers(0, max(1, len(words) - size + 1)))
                     part = passage_inputs(words[at:at + size]).astype(np.float16).tobytes()
             bag = np.concatenate(bag or [np.zeros((1, INPUTS), np.float32)])
-            if len(bag) > max_fit_passages:
-                bag = bag[np.linspace(0, len(bag) - 1, max_fit_passages).astype(int)]
             return bag.astype(np.float16).tobytes(), part
         return pd.DataFrame([one(t) for t in texts], columns=["bag", "part"])
 
@@ -203,10 +251,19 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", folds:
     rows = (documents.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
             .join(F.broadcast(chosen), "id")
             .select("id", "y", encode("text").alias("b")).select("id", "y", "b.*").toLocalIterator())
-    got = sorted((r.id, r.y, bytes(r.bag), bytes(r.part or b"")) for r in rows)     # in any order of tasks
-    bags = [(bag, y) for _, y, bag, _ in got] + [(part, y) for _, y, _, part in got if part and y == 1]
-    return fit_bags([np.frombuffer(b, np.float16).reshape(-1, INPUTS).astype(np.float32) for b, _ in bags],
-                    np.array([y for _, y in bags], float))
+    with tempfile.TemporaryFile() as kept:
+        index, at = [], 0
+        for r in rows:
+            for is_part, bag in enumerate((r.bag, r.part)):
+                if bag is not None and not (is_part and r.y == 0):
+                    kept.write(bag)
+                    n = len(bag) // (2 * INPUTS)
+                    index.append((is_part, r.id, r.y, hashlib.sha256(bag).digest(), at, n))
+                    at += n
+        kept.flush()
+        index.sort()                                    # in any order of tasks
+        passages = np.memmap(kept, np.float16, "r", shape=(at, INPUTS)) if at else None
+        return fit_bags([passages[i:i + n] for *_, i, n in index], np.array([y for _, _, y, *_ in index], float))
 
 
 def score_column(documents: DataFrame, model: QualityModel, text_col: str = "text") -> Column:

@@ -133,3 +133,36 @@ def test_long_texts_are_pooled_like_short_ones(monkeypatch):
     short = toxicity.ngram_buckets(text, 16)
     monkeypatch.setattr(toxicity, "PIECE", 100)
     assert np.array_equal(toxicity.ngram_buckets(text, 16), short)
+
+
+def test_quality_fit_sees_every_passage(spark, make_docs, monkeypatch):
+    """Long documents keep all their passages, wherever the bad one is."""
+    words = quality.PASSAGE_WORDS
+    texts = ["good words " * (words // 2) * n for n in (1, 24, 25, 100, 300)]
+    seen = []
+    monkeypatch.setattr(quality, "fit_bags", lambda bags, y: seen.extend(map(len, bags)))
+    labels = spark.createDataFrame([(i, 0) for i in range(len(texts))], "doc_id long, quality int")
+    quality.fit(make_docs(list(enumerate(texts))), labels, folds=5, held=9)
+    assert sorted(seen) == [1, 24, 25, 100, 300]
+
+
+def test_quality_gradients_of_runs_equal_those_of_the_batch(monkeypatch):
+    rng = np.random.default_rng(4)
+    bags = [rng.random((n, quality.INPUTS)).astype(np.float32) for n in (3, 40, 1, 1, 25, 7, 100)]
+    y = np.arange(7) % 2 * 1.0
+    p = [rng.normal(0, 0.3, s) for s in ((quality.INPUTS, 8), 8, (8, 4), (8, 4), 4, 8, ())]
+    whole = quality._gradients(p, bags, y)
+
+    def loss(p):
+        m, out = quality.QualityModel(*p), 0.0
+        for x, label in zip(bags, y):
+            top, total, sums = quality._pool(m, x, -np.inf, 0.0, np.zeros(8))
+            out -= np.log(quality._sigmoid((2 * label - 1) * (sums / total @ m.out + m.out_bias)))
+        return out / len(bags) + 0.5e-5 * (p[0] ** 2).sum()
+    for i, a in enumerate(p):                           # against differences of the loss
+        step = rng.normal(0, 1, np.shape(a))
+        up, down = ([*p[:i], a + s * 1e-5 * step, *p[i + 1:]] for s in (1, -1))
+        assert (loss(up) - loss(down)) / 2e-5 == pytest.approx((whole[i] * step).sum(), rel=1e-3, abs=1e-7)
+    monkeypatch.setattr(quality, "FIT_PASSAGES", 10)
+    for a, b in zip(whole, quality._gradients(p, bags, y)):
+        np.testing.assert_allclose(a, b, rtol=1e-5, atol=1e-8)
