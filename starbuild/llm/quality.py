@@ -13,10 +13,10 @@ with all its passages: the driver keeps them in a temporary file and adds up
 the gradients of runs of at most ``FIT_PASSAGES`` passages, a longer document
 in several runs.  Scoring encodes every passage of every whole text, piece by
 piece with a running softmax.  So both need bounded memory for any length of
-text.  For a third of
-the good documents the fit also takes a run of 1 to 15 of their words as a
-document of its own (part of a good text is good, and few labelled texts are
-that short).
+text.  For a third of the documents of either class the fit also takes a run of
+1 to 15 of their words as a document of its own with the same label (few
+labelled texts are that short, and length alone must not tell the classes
+apart; a run of a bad text may miss what made it bad).
 
 Edge cases: a null text counts as empty; a text without a word is one empty
 passage and gets a score like any other; repeated rows are each scored; a
@@ -255,7 +255,7 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", folds:
         index, at = [], 0
         for r in rows:
             for is_part, bag in enumerate((r.bag, r.part)):
-                if bag is not None and not (is_part and r.y == 0):
+                if bag is not None:
                     kept.write(bag)
                     n = len(bag) // (2 * INPUTS)
                     index.append((is_part, r.id, r.y, hashlib.sha256(bag).digest(), at, n))
