@@ -67,13 +67,14 @@ def fingerprint(text: str, words_per_shingle: int = 3) -> int:
 
 
 def fingerprints(documents: DataFrame, words_per_shingle: int = 3,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, fp)`` of every row."""
+                 id_col: str = "doc_id", text_col: str = "text", text_hash: bool = False) -> DataFrame:
+    """``(id, fp)`` of every row, with ``text_hash`` also XXH64 of its text."""
     @pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: fingerprint(t, words_per_shingle)).astype("int64")
 
-    return documents.select(F.col(id_col).alias("id"), of(text_or_empty(text_col)).alias("fp"))
+    hashed = [F.xxhash64(text_or_empty(text_col)).alias("text_hash")] if text_hash else []
+    return documents.select(F.col(id_col).alias("id"), of(text_or_empty(text_col)).alias("fp"), *hashed)
 
 
 @dataclass
@@ -231,11 +232,12 @@ def link_forest(points: DataFrame, n: int, reach: int) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, words_per_shingle: int = 3, reach: int = 3,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, fp, component_id)`` of every row: documents whose fingerprints
-    differ in at most ``reach`` bits are linked, and a component's id is its
-    smallest document id."""
-    prints = written(fingerprints(documents, words_per_shingle, id_col, text_col), "simhash")
+                    id_col: str = "doc_id", text_col: str = "text", text_hash: bool = False) -> DataFrame:
+    """``(id, fp, root, component_id)`` of every row (and its ``text_hash``, if
+    wanted): documents whose fingerprints differ in at most ``reach`` bits are
+    linked, ``root`` is one fingerprint of the component, and a component's id
+    is its smallest document id."""
+    prints = written(fingerprints(documents, words_per_shingle, id_col, text_col, text_hash), "simhash")
     points = checkpointed(prints.groupBy("fp").agg(F.min("id").alias("first"), F.count("*").alias("n")))
     size = points.agg(F.count("*"), F.sum("n")).first()
     groups = components(link_forest(points, size[0], reach))
@@ -243,5 +245,5 @@ def near_duplicates(documents: DataFrame, words_per_shingle: int = 3, reach: int
                          .select("fp", "first", F.coalesce("root", "fp").alias("root")))
     least = checkpointed(named.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("n")))
     named = spread_join(named.select("fp", "root"), least.drop("n"), "root",
-                        heavy_keys(least, "root", "n", size[0])).select("fp", "component_id")
+                        heavy_keys(least, "root", "n", size[0])).select("fp", "root", "component_id")
     return spread_join(prints, named, "fp", heavy_keys(points, "fp", "n", size[1] or 0))

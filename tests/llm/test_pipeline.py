@@ -50,6 +50,16 @@ def test_simhash_stage(stages):
     assert stages[3].count() == len({r.doc_id for r in stages[3].collect()})
 
 
+def test_simhash_stage_keeps_one_row_of_each_group(spark, sf_dir, make_docs):
+    """A repeated id with a copy of another document and a text of its own, in
+    both orders of the text hash."""
+    a, b = (" ".join(f"{w}{i * i % 97}" for i in range(60)) for w in ("left", "right"))
+    for copied, own in ((a, b), (b, a)):
+        docs = make_docs([(5, copied), (5, own), (3, copied + " "), (5, own), (3, copied + " ")])
+        kept = [(r.doc_id, r.text) for r in corpus_pipeline.simhash_stage(spark, docs, sf_dir).collect()]
+        assert sorted(kept) == [(3, copied + " "), (5, own)]
+
+
 def test_mix_stage(stages):
     size, of, texts = Counter(), {}, {}
     for r in stages[3].collect():
