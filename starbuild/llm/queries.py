@@ -10,7 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starbuild.llm import backoff, bpe, embeddings, mixing, quality, rules, simhash, token_count, toxicity, url_rules
+from starbuild.llm import (backoff, bpe, embeddings, license_scan, mixing, periodic_runs, quality, rules, simhash,
+                           spelling, token_count, toxicity, url_rules)
 from starbuild.llm.common import fold, table
 
 #: The contract's host rules (longest wins, tier 1), and the general block
@@ -93,6 +94,24 @@ def op10_toxicity_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.7).cast("int")))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, forms and roots of every word of all documents."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"), least_length=7, least_count=2, ratio=10,
+                                      every=31).select("word", "n", "n_near", "form", "form_n", "root")
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and texts in every document."""
+    found = license_scan.license_scan(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document."""
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), change="crc32(cast(string(doc_id) as binary))")
+    return found.withColumnRenamed("id", "doc_id").drop("n_dropped")
+
+
 QUERIES = {
     "op1_quality_thresholds": op1_quality_thresholds,
     "op2_backoff_scores": op2_backoff_scores,
@@ -104,10 +123,21 @@ QUERIES = {
     "op8_url_rules": op8_url_rules,
     "op9_source_mix": op9_source_mix,
     "op10_toxicity_nb": op10_toxicity_nb,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_license_scan": op12_license_scan,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
+
+def _template_rows() -> str:
+    """The license templates as SQL rows (number, label, phrase, base, words, k)."""
+    return ",\n    ".join(f"({i}, '{t.label}', {t.phrase}, {t.base}, {t.words}, {t.gram})"
+                          for i, t in enumerate(license_scan.TEMPLATES))
+
+
 #: Learned scores, merges, automata, XXH64 fingerprints and hashed draws
-#: (operators 3, 4, 5, 6, 9, 10) have no SQL; their tests compare with brute force.
+#: (operators 3, 4, 5, 6, 9, 10) have no SQL, nor have the runs of operator 13
+#: (quadratic in a text's words); their tests compare with brute force.
 ORACLE: dict[str, str] = {
     "op1_quality_thresholds": r"""
 with texts as (select doc_id, coalesce('s' || lang, 'n') as stratum, coalesce(text, '') as t from documents),
@@ -220,5 +250,79 @@ select h.page_id, h.host, h.path, h.rule,
                                 or regexp_matches(h.host || h.path, '/ads/.*\.html([^0-9A-Za-z]|$)')
                                then 'block' else 'allow' end) as verdict
 from pages g join hits h using (page_id)
+""",
+    "op11_spelling_variants": r"""
+with recursive bits as (
+    select [list_reduce(list_prepend(x, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)
+            for x in range(256)] as crc),
+runs as (
+    select doc_id, run, count(*) as n
+    from (select coalesce(doc_id::varchar, '') as doc_id,
+                 translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                           'abcdefghijklmnopqrstuvwxyz') as run from documents) x
+    where length(run) >= 7 group by all),
+sums as (
+    select run, n, xor(list_reduce(list_prepend(4294967295, [('0x' || substr(code, i, 2))::bigint for i in range(1, length(code), 2)]),
+                                   lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) as h
+    from (select run, n, hex(encode(doc_id || ':' || run)) as code from runs) x, bits),
+words as (
+    select word, sum(n)::bigint as n
+    from (select n, case when h % 31 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                         else run end as word from sums) x
+    where length(word) >= 7 group by all having sum(n) >= 2),
+cuts as (
+    select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest
+    from (select word, n, unnest(range(1, length(word) + 1)) as i from words) x),
+pairs as (
+    select a.word, a.n, b.word as near, b.n as near_n from cuts a join cuts b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+    union select a.word, a.n, b.word, b.n from cuts a join words b on a.rest = b.word
+    union select b.word, b.n, a.word, a.n from cuts a join words b on a.rest = b.word),
+best as (
+    select word, count(*) as n_near, first(near order by near_n desc, near) as near, max(near_n) as near_n from pairs group by all),
+found as (
+    select w.word, w.n, coalesce(n_near, 0) as n_near, case when near_n >= 10 * w.n then near end as form,
+           case when near_n >= 10 * w.n then near_n end as form_n
+    from words w left join best b on b.word = w.word),
+chain(word, root, form) as (
+    select word, word, form from found
+    union all select c.word, f.word, f.form from chain c join found f on f.word = c.form)
+select f.word, f.n, f.n_near, f.form, f.form_n, c.root
+from found f join chain c on c.word = f.word and c.form is null
+""",
+    "op12_license_scan": r"""
+with texts as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws
+    from documents),
+templates(template, label, phrase, base, words, k) as (values
+    """ + _template_rows() + r"""),
+grams as (
+    select template, label, phrase, base, k, len(words) as size, i - 1 as place, words[i:i + k - 1] as gram
+    from (select *, unnest(range(1, len(words) - k + 2)) as i from templates) x),
+spots as (select doc_id, ws, unnest(range(1, len(ws))) as i from texts),
+votes as (
+    select doc_id, i - 1 as pos, g.* from spots s
+    join grams g on g.gram[1] = ws[i] and g.gram[2] = ws[i + 1] and g.gram = ws[i:i + k - 1]),
+lines as (
+    select *, case when diagonal - lag(diagonal) over (partition by doc_id, template order by diagonal) > 8 then 1 else 0 end as apart
+    from (select doc_id, template, size, k, pos - place as diagonal, list(pos) as spots from votes where not phrase group by all) x),
+bands as (
+    select doc_id, template, size, k, diagonal, spots,
+           sum(apart) over (partition by doc_id, template order by diagonal rows unbounded preceding) as band from lines),
+spans as (
+    select doc_id, template, size, count(distinct spot - diagonal) as spots, max(spot) - min(spot) + 1 as width,
+           count(distinct spot) as dense
+    from (select doc_id, template, size, band, diagonal, unnest(flatten([range(p, p + k) for p in spots])) as spot from bands) x
+    group by doc_id, template, size, band),
+labels as (
+    select doc_id, label, 1.0::double as score, base, pos from votes where phrase
+    union all
+    select doc_id, label, spots / size, false, null from spans join templates using (template)
+    where spots / size >= 0.6 and dense / width >= 0.5)
+select t.doc_id, len(t.ws) as n_words, count(l.pos) filter (where base) as n_base, min(l.pos) filter (where base) as first_word,
+       max(l.pos) filter (where base) as last_word,
+       coalesce(string_agg(distinct label, ',' order by label) filter (where base), '') as base_labels,
+       coalesce(string_agg(distinct label, ',' order by label), '') as labels, coalesce(max(score), 0.0) as score
+from texts t left join labels l on l.doc_id = t.doc_id group by t.doc_id, t.ws
 """,
 }

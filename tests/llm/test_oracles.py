@@ -21,5 +21,5 @@ def test_query_equals_its_sql(spark, sf_dir, name):
 
 
 def test_registered_names():
-    assert [int(k[2:].split("_")[0]) for k in QUERIES] == list(range(1, 11))
+    assert [int(k[2:].split("_")[0]) for k in QUERIES] == list(range(1, 14))
     assert set(ORACLE) < set(QUERIES)
