@@ -141,7 +141,9 @@ def near_pairs(words: DataFrame, most: int = MOST) -> DataFrame:
     that one inserted, deleted or replaced code point turns into each other, once."""
     words = words.select("word", "n", F.xxhash64(reduced(F.col("word"))).alias("class"))
     classes = words.select(reduced(F.col("word")).alias("r")).groupBy("r").agg(F.count("*").alias("size"))
-    classes = checkpointed(classes.withColumn("class", F.xxhash64("r")))
+    # as many partitions as asked for: each row becomes dozens below
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    classes = checkpointed(classes.withColumn("class", F.xxhash64("r")).repartition(parts, "class"))
     own = classes.select(F.col("class").alias("ca"), F.col("size").alias("sa"),
                          F.explode(neighbourhood(F.col("r"))).alias("near"))
     other = classes.select(F.col("class").alias("cb"), F.col("size").alias("sb"))
