@@ -6,27 +6,40 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, DataType, DecimalType, IntegerType, LongType, NumericType, ShortType
 
 
 def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def weighted_mean_expr(mean_column: str, weight_column: str,
+def _wide(c: Column, dtype: DataType) -> Column:
+    """An integral column as the decimal that holds its type."""
+    digits = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 19}.get(type(dtype))
+    return c if digits is None else c.cast(DecimalType(digits, 0))
+
+
+def weighted_mean_expr(df: DataFrame, mean_column: str, weight_column: str,
                        ignore_weight_of_null: bool = False) -> Column:
-    """``sum(m * w) / sum(w)`` as one aggregate expression.
+    """``sum(m * w) / sum(w)`` over ``df`` as one aggregate expression.
 
     By default a row with a NULL mean adds nothing to the numerator but its
     weight still counts in the denominator (the original behaviour);
     ``ignore_weight_of_null`` drops such weights too.  A zero or NULL weight
-    sum gives NULL (``try_divide``) instead of an ANSI error.  Both sums are
-    taken in the input type (exact for integers and decimals) and divided
-    once as doubles.
+    sum gives NULL (``try_divide``) instead of an ANSI error.  Integers of any
+    size and decimals are multiplied and summed as decimals (exact) and divided
+    once as doubles; products or sums that no decimal holds are taken from
+    doubles instead.
     """
     m, w = _c(mean_column), _c(weight_column)
-    num = F.sum(m * w)
-    den = F.sum(F.when(m.isNotNull(), w)) if ignore_weight_of_null else F.sum(w)
-    return F.try_divide(num.cast("double"), den.cast("double"))
+    wide_m, wide_w = _wide(m, df.schema[mean_column].dataType), _wide(w, df.schema[weight_column].dataType)
+    product = F.try_multiply(wide_m, wide_w)
+    lost = F.count(product) < F.count(F.when(m.isNotNull(), w))
+    rough = F.sum(m.cast("double") * w.cast("double"))
+    num = F.when(lost, rough).otherwise(F.coalesce(F.try_sum(product).cast("double"), rough))
+    counted = (lambda x: F.when(m.isNotNull(), x)) if ignore_weight_of_null else (lambda x: x)
+    den = F.coalesce(F.try_sum(counted(wide_w)).cast("double"), F.sum(counted(w.cast("double"))))
+    return F.try_divide(num, den)
 
 
 def group_sums(df: DataFrame, keys: str | Sequence[str],
@@ -35,7 +48,6 @@ def group_sums(df: DataFrame, keys: str | Sequence[str],
     each result keeping its source name (``x``, not ``sum(x)``)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     if columns is None:
-        from pyspark.sql.types import NumericType
         columns = [f.name for f in df.schema.fields
                    if f.name not in keys and isinstance(f.dataType, NumericType)]
     return df.groupBy(*[_c(k) for k in keys]).agg(*[F.sum(_c(c)).alias(c) for c in columns])
@@ -55,4 +67,4 @@ def weighted_average(df: DataFrame, mean_column: str, weight_column: str,
     for k in keys:
         kept = kept.filter(_c(k).isNotNull())
     return kept.groupBy(*[_c(k) for k in keys]).agg(
-        weighted_mean_expr(mean_column, weight_column, ignore_weight_of_null).alias(name))
+        weighted_mean_expr(kept, mean_column, weight_column, ignore_weight_of_null).alias(name))

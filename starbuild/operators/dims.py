@@ -79,7 +79,7 @@ def group_rollup_dimension(df: DataFrame, key: str, sum_columns: Sequence[str],
                        *[F.col(f"_r.`{c}`").alias(c) for c in others]))
     aggs = [F.sum(_c(c)).alias(c) for c in sum_columns]
     if mean_column is not None:
-        aggs.append(weighted_mean_expr(mean_column, weight_column, ignore_weight_of_null)
+        aggs.append(weighted_mean_expr(src, mean_column, weight_column, ignore_weight_of_null)
                     .alias(mean_name or mean_column))
     return src.filter(_c(key).isNotNull()).groupBy(_c(key).alias(key)).agg(*aggs)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,7 +13,7 @@ from starbuild.operators.joins import hashable_columns, salted_left_join
 
 def attach_dimension_key(fact: DataFrame, dim: DataFrame, on: Sequence[str], key: str,
                          as_name: str | None = None, salt_by: Sequence[str] | None = None,
-                         hot: Sequence[int] = (), salt_buckets: int | None = None) -> DataFrame:
+                         hot: Mapping[int, int] | Sequence[int] = (), salt_buckets: int | None = None) -> DataFrame:
     """Left-join ``dim[key]`` onto ``fact`` by the shared columns ``on``.
 
     Fact rows with a NULL in any join column keep a NULL key (NULL never
@@ -39,7 +39,7 @@ def attach_dimension_key(fact: DataFrame, dim: DataFrame, on: Sequence[str], key
 
 def build_fact(fact: DataFrame, dim: DataFrame, on: Sequence[str], key: str,
                layout: Sequence[tuple[str, str, str | None]],
-               salt_by: Sequence[str] | None = None, hot: Sequence[int] = ()) -> DataFrame:
+               salt_by: Sequence[str] | None = None, hot: Mapping[int, int] | Sequence[int] = ()) -> DataFrame:
     """Join the combination key, then select/rename/cast/reorder to ``layout``
     (``(target, source, type)`` triples; ``source`` may be the dim key)."""
     return project(attach_dimension_key(fact, dim, on, key, salt_by=salt_by, hot=hot), layout)

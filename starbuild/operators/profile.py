@@ -14,14 +14,16 @@ are one aggregate per ``batch`` of columns.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType, FractionalType, IntegralType, NumericType
+from pyspark.sql.types import ArrayType, DataType, DecimalType, FractionalType, IntegralType, MapType, NumericType
 
-from starbuild.operators.sequence import single_materialization
+from starbuild.operators.selection import interpolated, ranks_next_to, values_at_ranks
 
 DEFAULT_BATCH = 64
+_QUARTERS = (0.25, 0.5, 0.75)
 
 
 def _c(name: str) -> Column:
@@ -49,6 +51,23 @@ def non_numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, NumericType)]
 
 
+def comparable(c: Column, dtype: DataType) -> Column:
+    """A value that Spark can group and hash: maps, at any depth, become arrays
+    of their entries in key order (equal maps give equal arrays); other types
+    stay as they are."""
+    if "map<" not in dtype.simpleString():
+        return c
+    if isinstance(dtype, MapType):
+        return F.array_sort(F.map_entries(F.transform_values(c, lambda _, v: comparable(v, dtype.valueType))))
+    if isinstance(dtype, ArrayType):
+        return F.transform(c, lambda x: comparable(x, dtype.elementType))
+    return F.when(c.isNotNull(), F.struct(*[comparable(c[f.name], f.dataType).alias(f.name) for f in dtype.fields]))
+
+
+def _group_value(df: DataFrame, c: str) -> Column:
+    return comparable(_c(c), df.schema[c].dataType)
+
+
 def distinct_with_null(c: Column) -> Column:
     """Distinct values of ``c`` with NULL counted as one more value
     (the meaning of ``select(c).distinct().count()``), as one aggregate
@@ -70,7 +89,7 @@ def distinct_per_column(df: DataFrame, columns: Sequence[str], count_null: bool
     """
     if approx:
         cols = list(columns)
-        row = df.agg(*[(F.approx_count_distinct(_c(c), rsd)
+        row = df.agg(*[(F.approx_count_distinct(_group_value(df, c), rsd)
                         + (F.max(F.when(_c(c).isNull(), 1).otherwise(0)) if count_null
                            else F.lit(0))).cast("long").alias(f"_a{i}")
                        for i, c in enumerate(cols)])
@@ -79,7 +98,7 @@ def distinct_per_column(df: DataFrame, columns: Sequence[str], count_null: bool
             for i, c in enumerate(cols)])))
     parts = []
     for c in columns:
-        v = df.select(_c(c).alias("_v"))
+        v = df.select(_group_value(df, c).alias("_v"))
         if not count_null:
             v = v.filter(F.col("_v").isNotNull())
         parts.append(v.distinct().select(F.lit(c).alias("column")))
@@ -154,14 +173,12 @@ def _value(df: DataFrame, c: str) -> Column:
 
 
 def _kinds(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Columns by the type that holds all their values exactly: ``bigint``,
-    a decimal with the largest scale, or ``double``."""
+    """Columns by the type that holds all their values exactly: ``bigint``, the
+    decimal type of the column, or ``double``."""
     out: dict[str, list[str]] = {}
-    types = {c: df.schema[c].dataType for c in columns}
-    scale = max((t.scale for t in types.values() if isinstance(t, DecimalType)), default=0)
-    for c, t in types.items():
-        kind = ("bigint" if isinstance(t, IntegralType)
-                else f"decimal(38,{scale})" if isinstance(t, DecimalType) else "double")
+    for c in columns:
+        t = df.schema[c].dataType
+        kind = "bigint" if isinstance(t, IntegralType) else t.simpleString() if isinstance(t, DecimalType) else "double"
         out.setdefault(kind, []).append(c)
     return out
 
@@ -182,55 +199,49 @@ def value_counts(df: DataFrame, columns: Sequence[str], kind: str = "double") ->
     return _union_all(parts)
 
 
-def ranked_profile(counts: DataFrame, probs: Sequence[float] = (0.25, 0.5, 0.75),
-                   num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(column, p, value)`` and ``(column, unique_values)`` from a
-    ``value_counts`` table: exact linearly interpolated quantiles
-    (``quantile_cont``) without gathering a column into one task.
+def _typed(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
+    return df.select(*[_value(df, c).cast(kind).alias(c) for c in columns])
 
-    The counts are range-partitioned on ``(column, value)`` once.  A range
-    partition covers a contiguous stretch, so there are at most ``partitions +
-    columns - 1`` (partition, column) segments, a table bounded by
-    configuration and schema; its sums say how many distinct values a column
-    has and which segments hold the ranks next to a quantile.  Only those
-    segments (at most two per quantile) are ranked.
-    """
-    spark = counts.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = single_materialization(counts.repartitionByRange(n, "column", "value")
-                                    .withColumn("_pid", F.spark_partition_id()))
-    by_column = Window.partitionBy("column")
-    segments = (ranged.groupBy("_pid", "column").agg(F.sum("m").alias("_m"), F.count(F.lit(1)).alias("_k"))
-                .withColumn("_end", F.sum("_m").over(by_column.orderBy("_pid")))
-                .withColumn("_total", F.sum("_m").over(by_column)))
-    unique = segments.groupBy("column").agg(F.sum("_k").alias("unique_values"))
-    # for each p the ranks floor(h) and ceil(h), h = p * (N - 1), found in the small table
-    h = F.col("p") * (F.col("_total") - 1)
-    wanted = (segments.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-              .withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor(h), F.ceil(h)))))
-              .where((F.col("_rank") >= F.col("_end") - F.col("_m")) & (F.col("_rank") < F.col("_end")))
-              .select("_pid", "column", "p", "_rank", "_total", (F.col("_end") - F.col("_m")).alias("_off")))
-    held = wanted.groupBy("_pid", "column", "_off").agg(
-        F.collect_set(F.struct("p", "_rank", "_total")).alias("_wanted"))       # at most 2 * len(probs)
-    stretch = Window.partitionBy("_pid", "column").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (ranged.join(F.broadcast(held), ["_pid", "column"])
-              .withColumn("_hi", F.col("_off") + F.sum("m").over(stretch)))
-    low = F.col("_hi") - F.col("m")
-    hit = (ranked.withColumn("_got", F.filter("_wanted", lambda w: (w["_rank"] >= low) & (w["_rank"] < F.col("_hi"))))
-           .where(F.size("_got") > 0).select("column", "value", F.explode("_got").alias("g")))
-    hit = hit.select("column", F.col("value").cast("double").alias("value"), "g.p", "g._rank", "g._total")
-    pos = F.col("p") * (F.col("_total") - 1)
-    ends = hit.groupBy("column", "p").agg(
-        F.max(F.when(F.col("_rank") == F.floor(pos), F.col("value"))).alias("lo"),
-        F.max(F.when(F.col("_rank") == F.ceil(pos), F.col("value"))).alias("hi"),
-        F.first(pos - F.floor(pos)).alias("part"))
-    return ends.select("column", "p", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias("value")), unique
-
-
-def quantiles_from_counts(counts: DataFrame, probs: Sequence[float] = (0.25, 0.5, 0.75),
-                          num_partitions: int | None = None) -> DataFrame:
-    """``(column, p, value)``: the quantiles of ``ranked_profile``."""
-    return ranked_profile(counts, probs, num_partitions)[0]
+
+def _quantiles(df: DataFrame, ends: dict[str, tuple], probs: Sequence[float]) -> dict[str, list[float | None]]:
+    """Interpolated quantiles by column; ``ends`` holds each column's non-null
+    rows, smallest and largest value in its own type.  Types are searched at
+    the same time."""
+    def search(kind: str, names: list[str]) -> dict[str, list[float | None]]:
+        typed = _typed(df, names, kind)
+        wanted = {c: (*ends[c], ranks_next_to(ends[c][0], probs)) for c in names}
+        found = values_at_ranks(typed, typed.schema[0].dataType, wanted)
+        return {c: [interpolated({r: v for (name, r), v in found.items() if name == c}, ends[c][0], p) for p in probs]
+                for c in names}
+
+    kinds = _kinds(df, list(ends))
+    out: dict[str, list[float | None]] = {}
+    with ThreadPoolExecutor(max_workers=max(1, len(kinds))) as pool:
+        for part in pool.map(lambda k: search(*k), kinds.items()):
+            out |= part
+    return out
+
+
+def _ends(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Aggregates: non-null rows, smallest and largest value in the type searched."""
+    kind = {c: k for k, names in _kinds(df, columns).items() for c in names}
+    return [x for i, c in enumerate(columns) for x in (
+        F.count(_value(df, c)).alias(f"_n{i}"), F.min(_value(df, c)).cast(kind[c]).alias(f"_lo{i}"),
+        F.max(_value(df, c)).cast(kind[c]).alias(f"_hi{i}"))]
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str],
+                    probs: Sequence[float] = (0.25, 0.5, 0.75),
+                    num_partitions: int | None = None) -> DataFrame:
+    """Exact interpolated quantiles of numeric columns: ``(column, p, value)``,
+    found by repeated histograms (module ``selection``) when called.
+    ``num_partitions`` is no longer needed."""
+    cols = list(columns)
+    row = df.agg(*_ends(df, cols)).first()
+    ends = {c: (row[f"_n{i}"], row[f"_lo{i}"], row[f"_hi{i}"]) for i, c in enumerate(cols)}
+    found = _quantiles(df, ends, list(probs))
+    return df.sparkSession.createDataFrame([(c, float(p), v) for c in cols for p, v in zip(probs, found[c], strict=True)
+                                            if v is not None], "column string, p double, value double")
 
 
 def columns_with_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -241,14 +252,6 @@ def columns_with_missing(df: DataFrame, columns: Sequence[str] | None = None) ->
                  batch=max(len(cols), 1)).filter(F.col("missing") > 0)
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str],
-                    probs: Sequence[float] = (0.25, 0.5, 0.75),
-                    num_partitions: int | None = None) -> DataFrame:
-    """Exact interpolated quantiles of numeric columns: ``(column, p, value)``."""
-    return _union_all([quantiles_from_counts(value_counts(df, cols, kind), probs, num_partitions)
-                       for kind, cols in _kinds(df, columns).items()])
-
-
 def _pivots(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     """A value near each integral or decimal column's values (from its first
     rows; any value will do)."""
@@ -266,31 +269,33 @@ def _moments(c: Column, dtype, pivot) -> dict[str, Column]:
     ordinary value of the column, exactly (as decimals) before they become
     doubles, so values that are large against their spread (epoch
     milliseconds, 64-bit ids) lose nothing; Spark's ``stddev_samp`` then sums
-    squares of deviations from the running mean.  The mean comes from an exact
-    decimal sum; if that overflows, from the doubles.
+    squares of deviations from the running mean.  A deviation that no decimal
+    holds is taken between doubles.  The mean comes from an exact decimal sum;
+    if that overflows, from the doubles.
     """
     if pivot is None:
         x = c.cast("double")
         return {"mean": F.avg(x), "std": F.stddev_samp(x)}
-    wide = c.cast(DecimalType(38, dtype.scale if isinstance(dtype, DecimalType) else 0))
-    apart = (wide - F.lit(pivot).cast(wide_type(dtype))).cast("double")
-    mean = F.try_divide(F.try_sum(wide).cast("double"), F.count(c).cast("double"))
+    own = dtype if isinstance(dtype, DecimalType) else DecimalType(20, 0)
+    exact = c.cast(own)
+    apart = F.coalesce(F.try_subtract(exact, F.lit(f"{pivot:f}" if isinstance(dtype, DecimalType) else pivot).cast(own)).cast("double"), c.cast("double") - F.lit(float(pivot)))
+    mean = F.try_divide(F.try_sum(exact).cast("double"), F.count(c).cast("double"))
     return {"mean": F.coalesce(mean, F.avg(c.cast("double"))), "std": F.stddev_samp(apart)}
 
 
-def wide_type(dtype) -> DecimalType:
-    return DecimalType(38, dtype.scale if isinstance(dtype, DecimalType) else 0)
-
-
 def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
                     batch: int = DEFAULT_BATCH, digits: int | None = None,
                     approx: bool = False, accuracy: int = 10000) -> DataFrame:
     """Numeric describe per column: ``count mean std min q25 q50 q75 max
     unique_values missing`` (NULL and NaN are missing values and enter nothing
     else; ``std`` is the sample deviation; quantiles are exact and linearly
-    interpolated, as ``quantile_cont``).  Values are counted and ranked in
-    their own type; only the results are doubles.  One scan for the moments and
-    one of each column for its values.
+    interpolated, as ``quantile_cont``).  Values are counted and searched in
+    their own type; only the results are doubles.
+
+    One scan gives the moments and ends (collected, one row per batch of
+    columns), two or three more the quantiles by histograms of fixed size (see
+    ``selection``; eager); the distinct counts stay lazy, one aggregate per
+    column.
 
     ``digits`` rounds mean/std/quantiles for display.  ``approx=True``
     takes distinct counts from HyperLogLog++ sketches and quartiles from
@@ -301,43 +306,29 @@ def profile_numeric(df: DataFrame, columns: Sequence[str] | None = None,
     cols = list(columns or numeric_columns(df))
     types = {f.name: f.dataType for f in df.schema.fields}
     pivots = _pivots(df, cols)
-    frames = []
+    rows, ends = [], {}
     for chunk in _batches(cols, batch):
-        aggs = []
+        aggs = _ends(df, chunk)
         for i, c in enumerate(chunk):
             col = _value(df, c)
             m = _moments(col, types[c], pivots.get(c))
-            aggs += [F.count(col).alias(f"count__{i}"), m["mean"].alias(f"mean__{i}"),
-                     m["std"].alias(f"std__{i}"), F.min(col).cast("double").alias(f"min__{i}"),
-                     F.max(col).cast("double").alias(f"max__{i}"),
+            aggs += [m["mean"].alias(f"mean__{i}"), m["std"].alias(f"std__{i}"),
+                     F.min(col).cast("double").alias(f"min__{i}"), F.max(col).cast("double").alias(f"max__{i}"),
                      (F.count(F.lit(1)) - F.count(col)).alias(f"missing__{i}")]
-        names = ["count", "mean", "std", "min", "max", "missing"]
-        row = df.agg(*aggs)
-        frames.append(row.select(F.inline(F.array(*[
-            F.struct(F.lit(c).alias("column"), *[F.col(f"{m}__{i}").alias(m) for m in names])
-            for i, c in enumerate(chunk)]))))
-    base = _union_all(frames)
-    if approx:
-        quart = F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)])
-        qrow = df.agg(*[F.percentile_approx(_value(df, c).cast("double"), quart, accuracy).alias(f"_q{i}")
-                        for i, c in enumerate(cols)])
-        q = qrow.select(F.inline(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(f"_q{i}")[0].alias("q25"),
-                     F.col(f"_q{i}")[1].alias("q50"), F.col(f"_q{i}")[2].alias("q75"))
-            for i, c in enumerate(cols)])))
-        uniq = distinct_per_column(df.select(*[_value(df, c).alias(c) for c in cols]), cols, False,
-                                   "unique_values", approx=True)
-        out = base.join(uniq, "column", "left").join(q, "column", "left")
-        return _numeric_out(out, digits)
-    # one table of counted values per type gives distinct counts and quantiles
-    found = [ranked_profile(value_counts(df, names, kind)) for kind, names in _kinds(df, cols).items()]
-    uniq = _union_all([u for _, u in found])
-    q = (_union_all([x for x, _ in found]).groupBy("column")
-         .agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n)
-                for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))]))
-    out = (base.join(uniq, "column", "left").join(q, "column", "left")
-           .withColumn("unique_values", F.coalesce("unique_values", F.lit(0).cast("long"))))
-    return _numeric_out(out, digits)
+            if approx:
+                aggs.append(F.percentile_approx(col.cast("double"), F.array(*map(F.lit, _QUARTERS)), accuracy).alias(f"_q{i}"))
+        row = df.agg(*aggs).first()
+        for i, c in enumerate(chunk):
+            ends[c] = (row[f"_n{i}"], row[f"_lo{i}"], row[f"_hi{i}"])
+            rows.append([c, row[f"_n{i}"], *[row[f"{m}__{i}"] for m in ("mean", "std", "min", "max", "missing")],
+                         *((row[f"_q{i}"] or [None] * 3) if approx else ())])
+    if not approx:
+        found = _quantiles(df, ends, _QUARTERS)
+        rows = [[*r, *found[r[0]]] for r in rows]
+    base = df.sparkSession.createDataFrame(rows, "column string, count long, mean double, std double, min double, max double, "
+                                                 "missing long, q25 double, q50 double, q75 double")
+    uniq = distinct_per_column(df.select(*[_value(df, c).alias(c) for c in cols]), cols, False, "unique_values", approx)
+    return _numeric_out(base.join(uniq, "column"), digits)
 
 
 def _numeric_out(out: DataFrame, digits: int | None) -> DataFrame:
@@ -370,6 +361,13 @@ def profile_string(df: DataFrame, columns: Sequence[str] | None = None,
         .alias("uniq_pct"))
 
 
+def _text(df: DataFrame, c: str, value: Column) -> Column:
+    """The text of a grouped value; a map's entries read as a map again."""
+    if isinstance(df.schema[c].dataType, MapType):
+        value = F.map_from_entries(value)
+    return value.cast("string")
+
+
 def low_cardinality_values(df: DataFrame, columns: Sequence[str] | None = None,
                            max_values: int = 10) -> DataFrame:
     """The distinct non-null values (as text) of every column that has at
@@ -381,7 +379,7 @@ def low_cardinality_values(df: DataFrame, columns: Sequence[str] | None = None,
     are gathered and counted.  The names of the survivors are collected.
     """
     asked = list(columns or df.columns)
-    hashes = _union_all([df.select(F.xxhash64(_c(c)).alias("_h")).filter(_c(c).isNotNull()).distinct()
+    hashes = _union_all([df.select(F.xxhash64(_group_value(df, c)).alias("_h")).filter(_c(c).isNotNull()).distinct()
                          .select(F.lit(c).alias("column")) for c in asked])
     many = {r["column"] for r in hashes.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
             .where(F.col("n") > max_values).select("column").collect()}
@@ -389,8 +387,8 @@ def low_cardinality_values(df: DataFrame, columns: Sequence[str] | None = None,
     if not cols:
         return df.sparkSession.createDataFrame([], "column string, value string")
     pairs = _union_all([
-        df.select(_c(c).alias("_v")).filter(F.col("_v").isNotNull()).distinct()
-        .select(F.lit(c).alias("column"), F.col("_v").cast("string").alias("value"))
+        df.select(_group_value(df, c).alias("_v")).filter(F.col("_v").isNotNull()).distinct()
+        .select(F.lit(c).alias("column"), _text(df, c, F.col("_v")).alias("value"))
         for c in cols])
     # a list has about max_values entries: its column has that few distinct hashes
     lists = pairs.groupBy("column").agg(F.collect_list("value").alias("_v"))

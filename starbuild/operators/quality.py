@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starbuild.operators.profile import distinct_with_null
+from starbuild.operators.profile import comparable, distinct_with_null
 
 
 #: Slots of the map-side filter of ``hidden_duplicates``: a broadcast of at
@@ -36,18 +36,25 @@ def key_counts(df: DataFrame, columns: Sequence[str], approx: bool = False, rsd:
     """``(column, rows, uniq)``: row count and distinct values (NULL counted as
     one) of several key columns in one scan of ``df``.
 
-    Exact: every row gives one small ``(column, value as text)`` pair per
-    column, combined inside the map tasks, so columns with few values (dates)
-    cost next to nothing beside the one key that is shuffled anyway.
+    Exact: every row gives one small ``(column, value)`` pair per column, each
+    value in its own type (as ``distinct_counts`` does: 0.0 equals -0.0, an hour
+    that a zone repeats is two timestamps), combined inside the map tasks, so
+    columns with few values (dates) cost next to nothing beside the one key that
+    is shuffled anyway.
     ``approx`` estimates with HyperLogLog++ (relative error ``rsd``) and
     shuffles no keys."""
     if approx:
         row = df.agg(F.count(F.lit(1)).alias("n"), *[_uniq(_c(c), True, rsd).alias(f"u{i}") for i, c in enumerate(columns)])
         return row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col("n").alias("rows"),
                                                       F.col(f"u{i}").alias("uniq")) for i, c in enumerate(columns)])))
-    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), _c(c).cast("string").alias("value"))
-                                          for c in columns])).alias("p")).select("p.*")
-    found = (pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    # one slot per type: a key is grouped as what it is, not as its text
+    values = {c: comparable(_c(c), df.schema[c].dataType) for c in columns}
+    kinds = list(dict.fromkeys(df.schema[c].dataType.simpleString() for c in columns))
+    slot = {c: kinds.index(df.schema[c].dataType.simpleString()) for c in columns}
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), *[(values[c] if k == slot[c] else F.lit(None)).alias(f"v{k}")
+                                             for k in range(len(kinds))]) for c in columns])).alias("p")).select("p.*")
+    found = (pairs.groupBy("column", *[f"v{k}" for k in range(len(kinds))]).agg(F.count(F.lit(1)).alias("n"))
              .groupBy("column").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("uniq")))
     # a table without rows has counts of zero
     none = df.sparkSession.createDataFrame([(c, 0, 0) for c in columns], "column string, rows long, uniq long")

@@ -106,7 +106,7 @@ def parquet_roundtrip(spark, sf):
     path = scratch_path(spark, "orders-parquet")
     staged = fx.orders_staged(spark, sf)
     sinks.write_parquet(staged, path, partition_by=["o_orderstatus"], compression="gzip")
-    return sinks.read_parquet(spark, path, staged.schema)
+    return sinks.read_parquet(spark, path, staged.schema, ["o_orderstatus"])
 
 
 @register("schema_contract", f"""
@@ -517,6 +517,23 @@ def profile_numeric_wide(spark, sf):
                                            else F.col(c) for c in out.columns[2:]])
 
 
+_DECIMALS = """(select cast(l_extendedprice as decimal(38,2)) * 1000000000000000000000 as price,
+        cast(l_tax as decimal(20,18)) as tax, cast(l_discount as decimal(9,2)) as discount from lineitem)"""
+
+
+@register("profile_numeric_decimal", "\nunion all\n".join(
+    _numeric_profile_sql(c, _DECIMALS, "0", scale) for c, scale in (("price", "1e24"), ("tax", "1"), ("discount", "1"))))
+def profile_numeric_decimal(spark, sf):
+    """Decimals of different widths, one with 27 digits and one with 18 places."""
+    li = fx.table(spark, sf, "lineitem").select(
+        (F.col("l_extendedprice").cast("decimal(14,2)") * F.lit("1000000000000000000000").cast("decimal(22,0)")).alias("price"),
+        F.col("l_tax").cast("decimal(20,18)").alias("tax"), F.col("l_discount").cast("decimal(9,2)").alias("discount"))
+    out = profile.profile_numeric(li)
+    scale = F.when(F.col("column") == "price", 1e24).otherwise(1.0)
+    return out.select("column", "count", *[F.round(F.col(c) / scale, 4).alias(c) if c in ("mean", "std", "q25", "q50", "q75")
+                                           else F.col(c) for c in out.columns[2:]])
+
+
 _ORDER_STR = {"o_orderstatus": "string", "o_orderdate": "timestamp_ntz",
               "o_orderpriority": "string"}
 

@@ -112,9 +112,9 @@ def build_star(staged: DataFrame, spec: StarSpec, entity_src: DataFrame | None =
     return tables
 
 
-def counted_combinations(staged: DataFrame, flags: Sequence[str]) -> tuple[DataFrame, list[int]]:
+def counted_combinations(staged: DataFrame, flags: Sequence[str]) -> tuple[DataFrame, dict[int, int]]:
     """Flag combinations with their row counts (reliable checkpoint, one scan)
-    and the hashes of those that hold a large share of the rows."""
+    and those that hold a large share of the rows (hash and rows)."""
     combos = dims.flag_combinations(staged, flags).checkpoint(eager=True)
     return combos, joins.hot_of_counts(combos, flags, "rows")
 
@@ -156,9 +156,10 @@ class WrittenStar:
     the types it was written with."""
     paths: dict[str, str] = field(default_factory=dict)
     schemas: dict[str, StructType] = field(default_factory=dict)
+    partitions: dict[str, list[str]] = field(default_factory=dict)
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
-        return sinks.read_parquet(spark, self.paths[name], self.schemas[name])
+        return sinks.read_parquet(spark, self.paths[name], self.schemas[name], self.partitions.get(name))
 
 
 def write_star(spark: SparkSession, staged: DataFrame, spec: StarSpec, root: str,
@@ -186,6 +187,7 @@ def write_star(spark: SparkSession, staged: DataFrame, spec: StarSpec, root: str
         path = sinks.table_path(root, name)
         sinks.write_parquet(_observed(df, name, key, observations), path, compression=compression, **layout)
         star.paths[name], star.schemas[name] = path, df.schema
+        star.partitions[name] = list(layout.get("partition_by") or [])
 
     def write_flags_and_fact() -> None:
         combos, hot = counted_combinations(staged, spec.flags)

@@ -6,9 +6,9 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def table_path(root: str, name: str) -> str:
@@ -16,6 +16,24 @@ def table_path(root: str, name: str) -> str:
     return root.rstrip("/") + "/" + name if "://" in root else os.path.join(root, name)
 
 
+#: First character of an escaped partition value, and the folder name that
+#: stands for NULL (a fixed value of the file layout).
+ESCAPE, NULL_FOLDER = "~", "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_text(c: Column) -> Column:
+    """A text as a partition value.  Folder names cannot tell the empty text
+    from NULL: it, the name that stands for NULL, and texts that start with
+    ``ESCAPE`` get an ``ESCAPE`` in front; all other texts stay as they are."""
+    odd = (c == "") | c.startswith(ESCAPE) | (c == NULL_FOLDER)
+    return F.when(odd, F.concat(F.lit(ESCAPE), c)).otherwise(c)
+
+
+def plain_text(c: Column) -> Column:
+    """Inverse of ``partition_text``."""
+    return F.when(c.startswith(ESCAPE), F.substring(c, F.lit(2), F.length(c))).otherwise(c)
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
                   compression: str = "gzip", mode: str = "overwrite",
                   max_records_per_file: int | None = None, cluster: str = "none") -> str:
@@ -36,8 +54,14 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None =
       writes few partition values while a hot value still spreads over many
       tasks; the hash keeps the shuffle deterministic under task retries.
       Range bounds cost one sampling pass over the input.
+
+    Texts in partition columns are written by ``partition_text``, so that the
+    empty text does not become NULL; ``read_parquet`` turns them back.
     """
     out = df
+    texts = [c for c in partition_by or () if isinstance(df.schema[c].dataType, StringType)]
+    if texts:
+        out = df.select(*[partition_text(F.col(f"`{c}`")).alias(c) if c in texts else F.col(f"`{c}`") for c in df.columns])
     writer_opts = {"compression": compression}
     if max_records_per_file:
         writer_opts["maxRecordsPerFile"] = str(max_records_per_file)
@@ -53,14 +77,19 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None =
     return path
 
 
-def read_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A written table with the types and column order it was written with.
+def read_parquet(spark: SparkSession, path: str, schema: StructType,
+                 partition_by: Sequence[str] | None = None) -> DataFrame:
+    """A written table with the types, column order and values it was written
+    with; ``partition_by`` as for ``write_parquet``.
 
     Partition columns live in folder names; a read without a schema guesses
-    their types anew (text ``'01'`` would come back as the number 1)."""
+    their types anew (text ``'01'`` would come back as the number 1).  Filters
+    on them still prune folders."""
     fields = [StructField(f.name, f.dataType, True) for f in schema.fields]
     back = spark.read.schema(StructType(fields)).parquet(path)
-    return back.select(*[F.col(f"`{f.name}`") for f in fields])
+    texts = {f.name for f in fields if f.name in (partition_by or ()) and isinstance(f.dataType, StringType)}
+    return back.select(*[plain_text(F.col(f"`{f.name}`")).alias(f.name) if f.name in texts else F.col(f"`{f.name}`")
+                         for f in fields])
 
 
 def write_tables(tables: Mapping[str, DataFrame], root: str,
