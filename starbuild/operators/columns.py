@@ -120,13 +120,8 @@ def require_non_null(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return proved.to(schema)
 
 
-def project(df: DataFrame, layout: Sequence[tuple[str, str | Column, str | None]]) -> DataFrame:
-    """Select, rename, cast and reorder in one projection.
-
-    ``layout`` is a list of ``(target_name, source_column_or_expr, type)``;
-    ``type`` may be ``None`` to keep the source type, and a cast to the type
-    a column already has is skipped.  Columns not listed are dropped.
-    """
+def layout_columns(df: DataFrame, layout: Sequence[tuple[str, str | Column, str | None]]) -> list[Column]:
+    """The expressions of ``project`` over the columns of ``df``."""
     types = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for target, source, to in layout:
@@ -136,7 +131,17 @@ def project(df: DataFrame, layout: Sequence[tuple[str, str | Column, str | None]
                                    and src_type.simpleString() == _type_name(to)):
             c = safe_cast(c, to, src_type)
         out.append(c.alias(target))
-    return df.select(*out)
+    return out
+
+
+def project(df: DataFrame, layout: Sequence[tuple[str, str | Column, str | None]]) -> DataFrame:
+    """Select, rename, cast and reorder in one projection.
+
+    ``layout`` is a list of ``(target_name, source_column_or_expr, type)``;
+    ``type`` may be ``None`` to keep the source type, and a cast to the type
+    a column already has is skipped.  Columns not listed are dropped.
+    """
+    return df.select(*layout_columns(df, layout))
 
 
 def _type_name(to: str) -> str:

@@ -28,6 +28,7 @@ from pyspark.sql.types import StructType
 
 from starbuild.operators import columns as colops
 from starbuild.operators import dims, facts, joins, quality
+from starbuild.operators.fingerprint import Fingerprint, content_check, content_fingerprint, fingerprint_metrics, observed_content
 from starbuild.sources import readers, sinks
 
 @dataclass
@@ -137,19 +138,6 @@ def fact_with_checked_dimension(staged: DataFrame, flags: Sequence[str], key: st
     return fact, dim
 
 
-def _observed(df: DataFrame, name: str, key: str | None,
-              observations: dict[str, Observation] | None) -> DataFrame:
-    """Attach row counts (and NULL keys) that Spark gathers while writing."""
-    if observations is None:
-        return df
-    obs = Observation(name)
-    metrics = [F.count(F.lit(1)).alias("rows")]
-    if key is not None:
-        metrics.append(F.count_if(F.col(f"`{key}`").isNull()).alias("null_keys"))
-    observations[name] = obs
-    return df.observe(obs, *metrics)
-
-
 @dataclass
 class WrittenStar:
     """Paths and schemas of written tables; ``read`` gives a table back with
@@ -157,6 +145,8 @@ class WrittenStar:
     paths: dict[str, str] = field(default_factory=dict)
     schemas: dict[str, StructType] = field(default_factory=dict)
     partitions: dict[str, list[str]] = field(default_factory=dict)
+    content: dict[str, Fingerprint] = field(default_factory=dict)   # of every table, as it was written
+    staged_content: Fingerprint | None = None                       # of the fact's columns in the staging rows
 
     def read(self, spark: SparkSession, name: str) -> DataFrame:
         return sinks.read_parquet(spark, self.paths[name], self.schemas[name], self.partitions.get(name))
@@ -176,27 +166,40 @@ def write_star(spark: SparkSession, staged: DataFrame, spec: StarSpec, root: str
     If ``metrics`` is a dict, it receives ``{table: {"rows": n, ...}}``
     gathered during the writes themselves (``DataFrame.observe``), so no
     extra count job runs; for the fact, ``null_keys`` counts rows whose
-    flag-combination key is NULL.
+    flag-combination key is NULL.  The same observations give every table's
+    content fingerprint, and that of the fact's columns in the staging rows that
+    the fact job reads (with range clustering, which runs its input twice, that
+    one is a job of its own).
     """
-    observations: dict[str, Observation] | None = {} if metrics is not None else None
     others = build_other_dimensions(staged, spec, entity_src, rollup_src)
     key_out = next((t for t, src, _ in spec.fact_layout if src == spec.flag_key), None)
-    star = WrittenStar()
+    star, seen = WrittenStar(), {}
 
     def write(name: str, df: DataFrame, key: str | None = None, **layout) -> None:
         path = sinks.table_path(root, name)
-        sinks.write_parquet(_observed(df, name, key, observations), path, compression=compression, **layout)
-        star.paths[name], star.schemas[name] = path, df.schema
-        star.partitions[name] = list(layout.get("partition_by") or [])
+        star.schemas[name], star.partitions[name] = df.schema, list(layout.get("partition_by") or [])
+        keys = [F.count_if(F.col(f"`{key}`").isNull()).alias("null_keys")] if key is not None else []
+        columns = [c for c in df.columns if name != spec.fact_name or c != key_out]
+        obs = seen[name] = Observation(name)
+        content = fingerprint_metrics([(F.col(f"`{c}`"), df.schema[c].dataType) for c in columns])
+        sinks.write_parquet(df, path, compression=compression, observe=lambda rows: rows.observe(obs, *content, *keys), **layout)
+        star.paths[name] = path
 
     def write_flags_and_fact() -> None:
         combos, hot = counted_combinations(staged, spec.flags)
         write(spec.flag_dim_name, dims.rank_combinations(combos, spec.flags, spec.flag_key,
                                                          num_partitions=spec.rank_partitions))
-        fact = facts.build_fact(staged, star.read(spark, spec.flag_dim_name), spec.flags, spec.flag_key,
-                                spec.fact_layout, [spec.fact_key], hot)
+        # the same columns before the join: what the fact must hold
+        layout = [x for x in spec.fact_layout if x[1] != spec.flag_key]
+        expected = colops.project(staged, layout)
+        values = [(c, f.dataType) for c, f in zip(colops.layout_columns(staged, layout), expected.schema.fields, strict=True)]
+        source, watched = observed_content(staged, "staged", values=values)
+        sampled = cluster == "range" and fact_partition_by       # range bounds run the plan below them twice
+        fact = facts.build_fact(staged if sampled else source, star.read(spark, spec.flag_dim_name), spec.flags,
+                                spec.flag_key, spec.fact_layout, [spec.fact_key], hot)
         write(spec.fact_name, fact, key_out, partition_by=fact_partition_by, cluster=cluster,
               max_records_per_file=max_records_per_file)
+        star.staged_content = content_fingerprint(expected) if sampled else Fingerprint.of(watched.get)
 
     # Independent writes run as concurrent jobs so their tasks share the
     # cluster; the fact follows the flag dimension.  A failed write re-raises.
@@ -204,8 +207,11 @@ def write_star(spark: SparkSession, staged: DataFrame, spec: StarSpec, root: str
         futures = [pool.submit(write_flags_and_fact), *(pool.submit(write, n, df) for n, df in others.items())]
         for f in futures:
             f.result()
-    if observations is not None:
-        metrics.update({name: dict(obs.get) for name, obs in observations.items()})
+    found = {name: dict(obs.get) for name, obs in seen.items()}
+    star.content = {name: Fingerprint.of(m) for name, m in found.items()}
+    if metrics is not None:
+        metrics.update({name: {"rows": m["content_rows"]} | ({"null_keys": m["null_keys"]} if "null_keys" in m else {})
+                        for name, m in found.items()})
     return star
 
 
@@ -290,6 +296,7 @@ def run_star(spark: SparkSession, staged: DataFrame, spec: StarSpec, root: str,
     if checks:
         tables = {name: star.read(spark, name) for name in star.paths}
         found = run_checks(staged, tables, spec, entity_src, fact_id_unique=None, approx=approx_checks)
+        found[f"content_{spec.fact_name}"] = content_check(spark, star.staged_content, star.content[spec.fact_name])
         if write_checks:
             # One-row results: kept next to the tables as an audit record.
             for name, df in found.items():

@@ -4,7 +4,7 @@ partitioned.  Errors propagate (a failed write must fail the job)."""
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,9 +36,13 @@ def plain_text(c: Column) -> Column:
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
                   compression: str = "gzip", mode: str = "overwrite",
-                  max_records_per_file: int | None = None, cluster: str = "none") -> str:
+                  max_records_per_file: int | None = None, cluster: str = "none",
+                  observe: Callable[[DataFrame], DataFrame] | None = None) -> str:
     """Write ``df`` as Parquet to ``path`` and return the path.
 
+    ``observe`` may attach metrics (``DataFrame.observe``) to the rows as they
+    reach the writers, above any exchange, so each row is seen once.
+
     ``partition_by`` lays the table out by columns so later reads prune
     folders.  ``cluster`` decides how rows reach the writers:
 
@@ -59,9 +63,6 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None =
     empty text does not become NULL; ``read_parquet`` turns them back.
     """
     out = df
-    texts = [c for c in partition_by or () if isinstance(df.schema[c].dataType, StringType)]
-    if texts:
-        out = df.select(*[partition_text(F.col(f"`{c}`")).alias(c) if c in texts else F.col(f"`{c}`") for c in df.columns])
     writer_opts = {"compression": compression}
     if max_records_per_file:
         writer_opts["maxRecordsPerFile"] = str(max_records_per_file)
@@ -70,6 +71,11 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] | None =
         out = out.repartitionByRange(*[F.col(f"`{c}`") for c in partition_by], row_hash)
     elif cluster not in ("none", "range"):
         raise ValueError(f"unknown cluster mode: {cluster}")
+    if observe is not None:
+        out = observe(out)
+    texts = [c for c in partition_by or () if isinstance(df.schema[c].dataType, StringType)]
+    if texts:
+        out = out.select(*[partition_text(F.col(f"`{c}`")).alias(c) if c in texts else F.col(f"`{c}`") for c in df.columns])
     w = out.write.mode(mode).options(**writer_opts)
     if partition_by:
         w = w.partitionBy(*partition_by)
