@@ -147,6 +147,21 @@ def rank_combinations(combos: DataFrame, flags: Sequence[str], key: str, start:
                             num_partitions=num_partitions)
 
 
+def extend_combinations(known: DataFrame | None, combos: DataFrame, flags: Sequence[str], key: str,
+                        first: int = 0, num_partitions: int | None = None) -> DataFrame:
+    """The dimension of an earlier load with the combinations it does not have.
+
+    Rows of ``known`` (``*flags, key``) keep their keys, also those that no row of
+    this load uses; the others get ``first``, ``first + 1``, ... in flag order.
+    ``first`` is the high-water mark: one above every key that was ever given
+    out.  Only combinations (one row each) are joined."""
+    if known is None:
+        return rank_combinations(combos, flags, key, first, num_partitions)
+    known = known.select(*[_c(f) for f in flags], _c(key))
+    fresh = combos.join(known, list(flags), "left_anti")
+    return known.unionByName(rank_combinations(fresh, flags, key, first, num_partitions))
+
+
 def combination_dimension(df: DataFrame, flags: Sequence[str], key: str = "status_flag_id",
                           start: int = 0, num_partitions: int | None = None) -> DataFrame:
     """Distinct complete combinations of ``flags`` with a surrogate key."""

@@ -871,3 +871,50 @@ select c.*, row_number() over (order by c_name) - 1 as name_rank from customer c
 def sequence_id_payload(spark, sf):
     from starbuild.operators.sequence import with_sequence_id
     return with_sequence_id(fx.table(spark, sf, "customer"), ["c_name"], "name_rank")
+
+
+# --------------------------------------------------------------- loads and publishing
+
+@register("incremental_dimension", """
+with first as (select distinct c_nationkey, c_mktsegment from customer where c_acctbal < 0),
+     ranked as (select *, row_number() over (order by c_nationkey, c_mktsegment) - 1 as k from first),
+     fresh as (select distinct c_nationkey, c_mktsegment from customer where c_acctbal >= 0
+               except select * from first)
+select * from ranked
+union all
+select *, (select count(*) from first) + row_number() over (order by c_nationkey, c_mktsegment) - 1 from fresh""")
+def incremental_dimension(spark, sf):
+    """A combination dimension in two loads: the keys of the first one stay, the
+    combinations that the second one adds continue from them."""
+    c = fx.table(spark, sf, "customer")
+    flags = ["c_nationkey", "c_mktsegment"]
+    first = dims.combination_dimension(c.where("c_acctbal < 0"), flags, "k").checkpoint(eager=True)
+    combos = dims.flag_combinations(c.where("c_acctbal >= 0"), flags)
+    return dims.extend_combinations(first, combos, flags, "k", first.count())
+
+
+@register("star_published", f"""
+with s as (select * from {_ORDERS_STAGED} x)
+select o_orderkey as order_id, o_custkey as customer_id, o_orderdate as order_dt, o_orderpriority as priority,
+       case when o_orderpriority is null then null else o_orderstatus end as status,
+       case when o_orderdate < date '1995-01-01' then 1 else 2 end as load,
+       {_DATE_PARTS.format(d="o_orderdate")} from s""")
+def star_published(spark, sf):
+    """Orders loaded by period into a published star, read through its manifest:
+    every fact finds its flags and its date, whichever load it came with."""
+    from starbuild.plans import publish
+    staged, entity, rollup, spec = _star_inputs(spark, sf)
+    root = scratch_path(spark, "published")
+    old = F.col("o_orderdate") < F.lit("1995-01-01").cast("date")
+    made = None
+    for part in (old, ~old):
+        made = publish.load_star(spark, staged.where(part), spec, root, append=True, entity_src=entity,
+                                 rollup_src=rollup, fact_partition_by=["priority"])
+    fact = publish.read_table(spark, root, "order_facts", made)
+    flags = publish.read_table(spark, root, "dim_status", made)
+    days = publish.read_table(spark, root, "dim_time", made)
+    out = (fact.join(flags.withColumnRenamed("o_orderstatus", "flag"), fact["status"] == flags["status_flag_id"], "left")
+           .join(days, fact["order_dt"] == days["datestamp"], "left"))
+    load = F.when(F.col("order_dt") < F.lit("1995-01-01").cast("date"), 1).otherwise(2)
+    return out.select("order_id", "customer_id", "order_dt", "priority", F.col("flag").alias("status"), load.alias("load"),
+                      "day_of_month", "day_of_year", "week", "month", "year")

@@ -158,7 +158,8 @@ def write_star(spark: SparkSession, staged: DataFrame, spec: StarSpec, root: str
                compression: str = "gzip",
                metrics: dict[str, dict] | None = None,
                max_parallel_writes: int = 4, cluster: str = "none",
-               max_records_per_file: int | None = None) -> WrittenStar:
+               max_records_per_file: int | None = None, known_flags: DataFrame | None = None,
+               first_flag_key: int = 0, known_dates: DataFrame | None = None) -> WrittenStar:
     """Write the star under ``root`` (a shared folder or object-store URI).
 
     See the module docstring for the order, and ``sinks.write_parquet`` for
@@ -170,9 +171,16 @@ def write_star(spark: SparkSession, staged: DataFrame, spec: StarSpec, root: str
     content fingerprint, and that of the fact's columns in the staging rows that
     the fact job reads (with range clustering, which runs its input twice, that
     one is a job of its own).
+
+    ``known_flags`` is the flag dimension of an earlier load: its combinations
+    keep their keys, new ones get those from ``first_flag_key`` on.
+    ``known_dates`` (an earlier date dimension) stays part of the new one.
     """
     others = build_other_dimensions(staged, spec, entity_src, rollup_src)
     key_out = next((t for t, src, _ in spec.fact_layout if src == spec.flag_key), None)
+    if known_dates is not None:
+        dates = others[spec.date_dim_name]
+        others[spec.date_dim_name] = dates.unionByName(known_dates.select(*dates.columns)).dropDuplicates()
     star, seen = WrittenStar(), {}
 
     def write(name: str, df: DataFrame, key: str | None = None, **layout) -> None:
@@ -187,8 +195,8 @@ def write_star(spark: SparkSession, staged: DataFrame, spec: StarSpec, root: str
 
     def write_flags_and_fact() -> None:
         combos, hot = counted_combinations(staged, spec.flags)
-        write(spec.flag_dim_name, dims.rank_combinations(combos, spec.flags, spec.flag_key,
-                                                         num_partitions=spec.rank_partitions))
+        write(spec.flag_dim_name, dims.extend_combinations(known_flags, combos, spec.flags, spec.flag_key, first_flag_key,
+                                                           num_partitions=spec.rank_partitions))
         # the same columns before the join: what the fact must hold
         layout = [x for x in spec.fact_layout if x[1] != spec.flag_key]
         expected = colops.project(staged, layout)
