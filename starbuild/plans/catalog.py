@@ -18,7 +18,7 @@ from starbuild.operators import aggregates, columns, dims, profile, quality
 from starbuild.operators.joins import fill_from_lookup, hot_keys, prefix_key_join
 from starbuild.plans import fixtures as fx
 from starbuild.session import scratch_path
-from starbuild.sources import dictionary, readers, schema, sinks
+from starbuild.sources import dictionary, quarantine, readers, schema, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,6 +82,44 @@ def csv_scan(spark, sf):
     return columns.cast_columns(clean, ["c_acctbal"], "double")
 
 
+_DIRTY = """(select o_orderkey as k, o_custkey as c, o_totalprice as price, o_orderdate::date as d, o_orderstatus as st,
+    o_orderkey % 29 = 0 or o_orderkey % 31 = 0 as fields, o_orderkey % 23 = 0 as id, o_orderkey % 11 = 0 as customer,
+    o_orderkey % 13 = 0 as cost, o_orderkey % 19 = 0 as day from orders)"""
+
+
+@register("quarantine_accepted", f"""
+select k as order_id, c::int as customer, case when k % 17 = 0 then null else price end as price, d as ordered, d as arrived,
+       st || ';x' as status from {_DIRTY} t where not (fields or id or customer or cost or day)""")
+def quarantine_accepted(spark, sf):
+    """Typed rows of delimited lines that are good throughout."""
+    found = quarantine.write_checked(
+        quarantine.read_checked(spark, fx.write_dirty_orders(spark, sf), fx.DIRTY_KINDS, ["order_id"], sep=";"),
+        scratch_path(spark, "checked-orders"))
+    return found.accepted(spark)
+
+
+@register("quarantine_rejected", f"""
+select case when fields then null else coalesce(nullif(concat_ws(',', case when id then 'order_id' end,
+            case when customer then 'customer' end, case when cost then 'price' end, case when day then 'ordered' end), ''), null)
+       end as columns,
+       case when fields then 'not 6 fields' else concat_ws(',', case when id then 'required value is missing' end,
+            case when customer then 'not a int' end, case when cost then 'not a double' end,
+            case when day then 'not a date:yyyyMMdd' end) end as reasons,
+       count(*) as lines, min(st) as least_status
+from {_DIRTY} t where fields or id or customer or cost or day group by all""")
+def quarantine_rejected(spark, sf):
+    """Rejected lines by what failed in them."""
+    found = quarantine.write_checked(
+        quarantine.read_checked(spark, fx.write_dirty_orders(spark, sf), fx.DIRTY_KINDS, ["order_id"], sep=";"),
+        scratch_path(spark, "checked-orders"))
+    each = found.rejected(spark).select(
+        F.expr("nullif(array_join(transform(failed, f -> f.column), ','), '')").alias("columns"),
+        F.expr("array_join(transform(failed, f -> f.reason), ',')").alias("reasons"),
+        F.regexp_extract("line", '"([A-Z]);x"', 1).alias("status"), "line")
+    return (each.groupBy("columns", "reasons")
+            .agg(F.count(F.lit(1)).alias("lines"), F.min(F.when(F.col("status") != "", F.col("status"))).alias("least_status")))
+
+
 @register("limit_rows", """
 select 'preview' as read, 100 as rows, 100 as rows_in_source
 union all select 'chunks', 1050, 1050

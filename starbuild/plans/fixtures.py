@@ -114,3 +114,31 @@ def write_dictionary(spark: SparkSession, sf_dir: str, chunk: int = 500) -> str:
     (rows.repartition("block").sortWithinPartitions("block", "ord")
          .select("line").write.text(path))
     return path
+
+
+#: Kinds of the columns of ``write_dirty_orders``.
+DIRTY_KINDS = {"order_id": "bigint", "customer": "int", "price": "double", "ordered": "date:yyyyMMdd", "arrived": "epoch_day",
+               "status": "string"}
+
+
+def write_dirty_orders(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as delimited lines, some of them bad: a text for a number, a date
+    that does not exist, a required id left out, a field too many or too few; a
+    header in every file, quoted separators, fractional integers."""
+    path = scratch_path(spark, "dirty-orders")
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    day = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1960-01-01").cast("date")).cast("string")
+    fields = [F.when(k % 23 == 0, "").otherwise(k.cast("string")),
+              F.when(k % 11 == 0, F.concat(F.lit("c"), "o_custkey")).when(k % 2 == 0, F.concat("o_custkey", F.lit(".0")))
+              .otherwise(F.col("o_custkey").cast("string")),
+              F.when(k % 13 == 0, "n/a").when(k % 17 == 0, "").otherwise(F.col("o_totalprice").cast("string")),
+              F.when(k % 19 == 0, "20211332").otherwise(F.date_format("o_orderdate", "yyyyMMdd")),
+              F.concat(day, F.lit(".0")),
+              F.concat(F.lit('"'), "o_orderstatus", F.lit(';x"'))]
+    line = F.when(k % 29 == 0, F.concat_ws(";", *fields[:5])).when(k % 31 == 0, F.concat_ws(";", *fields, F.lit("more"))) \
+            .otherwise(F.concat_ws(";", *fields))
+    rows = o.repartition(4, "o_orderkey").select(F.spark_partition_id().alias("p"), line.alias("value"))
+    header = spark.range(4).select(F.col("id").cast("int").alias("p"), F.lit("Order-ID;Customer;PRICE;ordered;Arrived;Status").alias("value"))
+    rows.unionByName(header).select("value").write.text(path)
+    return path
