@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 from starbuild.operators.profile import comparable, distinct_with_null
 
 
-#: Slots of the map-side filter of ``hidden_duplicates``: a broadcast of at
-#: most this many 8-byte numbers.
-HASH_SLOTS = 1 << 20
+#: Bits of a key filter, in bitmaps of 32,768: at most 8,192 of 4 KB each, 32 MB.
+FILTER_BITS = 1 << 28
 
 
 def _c(name: str) -> Column:
@@ -152,6 +151,28 @@ def unmatched_keys(fact: DataFrame, fact_col: str, dim: DataFrame, dim_col: str,
     return ranked.limit(top) if top is not None else ranked
 
 
+def key_filter(hashes: DataFrame, column: str) -> DataFrame:
+    """``(bucket, bits)``: a bit for every 64-bit hash of ``column``, in bitmaps
+    by bucket (only buckets that have a bit).  At most 32 MB whatever the input;
+    n different hashes let a share of n / 2^28 of all others pass."""
+    slot = F.pmod(F.col(column), F.lit(FILTER_BITS))
+    return (hashes.select(slot.alias("_slot")).groupBy(F.bitmap_bucket_number("_slot").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("bits")))
+
+
+def passing(df: DataFrame, column: str, filter_: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose hash may be one of the filter's (all of them, and few
+    others).  The bitmaps are broadcast and joined by bucket, so the other rows
+    stop in the task that reads them."""
+    slot = F.pmod(F.col(column), F.lit(FILTER_BITS))
+    at = F.bitmap_bit_position(slot).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(at, F.lit(8)))), F.lit(2)) == 1
+    bits = filter_.select(F.col("bucket").alias("_bucket"), F.col("bits").alias("_bits"))
+    return (df.join(F.broadcast(bits), F.bitmap_bucket_number(slot) == F.col("_bucket")).where(found)
+            .drop("_bucket", "_bits"))
+
+
 def hidden_duplicates(df: DataFrame, columns: Sequence[str], min_count: int = 2) -> DataFrame:
     """Groups of rows sharing the same values in ``columns``:
     ``(*columns, copies)`` for groups of at least ``min_count`` rows.
@@ -159,23 +180,20 @@ def hidden_duplicates(df: DataFrame, columns: Sequence[str], min_count: int = 2)
     Exact, and wide values (long texts) of rows without a copy hardly ever
     cross a shuffle: rows are first counted by a 64-bit and an independent
     32-bit hash of the key columns (12 bytes per row shuffled, partial/final
-    aggregate).  Rows whose hash slot holds no hash pair with ``min_count``
-    rows go inside the map tasks (a broadcast of at most ``HASH_SLOTS`` slot
-    numbers, whatever the data); the rest is matched with the hash pairs
-    themselves and then grouped on the real values, which removes any
-    collision.  Equal values always share both hashes, so no group is missed.
-    With many more candidates than slots the first filter lets most rows pass.
+    aggregate).  Hashes with ``min_count`` rows make a bit filter (at most 32 MB,
+    see ``key_filter``) that stops the other rows inside the map tasks; of 10 M
+    candidates' filter 4 % of them pass.  What passes is grouped on hashes and
+    real values, which removes collisions; copies of one text, however many, are
+    combined in each map task first.  Equal values always share both hashes, so
+    no group is missed.
     """
     cols = [_c(c) for c in columns]
     hashed = df.select(*cols, F.xxhash64(*cols).alias("_h1"), F.hash(*cols).alias("_h2"))
     candidates = (hashed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
-                  .filter(F.col("_n") >= min_count).select("_h1", "_h2"))
-    slot = F.pmod("_h1", F.lit(HASH_SLOTS)).alias("_slot")
-    likely = (hashed.withColumn("_slot", slot)
-              .join(F.broadcast(candidates.select(slot).distinct()), "_slot", "left_semi"))
-    suspects = likely.join(candidates, ["_h1", "_h2"], "left_semi")
-    return (suspects.groupBy(*[_c(c) for c in columns]).agg(F.count(F.lit(1)).alias("copies"))
-            .filter(F.col("copies") >= min_count))
+                  .filter(F.col("_n") >= min_count).select("_h1"))
+    suspects = passing(hashed, "_h1", key_filter(candidates, "_h1"))
+    return (suspects.groupBy("_h1", "_h2", *cols).agg(F.count(F.lit(1)).alias("copies"))
+            .filter(F.col("copies") >= min_count).drop("_h1", "_h2"))
 
 
 def code_list_violations(df: DataFrame, column: str, codes: DataFrame,

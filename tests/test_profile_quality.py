@@ -163,8 +163,37 @@ def test_hidden_duplicates_filters_wide_rows_before_the_shuffle(spark):
         out = Q.hidden_duplicates(df, ["text"])
         assert {(r.text, r.copies) for r in out.collect()} == {("twice " * 20, 2), (None, 2)}
         lines = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
-        depth = [i for i, x in enumerate(lines) if "BroadcastHashJoin" in x and "LeftSemi" in x]
-        merge = [i for i, x in enumerate(lines) if "SortMergeJoin" in x or "ShuffledHashJoin" in x]
-        assert depth and merge and merge[0] < depth[0]      # the slot filter stands below the shuffled join
+        bits = [i for i, x in enumerate(lines) if "BroadcastHashJoin" in x]
+        spread = [i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x]
+        assert bits and spread and spread[0] < bits[0]      # the bit filter stands below the first shuffle
+        assert not any("SortMergeJoin" in x or "ShuffledHashJoin" in x for x in lines)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_key_filter_passes_all_keys_and_few_others(spark, monkeypatch):
+    monkeypatch.setattr(Q, "FILTER_BITS", 1 << 20)
+    keys = spark.range(40_000).select(F.xxhash64("id").alias("h"))
+    bits = Q.key_filter(keys, "h").checkpoint()
+    assert bits.count() == 32 and bits.agg(F.sum(F.length("bits"))).first()[0] == 32 * 4096
+    assert Q.passing(keys, "h", bits).count() == 40_000
+    others = spark.range(10**6, 2 * 10**6).select("id", F.xxhash64("id").alias("h"))
+    passed = Q.passing(others, "h", bits)
+    assert passed.columns == ["id", "h"] and 0.03 < passed.count() / 10**6 < 0.045      # 40,000 / 2^20
+
+
+def test_key_filter_at_its_size(spark):
+    """Ten million candidates: at least 95 % of the other rows stop, the filter stays within 32 MB."""
+    bits = Q.key_filter(spark.range(10**7).select(F.xxhash64("id").alias("h")), "h").checkpoint()
+    assert bits.count() <= 8192
+    others = spark.range(10**8, 10**8 + 10**6).select(F.xxhash64("id").alias("h"))
+    assert Q.passing(others, "h", bits).count() < 50_000
+
+
+def test_a_text_with_a_third_of_all_rows_is_combined_in_the_map_tasks(spark):
+    df = spark.range(0, 3000, 1, 6).select(F.when(F.col("id") % 3 == 0, "hot " * 500).otherwise(F.col("id").cast("string")).alias("t"))
+    out = Q.hidden_duplicates(df, ["t"])
+    assert [(r.t, r.copies) for r in out.collect()] == [("hot " * 500, 1000)]
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    top = plan[:plan.index("Exchange hashpartitioning") + 2000]
+    assert "partial_count(1)" in top and "SortMergeJoin" not in plan
