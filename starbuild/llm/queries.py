@@ -14,12 +14,11 @@ from starbuild.llm import (backoff, bpe, embeddings, license_scan, mixing, perio
                            spelling, token_count, toxicity, url_rules)
 from starbuild.llm.common import fold, table
 
-#: The contract's host rules (longest wins, tier 1), and the general block
-#: patterns that judge what no host rule fits.
+#: The contract's host rules (longest wins, tier 1); the block lists of junk
+#: hosts and paths judge what no host rule fits.
 URL_RULES = [url_rules.Rule("||net/", "block", 1), url_rules.Rule("||example.net/en/", "allow", 1),
              url_rules.Rule("||example.com/de/", "block", 1), url_rules.Rule("||org/fr/", "allow", 1),
-             url_rules.Rule("||spam-farm.", "block"), url_rules.Rule("||casino.", "block"),
-             url_rules.Rule("/wp-login.php", "block"), url_rules.Rule("/ads/*.html^", "block")]
+             *url_rules.JUNK_RULES, *url_rules.JUNK_PATHS]
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -245,11 +244,12 @@ hits as (
     from forms f left join rules r on (f.host = r.h or ends_with(f.host, '.' || r.h)) and starts_with(f.path, r.p)
     group by all)
 select h.page_id, h.host, h.path, h.rule,
-       coalesce(h.action, case when regexp_matches(h.host || h.path, '^([^/]*\.)?(spam-farm|casino)\.')
-                                or contains(h.host || h.path, '/wp-login.php')
-                                or regexp_matches(h.host || h.path, '/ads/.*\.html([^0-9A-Za-z]|$)')
+       coalesce(h.action, case when regexp_matches(h.host, '(^|[.-])(' || j.words || ')([^0-9A-Za-z]|$)')
+                                or regexp_matches(h.host || h.path, '/(wp-login\.php|wp-admin/|xmlrpc\.php|phpmyadmin/|cgi-bin/|\.git/)')
+                                or regexp_matches(h.host || h.path, '/\.env([^0-9A-Za-z]|$)|/ads/.*\.html([^0-9A-Za-z]|$)')
                                then 'block' else 'allow' end) as verdict
-from pages g join hits h using (page_id)
+from pages g join hits h using (page_id),
+     (select '""" + "|".join(w for words in url_rules.JUNK_WORDS.values() for w in words) + r"""' as words) j
 """,
     "op11_spelling_variants": r"""
 with recursive bits as (

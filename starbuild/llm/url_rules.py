@@ -76,7 +76,7 @@ JUNK_WORDS = {
     "pharmacy": ("pills", "viagra", "cialis", "levitra", "tramadol", "xanax", "cheap-meds", "cheap-pharmacy",
                  "online-pharmacy", "no-prescription"),
     "adult": ("porn", "porno", "xxx", "hentai", "milf", "camgirls", "escorts", "nudes", "sex-cams", "sex-chat",
-              "adult-dating"),
+              "adult-dating", "adult-x", "adult-xxx", "adult-cams"),
     "ad tracking": ("ads", "adserver", "adservers", "adclick", "adtrack", "adtracker", "adtracking", "ad-track",
                     "ad-tracker", "ad-tracking", "ad-server", "click-track", "clicktracker", "popads", "popunder"),
     "spam": ("spam-farm", "spamfarm", "link-farm", "linkfarm", "content-farm", "buy-backlinks", "seo-links",
@@ -86,6 +86,10 @@ JUNK_WORDS = {
 JUNK_RULES = [Rule(start + word + "^", "block", host_only=True)
               for words in JUNK_WORDS.values() for word in words for start in ("||", "-")]
 
+#: Paths that crawls hit by mistake: log-ins, interfaces, repositories, ads.
+JUNK_PATHS = [Rule(p, "block") for p in ("/wp-login.php", "/wp-admin/", "/xmlrpc.php", "/phpmyadmin/", "/cgi-bin/", "/.git/",
+                                         "/.env^", "/ads/*.html^")]
+
 
 def normal_form(url: str | None) -> tuple[str, str]:
     """(host in lower case, path); both empty without ``://``."""
@@ -112,11 +116,14 @@ class RuleIndex:
     def __getstate__(self):
         return self.__dict__ | {"_compiled": {}}
 
+    def candidates(self, form: str) -> list[int]:
+        """The rules whose expressions a URL runs."""
+        return [*self.always, *(i for t in set(_TOKEN.findall(form.translate(_FOLD))) for i in self.by_token.get(t, ()))]
+
     def best(self, host: str, path: str) -> Rule | None:
         form = host + path
         found = None
-        near = [*self.always, *(i for t in set(_TOKEN.findall(form.translate(_FOLD))) for i in self.by_token.get(t, ()))]
-        for i in near:
+        for i in self.candidates(form):
             if i not in self._compiled:
                 self._compiled[i] = re.compile(self.rules[i].regex(), re.DOTALL)
             if self._compiled[i].search(host if self.rules[i].host_only else form):

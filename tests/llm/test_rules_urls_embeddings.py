@@ -120,7 +120,7 @@ JUNK_URLS = ["http://casino-win.example.com/en/1", "https://m.casino-win.example
              "http://ads-track.example.com/fr/4", "http://m.ads-track.example.org", "https://spam-farm.example.org/en/5",
              "http://blog.spam-farm.example.com/", "http://live-poker.org/", "http://online-pharmacy.example.org/a",
              "http://free-porn.example.com/", "http://xxx.example.org/", "http://ad-track.example.com/p",
-             "http://my-payday-loans.example.org/", "http://roulette/"]
+             "http://my-payday-loans.example.org/", "http://roulette/", "http://blog.adult-x.example.com/en/6"]
 CLEAN_URLS = ["http://www.example.org/en/1", "https://blog.example.com/en/casino-history.html",
               "http://example.org/cheap-pills", "http://pharmacy.example.org/", "http://casinova.example.org/",
               "http://track-and-field.example.org/", "http://alphabets.example.com/en/2", "http://spam-filter.example.org/",
@@ -139,15 +139,41 @@ def test_junk_rules_on_planted_urls(spark):
 
 
 def test_junk_rules_on_hosts_of_the_table():
-    """The five junk host names of the pages, against a plain host test."""
+    """The junk host names of the pages, against a plain host test."""
     pages = duckdb.sql("select url from '/root/testdata/sf0.01/pages.parquet'").fetchall()
     index = url_rules.RuleIndex(url_rules.JUNK_RULES, {})
-    names = {"casino-win", "ads-track", "free-bets", "cheap-pills", "spam-farm"}
+    names = {"casino-win", "ads-track", "free-bets", "cheap-pills", "spam-farm", "adult-x"}
     hosts = [url_rules.normal_form(u) for u, in pages]
     want = [any(part in names for part in h.split(".")) for h, _ in hosts]
     assert [index.best(h, p) is not None for h, p in hosts] == want and 0 < sum(want) < len(want)
 
 
+@pytest.mark.parametrize("table", ["sf0.01", "sf0.1"])
+def test_query_blocks_every_junk_host_and_runs_few_expressions(table):
+    """Pages without a host rule: the junk names are blocked, the other hosts are
+    not, and a URL runs hardly any expression of the 150 rules."""
+    from starbuild.llm.queries import URL_RULES
+    pages = [u for u, in duckdb.sql(f"select url from '/root/testdata/{table}/pages.parquet'").fetchall()]
+    forms = [url_rules.normal_form(u) for u in pages]
+    counts = Counter(t for h, p in forms for t in set(re.findall("[0-9a-z]+", (h + p).lower())))
+    index = url_rules.RuleIndex(URL_RULES, counts)
+    names = {"casino-win", "ads-track", "free-bets", "cheap-pills", "spam-farm", "adult-x"}
+    judged = [(bool(names & set(h.split("."))), index.best(h, p)) for h, p in forms]
+    open_ = [(junk, rule is not None and rule.action == "block") for junk, rule in judged if rule is None or rule.tier == 0]
+    assert all(junk == blocked for junk, blocked in open_) and any(junk for junk, _ in open_)
+    run = [len(index.candidates(h + p)) for h, p in forms]
+    assert len(URL_RULES) >= 150 and index.always == [] and max(run) <= 6 and sum(run) / len(run) < 2.5
+
+
+def test_junk_paths(spark):
+    urls = {"http://a.org/wp-login.php": "block", "http://a.org/x/.git/config": "block", "http://a.org/.env": "block",
+            "http://a.org/.environment": "allow", "http://a.org/ads/1/b.html": "block", "http://a.org/cgi-bin": "allow",
+            "http://a.org/cgi-bin/x": "block", "http://a.org/en/wp-login.phpx": "block", "http://a.org/git/": "allow"}
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_rules.judge(pages, url_rules.JUNK_PATHS).collect()}
+    assert [got[i] for i in range(len(urls))] == list(urls.values())
+
+
 # ---- embeddings ----------------------------------------------------------
 
 def slow_links(rows, cosine=0.98):
