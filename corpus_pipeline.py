@@ -8,7 +8,7 @@ reads it back as the next stage's input.
 1. ``quality``: documents that the quality classifier rejects go.
 2. ``toxicity``: documents that the toxicity classifier flags go.
 3. ``simhash``: of each group of near-duplicates the document with the
-   smallest id stays (one row of it); rows without an id all stay.
+   smallest id stays (one row of it); rows without an id come after all others.
 4. ``mix``: sources are mixed to their target weights; a document stays as
    many times as the mix takes it, none to three times.
 5. ``bpe``: token ids of every document of the mix, digested.
@@ -46,21 +46,20 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each SimHash group stays: of the rows with the group's
-    smallest id the first by text hash.
+    """One row of each SimHash group stays: the one with the smallest id (rows
+    without an id come last), of those the first by text hash.
 
     Rows with the same id and different texts may be in different groups and
-    stay for each; rows without an id cannot stand for a group and all stay."""
+    stay for each."""
     docs = docs.select(*COLUMNS)
     found = simhash.near_duplicates(docs, words_per_shingle=3, reach=3, text_hash=True)
     text_hash, number = fresh_name(docs, "text_hash"), fresh_name(docs, "row")
-    first = (found.where("id = component_id").groupBy(F.col("id").alias("doc_id"), "root")
-             .agg(F.min("text_hash").alias(text_hash)).drop("root"))
+    least = F.min(F.struct(F.col("id").isNull().alias("without"), "id", F.col("text_hash")))
+    first = found.groupBy("root").agg(least.alias("r")).select(F.col("r.id").alias("id"), F.col("r.text_hash").alias("h"))
     same_row = Window.partitionBy("doc_id", text_hash).orderBy("text", "lang", "source")
-    named = (docs.where("doc_id is not null").withColumn(text_hash, F.xxhash64(text_or_empty("text")))
-             .join(first, ["doc_id", text_hash], "left_semi")
-             .withColumn(number, F.row_number().over(same_row)).where(f"{number} = 1").select(*COLUMNS))
-    return named.unionByName(docs.where("doc_id is null"))
+    docs = docs.withColumn(text_hash, F.xxhash64(text_or_empty("text")))
+    return (docs.join(first, docs["doc_id"].eqNullSafe(first["id"]) & (docs[text_hash] == first["h"]), "left_semi")
+            .withColumn(number, F.row_number().over(same_row)).where(f"{number} = 1").select(*COLUMNS))
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
