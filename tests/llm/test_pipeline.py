@@ -92,7 +92,15 @@ def test_trouble(spark, clashing, sf_dir, make_docs):
             assert out.count() <= 3 * n
         assert stage_rows(spark, docs, sf_dir) == n
     kept = corpus_pipeline.simhash_stage(spark, clashing, sf_dir).collect()
-    assert sorted(str(r.doc_id) for r in kept) == ["1", "5", "6", "7", "8", "9", "None"]
+    assert sorted(str(r.doc_id) for r in kept) == ["1", "5", "6", "7", "8", "9"]
+
+
+def test_simhash_stage_without_ids(spark, sf_dir, make_docs):
+    """One row of a group of rows without ids; of a mixed group the one with an id."""
+    a, b, c = (" ".join(f"{w}{i * i % 97}" for i in range(60)) for w in ("left", "right", "down"))
+    docs = make_docs([(None, a), (None, a), (None, a + " "), (None, b), (9, b), (9, c), (None, c)])
+    kept = [(r.doc_id, r.text.strip()) for r in corpus_pipeline.simhash_stage(spark, docs, sf_dir).collect()]
+    assert sorted(kept, key=str) == sorted([(None, a), (9, b), (9, c)], key=str)
 
 
 def stage_rows(spark, docs, sf_dir):
