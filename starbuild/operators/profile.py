@@ -75,9 +75,24 @@ def distinct_with_null(c: Column) -> Column:
     return F.count_distinct(c) + F.max(F.when(c.isNull(), 1).otherwise(0))
 
 
+def stacked_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column, v0, v1, ..., n)``: every distinct value of every listed column with
+    its rows, in one scan of ``df``.
+
+    Every row gives one ``(column, value)`` pair per column, each value in the slot
+    of its own type (maps as sorted entries), combined inside the map tasks."""
+    values = {c: _group_value(df, c) for c in columns}
+    kinds = list(dict.fromkeys(df.schema[c].dataType.simpleString() for c in columns))
+    slot = {c: kinds.index(df.schema[c].dataType.simpleString()) for c in columns}
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), *[(values[c] if k == slot[c] else F.lit(None)).alias(f"v{k}")
+                                             for k in range(len(kinds))]) for c in columns])).alias("p")).select("p.*")
+    return pairs.groupBy("column", *[f"v{k}" for k in range(len(kinds))]).agg(F.count(F.lit(1)).alias("n"))
+
+
 def distinct_per_column(df: DataFrame, columns: Sequence[str], count_null: bool = True,
                         name: str = "distinct_values", approx: bool = False,
-                        rsd: float = 0.01) -> DataFrame:
+                        rsd: float = 0.01, one_scan: bool = False) -> DataFrame:
     """``(column, <name>)``: distinct values of each column, NULL counted as
     a value (``count_null``) or ignored.
 
@@ -86,7 +101,18 @@ def distinct_per_column(df: DataFrame, columns: Sequence[str], count_null: bool
     rows per column.  ``approx=True``: HyperLogLog++ sketches
     (``approx_count_distinct`` with relative error ``rsd``) for all columns
     in one aggregate — no value crosses a shuffle, only fixed-size sketches.
+    ``one_scan``: exact from one pass over ``df`` for all columns
+    (``stacked_counts``); for text sources, where reading one column parses the
+    whole line.
     """
+    if one_scan and not approx:
+        found = stacked_counts(df, columns)
+        kinds = [c for c in found.columns if c.startswith("v")]
+        there = F.lit(False)
+        for c in kinds:
+            there = there | F.col(c).isNotNull()
+        parts = [found if count_null else found.where(there)]
+        return _named_counts(df, columns, parts, name)
     if approx:
         cols = list(columns)
         row = df.agg(*[(F.approx_count_distinct(_group_value(df, c), rsd)
@@ -102,6 +128,10 @@ def distinct_per_column(df: DataFrame, columns: Sequence[str], count_null: bool
         if not count_null:
             v = v.filter(F.col("_v").isNotNull())
         parts.append(v.distinct().select(F.lit(c).alias("column")))
+    return _named_counts(df, columns, parts, name)
+
+
+def _named_counts(df: DataFrame, columns: Sequence[str], parts: list[DataFrame], name: str) -> DataFrame:
     counted = _union_all(parts).groupBy("column").agg(F.count(F.lit(1)).alias(name))
     # A column with no (non-null) value has no row above: add it with 0.
     names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
@@ -140,24 +170,26 @@ def column_fill_rates(df: DataFrame, columns: Sequence[str] | None = None,
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None,
-                    approx: bool = False) -> DataFrame:
+                    approx: bool = False, one_scan: bool = False) -> DataFrame:
     """Distinct values per column, NULL counted as a value:
-    ``(column, distinct_values)``; ``approx`` uses HyperLogLog++ sketches."""
-    return distinct_per_column(df, list(columns or df.columns), count_null=True, approx=approx)
+    ``(column, distinct_values)``; ``approx`` uses HyperLogLog++ sketches,
+    ``one_scan`` reads ``df`` once (for text sources)."""
+    return distinct_per_column(df, list(columns or df.columns), count_null=True, approx=approx, one_scan=one_scan)
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None,
-                   batch: int = DEFAULT_BATCH, approx: bool = False) -> DataFrame:
+                   batch: int = DEFAULT_BATCH, approx: bool = False, one_scan: bool = False) -> DataFrame:
     """Rows, unique values (NULL counted) and missing values per column,
     with their shares of the row count:
-    ``(column, rows, unique_values, missing, unique_ratio, missing_ratio)``."""
+    ``(column, rows, unique_values, missing, unique_ratio, missing_ratio)``.
+    ``one_scan`` as for ``distinct_counts``."""
     cols = list(columns or df.columns)
     df = df.select(*[_value(df, c).alias(c) for c in cols])       # NaN is missing, too
     base = _long(df, cols, {
         "rows": lambda c: F.count(F.lit(1)),
         "missing": lambda c: F.count(F.lit(1)) - F.count(c),
     }, batch)
-    prof = base.join(distinct_per_column(df, cols, True, "unique_values", approx), "column")
+    prof = base.join(distinct_per_column(df, cols, True, "unique_values", approx, one_scan=one_scan), "column")
     return prof.select("column", "rows", "unique_values", "missing",
                        F.try_divide(F.col("unique_values").cast("double"), F.col("rows"))
                        .alias("unique_ratio"),
@@ -341,7 +373,7 @@ def _numeric_out(out: DataFrame, digits: int | None) -> DataFrame:
 
 
 def profile_string(df: DataFrame, columns: Sequence[str] | None = None,
-                   batch: int = DEFAULT_BATCH, approx: bool = False) -> DataFrame:
+                   batch: int = DEFAULT_BATCH, approx: bool = False, one_scan: bool = False) -> DataFrame:
     """Non-numeric profile per column: ``dtype lines non_null missing fill_pct
     unique_values uniq_pct`` (percentages unrounded, ``unique`` ignores NULL)."""
     cols = list(columns or non_numeric_columns(df))
@@ -349,7 +381,7 @@ def profile_string(df: DataFrame, columns: Sequence[str] | None = None,
     base = _long(df, cols, {
         "lines": lambda c: F.count(F.lit(1)),
         "non_null": F.count,
-    }, batch).join(distinct_per_column(df, cols, False, "unique_values", approx), "column")
+    }, batch).join(distinct_per_column(df, cols, False, "unique_values", approx, one_scan=one_scan), "column")
     dtype = F.element_at(F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(types[c]))]),
                          F.col("column"))
     return base.select(

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starbuild.operators.profile import comparable, distinct_with_null
+from starbuild.operators.profile import comparable, distinct_with_null, stacked_counts
 
 
 #: Bits of a key filter, in bitmaps of 32,768: at most 8,192 of 4 KB each, 32 MB.
@@ -46,15 +46,8 @@ def key_counts(df: DataFrame, columns: Sequence[str], approx: bool = False, rsd:
         row = df.agg(F.count(F.lit(1)).alias("n"), *[_uniq(_c(c), True, rsd).alias(f"u{i}") for i, c in enumerate(columns)])
         return row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col("n").alias("rows"),
                                                       F.col(f"u{i}").alias("uniq")) for i, c in enumerate(columns)])))
-    # one slot per type: a key is grouped as what it is, not as its text
-    values = {c: comparable(_c(c), df.schema[c].dataType) for c in columns}
-    kinds = list(dict.fromkeys(df.schema[c].dataType.simpleString() for c in columns))
-    slot = {c: kinds.index(df.schema[c].dataType.simpleString()) for c in columns}
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), *[(values[c] if k == slot[c] else F.lit(None)).alias(f"v{k}")
-                                             for k in range(len(kinds))]) for c in columns])).alias("p")).select("p.*")
-    found = (pairs.groupBy("column", *[f"v{k}" for k in range(len(kinds))]).agg(F.count(F.lit(1)).alias("n"))
-             .groupBy("column").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("uniq")))
+    found = (stacked_counts(df, columns).groupBy("column")
+             .agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("uniq")))
     # a table without rows has counts of zero
     none = df.sparkSession.createDataFrame([(c, 0, 0) for c in columns], "column string, rows long, uniq long")
     return found.unionByName(none).groupBy("column").agg(F.sum("rows").alias("rows"), F.sum("uniq").alias("uniq"))
@@ -140,11 +133,19 @@ def join_coverage(fact: DataFrame, fact_col: str, dim: DataFrame, dim_col: str,
 
 def unmatched_keys(fact: DataFrame, fact_col: str, dim: DataFrame, dim_col: str,
                    id_col: str | None = None, top: int | None = 20,
-                   distinct_pairs: bool = True) -> DataFrame:
+                   distinct_pairs: bool = True, counters: bool = False) -> DataFrame:
     """Fact keys with no dimension row, ranked by how many distinct
     ``(id, fk)`` pairs carry them: ``(fk, pairs)``, largest first, ties by
     key (NULL last).  ``top`` keeps the first rows of the ranking (the
-    report's purpose); ``None`` returns all of them."""
+    report's purpose); ``None`` returns all of them.
+
+    ``counters`` (with ``top`` and unique ids, ``distinct_pairs=False``) takes the
+    same rows from ``top_keys``: for billions of unmatched keys and a dimension
+    that is small enough to be broadcast, no count per key is shuffled."""
+    if counters and top is not None and not distinct_pairs:
+        keys = fact.select(F.trim(_c(fact_col)).alias("fk"))
+        missing = keys.join(_dim_keys(dim, dim_col), F.col("fk") == F.col("_dk"), "left_anti")
+        return top_keys(missing, "fk", top).select(F.col("key").alias("fk"), F.col("rows").alias("pairs"))
     per_fk = _fk_pair_counts(fact, fact_col, id_col, distinct_pairs)
     missing = per_fk.join(_dim_keys(dim, dim_col), F.col("fk") == F.col("_dk"), "left_anti")
     ranked = missing.orderBy(F.desc("pairs"), F.asc_nulls_last("fk"))
@@ -224,3 +225,41 @@ def code_lists_violations(df: DataFrame, lists: dict[str, str], codes: DataFrame
                .agg(F.count(F.lit(1)).alias("rows")))
     known = codes.select(_c(list_col).alias("list_name"), _c(code_col).cast("string").alias("value")).distinct()
     return counted.join(known, ["list_name", "value"], "left_anti").select("column", "list_name", "value", "rows")
+
+
+#: Slots of the counters that rule keys out in ``top_keys``.
+COUNTER_SLOTS = 1 << 18
+
+
+def top_keys(df: DataFrame, key: str, k: int, slots: int = COUNTER_SLOTS, first_slots: int = 64) -> DataFrame:
+    """``(key, rows)`` of the ``k`` most frequent values of ``key`` (NULL is one),
+    ties by key (NULL last): exactly the first rows of the full ranking, without
+    shuffling a count for every key.
+
+    1. Rows are counted by hash slot: mergeable counters of fixed size, one scan.
+       A slot's count bounds the counts of its keys.
+    2. The keys of the fullest ``first_slots + 4 k`` slots are counted exactly; the
+       k-th largest of these counts is a floor for the answer.
+    3. Keys of the other slots that reach the floor are counted as well.  Usually
+       there are none; where counts are so even that every slot reaches it, this
+       is the full count (the fallback: the guarantee separates nothing).
+
+    Slots that come to the driver: at most ``first_slots + 4 k`` numbers; those of
+    step 3 stay a table."""
+    value = df.select(_c(key).alias("key"), F.pmod(F.xxhash64(comparable(_c(key), df.schema[key].dataType)),
+                                                   F.lit(slots)).alias("_slot"))
+    counters = value.groupBy("_slot").agg(F.count(F.lit(1)).alias("_n")).checkpoint()
+    full = [r["_slot"] for r in counters.orderBy(F.desc("_n"), "_slot").limit(first_slots + 4 * k).collect()]
+    order = [F.desc("rows"), F.asc_nulls_last("key")]
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
+
+    sure = counted(value.where(F.col("_slot").isin(full))).orderBy(*order).limit(k).checkpoint()
+    held = sure.agg(F.count(F.lit(1)), F.min("rows")).first()
+    floor = held[1] if held[0] == k else 0
+    rest = counters.where((F.col("_n") >= floor) & ~F.col("_slot").isin(full)).select("_slot")
+    if rest.isEmpty():
+        return sure.orderBy(*order)
+    more = counted(value.join(rest, "_slot", "left_semi")).where(F.col("rows") >= floor)
+    return sure.unionByName(more).orderBy(*order).limit(k)

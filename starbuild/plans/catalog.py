@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starbuild.operators import aggregates, columns, dims, profile, quality
+from starbuild.operators import aggregates, columns, dims, locations, periods, profile, quality
 from starbuild.operators.joins import fill_from_lookup, hot_keys, prefix_key_join
 from starbuild.plans import fixtures as fx
 from starbuild.session import scratch_path
@@ -683,6 +683,96 @@ def period_overlap(spark, sf):
 
 # --------------------------------------------------------------- joins
 
+_COVERS = {"a": ("select o_orderdate::date as s, o_orderdate::date as e from orders where o_orderstatus = 'P'", "o_orderdate"),
+           "b": ("select l_shipdate::date as s, (l_shipdate + interval 2 day)::date as e from lineitem "
+                 "where l_returnflag = 'R' and l_quantity >= 49", "l_shipdate")}
+
+
+def _covers(spark, sf):
+    """Days of one kind of orders, and two days after the shipments of some lines."""
+    o = fx.table(spark, sf, "orders").where("o_orderstatus = 'P'")
+    li = (fx.table(spark, sf, "lineitem").where("l_returnflag = 'R' and l_quantity >= 49")
+          .select("l_shipdate", F.date_add(F.col("l_shipdate").cast("date"), 2).alias("due")))
+    return o, li
+
+
+_COVERED = f"""
+a as (select distinct unnest(generate_series(s, e, interval 1 day))::date as d from ({_COVERS['a'][0]}) x),
+b as (select distinct unnest(generate_series(s, e, interval 1 day))::date as d from ({_COVERS['b'][0]}) x),
+c as (select d from a intersect select d from b)"""
+
+
+@register("overlap_days", f"""
+with {_COVERED}
+select (select count(*) from a) as a_days, (select count(*) from b) as b_days, (select count(*) from c) as overlap_days""")
+def overlap_days_q(spark, sf):
+    """Days that two tables really share, gaps of either left out."""
+    o, li = _covers(spark, sf)
+    return periods.overlap_days(o, "o_orderdate", li, "l_shipdate", b_end="due")
+
+
+@register("covered_periods", f"""
+with {_COVERED},
+     s as (select 'a' as side, d from a union all select 'b', d from b union all select 'overlap', d from c),
+     r as (select side, d, d - (row_number() over (partition by side order by d))::integer as run from s)
+select side, min(d) as first_day, max(d) as last_day, count(*) as days from r group by side, run""")
+def covered_periods(spark, sf):
+    """Stretches of covered days without a gap, of two tables and of both."""
+    o, li = _covers(spark, sf)
+    a, b = periods.covered_days(o, "o_orderdate"), periods.covered_days(li, "l_shipdate", "due")
+    out = None
+    for side, cover in (("a", a), ("b", b), ("overlap", periods.shared_days(a, b))):
+        part = periods.islands(cover).select(F.lit(side).alias("side"), "first_day", "last_day", "days")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("near_locations", """
+with p as (select lat, lon, count(*) as rows from (
+        select (c_custkey * 7919 % 11521 - 5760) / 64.0::double as lat, (c_custkey * 104729 % 23040 - 11520) / 64.0::double as lon
+        from customer union all
+        select (s_suppkey * 7919 % 11521 - 5760) / 64.0::double, (s_suppkey * 104729 % 23040 - 11520) / 64.0::double + 360
+        from supplier) x group by all),
+     q as (select lat, case when lon >= 180 then lon - 360 else lon end as lon, rows from p),
+     r as (select case when abs(lat) = 90 then 0 else lon end as lon, lat, sum(rows) as rows from q group by all),
+     d as (select a.lat, a.lon, a.rows, b.lat as near_lat, b.lon as near_lon, b.rows as near_rows,
+                  2 * 6371000.0::double * asin(least(1, sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2)
+                      + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)))) as metres
+           from r a join r b on a.lat < b.lat or (a.lat = b.lat and a.lon < b.lon))
+select lat, lon, rows::bigint as rows, near_lat, near_lon, near_rows::bigint as near_rows, round(metres / 1000, 3) as km
+from d where metres <= 150000""")
+def near_locations_q(spark, sf):
+    """Customers and suppliers at coordinates derived from their keys, some given
+    one turn further east: distinct places within 150 km of each other."""
+    def at(df, key, turn):
+        k = F.col(key)
+        return df.select(((k * 7919 % 11521 - 5760) / 64.0).alias("lat"), ((k * 104729 % 23040 - 11520) / 64.0 + turn).alias("lon"))
+
+    both = at(fx.table(spark, sf, "customer"), "c_custkey", 0).unionByName(at(fx.table(spark, sf, "supplier"), "s_suppkey", 360))
+    found = locations.near_locations(both, "lat", "lon", 150_000)
+    return found.select(*found.columns[:-1], F.round(F.col("metres") / 1000, 3).alias("km"))
+
+
+@register("top_keys", """
+select * from (select l_partkey as key, count(*) as rows from lineitem group by all order by rows desc, key limit 25) x
+union all
+select * from (select cast(c_custkey % 7 as bigint), count(*) as rows from customer group by all order by rows desc, 1 limit 3) y""")
+def top_keys_q(spark, sf):
+    """Most frequent keys, exactly, of a column of even counts and of one of few values."""
+    part = quality.top_keys(fx.table(spark, sf, "lineitem"), "l_partkey", 25, slots=1 << 12)
+    few = quality.top_keys(fx.table(spark, sf, "customer").select((F.col("c_custkey") % 7).alias("k")), "k", 3)
+    return part.unionByName(few)
+
+
+@register("distinct_counts_text", _per_column(_CUSTOMER_COLS, """
+select '{c}' as "column", count(distinct {c}) + (case when count(*) > count({c}) then 1 else 0 end) as distinct_values
+from customer t"""))
+def distinct_counts_text(spark, sf):
+    """Exact distinct counts of a delimited text source, parsed once."""
+    raw = columns.normalize_headers(readers.read_delimited(spark, fx.write_customer_csv(spark, sf, sep=";"), sep=";"))
+    return profile.distinct_counts(raw, one_scan=True)
+
+
 @register("prefix_key_join", """
 with c as (select try_cast(regexp_replace(name, '^Customer#', '') as bigint) as k, name, c_mktsegment
            from (select c_name as name, c_mktsegment from customer
