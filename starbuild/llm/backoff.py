@@ -1,191 +1,113 @@
-"""Language-model scores: stupid backoff with count tables partitioned by hash.
-
-1. Documents are dealt into batches by a hash (about ``BATCH_BYTES`` of text
-   each).  A batch hashes the n-grams of orders 1 to ``order`` that end at each
-   of its words to 64 bits and counts them once per batch.
-2. The batches' counts are partitioned by order and the first bits of the hash
-   (a partition holds about ``BUCKET_GRAMS`` n-grams) and added up: the count
-   tables of the whole corpus.  Of orders above 1 only n-grams seen
-   ``min_count`` times or more are in the model.
-3. The tables are joined to the documents' n-grams: every batch gets back, for
-   the n-grams that it sent and in the same order, which are in the model and
-   their counts.
-4. A word's score is count(n-gram) / count(history) for the longest n-gram in
-   the model that ends there, times ``discount`` for every order given up; of
-   order 1 it is the word's share of all words.  The logarithms (base 10) are
-   summed per document.
-
-Only distinct n-grams of a batch are shuffled, as compressed differences of
-sorted hashes, so a frequent n-gram is one entry per batch and no task ever
-holds all its occurrences.  The texts are shuffled once, by batch, those of one
-task and batch compressed together.
+"""Language-model scores: stupid backoff, computed relationally.
+
+1. Every word of a document ends one n-gram of each order up to ``order`` (fewer
+   at the start of a text).  The n-grams are exploded into rows; an n-gram is
+   the pair of its past (all but the last word) and its rest (all but the first
+   word), each named by a 64-bit hash.
+2. Their rows are counted (in the tasks that read the texts, then by hash): the
+   count tables of the corpus, partitioned by hash.  Of orders above 1 only
+   n-grams seen ``min_count`` times or more are in the model.
+3. A word's score is count(n-gram) / count(past) for the longest n-gram in the
+   model that ends there, times ``discount`` for every order given up; of order
+   1 it is the word's share of all words.  Longer n-grams replace shorter ones,
+   so each n-gram of the tables gets a weight: the logarithm (base 10) of its own
+   score less that of its rest.  A word's log score is then the sum of the
+   weights of the n-grams of the model that end there (an n-gram of the model
+   has its rest in the model, too).  The weights come from joins of the count
+   tables with themselves.
+4. The exploded n-grams are joined to the weights by hash and summed per
+   document.
+
+Every row is one n-gram of one document, whatever the size of the corpus; words
+and n-grams that hold over a thousandth of all rows are salted in the join.
 
 Edge cases: a null text counts as empty; a text without words has 0 words and
-log score 0; repeated rows count in the corpus each and are scored each; null
-ids are allowed; an empty table gives an empty result; extra columns are
-ignored.  Two n-grams of the same 64-bit hash would share their counts.
+log score 0; repeated rows count in the corpus each and are scored each (rows
+equal in id and text share one sum); null ids are allowed; an empty table gives
+an empty result; extra columns are ignored.  Two n-grams of the same 64-bit
+hash would share their counts.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
-import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starbuild.llm.common import WORD_PATTERN, text_or_empty
+from starbuild.llm.common import checkpointed, heavy_keys, spread_join, text_or_empty, written
 
-BATCH_BYTES = 12 << 20
-BUCKET_GRAMS = 2_000_000
+BETWEEN = r"[\x20\x09-\x0D]+"
+#: Rows above which a key is salted at all.
+LEAST_HEAVY = 100_000
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
+def document_words(text: Column) -> Column:
+    """The words of a text: parts between ASCII white space."""
+    return F.array_remove(F.split(text, BETWEEN), "")
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """Bijective scrambling of 64-bit numbers."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _grams(texts: pd.Series, order: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Words per text, and for each order k the hashes of the n-grams that end
-    at the words of all texts (in a row; 0 for the first k - 1 of a text)."""
-    known, parts, sizes = _WordHashes(), [], []
-    for text in texts:
-        words = text.encode("utf-8", "replace").split()          # bytes: ASCII white space only
-        sizes.append(len(words))
-        parts.append(np.array(list(map(known.__getitem__, words)), np.uint64))
-    sizes = np.array(sizes, np.int64)
-    word = _mix(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
-    word[word == 0] = 1
-    at = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)     # place in the text
-    out = [word]
+def exploded_grams(rows: DataFrame, order: int) -> DataFrame:
+    """``(doc, k, past, rest)`` of every n-gram of ``rows`` (``doc``, words ``w``);
+    of order 1 ``past`` is 0 and ``rest`` the word."""
+    # a text without words has no spots: the sequence would run down from 0 to -1
+    spots = rows.where(F.size("w") > 0).select("doc", "w", F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("i"))
+    word = {back: F.xxhash64(F.get("w", F.col("i") - back)) for back in range(order)}
+    grams, parts = dict(word), [F.struct(F.lit(1).alias("k"), F.lit(0).cast("long").alias("past"), word[0].alias("rest"))]
     for k in range(2, order + 1):
-        longer = np.zeros_like(word)
-        longer[1:] = _mix(out[-1][:-1] * np.uint64(0x9E3779B97F4A7C15) + word[1:] + np.uint64(k))
-        longer[longer == 0] = 1
-        longer[at < k - 1] = 0
-        out.append(longer)
-    return sizes, out
-
-
-def _pack(numbers: np.ndarray) -> bytes:
-    """64-bit numbers, compressed by columns of bytes (as many as the largest
-    number has; how many is the first byte)."""
-    size = max(1, -(-int(numbers.max()).bit_length() // 8)) if len(numbers) else 1
-    columns = numbers.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - size:].T.tobytes()
-    return bytes([size]) + pa.compress(columns, codec="zstd", asbytes=True)
+        pair = grams[1], grams[0]
+        parts.append(F.when(F.col("i") >= k - 1, F.struct(F.lit(k).alias("k"), pair[0].alias("past"), pair[1].alias("rest"))))
+        grams = {back: gram_hash(F.lit(k), grams[back + 1], grams[back]) for back in range(order - k + 1)}
+    return spots.select("doc", F.explode(F.array_compact(F.array(*parts))).alias("g")).select("doc", "g.*")
 
 
-def _unpack(data: bytes, n: int) -> np.ndarray:
-    size = data[0]
-    columns = pa.decompress(data[1:], decompressed_size=n * size, codec="zstd", asbytes=True)
-    out = np.zeros((n, 8), np.uint8)
-    out[:, 8 - size:] = np.frombuffer(columns, np.uint8).reshape(size, n).T
-    return out.view(">u8").ravel().astype(np.uint64)
+def gram_hash(k: Column, past: Column, rest: Column) -> Column:
+    """The name of an n-gram: a word's own hash, else that of its two parts."""
+    return F.when(k == 1, rest).otherwise(F.xxhash64(k, past, rest))
 
 
-def _pack_texts(ids: pd.Series, texts: pd.Series) -> bytes:
-    table = pa.table({"id": pa.array(ids, pa.string()), "text": pa.array(texts, pa.string())})
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_table(table)
-    return sink.getvalue().to_pybytes()
+def count_tables(rows: DataFrame, order: int, min_count: int) -> DataFrame:
+    """``(k, past, rest, gram, n)``: the n-grams of the corpus that are in the model."""
+    counts = exploded_grams(rows, order).groupBy("k", "past", "rest").agg(F.count(F.lit(1)).alias("n"))
+    known = counts.where((F.col("k") == 1) | (F.col("n") >= min_count))
+    return known.withColumn("gram", gram_hash(F.col("k"), F.col("past"), F.col("rest")))
 
 
-def _unpack_texts(packs: pd.Series) -> pd.DataFrame:
-    return pa.concat_tables([pa.ipc.open_stream(p).read_all() for p in packs]).to_pandas()
-
-
-def _cuts(sorted_hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets (first ``bits`` bits) that occur, and where each begins and ends."""
-    bucket = (sorted_hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(sorted_hashes), np.int64)
-    found, begin = np.unique(bucket, return_index=True)
-    return found, np.append(begin, len(sorted_hashes))
+def weights(counts: DataFrame, order: int, discount: float) -> DataFrame:
+    """``(gram, weight, n)``: what every n-gram of the tables adds to a word's score."""
+    words = counts.where("k = 1").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    lost = math.log10(discount)
+    shorter = (counts.where("k = 1")
+               .select("gram", "n", (F.log10("n") - F.lit(math.log10(words or 1)) + (order - 1) * lost).alias("score")))
+    out = shorter.select("gram", F.col("score").alias("weight"), "n")
+    for k in range(2, order + 1):
+        past = shorter.select(F.col("gram").alias("past"), F.col("n").alias("past_n"))
+        rest = shorter.select(F.col("gram").alias("rest"), F.col("score").alias("rest_score"))
+        # few rows of a table share a past or a rest that is hot: those of frequent words
+        found = counts.where(F.col("k") == k).join(past, "past").join(rest, "rest")
+        found = checkpointed(found.select("gram", "n", "rest_score", (
+            F.log10("n") - F.log10("past_n") + (order - k) * lost).alias("score")))
+        out = out.unionAll(found.select("gram", (F.col("score") - F.col("rest_score")).alias("weight"), "n"))
+        shorter = found.select("gram", "n", "score")
+    return out
 
 
 def scores(documents: DataFrame, order: int = 3, discount: float = 0.4, min_count: int = 2,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_words, log_score)`` of every row; the corpus is all rows."""
-    text = text_or_empty(text_col)
-    rows = documents.select(F.col(id_col).cast("string").alias("id"), text.alias("text"))
-    size, words = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)),
-                           F.coalesce(F.sum(F.regexp_count("text", F.lit(WORD_PATTERN)).cast("long")), F.lit(0))).first()
-    # small inputs are dealt finer, so that all cores have work
-    finer = min(2 * documents.sparkSession.sparkContext.defaultParallelism, -(-size // (1 << 20)))
-    batches = max(1, -(-size // BATCH_BYTES), finer)
-    bits = max(0, math.ceil(math.log2(max(1, order * words / BUCKET_GRAMS))))
-    rows = rows.withColumn("batch", F.pmod(F.xxhash64("id", "text"), F.lit(batches)).cast("int"))
-
-    def deal(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            packs = [(batch, _pack_texts(g["id"], g["text"])) for batch, g in part.groupby("batch")]
-            yield pd.DataFrame(packs, columns=["batch", "pack"])
-
-    def count(docs: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        batch = docs["batch"].iloc[0]
-        for k, grams in enumerate(_grams(_unpack_texts(docs["pack"])["text"], order)[1], 1):
-            u, n = np.unique(grams[grams != 0], return_counts=True)
-            found, cut = _cuts(u, bits)
-            for b, i, j in zip(found, cut, cut[1:]):
-                steps = np.diff(u[i:j], prepend=np.uint64(int(b) << 64 - bits if bits else 0))
-                out.append((k, b, batch, j - i, _pack(steps), _pack(n[i:j])))
-        return pd.DataFrame(out, columns=["k", "bucket", "batch", "n", "steps", "counts"])
-
-    def add_up(parts: pd.DataFrame) -> pd.DataFrame:
-        k = int(parts["k"].iloc[0])
-        grams = [np.cumsum(_unpack(g, n), dtype=np.uint64) for g, n in zip(parts["steps"], parts["n"])]
-        cut = np.cumsum([0, *parts["n"]])
-        found, at = np.unique(np.concatenate(grams), return_inverse=True)
-        total = np.zeros(len(found), np.int64)
-        np.add.at(total, at, np.concatenate([_unpack(c, n) for c, n in zip(parts["counts"], parts["n"])]).astype(np.int64))
-        total = total[at]
-        known = total >= (min_count if k > 1 else 1)
-        back = [(np.packbits(known[i:j]).tobytes(), _pack(total[i:j][known[i:j]])) for i, j in zip(cut, cut[1:])]
-        out = parts[["batch", "k", "bucket"]].copy()
-        out["known"], out["counts"] = [b for b, _ in back], [c for _, c in back]
-        return out
-
-    def score(docs: pd.DataFrame, tables: pd.DataFrame) -> pd.DataFrame:
-        docs = _unpack_texts(docs["pack"])
-        sizes, grams = _grams(docs["text"], order)
-        held = tables.sort_values(["k", "bucket"]).groupby("k")
-        counts = []
-        for k, g in enumerate(grams, 1):
-            here = g != 0
-            u, at = np.unique(g[here], return_inverse=True)
-            c = np.zeros(len(g), np.int64)
-            if len(u):
-                rows_k, (_, cut) = held.get_group(k), _cuts(u, bits)
-                told = np.zeros(len(u), np.int64)
-                for i, j, known, n in zip(cut, cut[1:], rows_k["known"], rows_k["counts"]):
-                    mask = np.unpackbits(np.frombuffer(known, np.uint8), count=j - i).astype(bool)
-                    told[i:j][mask] = _unpack(n, int(mask.sum())).astype(np.int64)
-                c[here] = told[at]
-            counts.append(c)
-        log, open_ = np.zeros(len(grams[0])), np.ones(len(grams[0]), bool)
-        for k in range(order, 0, -1):
-            hit = open_ & (counts[k - 1] > 0)
-            at = np.flatnonzero(hit)
-            past = counts[k - 2][at - 1] if k > 1 else float(words)
-            log[at] = np.log10(counts[k - 1][at] / past) + (order - k) * math.log10(discount)
-            open_ &= ~hit
-        total = np.bincount(np.repeat(np.arange(len(sizes)), sizes), weights=log, minlength=len(sizes))
-        return pd.DataFrame({"id": docs["id"], "n_words": sizes, "log_score": total})
-
-    by_batch = rows.mapInPandas(deal, "batch int, pack binary").groupBy("batch")
-    sent = by_batch.applyInPandas(count, "k int, bucket long, batch int, n long, steps binary, counts binary")
-    back = sent.groupBy("k", "bucket").applyInPandas(add_up, "batch int, k int, bucket long, known binary, counts binary")
-    scored = by_batch.cogroup(back.groupBy("batch")).applyInPandas(score, "id string, n_words long, log_score double")
-    return scored.withColumn("id", F.col("id").cast(documents.schema[id_col].dataType))
+    text, ident = text_or_empty(text_col), F.col(id_col)
+    rows = documents.select(ident.alias("id"), F.xxhash64(ident.isNull(), ident.cast("string"), text).alias("doc"),
+                            document_words(text).alias("w"))
+    counts = written(count_tables(rows, order, min_count), "grams")
+    model = written(weights(counts, order, discount), "gram-weights")
+    total = model.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    grams = exploded_grams(rows, order).select("doc", gram_hash(F.col("k"), F.col("past"), F.col("rest")).alias("gram"))
+    heavy = heavy_keys(model, "gram", "n", total, LEAST_HEAVY)
+    sums = (spread_join(grams, model.select("gram", "weight"), "gram", heavy, "inner")
+            .groupBy("doc").agg(F.sum("weight").alias("total")))
+    heads = rows.select("id", "doc", F.size("w").cast("long").alias("n_words"))
+    copies = heads.groupBy("doc").agg(F.count(F.lit(1)).alias("copies"))
+    per_doc = checkpointed(copies.join(sums, "doc", "left")
+                           .select("doc", "copies", (F.coalesce("total", F.lit(0.0)) / F.col("copies")).alias("log_score")))
+    many = heavy_keys(per_doc, "doc", "copies", per_doc.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0], LEAST_HEAVY)
+    return spread_join(heads, per_doc.select("doc", "log_score"), "doc", many).select("id", "n_words", "log_score")

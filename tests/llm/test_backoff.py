@@ -5,6 +5,7 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from starbuild.llm import backoff
 from starbuild.llm.queries import ORACLE, QUERIES
@@ -42,13 +43,39 @@ def test_small_and_trouble(spark, make_docs, trouble, clashing):
     assert backoff.scores(make_docs([])).collect() == []
 
 
-def test_many_batches_and_buckets(spark, make_docs, monkeypatch):
-    """Every document in a batch of its own, tables in many buckets."""
+def test_salted_grams_and_documents(spark, make_docs, monkeypatch):
+    """Frequent n-grams and documents that occur ten thousand times: the same
+    scores, and the copies are not one task's work."""
     rows = [(i, " ".join("abcd"[(i * j * j + j) % 4] for j in range(5 + i % 9))) for i in range(60)]
-    monkeypatch.setattr(backoff, "BATCH_BYTES", 20)
-    monkeypatch.setattr(backoff, "BUCKET_GRAMS", 0.02)
-    got = sorted((r.id, r.n_words, round(r.log_score, 6)) for r in backoff.scores(make_docs(rows)).collect())
-    assert got == sorted((i, n, round(s, 6)) for i, n, s in slow_scores(rows))
+    rows += [(None, "a b a b c")] * 300 + [(7, "d d d")] * 100
+    want = sorted((str(i), n, round(s, 6)) for i, n, s in slow_scores(rows))
+    for least in (100_000, 1):
+        monkeypatch.setattr(backoff, "LEAST_HEAVY", least)
+        got = backoff.scores(make_docs(rows)).collect()
+        assert sorted((str(r.id), r.n_words, round(r.log_score, 6)) for r in got) == want
+    same = make_docs([(1, "x y x")] * 10_000 + [(2, "x y")]).repartition(8)
+    out = backoff.scores(same)
+    assert {(r.id, r["count"]) for r in out.groupBy("id").count().collect()} == {(1, 10_000), (2, 1)}
+    parts = out.select("id", F.spark_partition_id().alias("p")).where("id = 1").distinct().count()
+    assert parts > 1
+
+
+def test_tables_are_relations(spark, make_docs):
+    """Counts of every n-gram, and weights that add up to the scores by hand."""
+    docs = make_docs([(1, "a b a b"), (2, "a b c")])
+    rows = docs.select(F.col("doc_id").alias("doc"), backoff.document_words(F.col("text")).alias("w"))
+    counts = backoff.count_tables(rows, 3, 1)
+    assert sorted((r.k, r.n) for r in counts.collect()) == [
+        (1, 1), (1, 3), (1, 3), (2, 1), (2, 1), (2, 3), (3, 1), (3, 1), (3, 1)]
+    model = {r.gram: r.weight for r in backoff.weights(counts, 3, 0.4).collect()}
+    assert len(model) == 9
+    grams = backoff.exploded_grams(rows, 3)
+    assert grams.count() == 4 + 3 + 2 + 3 + 2 + 1
+
+
+def test_main_path_is_relational(spark, make_docs):
+    plan = backoff.scores(make_docs([(1, "a b c")]))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "Python" not in plan and "Pandas" not in plan
 
 
 def test_query_equals_sql(spark, sf_dir):
