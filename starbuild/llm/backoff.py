@@ -58,7 +58,9 @@ def exploded_grams(rows: DataFrame, order: int) -> DataFrame:
         pair = grams[1], grams[0]
         parts.append(F.when(F.col("i") >= k - 1, F.struct(F.lit(k).alias("k"), pair[0].alias("past"), pair[1].alias("rest"))))
         grams = {back: gram_hash(F.lit(k), grams[back + 1], grams[back]) for back in range(order - k + 1)}
-    return spots.select("doc", F.explode(F.array_compact(F.array(*parts))).alias("g")).select("doc", "g.*")
+    # nulls are filtered behind the explode: a filter inside it would leave generated code, and
+    # rows with all words of the text would be copied for every spot
+    return spots.select("doc", F.explode(F.array(*parts)).alias("g")).where("g is not null").select("doc", "g.*")
 
 
 def gram_hash(k: Column, past: Column, rest: Column) -> Column:
@@ -103,7 +105,8 @@ def scores(documents: DataFrame, order: int = 3, discount: float = 0.4, min_coun
     total = model.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     grams = exploded_grams(rows, order).select("doc", gram_hash(F.col("k"), F.col("past"), F.col("rest")).alias("gram"))
     heavy = heavy_keys(model, "gram", "n", total, LEAST_HEAVY)
-    sums = (spread_join(grams, model.select("gram", "weight"), "gram", heavy, "inner")
+    # hashed, not sorted: a partition of the weights is small beside that of the n-grams
+    sums = (spread_join(grams, model.select("gram", "weight").hint("shuffle_hash"), "gram", heavy, "inner")
             .groupBy("doc").agg(F.sum("weight").alias("total")))
     heads = rows.select("id", "doc", F.size("w").cast("long").alias("n_words"))
     copies = heads.groupBy("doc").agg(F.count(F.lit(1)).alias("copies"))

@@ -53,11 +53,18 @@ def test_salted_grams_and_documents(spark, make_docs, monkeypatch):
         monkeypatch.setattr(backoff, "LEAST_HEAVY", least)
         got = backoff.scores(make_docs(rows)).collect()
         assert sorted((str(r.id), r.n_words, round(r.log_score, 6)) for r in got) == want
-    same = make_docs([(1, "x y x")] * 10_000 + [(2, "x y")]).repartition(8)
-    out = backoff.scores(same)
-    assert {(r.id, r["count"]) for r in out.groupBy("id").count().collect()} == {(1, 10_000), (2, 1)}
-    parts = out.select("id", F.spark_partition_id().alias("p")).where("id = 1").distinct().count()
-    assert parts > 1
+    monkeypatch.setattr(backoff, "LEAST_HEAVY", 100)
+    same = make_docs([(1, "x y x")] * 10_000 + [(2, "x y")])
+    for key, value in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.coalescePartitions.enabled", "false")):
+        spark.conf.set(key, value)
+    try:
+        out = backoff.scores(same)
+        assert {(r.id, r["count"]) for r in out.groupBy("id").count().collect()} == {(1, 10_000), (2, 1)}
+        parts = out.select("id", F.spark_partition_id().alias("p")).where("id = 1").distinct().count()
+        assert parts > 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def test_tables_are_relations(spark, make_docs):
