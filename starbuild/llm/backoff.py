@@ -40,6 +40,8 @@ from starbuild.llm.common import checkpointed, heavy_keys, spread_join, text_or_
 BETWEEN = r"[\x20\x09-\x0D]+"
 #: Rows above which a key is salted at all.
 LEAST_HEAVY = 100_000
+#: Equal rows that are returned by one task.
+COPIES = 100_000
 
 
 def document_words(text: Column) -> Column:
@@ -108,9 +110,11 @@ def scores(documents: DataFrame, order: int = 3, discount: float = 0.4, min_coun
     # hashed, not sorted: a partition of the weights is small beside that of the n-grams
     sums = (spread_join(grams, model.select("gram", "weight").hint("shuffle_hash"), "gram", heavy, "inner")
             .groupBy("doc").agg(F.sum("weight").alias("total")))
-    heads = rows.select("id", "doc", F.size("w").cast("long").alias("n_words"))
-    copies = heads.groupBy("doc").agg(F.count(F.lit(1)).alias("copies"))
-    per_doc = checkpointed(copies.join(sums, "doc", "left")
-                           .select("doc", "copies", (F.coalesce("total", F.lit(0.0)) / F.col("copies")).alias("log_score")))
-    many = heavy_keys(per_doc, "doc", "copies", per_doc.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0], LEAST_HEAVY)
-    return spread_join(heads, per_doc.select("doc", "log_score"), "doc", many).select("id", "n_words", "log_score")
+    # equal rows are counted, and told apart again at the end in runs that any task can take
+    heads = rows.groupBy("doc", "id", F.size("w").cast("long").alias("n_words")).agg(F.count(F.lit(1)).alias("copies"))
+    per_doc = heads.join(sums, "doc", "left").select(
+        "id", "n_words", "copies", (F.coalesce("total", F.lit(0.0)) / F.col("copies")).alias("log_score"))
+    runs = per_doc.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {COPIES}"))))
+    left = F.least(F.lit(COPIES).cast("long"), F.col("copies") - F.col("run") * COPIES)
+    return (runs.repartition("id", "run").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), left)))
+            .select("id", "n_words", "log_score"))

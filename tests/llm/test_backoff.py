@@ -53,7 +53,7 @@ def test_salted_grams_and_documents(spark, make_docs, monkeypatch):
         monkeypatch.setattr(backoff, "LEAST_HEAVY", least)
         got = backoff.scores(make_docs(rows)).collect()
         assert sorted((str(r.id), r.n_words, round(r.log_score, 6)) for r in got) == want
-    monkeypatch.setattr(backoff, "LEAST_HEAVY", 100)
+    monkeypatch.setattr(backoff, "COPIES", 300)
     same = make_docs([(1, "x y x")] * 10_000 + [(2, "x y")])
     for key, value in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.coalescePartitions.enabled", "false")):
         spark.conf.set(key, value)
