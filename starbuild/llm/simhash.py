@@ -42,7 +42,10 @@ from starbuild.llm.components import components
 
 SEED = 42
 #: Points that a shard should hold, sample points a shard is planned from, and the sample's bound.
-SHARD_POINTS, SHARD_SAMPLE, MAX_SAMPLE = 8192, 64, 1 << 21
+#: Every level of shards makes points visit more of them, so shards are large.
+SHARD_POINTS, SHARD_SAMPLE, MAX_SAMPLE = 1 << 18, 64, 1 << 21
+#: Fewer points are dealt finer, to at most so many shards, so that there is work for all cores.
+FINE_POINTS, FINE_SHARDS = 8192, 64
 #: Rows (own points and visitors) that one block of a shard searches for.
 BLOCK_ROWS = 1 << 16
 LEAF_POINTS = 256
@@ -195,7 +198,7 @@ def link_forest(points: DataFrame, n: int, reach: int) -> DataFrame:
     """Links ``(a, b)`` whose components are those of all pairs of ``points``
     (distinct 64-bit ``fp``, ``n`` of them) at ``reach`` or fewer bits."""
     spark = points.sparkSession
-    shards = max(1, -(-n // SHARD_POINTS))
+    shards = max(1, -(-n // SHARD_POINTS), min(FINE_SHARDS, -(-n // FINE_POINTS)))
     wanted = min(MAX_SAMPLE, SHARD_SAMPLE * shards)
     share = min(1.0, wanted / max(1, n))
     # about `wanted` points: the choice is by hash, so it is the same in every run
@@ -204,7 +207,8 @@ def link_forest(points: DataFrame, n: int, reach: int) -> DataFrame:
     root = plan_shards(sample, max(16, len(sample) // shards)) if len(sample) else Node(shard=0)
     scale = n / max(1, len(sample))
     for node, own, guests in route(root, sample, reach):
-        node.blocks = max(1, int((len(own) + len(guests)) * scale) // BLOCK_ROWS)
+        # every block gets the own points: blocks are no smaller than these
+        node.blocks = max(1, int((len(own) + len(guests)) * scale) // max(BLOCK_ROWS, int(len(own) * scale)))
     tree = spark.sparkContext.broadcast(root)
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
