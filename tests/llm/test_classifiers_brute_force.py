@@ -1,0 +1,125 @@
+"""Both classifiers against plain versions that share no code with them, and
+their errors by class and by length on held-out rows."""
+import math
+
+import numpy as np
+import pytest
+
+from starbuild.llm import quality, toxicity
+from starbuild.llm.queries import QUERIES
+
+SF01 = "/root/testdata/sf0.1"
+
+
+def sigmoid(z):
+    return 1 / (1 + math.exp(-max(-30, min(30, z))))
+
+
+def slow_buckets(text, bits):
+    """Buckets of the character 3- to 6-grams of the text between single blanks."""
+    flat = " " + " ".join(text.lower().split()) + " "
+    found = set()
+    for n in (3, 4, 5, 6):
+        for i in range(len(flat) - n + 1):
+            h = ord(flat[i])
+            for c in flat[i + 1:i + n]:
+                h = (h * 0x01000193 + ord(c)) % 2**32
+            x = h ^ n * 0x5BD1E995 % 2**32
+            x = (x ^ x >> 15) * 0x85EBCA6B % 2**32
+            x = (x ^ x >> 13) * 0x9E3779B1 % 2**32
+            found.add(x >> 32 - bits)
+    return found
+
+
+def slow_toxicity(model, text):
+    v = {b: model.ratio[b] for b in slow_buckets(text, model.bits)}
+    norm = math.sqrt(sum(x * x for x in v.values())) + 1e-9
+    return sigmoid(sum(x * model.weight[b] for b, x in v.items()) / norm + model.intercept)
+
+
+def slow_inputs(words):
+    """The encoded passage: byte-trigram shares, character classes, word length, repeats."""
+    text = b" ".join(words) + b" "
+    grams = [0.0] * 256
+    for i in range(len(text) - 2):
+        grams[((text[i] << 16 | text[i + 1] << 8 | text[i + 2]) * 0x9E3779B1) % 2**32 >> 24] += 1
+    grams = [math.sqrt(g) for g in grams]
+    norm = max(math.sqrt(sum(g * g for g in grams)), 1e-6)
+    kinds = [sum(65 <= c <= 90 for c in text), sum(48 <= c <= 57 for c in text),
+             sum(33 <= c <= 126 and not chr(c).isalnum() for c in text), sum(c >= 128 for c in text)]
+    return [*(g / norm for g in grams), *(k / len(text) for k in kinds), min(len(text) / len(words) / 16, 4),
+            1 - len(set(words)) / len(words)]
+
+
+def slow_quality(m, text):
+    """Every passage encoded, gated attention over all of them, the weighted sum scored."""
+    words = [w[i:i + 4096] for w in text.encode().split() for i in range(0, len(w), 4096)]
+    bags = [slow_inputs(words[i:i + 64]) for i in range(0, len(words), 64)] or [[0.0] * 262]
+    encoded, gates = [], []
+    for x in bags:
+        e = [math.tanh(sum(a * b for a, b in zip(x, column, strict=True)) + c)
+             for column, c in zip(m.encode.T.tolist(), m.encode_bias.tolist(), strict=True)]
+        v = [math.tanh(sum(a * b for a, b in zip(e, column, strict=True))) for column in m.attend_v.T.tolist()]
+        u = [sigmoid(sum(a * b for a, b in zip(e, column, strict=True))) for column in m.attend_u.T.tolist()]
+        encoded.append(e)
+        gates.append(sum(a * b * w for a, b, w in zip(v, u, m.attend_w.tolist(), strict=True)))
+    top = max(gates)
+    share = [math.exp(g - top) for g in gates]
+    pooled = [sum(s * e[j] for s, e in zip(share, encoded, strict=True)) / sum(share) for j in range(len(encoded[0]))]
+    return sigmoid(sum(a * b for a, b in zip(pooled, m.out.tolist(), strict=True)) + m.out_bias)
+
+
+TEXTS = ["", " \n ", "one", "Ünïcode ÇA va 日本語 1234 !!!", "x" * 9000, "word " * 200, "a\x1cb\x85c d",
+         " ".join(f"w{i % 37} Z{i * i}" for i in range(150))]
+
+
+@pytest.mark.parametrize("op,label,slow", [(quality, "quality", slow_quality), (toxicity, "toxic", slow_toxicity)])
+def test_scores_equal_the_plain_version(spark, sf_dir, make_docs, op, label, slow):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    model = op.fit(docs, labels)
+    some = [(r.doc_id, r.text) for r in docs.collect() if len(r.text or "") < 2500][:60]
+    rows = make_docs([*enumerate(TEXTS, 10**6), (10**7, None), *some])
+    got = {r.doc_id: r.p for r in rows.select("doc_id", op.score_column(rows, model).alias("p")).collect()}
+    for doc_id, text in [*enumerate(TEXTS, 10**6), (10**7, None), *some]:
+        assert got[doc_id] == pytest.approx(slow(model, text or ""), abs=2e-5)
+
+
+@pytest.mark.parametrize("noise", [0.0, 3.0])
+def test_log_count_ratios_equal_plain_counts(monkeypatch, noise):
+    """The features' scale: smoothed log-count ratios, zero within the noise."""
+    monkeypatch.setattr(toxicity, "NOISE", noise)
+    texts = [("you utter fool " if i % 4 == 0 else "a calm text ") + f"number {i * 7919 % 100}" for i in range(200)]
+    labels = [int(i % 4 == 0) for i in range(200)]
+    grams = [slow_buckets(t, 12) for t in texts]
+    model = toxicity.fit_arrays([np.array(sorted(g), np.uint32) for g in grams], np.array(labels, float), 12)
+    bad, share = sum(labels), (sum(labels) + 0.5) / 201
+    more = {1: share * toxicity.SMOOTHING, 0: (1 - share) * toxicity.SMOOTHING}
+    kept = 0
+    for b in set().union(*grams):
+        p = sum(b in g for g, y in zip(grams, labels, strict=True) if y) + more[1]
+        q = sum(b in g for g, y in zip(grams, labels, strict=True) if not y) + more[0]
+        ratio = math.log(p / (bad + more[1])) - math.log(q / (200 - bad + more[0]))
+        if abs(ratio) < noise * math.sqrt(1 / p + 1 / q):
+            ratio = 0.0
+        kept += ratio != 0
+        assert model.ratio[b] == pytest.approx(ratio, abs=1e-9)
+    assert 10 < kept <= len(set().union(*grams))
+    assert slow_toxicity(model, "what an utter fool") > 0.9 > 0.1 > slow_toxicity(model, "a calm text number")
+
+
+@pytest.mark.parametrize("query,label,folds,held,caught,alarms", [("op6_quality_mil", "quality", 5, 0, 0.95, 0.01),
+                                                                  ("op10_toxicity_nb", "toxic", 3, 1, 0.75, 0.015)])
+def test_errors_by_class_and_length(spark, query, label, folds, held, caught, alarms):
+    """Held-out rows of sf0.1: bad texts caught and good ones left alone, also
+    among the longer half; always answering one class fails this."""
+    bad = 0 if label == "quality" else 1
+    truth = {r.doc_id: r[label] for r in spark.read.parquet(f"{SF01}/labels.parquet").collect()}
+    words = {r.doc_id: len((r.text or "").split()) for r in spark.read.parquet(f"{SF01}/documents.parquet").collect()}
+    rows = [(truth[r.doc_id] == bad, r.predicted == bad, words[r.doc_id]) for r in QUERIES[query](spark, SF01).collect()
+            if r.held_out and r.doc_id in truth]
+    middle = sorted(w for *_, w in rows)[len(rows) // 2]
+    for part in (rows, [r for r in rows if r[2] >= middle]):
+        hits = [p for t, p, _ in part if t]
+        others = [p for t, p, _ in part if not t]
+        assert len(hits) >= 20 and sum(hits) >= caught * len(hits)
+        assert sum(others) <= alarms * len(others)
