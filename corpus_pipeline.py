@@ -53,12 +53,14 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     stay for each."""
     docs = docs.select(*COLUMNS)
     found = simhash.near_duplicates(docs, words_per_shingle=3, reach=3, text_hash=True)
-    text_hash, number = fresh_name(docs, "text_hash"), fresh_name(docs, "row")
+    key, number = fresh_name(docs, "key"), fresh_name(docs, "row")
     least = F.min(F.struct(F.col("id").isNull().alias("without"), "id", F.col("text_hash")))
-    first = found.groupBy("root").agg(least.alias("r")).select(F.col("r.id").alias("id"), F.col("r.text_hash").alias("h"))
-    same_row = Window.partitionBy("doc_id", text_hash).orderBy("text", "lang", "source")
-    docs = docs.withColumn(text_hash, F.xxhash64(text_or_empty("text")))
-    return (docs.join(first, docs["doc_id"].eqNullSafe(first["id"]) & (docs[text_hash] == first["h"]), "left_semi")
+    first = found.groupBy("root").agg(least.alias("r")).select(
+        F.xxhash64("r.without", "r.id", "r.text_hash").alias(key))
+    # one key for the join and the window: documents are shuffled once
+    docs = docs.withColumn(key, F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.xxhash64(text_or_empty("text"))))
+    same_row = Window.partitionBy(key).orderBy("text", "lang", "source")
+    return (docs.join(first, key, "left_semi")
             .withColumn(number, F.row_number().over(same_row)).where(f"{number} = 1").select(*COLUMNS))
 
 
