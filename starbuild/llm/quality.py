@@ -9,9 +9,11 @@ document labels alone, weighs the passages of a document (softmax of
 scored by a logistic output.
 
 The fit uses at most ``max_fit_docs`` labelled documents (default 4,000), each
-with all its passages: the driver keeps them in a temporary file and adds up
-the gradients of runs of at most ``FIT_PASSAGES`` passages, a longer document
-in several runs.  Scoring encodes every passage of every whole text, piece by
+with all its passages, and at most ``max_fit_passages`` passages in all (default
+200,000: 105 MB in the driver): documents are taken in the order of a hash of id
+and text while their passages fit, others are left out whole.  Passages are
+encoded once, into the shared folder; the driver adds up the gradients of runs of
+at most ``FIT_PASSAGES`` passages, a longer document in several runs.  Scoring encodes every passage of every whole text, piece by
 piece with a running softmax.  So both need bounded memory for any length of
 text.  For a third of the documents of either class the fit also takes a run of
 1 to 15 of their words as a document of its own with the same label (few
@@ -21,14 +23,14 @@ apart; a run of a bad text may miss what made it bad).
 Edge cases: a null text counts as empty; a text without a word is one empty
 passage and gets a score like any other; repeated rows are each scored; a
 label table that is empty or has one class gives the smoothed class share
-for every row; extra columns are ignored.
+for every row; in the fit, rows equal in id and text count once; extra columns
+are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-import tempfile
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from starbuild.llm.common import label_sample, text_or_empty
+from starbuild.llm.common import label_sample, text_or_empty, written
 
 PASSAGE_WORDS = 64
 #: Words encoded at a time (a whole number of passages).
@@ -228,42 +230,47 @@ def _passage_gradients(p: list[np.ndarray], x, e, tv, su, a, z, dz) -> list[np.n
 
 
 def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", folds: int = 5,
-        held: int = 0, max_fit_docs: int = 4000,
+        held: int = 0, max_fit_docs: int = 4000, max_fit_passages: int = 200_000,
         id_col: str = "doc_id", text_col: str = "text") -> QualityModel:
-    """Learn from at most ``max_fit_docs`` labelled texts outside fold ``held``."""
+    """Learn from at most ``max_fit_docs`` labelled texts outside fold ``held``
+    with at most ``max_fit_passages`` passages."""
     chosen = label_sample(labels, label, folds, held, max_fit_docs, id_col)
 
-    @pandas_udf("bag binary, part binary")
+    @pandas_udf("n long, bag binary, part binary")
     def encode(texts: pd.Series) -> pd.DataFrame:
-        def one(text: str) -> tuple[bytes, bytes | None]:
-            bag, part, rng = [], None, np.random.default_rng(zlib.crc32(text.encode("utf-8", "replace")))
+        def one(text: str) -> tuple[int, bytes | None, bytes | None]:
+            n, bag, part, rng = 0, [], None, np.random.default_rng(zlib.crc32(text.encode("utf-8", "replace")))
             for words in _pieces(text):
+                n += -(-len(words) // PASSAGE_WORDS)
+                if n > max_fit_passages:
+                    return n, None, None
                 bag.append(passage_inputs(words))
                 if part is None and rng.random() < 0.35:
                     size = int(rng.integers(1, 16))
                     at = int(rng.integers(0, max(1, len(words) - size + 1)))
                     part = passage_inputs(words[at:at + size]).astype(np.float16).tobytes()
             bag = np.concatenate(bag or [np.zeros((1, INPUTS), np.float32)])
-            return bag.astype(np.float16).tobytes(), part
-        return pd.DataFrame([one(t) for t in texts], columns=["bag", "part"])
+            return max(n, 1), bag.astype(np.float16).tobytes(), part
+        return pd.DataFrame([one(t) for t in texts], columns=["n", "bag", "part"])
 
     # the sample is at most max_fit_docs rows of (id, y)
-    rows = (documents.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-            .join(F.broadcast(chosen), "id")
-            .select("id", "y", encode("text").alias("b")).select("id", "y", "b.*").toLocalIterator())
-    with tempfile.TemporaryFile() as kept:
-        index, at = [], 0
-        for r in rows:
-            for is_part, bag in enumerate((r.bag, r.part)):
-                if bag is not None:
-                    kept.write(bag)
-                    n = len(bag) // (2 * INPUTS)
-                    index.append((is_part, r.id, r.y, hashlib.sha256(bag).digest(), at, n))
-                    at += n
-        kept.flush()
-        index.sort()                                    # in any order of tasks
-        passages = np.memmap(kept, np.float16, "r", shape=(at, INPUTS)) if at else None
-        return fit_bags([passages[i:i + n] for *_, i, n in index], np.array([y for _, _, y, *_ in index], float))
+    bags = (documents.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+            .join(F.broadcast(chosen), "id").dropDuplicates(["id", "text"])
+            .select("id", "y", F.xxhash64("id", "text").alias("h"), encode("text").alias("b")).select("id", "y", "h", "b.*"))
+    bags = written(bags, "bags")
+    taken, left = [], max_fit_passages
+    for r in bags.where("bag is not null").select("h", "id", "n").orderBy("h", "id", "n").limit(max_fit_docs).collect():
+        if r.n <= left:
+            taken.append(r.h)
+            left -= r.n
+    index = []
+    for r in bags.where(F.col("h").isin(taken)).toLocalIterator() if taken else ():
+        for is_part, bag in enumerate((r.bag, r.part)):
+            if bag is not None:
+                index.append((is_part, r.id, r.y, hashlib.sha256(bag).digest(), bytes(bag)))
+    index.sort()                                        # in any order of tasks
+    return fit_bags([np.frombuffer(bag, np.float16).reshape(-1, INPUTS) for *_, bag in index],
+                    np.array([y for _, _, y, *_ in index], float))
 
 
 def score_column(documents: DataFrame, model: QualityModel, text_col: str = "text") -> Column:

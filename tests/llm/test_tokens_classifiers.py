@@ -146,6 +146,22 @@ def test_quality_fit_sees_every_passage(spark, make_docs, monkeypatch):
     assert seen[:5] == [1, 24, 25, 100, 300]            # whole documents come before spans
 
 
+def test_quality_fit_keeps_to_its_passages(spark, make_docs, monkeypatch):
+    """Documents beyond the bound are left out whole; copies of a row count once."""
+    words = quality.PASSAGE_WORDS
+    texts = [f"t{i} " + "good words " * (words // 2) * n for i, n in enumerate((3, 3, 3, 200, 3, 3))]
+    seen = []
+    monkeypatch.setattr(quality, "fit_bags", lambda bags, y: seen.append(sorted(map(len, bags))))
+    labels = spark.createDataFrame([(i, 0) for i in range(len(texts))], "doc_id long, quality int")
+    docs = make_docs([*enumerate(texts), *[(0, texts[0])] * 50])
+    for bound in (1000, 199, 8):
+        quality.fit(docs, labels, folds=5, held=9, max_fit_passages=bound)
+    whole = [[n for n in sizes if n > 1] for sizes in seen]
+    assert whole == [[4] * 5 + [201], [4] * 5, [4, 4]]
+    quality.fit(docs, labels, folds=5, held=9, max_fit_passages=3)
+    assert seen[-1] == []
+
+
 def test_quality_gradients_of_runs_equal_those_of_the_batch(monkeypatch):
     rng = np.random.default_rng(4)
     bags = [rng.random((n, quality.INPUTS)).astype(np.float32) for n in (3, 40, 1, 1, 25, 7, 100)]
