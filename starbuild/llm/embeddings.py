@@ -1,12 +1,15 @@
 """Embedding near-duplicates: spherical k-means cells, blocked cosine products.
 
 1. Equal vectors of one label are one point (with its number of rows).
-2. Spherical k-means, fitted on at most ``MAX_SAMPLE`` points, assigns every
-   point to the cell of its nearest centroid.
+2. Spherical k-means, fitted on at most ``MAX_SAMPLE`` points and
+   ``MAX_SAMPLE_BYTES`` of them, assigns every point to the cell of its nearest
+   centroid.
 3. No link across a cell border is lost: a point also visits each cell of a
    higher number whose border (the bisecting plane of two centroids) is
    within the link angle of it, ``x.(c - c') <= sin(angle) |c - c'|``; a
    partner on the other side of a border cannot be farther from it than that.
+   The partner's cell has borders with all centroids, so the same must hold for
+   the ``NEAREST`` centroids of the point in place of its own.
    A visitor is compared only with the cell's own points.
 4. The rows of a (label, cell) group are dealt into a grid of blocks; a task
    multiplies two blocks in double precision.  It returns the number of links
@@ -36,6 +39,10 @@ from starbuild.llm.simhash import _Groups
 
 #: Points of one label that a cell should hold, sample points per cell, and the sample's bound.
 CELL_POINTS, CELL_SAMPLE, MAX_SAMPLE = 2000, 24, 1 << 16
+#: Bound of the sample in double precision, in the driver.
+MAX_SAMPLE_BYTES = 128 << 20
+#: Centroids near a point whose borders with a cell are tested.
+NEAREST = 16
 BLOCK, TILE = 4096, 1024
 
 
@@ -60,12 +67,41 @@ def fit_centroids(x: np.ndarray, k: int, rounds: int = 12, seed: int = 3) -> np.
     return c
 
 
+def _distances(c: np.ndarray) -> np.ndarray:
+    """Distances of all pairs of at most 2,731 centroids, never too small: the
+    added 1e-7 exceeds the rounding of the products."""
+    square = (c * c).sum(1)
+    return np.sqrt(np.maximum(square[:, None] + square - 2 * (c @ c.T), 0)) + 1e-7
+
+
+def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield pd.DataFrame({"v": [np.asarray(e, np.float64).tobytes() for e in batch["e"]]})
+
+
+def _sample(points: DataFrame, share: float) -> dict[int, list[np.ndarray]]:
+    """Vectors by length: about ``share`` of the points by their hash, as bytes,
+    until ``MAX_SAMPLE_BYTES`` are there."""
+    rows = points.where(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30)) + 1).select("e").mapInPandas(_packed, "v binary")
+    found, size = [], 0
+    for r in rows.toLocalIterator():
+        size += len(r.v)
+        if found and size > MAX_SAMPLE_BYTES:
+            break
+        found.append(bytes(r.v))
+    by_length: dict[int, list[np.ndarray]] = {}
+    for v in sorted(found):
+        by_length.setdefault(len(v) // 8, []).append(np.frombuffer(v))
+    return by_length
+
+
 def _assign(points: DataFrame, centroids: dict[int, np.ndarray], cosine: float) -> DataFrame:
     """``(rid, g, e, n, own)``: every point in its own cell and as a visitor."""
     shared = points.sparkSession.sparkContext.broadcast(centroids)
     reach = float(np.sqrt(1 - cosine * cosine)) + 1e-9
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        between: dict[int, np.ndarray] = {}
         for batch in batches:
             for length, rows in batch.groupby(batch["e"].map(len)):
                 rows = rows.reset_index(drop=True)
@@ -73,14 +109,20 @@ def _assign(points: DataFrame, centroids: dict[int, np.ndarray], cosine: float)
                 if c is None:                          # a length that the sample lacks is one cell
                     yield rows.assign(cell=0, own=True)
                     continue
+                if length not in between:
+                    between[length] = _distances(c)
+                apart = between[length]
                 sims = _unit(rows["e"]) @ c.T
                 home = sims.argmax(1)
+                nearest = np.argpartition(-sims, min(NEAREST, len(c)) - 1, axis=1)[:, :NEAREST]
                 yield rows.assign(cell=home.astype(np.int32), own=True)
                 for h in np.unique(home):
                     at = np.flatnonzero(home == h)
-                    apart = np.linalg.norm(c[h] - c, axis=1)
-                    visit = (sims[at, h][:, None] - sims[at] <= reach * apart) & (np.arange(len(c)) > h)
+                    visit = (sims[at, h][:, None] - sims[at] <= reach * apart[h]) & (np.arange(len(c)) > h)
                     i, cell = np.nonzero(visit)
+                    for other in nearest[at].T:
+                        inside = sims[at[i], other[i]] - sims[at[i], cell] <= reach * apart[other[i], cell]
+                        i, cell = i[inside], cell[inside]
                     if len(i):
                         yield rows.iloc[at[i]].assign(cell=cell.astype(np.int32), own=False)
 
@@ -133,19 +175,18 @@ def near_duplicates(embeddings: DataFrame, cosine: float = 0.98, id_col: str = "
     points = (valid.groupBy("h", "label", "e").agg(F.min("id").alias("first"), F.count("*").alias("n"))
               .withColumn("rid", F.monotonically_increasing_id()))
     points = written(points, "vectors")                # fixes rid
-    labels = points.groupBy("label").agg(F.count("*").alias("points"), F.sum("n").alias("n"))
-    count, total, largest = labels.agg(F.coalesce(F.sum("points"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0)),
-                                       F.coalesce(F.max("points"), F.lit(0))).first()
+    labels = points.groupBy("label").agg(F.count("*").alias("points"), F.sum("n").alias("n"),
+                                         F.sum(F.size("e") * F.lit(8).cast("long")).alias("bytes"))
+    count, total, largest, size = labels.agg(*[F.coalesce(f(c), F.lit(0)) for f, c in (
+        (F.sum, "points"), (F.sum, "n"), (F.max, "points"), (F.sum, "bytes"))]).first()
 
     # only points of one label meet: as many cells as the largest label needs
-    k = max(1, min(-(-largest // CELL_POINTS), MAX_SAMPLE // CELL_SAMPLE))
-    share = min(1.0, max(CELL_SAMPLE * k, 1000) / max(1, count))
-    rows_in = points.where(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30)) + 1).select("h", "e")
-    sample = sorted((tuple(r.e) for r in rows_in.toLocalIterator()), key=lambda e: (len(e), e))
-    by_length: dict[int, list] = {}
-    for e in sample:
-        by_length.setdefault(len(e), []).append(e)
-    centroids = {length: fit_centroids(_unit(es), max(1, k * len(es) // len(sample))) for length, es in by_length.items()}
+    most = min(MAX_SAMPLE, int(0.9 * MAX_SAMPLE_BYTES * count / max(1, size)))
+    k = max(1, min(-(-largest // CELL_POINTS), most // CELL_SAMPLE))
+    share = min(1.0, min(max(CELL_SAMPLE * k, 1000), max(1, most)) / max(1, count))
+    by_length = _sample(points, share)
+    sampled = sum(map(len, by_length.values()))
+    centroids = {length: fit_centroids(_unit(es), max(1, k * len(es) // sampled)) for length, es in by_length.items()}
 
     dealt = written(_assign(points, centroids, cosine), "cells")
     sizes = checkpointed(dealt.groupBy("g").agg(F.count_if("own").alias("own_rows"), F.count("*").alias("all_rows"))

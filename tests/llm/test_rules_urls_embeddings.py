@@ -223,3 +223,47 @@ def test_embeddings_trouble(spark, monkeypatch):
     assert got == {rows[i][0]: v for i, v in slow_links([(a, v if v is None else [x if x is None or x != 1e200 else 1.0 for x in v], c)
                                                         for a, v, c in rows]).items()}
     assert embeddings.near_duplicates(df.where("false")).collect() == []
+
+
+def _clustered(rng, clusters, n, width=384, noise=0.5):
+    """Unit vectors around random centres, every tenth with a near copy."""
+    centres = rng.normal(size=(clusters, width)) / np.sqrt(width)
+    x = centres[rng.integers(0, clusters, n)] + noise * rng.normal(size=(n, width)) / np.sqrt(width)
+    x = np.concatenate([x, x[::10] + 0.05 * rng.normal(size=x[::10].shape) / np.sqrt(width)])
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_few_copies_of_wide_clustered_vectors(spark):
+    """A vector of 384 dimensions is compared in few cells; no near copy is lost."""
+    x = _clustered(np.random.default_rng(8), 100, 3000)
+    centroids = {384: embeddings.fit_centroids(x[:2400], 100)}
+    points = spark.createDataFrame([(i, "a", v.tolist(), 1) for i, v in enumerate(x)],
+                                   "rid long, label string, e array<double>, n long")
+    dealt = embeddings._assign(points, centroids, 0.98).select("rid", "g", "own").collect()
+    assert len(dealt) <= 10 * len(x)
+    cells, home = {}, {r.rid: r.g for r in dealt if r.own}
+    for r in dealt:
+        cells.setdefault(r.rid, set()).add(r.g)
+    p, q = np.nonzero(np.triu(x @ x.T >= 0.98, 1))
+    assert len(p) > 200
+    assert all(home[a] in cells[b] or home[b] in cells[a] for a, b in zip(p.tolist(), q.tolist()))
+
+
+def test_embedding_sample_keeps_to_its_bytes(spark, monkeypatch):
+    """With a small byte bound there are fewer cells and the same links."""
+    rng = np.random.default_rng(9)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(_clustered(rng, 12, 200, width=8))]
+    rows += [(1000 + i, [1.0] + [0.0] * 300, 0) for i in range(3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    want = {rows[i][0]: v for i, v in slow_links(rows).items()}
+    monkeypatch.setattr(embeddings, "CELL_POINTS", 5)
+    monkeypatch.setattr(embeddings, "CELL_SAMPLE", 4)
+    sizes = []
+    fit = embeddings.fit_centroids
+    monkeypatch.setattr(embeddings, "fit_centroids", lambda x, k: (sizes.append(x.nbytes), fit(x, k))[1])
+    for bound in (1 << 20, 4000):
+        monkeypatch.setattr(embeddings, "MAX_SAMPLE_BYTES", bound)
+        sizes.clear()
+        got = {r.id: (r.n_links, r.component_id) for r in embeddings.near_duplicates(df).collect()}
+        assert got == want
+        assert sum(sizes) <= bound
