@@ -3,8 +3,9 @@
 1. Every word of a document ends one n-gram of each order up to ``order`` (fewer
    at the start of a text).  The n-grams are exploded into rows; an n-gram is
    the pair of its past (all but the last word) and its rest (all but the first
-   word), each named by a 64-bit hash.
-2. Their rows are counted (in the tasks that read the texts, then by hash): the
+   word), each named by a 64-bit hash.  Texts are split once, into hashes of
+   their words in the shared folder.
+2. Their rows are counted (in the tasks that read the hashes, then by hash): the
    count tables of the corpus, partitioned by hash.  Of orders above 1 only
    n-grams seen ``min_count`` times or more are in the model.
 3. A word's score is count(n-gram) / count(past) for the longest n-gram in the
@@ -18,7 +19,10 @@
 4. The exploded n-grams are joined to the weights by hash and summed per
    document.
 
-Every row is one n-gram of one document, whatever the size of the corpus; words
+Orders are counted and joined one after the other, in ``PASSES`` ranges of the
+n-grams' hashes; the result of each is written and its shuffle files go, so the
+disk holds the rows of one pass, whatever the order.  Every row is one n-gram of
+one document, whatever the size of the corpus; words
 and n-grams that hold over a thousandth of all rows are salted in the join.
 
 Edge cases: a null text counts as empty; a text without words has 0 words and
@@ -31,17 +35,23 @@ hash would share their counts.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starbuild.llm.common import checkpointed, heavy_keys, spread_join, text_or_empty, written
+from starbuild.llm.common import heavy_keys, spread_join, text_or_empty, written
 
 BETWEEN = r"[\x20\x09-\x0D]+"
 #: Rows above which a key is salted at all.
 LEAST_HEAVY = 100_000
 #: Equal rows that are returned by one task.
 COPIES = 100_000
+#: Passes over an order's n-grams, each over a range of their hashes: the disk
+#: holds the shuffled rows of one pass at a time.
+PASSES = 2
+#: Bytes up to which Parquet names the words of a row group by number.
+DICTIONARY = 16 << 20
 
 
 def document_words(text: Column) -> Column:
@@ -49,20 +59,35 @@ def document_words(text: Column) -> Column:
     return F.array_remove(F.split(text, BETWEEN), "")
 
 
+def hashed(rows: DataFrame) -> DataFrame:
+    """``rows`` with the hashes ``h`` of their words ``w``."""
+    return rows if "h" in rows.columns else rows.withColumn("h", F.transform("w", lambda w: F.xxhash64(w))).drop("w")
+
+
+def grams_of_order(rows: DataFrame, k: int, passes: int = 1, part: int = 0) -> DataFrame:
+    """``(doc, past, rest)`` of every n-gram of order ``k`` of ``rows`` (``doc``,
+    words ``w`` or their hashes ``h``) in hash range ``part`` of ``passes``; of
+    order 1 ``past`` is 0 and ``rest`` the word."""
+    if k == 1:
+        out = hashed(rows).select("doc", F.lit(0).cast("long").alias("past"), F.explode("h").alias("rest"))
+    else:
+        # a text of fewer than k words has no spots: its sequence would run down
+        spots = (hashed(rows).where(F.size("h") >= k)
+                 .select("doc", "h", F.explode(F.sequence(F.lit(k - 1), F.size("h") - 1)).alias("i")))
+        grams = {back: F.get("h", F.col("i") - back) for back in range(k)}
+        for shorter in range(2, k + 1):
+            past, rest = grams[1], grams[0]
+            grams = {back: gram_hash(F.lit(shorter), grams[back + 1], grams[back]) for back in range(k - shorter + 1)}
+        out = spots.select("doc", past.alias("past"), rest.alias("rest"))
+    if passes == 1:
+        return out
+    return out.where(F.pmod(gram_hash(F.lit(k), F.col("past"), F.col("rest")), F.lit(passes)) == part)
+
+
 def exploded_grams(rows: DataFrame, order: int) -> DataFrame:
-    """``(doc, k, past, rest)`` of every n-gram of ``rows`` (``doc``, words ``w``);
-    of order 1 ``past`` is 0 and ``rest`` the word."""
-    # a text without words has no spots: the sequence would run down from 0 to -1
-    spots = rows.where(F.size("w") > 0).select("doc", "w", F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("i"))
-    word = {back: F.xxhash64(F.get("w", F.col("i") - back)) for back in range(order)}
-    grams, parts = dict(word), [F.struct(F.lit(1).alias("k"), F.lit(0).cast("long").alias("past"), word[0].alias("rest"))]
-    for k in range(2, order + 1):
-        pair = grams[1], grams[0]
-        parts.append(F.when(F.col("i") >= k - 1, F.struct(F.lit(k).alias("k"), pair[0].alias("past"), pair[1].alias("rest"))))
-        grams = {back: gram_hash(F.lit(k), grams[back + 1], grams[back]) for back in range(order - k + 1)}
-    # nulls are filtered behind the explode: a filter inside it would leave generated code, and
-    # rows with all words of the text would be copied for every spot
-    return spots.select("doc", F.explode(F.array(*parts)).alias("g")).where("g is not null").select("doc", "g.*")
+    """``(doc, k, past, rest)`` of every n-gram of every order."""
+    parts = [grams_of_order(rows, k).withColumn("k", F.lit(k)) for k in range(1, order + 1)]
+    return reduce(DataFrame.unionAll, parts).select("doc", "k", "past", "rest")
 
 
 def gram_hash(k: Column, past: Column, rest: Column) -> Column:
@@ -71,47 +96,69 @@ def gram_hash(k: Column, past: Column, rest: Column) -> Column:
 
 
 def count_tables(rows: DataFrame, order: int, min_count: int) -> DataFrame:
-    """``(k, past, rest, gram, n)``: the n-grams of the corpus that are in the model."""
-    counts = exploded_grams(rows, order).groupBy("k", "past", "rest").agg(F.count(F.lit(1)).alias("n"))
-    known = counts.where((F.col("k") == 1) | (F.col("n") >= min_count))
-    return known.withColumn("gram", gram_hash(F.col("k"), F.col("past"), F.col("rest")))
+    """``(k, past, rest, n)``: the n-grams of the corpus that are in the model.
+
+    Orders and passes are counted one after the other, each written."""
+    tables = []
+    for k in range(1, order + 1):
+        passes = PASSES if k > 1 else 1
+        for part in range(passes):
+            counts = grams_of_order(rows, k, passes, part).groupBy("past", "rest").agg(F.count(F.lit(1)).alias("n"))
+            counts = counts if k == 1 else counts.where(F.col("n") >= min_count)
+            tables.append(written(counts, "grams", free_shuffles=True).select(F.lit(k).alias("k"), "past", "rest", "n"))
+    return reduce(DataFrame.unionAll, tables)
 
 
 def weights(counts: DataFrame, order: int, discount: float) -> DataFrame:
-    """``(gram, weight, n)``: what every n-gram of the tables adds to a word's score."""
+    """``(k, gram, weight, n)``: what every n-gram of the tables adds to a word's score."""
     words = counts.where("k = 1").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     lost = math.log10(discount)
-    shorter = (counts.where("k = 1")
-               .select("gram", "n", (F.log10("n") - F.lit(math.log10(words or 1)) + (order - 1) * lost).alias("score")))
-    out = shorter.select("gram", F.col("score").alias("weight"), "n")
+    shorter = (counts.where("k = 1").select(F.col("rest").alias("gram"), "n", (
+        F.log10("n") - F.lit(math.log10(words or 1)) + (order - 1) * lost).alias("score")))
+    out = shorter.select(F.lit(1).alias("k"), "gram", F.col("score").alias("weight"), "n")
     for k in range(2, order + 1):
         past = shorter.select(F.col("gram").alias("past"), F.col("n").alias("past_n"))
         rest = shorter.select(F.col("gram").alias("rest"), F.col("score").alias("rest_score"))
         # few rows of a table share a past or a rest that is hot: those of frequent words
-        found = counts.where(F.col("k") == k).join(past, "past").join(rest, "rest")
-        found = checkpointed(found.select("gram", "n", "rest_score", (
-            F.log10("n") - F.log10("past_n") + (order - k) * lost).alias("score")))
-        out = out.unionAll(found.select("gram", (F.col("score") - F.col("rest_score")).alias("weight"), "n"))
+        found = counts.where(F.col("k") == k).select("past", "rest", "n").join(past, "past").join(rest, "rest")
+        found = written(found.select(gram_hash(F.lit(k), F.col("past"), F.col("rest")).alias("gram"), "n", "rest_score", (
+            F.log10("n") - F.log10("past_n") + (order - k) * lost).alias("score")), "gram-weights", free_shuffles=True)
+        out = out.unionAll(found.select(F.lit(k).alias("k"), "gram",
+                                        (F.col("score") - F.col("rest_score")).alias("weight"), "n"))
         shorter = found.select("gram", "n", "score")
     return out
 
 
+def weight_sums(rows: DataFrame, model: DataFrame, order: int) -> DataFrame:
+    """``(doc, total)``: the weights of every text's n-grams, a row for each pass."""
+    tables = []
+    for k in range(1, order + 1):
+        mine = model.where(F.col("k") == k).select("gram", "weight", "n")
+        total = mine.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        heavy = heavy_keys(mine, "gram", "n", total, LEAST_HEAVY)
+        for part in range(PASSES):
+            grams = (grams_of_order(rows, k, PASSES, part)
+                     .select("doc", gram_hash(F.lit(k), F.col("past"), F.col("rest")).alias("gram")))
+            found = mine.where(F.pmod("gram", F.lit(PASSES)) == part).select("gram", "weight")
+            # hashed, not sorted: a partition of the weights is small beside that of the n-grams
+            joined = spread_join(grams, found.hint("shuffle_hash"), "gram", heavy, "inner")
+            sums = joined.groupBy("doc").agg(F.sum("weight").alias("total"))
+            tables.append(written(sums, "gram-sums", free_shuffles=True))
+    return reduce(DataFrame.unionAll, tables)
+
+
 def scores(documents: DataFrame, order: int = 3, discount: float = 0.4, min_count: int = 2,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_words, log_score)`` of every row; the corpus is all rows."""
     text, ident = text_or_empty(text_col), F.col(id_col)
     rows = documents.select(ident.alias("id"), F.xxhash64(ident.isNull(), ident.cast("string"), text).alias("doc"),
                             document_words(text).alias("w"))
-    counts = written(count_tables(rows, order, min_count), "grams")
-    model = written(weights(counts, order, discount), "gram-weights")
-    total = model.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    grams = exploded_grams(rows, order).select("doc", gram_hash(F.col("k"), F.col("past"), F.col("rest")).alias("gram"))
-    heavy = heavy_keys(model, "gram", "n", total, LEAST_HEAVY)
-    # hashed, not sorted: a partition of the weights is small beside that of the n-grams
-    sums = (spread_join(grams, model.select("gram", "weight").hint("shuffle_hash"), "gram", heavy, "inner")
-            .groupBy("doc").agg(F.sum("weight").alias("total")))
+    # split once: every pass reads the hashes
+    rows = written(hashed(rows), "word-hashes", free_shuffles=True, options={"parquet.dictionary.page.size": DICTIONARY})
+    model = weights(count_tables(rows, order, min_count), order, discount)
+    sums = weight_sums(rows, model, order).groupBy("doc").agg(F.sum("total").alias("total"))
     # equal rows are counted, and told apart again at the end in runs that any task can take
-    heads = rows.groupBy("doc", "id", F.size("w").cast("long").alias("n_words")).agg(F.count(F.lit(1)).alias("copies"))
+    heads = rows.groupBy("doc", "id", F.size("h").cast("long").alias("n_words")).agg(F.count(F.lit(1)).alias("copies"))
     per_doc = heads.join(sums, "doc", "left").select(
         "id", "n_words", "copies", (F.coalesce("total", F.lit(0.0)) / F.col("copies")).alias("log_score"))
     runs = per_doc.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {COPIES}"))))

@@ -29,12 +29,28 @@ def fresh_name(df: DataFrame, stem: str) -> str:
     return name
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+#: Spark 4.1 and later: shuffle files go when the query that wrote them ends
+#: (else when the driver happens to collect its garbage); earlier versions ignore it.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, name: str, free_shuffles: bool = False, options: dict | None = None) -> DataFrame:
     """``df`` written once to the shared folder of ``spark.checkpoint.dir`` and
-    read back: cuts the lineage and survives the loss of executors."""
+    read back: cuts the lineage and survives the loss of executors.  With
+    ``free_shuffles`` the shuffle files of this one write are removed behind it;
+    ``options`` go to the Parquet writer."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    if free_shuffles:
+        spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.options(**(options or {})).parquet(path)
+    finally:
+        if free_shuffles and before is not None:
+            spark.conf.set(FREE_SHUFFLES, before)
+        elif free_shuffles:
+            spark.conf.unset(FREE_SHUFFLES)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,6 +1,7 @@
 """Stupid backoff against a direct computation and against SQL."""
 import math
 import re
+import time
 from collections import Counter
 
 import duckdb
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starbuild.llm import backoff
+from starbuild.llm.common import FREE_SHUFFLES
 from starbuild.llm.queries import ORACLE, QUERIES
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -93,3 +95,31 @@ def test_query_equals_sql(spark, sf_dir):
     assert got.columns == want.columns
     for g, w in zip(sorted(map(tuple, got.collect())), sorted(want.fetchall()), strict=True):
         assert g == pytest.approx(w)
+
+
+def shuffle_files(spark):
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    return {f for f in env.blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+
+
+def test_passes_are_whole_and_leave_no_shuffles(spark, make_docs, monkeypatch):
+    """Hash ranges share all n-grams, the number of passes changes no score, and
+    the shuffle files of every pass are gone when it is written."""
+    docs = make_docs([(i, " ".join("abcd"[(i * j + j * j) % 4] for j in range(i))) for i in range(12)])
+    rows = docs.select(F.col("doc_id").alias("doc"), backoff.document_words(F.col("text")).alias("w"))
+    for k in (1, 2, 3):
+        parts = [sorted(map(tuple, backoff.grams_of_order(rows, k, 3, part).collect())) for part in range(3)]
+        assert sorted(sum(parts, [])) == sorted(map(tuple, backoff.grams_of_order(rows, k).collect()))
+    before = spark.conf.get(FREE_SHUFFLES), shuffle_files(spark)
+    counts = backoff.count_tables(rows, 2, 1)
+    for _ in range(50):
+        left = shuffle_files(spark) - before[1]
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(FREE_SHUFFLES) == before[0]
+    assert counts.groupBy("past", "rest").count().where("count > 1").count() == 0
+    want = sorted((i, n, round(s, 6)) for i, n, s in slow_scores([(r.doc_id, r.text) for r in docs.collect()]))
+    for passes in (1, 3):
+        monkeypatch.setattr(backoff, "PASSES", passes)
+        assert sorted((r.id, r.n_words, round(r.log_score, 6)) for r in backoff.scores(docs).collect()) == want
