@@ -13,7 +13,8 @@ order.  The gadget of merge (u, v) -> uv:
 All arcs with one label lead to one state, so the state after a token is a
 row, and tokens allowed in the same states are one column of the transition
 table; rows and columns are copied only when a gadget makes them differ.  For
-a vocabulary of 50,000 tokens the table is about 14,600 x 10,600 bits (20 MB).
+a vocabulary of 50,000 tokens the table is about 14,600 x 10,600 bits (20 MB),
+which the driver holds as bits from the start.
 
 A pre-split word is encoded from left to right: from every position the token
 arcs that the table allows after the token that ends there are followed.  A
@@ -128,8 +129,8 @@ class Automaton:
 def compile_automaton(v: Vocabulary) -> Automaton:
     """Compile the merges (see the module text)."""
     rows, columns = _classes(v)
-    table = np.zeros((rows, columns), np.bool_)
-    table[0, 0] = True                                  # one state, a loop for every byte
+    table = np.zeros((rows, -(-columns // 8)), np.uint8)   # a bit for each column, the first in the highest
+    table[0, 0] = 128                                   # one state, a loop for every byte
     row, column = [0] * len(v.labels), [0] * len(v.labels)
     row_users, column_users = Counter({0: 256}), Counter({0: 256})
     next_row = next_column = 1
@@ -145,13 +146,14 @@ def compile_automaton(v: Vocabulary) -> Automaton:
         # a copy of the state after u has no arc w; if u is w, it has no arc uw either
         for t in (w, uw) if u == w else (w,):
             if column_users[column[t]] > 1:
-                table[:next_row, next_column] = table[:next_row, column[t]]
+                copied = table[:next_row, column[t] >> 3] >> (7 - column[t] % 8) & 1
+                table[:next_row, next_column >> 3] |= copied << (7 - next_column % 8)
                 column_users[column[t]] -= 1
                 column[t], column_users[next_column] = next_column, 1
                 next_column += 1
-            table[row[u], column[t]] = False
+            table[row[u], column[t] >> 3] &= 255 - (128 >> column[t] % 8)
     tokens = [*v.byte_ids, *(m[2] for m in v.merges)]
-    return Automaton(np.packbits(table.ravel()).tobytes(), columns, row, column, tokens, v.labels, v.added)
+    return Automaton(table.tobytes(), table.shape[1] * 8, row, column, tokens, v.labels, v.added)
 
 
 def _classes(v: Vocabulary) -> tuple[int, int]:

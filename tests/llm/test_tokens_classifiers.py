@@ -69,6 +69,19 @@ def test_small_automata_equal_plain_merging(merges):
             assert got == parts, "".join(word)
 
 
+def test_compiling_holds_the_table_as_bits():
+    """The driver compiles within a few times the size of the finished table."""
+    import tracemalloc
+    v = byte_bpe.read_vocabulary(VOCABULARY)
+    tracemalloc.start()
+    try:
+        machine = bpe.compile_automaton(v)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(machine.allowed) < most < 3 * len(machine.allowed)
+
+
 def test_queries_on_whole_table(spark, sf_dir, library):
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     want = {i: digest(library, t) for i, t in docs.items()}
