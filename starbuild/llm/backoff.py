@@ -19,9 +19,10 @@
 4. The exploded n-grams are joined to the weights by hash and summed per
    document.
 
-Orders are counted and joined one after the other, in ``PASSES`` ranges of the
-n-grams' hashes; the result of each is written and its shuffle files go, so the
-disk holds the rows of one pass, whatever the order.  Every row is one n-gram of
+Orders are counted, weighed and joined one after the other, in ``PASSES`` ranges
+of the n-grams' hashes; the result of each is written and its shuffle files go, so
+the disk holds the rows of one pass, whatever the order.  Of a weight the counts
+that it is made of are written, which take few bits each.  Every row is one n-gram of
 one document, whatever the size of the corpus; words
 and n-grams that hold over a thousandth of all rows are salted in the join.
 
@@ -49,7 +50,7 @@ LEAST_HEAVY = 100_000
 COPIES = 100_000
 #: Passes over an order's n-grams, each over a range of their hashes: the disk
 #: holds the shuffled rows of one pass at a time.
-PASSES = 2
+PASSES = 3
 #: Bytes up to which Parquet names the words of a row group by number.
 DICTIONARY = 16 << 20
 
@@ -110,22 +111,34 @@ def count_tables(rows: DataFrame, order: int, min_count: int) -> DataFrame:
 
 
 def weights(counts: DataFrame, order: int, discount: float) -> DataFrame:
-    """``(k, gram, weight, n)``: what every n-gram of the tables adds to a word's score."""
+    """``(k, gram, weight, n)``: what every n-gram of the tables adds to a word's score.
+
+    Passes are ranges of the pasts; written are counts (n-gram, past, rest and
+    the rest's past), the logarithms are taken when they are read."""
     words = counts.where("k = 1").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     lost = math.log10(discount)
-    shorter = (counts.where("k = 1").select(F.col("rest").alias("gram"), "n", (
-        F.log10("n") - F.lit(math.log10(words or 1)) + (order - 1) * lost).alias("score")))
-    out = shorter.select(F.lit(1).alias("k"), "gram", F.col("score").alias("weight"), "n")
+
+    def score(k: int, n: str, past_n: str) -> Column:
+        return F.log10(n) - F.log10(past_n) + (order - k) * lost
+
+    shorter = counts.where("k = 1").select(F.col("rest").alias("gram"), "n", F.lit(words or 1).cast("long").alias("past_n"))
+    out = shorter.select(F.lit(1).alias("k"), "gram", score(1, "n", "past_n").alias("weight"), "n")
     for k in range(2, order + 1):
-        past = shorter.select(F.col("gram").alias("past"), F.col("n").alias("past_n"))
-        rest = shorter.select(F.col("gram").alias("rest"), F.col("score").alias("rest_score"))
-        # few rows of a table share a past or a rest that is hot: those of frequent words
-        found = counts.where(F.col("k") == k).select("past", "rest", "n").join(past, "past").join(rest, "rest")
-        found = written(found.select(gram_hash(F.lit(k), F.col("past"), F.col("rest")).alias("gram"), "n", "rest_score", (
-            F.log10("n") - F.log10("past_n") + (order - k) * lost).alias("score")), "gram-weights", free_shuffles=True)
-        out = out.unionAll(found.select(F.lit(k).alias("k"), "gram",
-                                        (F.col("score") - F.col("rest_score")).alias("weight"), "n"))
-        shorter = found.select("gram", "n", "score")
+        rest = shorter.select(F.col("gram").alias("rest"), F.col("n").alias("rest_n"), F.col("past_n").alias("rest_past_n"))
+        tables = []
+        for part in range(PASSES):
+            past = (shorter.where(F.pmod("gram", F.lit(PASSES)) == part)
+                    .select(F.col("gram").alias("past"), F.col("n").alias("past_n")))
+            mine = (counts.where((F.col("k") == k) & (F.pmod("past", F.lit(PASSES)) == part))
+                    .select("past", "rest", "n"))
+            # few rows of a table share a past or a rest that is hot: those of frequent words
+            found = mine.join(past, "past").join(rest, "rest").select(
+                gram_hash(F.lit(k), F.col("past"), F.col("rest")).alias("gram"), "n", "past_n", "rest_n", "rest_past_n")
+            tables.append(written(found, "gram-weights", free_shuffles=True))
+        found = reduce(DataFrame.unionAll, tables)
+        weight = score(k, "n", "past_n") - score(k - 1, "rest_n", "rest_past_n")
+        out = out.unionAll(found.select(F.lit(k).alias("k"), "gram", weight.alias("weight"), "n"))
+        shorter = found.select("gram", "n", "past_n")
     return out
 
 

@@ -123,3 +123,25 @@ def test_passes_are_whole_and_leave_no_shuffles(spark, make_docs, monkeypatch):
     for passes in (1, 3):
         monkeypatch.setattr(backoff, "PASSES", passes)
         assert sorted((r.id, r.n_words, round(r.log_score, 6)) for r in backoff.scores(docs).collect()) == want
+
+
+def test_weights_are_written_in_passes_and_as_counts(spark, make_docs, monkeypatch):
+    """No pass joins all n-grams of an order, and no logarithm is written, which
+    takes 64 bits for each n-gram; the passes share all n-grams."""
+    docs = make_docs([(i, " ".join("abcd"[(i * j + j * j) % 4] for j in range(i))) for i in range(12)])
+    rows = docs.select(F.col("doc_id").alias("doc"), backoff.document_words(F.col("text")).alias("w"))
+    counts = backoff.count_tables(rows, 3, 1)
+    tables, write = [], backoff.written
+
+    def noted(df, name, **options):
+        tables.append(write(df, name, **options))
+        return tables[-1]
+    monkeypatch.setattr(backoff, "written", noted)
+    whole = backoff.weights(counts, 3, 0.4)
+    sizes, passes = [t.count() for t in tables], backoff.PASSES
+    assert len(sizes) == 2 * passes > 2 and {kind for t in tables for _, kind in t.dtypes} == {"bigint"}
+    for k, mine in ((2, sizes[:passes]), (3, sizes[passes:])):
+        n = counts.where(F.col("k") == k).count()
+        assert max(mine) < n == sum(mine) == whole.where(F.col("k") == k).count()
+    monkeypatch.setattr(backoff, "PASSES", 1)
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, backoff.weights(counts, 3, 0.4).collect()))
