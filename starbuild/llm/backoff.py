@@ -22,7 +22,8 @@
 Orders are counted, weighed and joined one after the other, in ``PASSES`` ranges
 of the n-grams' hashes; the result of each is written and its shuffle files go, so
 the disk holds the rows of one pass, whatever the order.  Of a weight the counts
-that it is made of are written, which take few bits each.  Every row is one n-gram of
+that it is made of are written, which take few bits each; the count tables of
+n-grams above order 1 go when the weights are written.  Every row is one n-gram of
 one document, whatever the size of the corpus; words
 and n-grams that hold over a thousandth of all rows are salted in the join.
 
@@ -41,7 +42,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starbuild.llm.common import heavy_keys, spread_join, text_or_empty, written
+from starbuild.llm.common import freed, heavy_keys, spread_join, text_or_empty, written
 
 BETWEEN = r"[\x20\x09-\x0D]+"
 #: Rows above which a key is salted at all.
@@ -53,6 +54,9 @@ COPIES = 100_000
 PASSES = 3
 #: Bytes up to which Parquet names the words of a row group by number.
 DICTIONARY = 16 << 20
+#: Bytes of a row group of word hashes: its words by number then fit a core's
+#: cache when a pass reads them.
+ROW_GROUP = 4 << 20
 
 
 def document_words(text: Column) -> Column:
@@ -132,7 +136,7 @@ def weights(counts: DataFrame, order: int, discount: float) -> DataFrame:
             mine = (counts.where((F.col("k") == k) & (F.pmod("past", F.lit(PASSES)) == part))
                     .select("past", "rest", "n"))
             # few rows of a table share a past or a rest that is hot: those of frequent words
-            found = mine.join(past, "past").join(rest, "rest").select(
+            found = mine.join(past.hint("shuffle_hash"), "past").join(rest.hint("shuffle_hash"), "rest").select(
                 gram_hash(F.lit(k), F.col("past"), F.col("rest")).alias("gram"), "n", "past_n", "rest_n", "rest_past_n")
             tables.append(written(found, "gram-weights", free_shuffles=True))
         found = reduce(DataFrame.unionAll, tables)
@@ -167,8 +171,12 @@ def scores(documents: DataFrame, order: int = 3, discount: float = 0.4, min_coun
     rows = documents.select(ident.alias("id"), F.xxhash64(ident.isNull(), ident.cast("string"), text).alias("doc"),
                             document_words(text).alias("w"))
     # split once: every pass reads the hashes
-    rows = written(hashed(rows), "word-hashes", free_shuffles=True, options={"parquet.dictionary.page.size": DICTIONARY})
-    model = weights(count_tables(rows, order, min_count), order, discount)
+    rows = written(hashed(rows), "word-hashes", free_shuffles=True,
+                   options={"parquet.dictionary.page.size": DICTIONARY, "parquet.block.size": ROW_GROUP})
+    counts = count_tables(rows, order, min_count)
+    model = weights(counts, order, discount)
+    # the weights hold these counts as well; those of words are read again
+    freed(counts.where("k > 1"))
     sums = weight_sums(rows, model, order).groupBy("doc").agg(F.sum("total").alias("total"))
     # equal rows are counted, and told apart again at the end in runs that any task can take
     heads = rows.groupBy("doc", "id", F.size("h").cast("long").alias("n_words")).agg(F.count(F.lit(1)).alias("copies"))

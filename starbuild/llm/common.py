@@ -54,6 +54,14 @@ def written(df: DataFrame, name: str, free_shuffles: bool = False, options: dict
     return spark.read.schema(df.schema).parquet(path)
 
 
+def freed(df: DataFrame) -> None:
+    """Deletes the tables of :func:`written` that ``df`` reads; nothing may read them later."""
+    spark = df.sparkSession
+    for path in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder (never a local one)."""
     ensure_checkpoint_dir(df.sparkSession)

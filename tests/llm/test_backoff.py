@@ -1,10 +1,12 @@
 """Stupid backoff against a direct computation and against SQL."""
 import math
+import os
 import re
 import time
 from collections import Counter
 
 import duckdb
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,3 +147,36 @@ def test_weights_are_written_in_passes_and_as_counts(spark, make_docs, monkeypat
         assert max(mine) < n == sum(mine) == whole.where(F.col("k") == k).count()
     monkeypatch.setattr(backoff, "PASSES", 1)
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, backoff.weights(counts, 3, 0.4).collect()))
+
+
+def test_count_tables_go_when_the_weights_are_written(spark, make_docs, monkeypatch):
+    """Behind the weights the disk holds no counts of bigrams and trigrams, which
+    the weights have, too; the scores are whole."""
+    rows = [(i, " ".join("abcd"[(i * j + j * j) % 4] for j in range(i))) for i in range(12)]
+    folders, write = [], backoff.written
+
+    def noted(df, name, **options):
+        table = write(df, name, **options)
+        folders.append((name, {file.rpartition("/")[0].removeprefix("file:").replace("//", "/") for file in table.inputFiles()}))
+        return table
+    monkeypatch.setattr(backoff, "written", noted)
+    got = backoff.scores(make_docs(rows))
+    left = [[os.path.isdir(f) for f in found] for name, found in folders if name == "grams"]
+    assert len(left) > 2 and all(left[0]) and not any(sum(left[1:], []))
+    assert all(os.path.isdir(f) for name, found in folders if name != "grams" for f in found)
+    assert sorted((r.id, r.n_words, round(r.log_score, 6)) for r in got.collect()) == sorted(
+        (i, n, round(s, 6)) for i, n, s in slow_scores(rows))
+
+
+def test_hashes_have_small_row_groups(spark, make_docs, monkeypatch):
+    """Every pass reads the hashes by the numbers of their row group's words."""
+    monkeypatch.setattr(backoff, "ROW_GROUP", 20_000)
+    tables, write = [], backoff.written
+
+    def noted(df, name, **options):
+        tables.append((name, write(df, name, **options)))
+        return tables[-1][1]
+    monkeypatch.setattr(backoff, "written", noted)
+    backoff.scores(make_docs([(i, " ".join(f"{i}-{j}" for j in range(20))) for i in range(2_000)]).coalesce(1), order=1)
+    files = [f.removeprefix("file:") for name, table in tables if name == "word-hashes" for f in table.inputFiles()]
+    assert files and max(pq.ParquetFile(f).num_row_groups for f in files) > 1
